@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source workflow is a batch script over imported tables: it has no
+stream source, watermark, event-time window or stateful operator, so the
+engine adds none. The report functions take ordinary DataFrames; the
+stateless filters and projections among them also accept streaming
+DataFrames, but no streaming job is registered.
+"""
