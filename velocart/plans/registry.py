@@ -137,3 +137,315 @@ def _r8(t):
         min_orders=3,
         min_revenue=15_000_000,
     )
+
+
+# ---- single-purpose operators ------------------------------------------------
+from velocart import functions as fx  # noqa: E402
+from velocart import operators as op  # noqa: E402
+from velocart.schemas import TEST_PART  # noqa: E402
+from velocart.sources import tables  # noqa: E402
+
+AS_OF = "2002-01-15"
+
+
+def _money(col: str):
+    return F.col(col).cast(roles.MONEY)
+
+
+def _online_flag():
+    """A -> true, N -> false, anything else -> unknown."""
+    return F.when(F.col("l_returnflag") == "A", F.lit(True)).when(F.col("l_returnflag") == "N", F.lit(False))
+
+
+@register("load_typed")
+def _load_typed(t):
+    """Typed load: the part table read with a declared schema (no inference)."""
+    return tables.load_typed(t.spark, tables.table_path(t.root, "part"), TEST_PART)
+
+
+@register("scan_all")
+def _scan_all(t):
+    return tables.scan_all(t.spark, t.part)
+
+
+@register("project_columns")
+def _project_columns(t):
+    return op.project(t.part, ["p_partkey", "p_brand"])
+
+
+@register("project_rename")
+def _project_rename(t):
+    return op.project_rename(t.part, {"p_partkey": "product_id", "p_brand": "brand"})
+
+
+@register("line_revenue")
+def _line_revenue(t):
+    amount = fx.line_amount(_money("l_extendedprice"), _money("l_quantity"))
+    return t.lineitem.select("l_orderkey", amount.cast("double").alias("line_revenue"))
+
+
+@register("distinct_values")
+def _distinct_values(t):
+    brand = F.when(F.col("p_brand") == "Brand#1", F.lit(None)).otherwise(F.col("p_brand"))
+    return op.distinct_values(t.part.select(brand.alias("brand")), "brand")
+
+
+@register("filter_eq")
+def _filter_eq(t):
+    return op.filter_eq(t.orders, "o_orderstatus", "F")
+
+
+@register("filter_ne")
+def _filter_ne(t):
+    seg = F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None)).otherwise(F.col("c_mktsegment"))
+    return op.filter_ne(t.customer.select("c_custkey", seg.alias("segment")), "segment", "AUTOMOBILE")
+
+
+@register("filter_gt")
+def _filter_gt(t):
+    return op.filter_gt(t.part, "p_retailprice", 990)
+
+
+def _order_dates(t):
+    return t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+
+
+@register("filter_range_closed")
+def _filter_range_closed(t):
+    return op.filter_date_range(_order_dates(t), "order_date", "1997-04-01", "1997-04-09", closed_end=True)
+
+
+@register("filter_range_halfopen")
+def _filter_range_halfopen(t):
+    return op.filter_date_range(_order_dates(t), "order_date", "1997-01-01", "1997-03-01", closed_end=False)
+
+
+@register("filter_is_true")
+def _filter_is_true(t):
+    flagged = t.lineitem.select("l_orderkey", "l_linenumber", _online_flag().alias("online_order"))
+    return op.filter_is_true(flagged, "online_order")
+
+
+@register("filter_in_list")
+def _filter_in_list(t):
+    return op.filter_in(t.part, "p_brand", ["Brand#1", "Brand#2", "Brand#3"])
+
+
+@register("filter_ilike_prefix")
+def _filter_ilike_prefix(t):
+    return op.filter_ilike(t.part, "p_name", "BLUE%")
+
+
+def _ages(t):
+    return t.orders.select("o_orderkey", fx.age_years(F.col("o_orderdate").cast("date"), AS_OF).alias("age_years"))
+
+
+@register("fn_age_years")
+def _fn_age_years(t):
+    return _ages(t)
+
+
+@register("filter_min_age")
+def _filter_min_age(t):
+    return _ages(t).filter(F.col("age_years") > 6)
+
+
+@register("filter_latest_year")
+def _filter_latest_year(t):
+    dates = _order_dates(t)
+    latest = dates.agg(fx.calendar_year(F.max("order_date")).alias("y")).scalar()
+    return dates.filter(fx.calendar_year("order_date") == latest)
+
+
+def _quantities(t):
+    return t.lineitem.select("l_partkey", "l_suppkey", _money("l_quantity").alias("quantity"))
+
+
+@register("having_sum")
+def _having_sum(t):
+    sums = op.sum_by(_quantities(t), "l_partkey", "quantity", "sum_quantity")
+    return op.having(sums, F.col("sum_quantity") >= 1000).select(
+        "l_partkey", F.col("sum_quantity").cast("double").alias("sum_quantity")
+    )
+
+
+@register("having_count_distinct")
+def _having_count_distinct(t):
+    counts = op.count_distinct(t.lineitem, "l_partkey", "l_suppkey", "suppliers")
+    return op.having(counts, F.col("suppliers") >= 35)
+
+
+def _customer_revenue(t):
+    lines = t.lineitem.select(
+        "l_orderkey", fx.line_amount(_money("l_extendedprice"), _money("l_quantity")).alias("amount")
+    )
+    facts = t.orders.select("o_orderkey", "o_custkey").join(
+        lines, F.col("o_orderkey") == F.col("l_orderkey"), "inner"
+    )
+    return facts.groupBy("o_custkey").agg(
+        F.count_distinct("o_orderkey").alias("orders_count"), F.sum("amount").alias("total_revenue")
+    )
+
+
+@register("having_two")
+def _having_two(t):
+    agg = _customer_revenue(t)
+    cond = (F.col("orders_count") >= 12) & (F.col("total_revenue") > 70_000_000)
+    return op.having(agg, cond).select(
+        "o_custkey", "orders_count", F.col("total_revenue").cast("double").alias("total_revenue")
+    )
+
+
+@register("agg_sum_product")
+def _agg_sum_product(t):
+    return _customer_revenue(t).select("o_custkey", F.col("total_revenue").cast("double").alias("total_revenue"))
+
+
+@register("join_left_using")
+def _join_left_using(t):
+    o = t.orders.select(F.col("o_orderkey").alias("order_id"), "o_custkey", "o_orderdate")
+    li = t.lineitem.select(F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_partkey")
+    return op.left_join_using(o, li, "order_id")
+
+
+def _chain(t, how):
+    o = t.orders.select("o_orderkey", "o_custkey")
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
+    p = t.part.select("p_partkey", "p_brand")
+    c = t.customer.select("c_custkey", "c_mktsegment")
+    return (
+        o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), how)
+        .join(p, F.col("p_partkey") == F.col("l_partkey"), how)
+        .join(c, F.col("o_custkey") == F.col("c_custkey"), how)
+        .select("o_orderkey", "l_linenumber", "p_brand", "c_mktsegment")
+    )
+
+
+@register("join_left_chain")
+def _join_left_chain(t):
+    return _chain(t, "left")
+
+
+@register("join_inner_chain")
+def _join_inner_chain(t):
+    return _chain(t, "inner")
+
+
+@register("join_left_semi")
+def _join_left_semi(t):
+    rich = t.customer.filter(F.col("c_acctbal") > 9000).select(F.col("c_custkey").alias("o_custkey"))
+    return op.semi_join(t.orders.select("o_orderkey", "o_custkey"), rich, "o_custkey")
+
+
+@register("join_left_anti")
+def _join_left_anti(t):
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
+    return op.anti_join(t.orders.select("o_orderkey", "o_custkey"), lines, "o_orderkey")
+
+
+def _orders_per_customer(t):
+    return op.count_rows(t.orders.select(F.col("o_custkey").alias("customer_id")), "customer_id", "order_count")
+
+
+@register("enrich_after_aggregate")
+def _enrich_after_aggregate(t):
+    names = t.customer.select(F.col("c_custkey").alias("customer_id"), "c_name")
+    return _orders_per_customer(t).join(names, "customer_id", "left")
+
+
+@register("agg_count")
+def _agg_count(t):
+    return op.count_rows(t.orders, "o_orderstatus", "row_count")
+
+
+@register("agg_count_distinct")
+def _agg_count_distinct(t):
+    supp = F.when(F.col("l_suppkey") == 7, F.lit(None)).otherwise(F.col("l_suppkey"))
+    return op.count_distinct(t.lineitem.select("l_linestatus", supp.alias("supp")), "l_linestatus", "supp", "suppliers")
+
+
+@register("agg_sum")
+def _agg_sum(t):
+    return op.sum_by(_quantities(t), "l_partkey", "quantity", "sum_quantity").select(
+        "l_partkey", F.col("sum_quantity").cast("double").alias("sum_quantity")
+    )
+
+
+@register("agg_max_global")
+def _agg_max_global(t):
+    return op.max_global(_order_dates(t), "order_date", "max_order_date")
+
+
+@register("agg_mixed_distinct")
+def _agg_mixed_distinct(t):
+    days = t.lineitem.select(F.col("l_shipdate").cast("date").alias("ship_date"), "l_suppkey")
+    return days.groupBy("ship_date").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("l_suppkey").alias("suppliers")
+    )
+
+
+def _balances(t):
+    return t.customer.select("c_custkey", "c_nationkey", _money("c_acctbal").alias("balance"))
+
+
+@register("group_mean_window")
+def _group_mean_window(t):
+    return op.with_group_mean(_balances(t), "c_nationkey", "balance", "group_mean").select(
+        "c_custkey", "c_nationkey", "group_mean"
+    )
+
+
+@register("above_group_mean")
+def _above_group_mean(t):
+    return op.above_group_mean(_balances(t), "c_nationkey", "balance").select(
+        "c_custkey", "c_nationkey", F.col("balance").cast("double").alias("balance")
+    )
+
+
+@register("topk_by_column")
+def _topk_by_column(t):
+    return op.top_k(
+        t.part.select("p_partkey", "p_retailprice"), 20, [op.desc("p_retailprice"), op.asc("p_partkey")]
+    )
+
+
+@register("topk_by_aggregate")
+def _topk_by_aggregate(t):
+    return op.top_k(_orders_per_customer(t), 10, [op.desc("order_count"), op.asc("customer_id")])
+
+
+def _brands_of(t, ptype):
+    return op.distinct_values(t.part.filter(F.col("p_type") == ptype).select(F.col("p_brand").alias("brand")), "brand")
+
+
+@register("union_all")
+def _union_all(t):
+    return op.union_all(_brands_of(t, "ECONOMY"), _brands_of(t, "PROMO"))
+
+
+@register("union_distinct")
+def _union_distinct(t):
+    return op.union_distinct(_brands_of(t, "ECONOMY"), _brands_of(t, "PROMO"))
+
+
+@register("except_distinct")
+def _except_distinct(t):
+    label = F.when(F.col("p_name") == "blue ring", F.lit(None)).otherwise(
+        F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand"))
+    )
+
+    def of(ptype):
+        return op.distinct_values(t.part.filter(F.col("p_type") == ptype).select(label.alias("label")), "label")
+
+    return op.except_distinct(of("ECONOMY"), of("PROMO"))
+
+
+@register("fn_year")
+def _fn_year(t):
+    return op.distinct_values(t.orders.select(fx.calendar_year(F.col("o_orderdate").cast("date")).alias("year")), "year")
+
+
+@register("fn_cast_date")
+def _fn_cast_date(t):
+    as_text = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")
+    return t.orders.select("o_orderkey", fx.to_date_strict(as_text).alias("order_date"))

@@ -65,3 +65,13 @@ KEYS = {
     "orders": ["order_id"],
     "order_items": ["order_item_id"],
 }
+
+# Declared schema of the test data's part table, for the typed load check.
+TEST_PART = T.StructType([
+    T.StructField("p_partkey", T.LongType()),
+    T.StructField("p_name", T.StringType()),
+    T.StructField("p_brand", T.StringType()),
+    T.StructField("p_type", T.StringType()),
+    T.StructField("p_size", T.IntegerType()),
+    T.StructField("p_retailprice", T.DoubleType()),
+])
