@@ -17,9 +17,9 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(name: str):
-    def deco(fn: Callable[[roles.TestTables], DataFrame]) -> Query:
+    def deco(fn: Callable[[roles.SourceTables], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(roles.TestTables(spark, sf_dir))
+            return fn(roles.SourceTables(spark, sf_dir))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -18,7 +18,7 @@ MONEY = "decimal(12,2)"
 ONLINE_PRIORITIES = ("1-URGENT", "2-HIGH")
 
 
-class TestTables:
+class SourceTables:
     """Lazy access to the driver's Parquet tables under one scale directory."""
 
     def __init__(self, spark: SparkSession, root: str):
