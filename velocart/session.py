@@ -42,7 +42,13 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**SEMANTIC_CONF, **ADAPTIVE_CONF, "spark.ui.enabled": "false"}
+    conf = {
+        **SEMANTIC_CONF,
+        **ADAPTIVE_CONF,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
