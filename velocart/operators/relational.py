@@ -117,7 +117,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> Dat
     from velocart.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
+    # persisted first so the checkpoint write does not recompute the input
+    df = df.persist()
+    try:
+        materialised = df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
     if materialised.count() <= max_rows:
         return F.broadcast(materialised)
     return materialised
