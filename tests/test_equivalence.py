@@ -106,3 +106,15 @@ def test_r8_union_reshape_equals_two_branches(spark):
     # the final order is industry, then customer id
     keys = [(r.industry, r.customer_id) for r in got.collect()]
     assert keys == sorted(keys)
+
+
+def test_group_stats_beyond_the_bound_are_joined_not_broadcast(spark):
+    from velocart.operators import above_group_mean
+
+    t = SourceTables(spark, sf_dir("0.01"))
+    bal = t.customer.select("c_custkey", "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("v"))
+    small = above_group_mean(bal, "c_nationkey", "v")
+    big = above_group_mean(bal, "c_nationkey", "v", max_groups=1)  # 25 groups > 1: shuffled join
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    same(small, big)
+    assert small.count() == 728

@@ -107,22 +107,14 @@ def anti_join(left: DataFrame, right: DataFrame, key: str, null_matches: bool =
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
-    """Materialise a side whose size is not known in advance, then decide.
+    """Broadcast a side whose size is not known in advance, after measuring it.
 
-    The frame is written once to the cluster's checkpoint folder (reliable:
-    a lost executor does not lose it), counted, and broadcast only when it
-    has at most ``max_rows`` rows. Beyond that it is returned as an ordinary
-    (already materialised) input and the join shuffles as usual.
+    A small job counts the side's rows, stopping at ``max_rows + 1``. Within
+    the bound the side is broadcast; beyond it, it is returned as is and the
+    join shuffles (adaptive execution still splits skewed partitions). Nothing
+    is cached, so a later run sees current data; the side is recomputed in
+    the query itself, which for group statistics is one narrow scan.
     """
-    from velocart.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    # persisted first so the checkpoint write does not recompute the input
-    df = df.persist()
-    try:
-        materialised = df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-    if materialised.count() <= max_rows:
-        return F.broadcast(materialised)
-    return materialised
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -10,14 +10,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from velocart.sources.tables import read_table
+from velocart.sources.tables import load_typed, read_table, table_path
 
 MONEY = "decimal(12,2)"
 # Fixed binding values: which order priorities count as "online".
 ONLINE_PRIORITIES = ("1-URGENT", "2-HIGH")
 
 
+def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in fields])
+
+
+_LONG, _INT, _DOUBLE, _STR, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+
+# Declared schemas of the driver's tables (as written by its generator), so
+# reads need no schema-inference job and a changed file type fails loudly.
+TEST_SCHEMAS = {
+    "customer": _schema(
+        ("c_custkey", _LONG), ("c_name", _STR), ("c_nationkey", _INT), ("c_acctbal", _DOUBLE), ("c_mktsegment", _STR)
+    ),
+    "orders": _schema(
+        ("o_orderkey", _LONG), ("o_custkey", _LONG), ("o_orderstatus", _STR), ("o_totalprice", _DOUBLE),
+        ("o_orderdate", _TS), ("o_orderpriority", _STR),
+    ),
+    "part": _schema(
+        ("p_partkey", _LONG), ("p_name", _STR), ("p_brand", _STR), ("p_type", _STR), ("p_size", _INT),
+        ("p_retailprice", _DOUBLE),
+    ),
+    "lineitem": _schema(
+        ("l_orderkey", _LONG), ("l_partkey", _LONG), ("l_suppkey", _LONG), ("l_linenumber", _INT),
+        ("l_quantity", _DOUBLE), ("l_extendedprice", _DOUBLE), ("l_discount", _DOUBLE), ("l_tax", _DOUBLE),
+        ("l_returnflag", _STR), ("l_linestatus", _STR), ("l_shipdate", _TS),
+    ),
+}
+
+
 class SourceTables:
     """Lazy access to the driver's Parquet tables under one scale directory."""
 
@@ -28,6 +57,8 @@ class SourceTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
+        if name in TEST_SCHEMAS:
+            return load_typed(self.spark, table_path(self.root, name), TEST_SCHEMAS[name])
         return read_table(self.spark, self.root, name)
 
 
