@@ -8,9 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velocart import functions as fx
+from velocart import operators as op
 from velocart.operators import quality
 from velocart.plans import reports as R
-from velocart.sources import roles
+from velocart.schemas import TEST_PART
+from velocart.sources import roles, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,11 +143,6 @@ def _r8(t):
 
 
 # ---- single-purpose operators ------------------------------------------------
-from velocart import functions as fx  # noqa: E402
-from velocart import operators as op  # noqa: E402
-from velocart.schemas import TEST_PART  # noqa: E402
-from velocart.sources import tables  # noqa: E402
-
 AS_OF = "2002-01-15"
 
 
