@@ -92,6 +92,8 @@ def above_group_mean(df: DataFrame, group: str, value: str, max_groups: int = 10
     sits on the mean). The mean covers every row of the group; filter other
     conditions after calling this, not before. Rows with a NULL value drop.
     """
-    joined = _join_group_stats(df, group, value, max_groups)
-    keep = F.col(value) * F.col("__n") > F.col("__sum")
-    return joined.filter(keep).select(*df.columns)
+    stats = checked_broadcast(_group_stats(df, group, value), max_groups)
+    # a semi join with the comparison in its condition: keeps df's columns
+    # and lets the planner size the result as df, not df x stats
+    cond = F.col(group).eqNullSafe(F.col("__g")) & (F.col(value) * F.col("__n") > F.col("__sum"))
+    return df.join(stats, cond, "left_semi")
