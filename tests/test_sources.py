@@ -53,3 +53,12 @@ def test_conform_to_product_schema(spark):
     )
     out = conform(df, PRODUCT)
     assert out.schema == PRODUCT
+
+
+def test_sizing_conf_for_a_large_cluster():
+    from velocart.session import sizing_conf
+
+    conf = sizing_conf(100 * 1024**4, 8000)  # 100 TiB over 1000 executors x 8 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (128 * 1024**2)
+    small = sizing_conf(10 * 1024**2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

@@ -78,3 +78,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="velocart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def sizing_conf(
+    largest_shuffle_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 128 * 1024 * 1024,
+) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run, as Spark settings.
+
+    ``largest_shuffle_bytes`` is the biggest input that gets shuffled (for
+    these reports the order lines, after column pruning). The initial shuffle
+    partition count makes each partition about ``target_partition_bytes``
+    (and at least two waves of tasks); adaptive execution then merges small
+    partitions back to the same target and splits skewed ones. Pass the
+    result as ``extra`` to ``build_session`` or to spark-submit.
+    """
+    by_size = -(-largest_shuffle_bytes // target_partition_bytes)
+    partitions = max(2 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
