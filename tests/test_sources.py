@@ -58,7 +58,9 @@ def test_conform_to_product_schema(spark):
 def test_sizing_conf_for_a_large_cluster():
     from velocart.session import sizing_conf
 
-    conf = sizing_conf(100 * 1024**4, 8000)  # 100 TiB over 1000 executors x 8 cores
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (128 * 1024**2)
+    conf = sizing_conf(100 * 1024**4, 8000)  # 100 TiB over 1000 executors x 8 cores: capped
+    assert conf["spark.sql.shuffle.partitions"] == "100000"
+    mid = sizing_conf(5 * 1024**4, 8000)  # 5 TiB: 256 MiB partitions
+    assert mid["spark.sql.shuffle.partitions"] == str(5 * 1024**4 // (256 * 1024**2))
     small = sizing_conf(10 * 1024**2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"

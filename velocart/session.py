@@ -83,19 +83,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def sizing_conf(
     largest_shuffle_bytes: int,
     total_cores: int,
-    target_partition_bytes: int = 128 * 1024 * 1024,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    max_partitions: int = 100_000,
 ) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run, as Spark settings.
 
     ``largest_shuffle_bytes`` is the biggest input that gets shuffled (for
-    these reports the order lines, after column pruning). The initial shuffle
-    partition count makes each partition about ``target_partition_bytes``
-    (and at least two waves of tasks); adaptive execution then merges small
-    partitions back to the same target and splits skewed ones. Pass the
-    result as ``extra`` to ``build_session`` or to spark-submit.
+    these reports the order lines after column pruning). Reduce partitions
+    aim at ``target_partition_bytes`` with at least two waves of tasks, and
+    are capped at ``max_partitions``: the number of shuffle blocks is map
+    tasks times reduce partitions, and past the cap it is cheaper to let
+    partitions grow (sorts and aggregates spill to disk) than to multiply
+    blocks. Scan splits use the same target, which also bounds the map-task
+    count. Adaptive execution merges small partitions back to the target and
+    splits skewed ones. Pass the result as ``extra`` to ``build_session`` or
+    to spark-submit.
     """
     by_size = -(-largest_shuffle_bytes // target_partition_bytes)
-    partitions = max(2 * total_cores, by_size)
+    partitions = min(max(2 * total_cores, by_size), max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
