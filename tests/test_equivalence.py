@@ -118,3 +118,15 @@ def test_group_stats_beyond_the_bound_are_joined_not_broadcast(spark):
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     same(small, big)
     assert small.count() == 728
+
+
+def test_r1_both_plans_agree(spark):
+    t = SourceTables(spark, sf_dir("0.01"))
+    p, i = roles.product_role(t.part), roles.order_items_role(t.lineitem)
+    filtered_first = R.brands_by_cost_and_volume(p, i, 990, 1100)
+    summed_first = R.brands_by_cost_and_volume(p, i, 990, 1100, max_broadcast_rows=0)
+    plan_a = filtered_first._jdf.queryExecution().executedPlan().toString()
+    plan_b = summed_first._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan_a and "LeftSemi" not in plan_b
+    same(filtered_first, summed_first)
+    assert filtered_first.count() == 5

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -45,7 +46,8 @@ def product(spark, data):
     )
 
 
-def test_fx3_r1_same_product_meets_both(spark):
+@pytest.mark.parametrize("max_broadcast_rows", [100_000, 0])
+def test_fx3_r1_same_product_meets_both(spark, max_broadcast_rows):
     p = product(
         spark,
         [
@@ -60,7 +62,7 @@ def test_fx3_r1_same_product_meets_both(spark):
     items = spark.createDataFrame(
         [(1, 1000), (2, 5000), (3, 999), (5, 600), (5, 400), (6, 9000)], "product_id long, quantity int"
     )
-    out = R.brands_by_cost_and_volume(p, items, 1500, 1000)
+    out = R.brands_by_cost_and_volume(p, items, 1500, 1000, max_broadcast_rows=max_broadcast_rows)
     assert rows(out) == [(None,), ("A",)]
 
 

@@ -23,6 +23,7 @@ from velocart.operators.relational import (
     filter_in,
     filter_is_true,
     filter_ne,
+    fits_broadcast,
     left_join_using,
     project,
     project_rename,

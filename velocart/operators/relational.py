@@ -106,15 +106,19 @@ def anti_join(left: DataFrame, right: DataFrame, key: str, null_matches: bool =
     return left.join(r, cond, "left_anti")
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows, counted by a small job
+    that stops at ``max_rows + 1``. Nothing is cached, so the answer always
+    reflects current data."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
     """Broadcast a side whose size is not known in advance, after measuring it.
 
-    A small job counts the side's rows, stopping at ``max_rows + 1``. Within
-    the bound the side is broadcast; beyond it, it is returned as is and the
-    join shuffles (adaptive execution still splits skewed partitions). Nothing
-    is cached, so a later run sees current data; the side is recomputed in
-    the query itself, which for group statistics is one narrow scan.
+    Within the bound (``fits_broadcast``) the side is broadcast; beyond it,
+    it is returned as is and the join shuffles (adaptive execution still
+    splits skewed partitions). The side is recomputed in the query itself,
+    which for group statistics or a filtered dimension is one narrow scan.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 
 from velocart.functions.scalar import age_years, date_value, is_true, line_amount
 from velocart.operators.aggregates import above_group_mean
-from velocart.operators.relational import broadcast_bounded, date_range
+from velocart.operators.relational import (
+    BROADCAST_ROW_BOUND,
+    broadcast_bounded,
+    checked_broadcast,
+    date_range,
+    fits_broadcast,
+)
 from velocart.operators.topk import asc, desc
 
 # Fixed values of the source script (used as parameter defaults).
@@ -47,20 +53,25 @@ def brands_by_cost_and_volume(
     order_items: DataFrame,
     min_cost=COST_THRESHOLD,
     min_quantity=VOLUME_THRESHOLD,
+    max_broadcast_rows: int = BROADCAST_ROW_BOUND,
 ) -> DataFrame:
     """R1. Brands with one product that both costs more than ``min_cost`` and
     sold at least ``min_quantity`` units in total.
 
     Both conditions hold on the same product. A product without sales has a
-    NULL sum and fails; a NULL brand is one output row. Lines are first
-    restricted to costly products, then summed per product (partial sums
-    before the shuffle), so the fact table is never shuffled whole.
+    NULL sum and fails; a NULL brand is one output row. When the costly
+    products are few enough to broadcast (counted first), lines are filtered
+    to them map-side before summing; otherwise all lines are summed per
+    product first, so only partial sums are shuffled, and then joined. Either
+    way the line table itself is never shuffled.
     """
     costly = product.filter(F.col("standard_cost") > F.lit(min_cost)).select("product_id", "brand")
+    lines = order_items.select("product_id", "quantity")
+    costly_ids = costly.select("product_id")
+    if fits_broadcast(costly_ids, max_broadcast_rows):
+        lines = lines.join(F.broadcast(costly_ids), "product_id", "left_semi")
     volume = (
-        order_items.select("product_id", "quantity")
-        .join(costly.select("product_id"), "product_id", "left_semi")
-        .groupBy("product_id")
+        lines.groupBy("product_id")
         .agg(F.sum("quantity").alias("sum_quantity"))
         .filter(F.col("sum_quantity") >= F.lit(min_quantity))
     )
@@ -199,7 +210,7 @@ def top_customers(
     qualified = above_group_mean(customer, "state", "property_valuation").filter(
         F.col("deceased_indicator") == F.lit(active_value)
     )
-    wanted = product.filter(F.col("brand").isin(list(brands))).select("product_id")
+    wanted = checked_broadcast(product.filter(F.col("brand").isin(list(brands))).select("product_id"))
     counts = (
         orders.filter(is_true("online_order"))
         .select("order_id", "customer_id")
