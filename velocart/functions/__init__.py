@@ -4,6 +4,7 @@ from velocart.functions.scalar import (
     age_years,
     as_column,
     calendar_year,
+    holds,
     in_list,
     is_true,
     line_amount,
@@ -15,6 +16,7 @@ __all__ = [
     "age_years",
     "as_column",
     "calendar_year",
+    "holds",
     "in_list",
     "is_true",
     "line_amount",

@@ -30,10 +30,26 @@ def _date_literal(value) -> Column:
 
 
 def is_true(col) -> Column:
-    """``x IS TRUE``: unknown (NULL) counts as false, never as NULL."""
+    """``x IS TRUE`` as a value: unknown (NULL) counts as false, never as NULL.
+
+    Use it in projections. Inside a filter, use ``holds`` instead: there NULL
+    and false both drop the row, and the plain predicate can reach the scan.
+    """
     return as_column(col).eqNullSafe(F.lit(True))
 
 
+def holds(col) -> Column:
+    """``x IS TRUE`` as a filter condition (or a conjunct of one).
+
+    A WHERE clause keeps a row only when its condition is true, so NULL and
+    false are dropped alike and ``x IS TRUE`` filters exactly like ``x``.
+    Returning ``x`` itself lets Spark push the underlying comparison (for
+    example an ``IN`` list on the source column) into the Parquet scan,
+    which ``x <=> true`` would block.
+    """
+    return as_column(col)
+
+
 def to_date_strict(col) -> Column:
     """``text::date``. With ANSI mode on, malformed text raises an error."""
     return as_column(col).cast("date")

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velocart.functions.scalar import as_column, date_value, is_true
+from velocart.functions.scalar import as_column, date_value, holds
 
 # Largest row count for which an explicit broadcast hint is given. Callers
 # pass a bound that holds by construction (a LIMIT k, a global aggregate);
@@ -73,7 +73,7 @@ def filter_date_range(df: DataFrame, col, start, end, closed_end: bool = True) -
 
 def filter_is_true(df: DataFrame, col) -> DataFrame:
     """``col is true``: NULL and false both drop the row."""
-    return df.filter(is_true(col))
+    return df.filter(holds(col))
 
 
 def filter_in(df: DataFrame, col, values) -> DataFrame:

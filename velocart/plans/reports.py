@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocart.functions.scalar import age_years, date_value, is_true, line_amount
+from velocart.functions.scalar import age_years, date_value, holds, line_amount
 from velocart.operators.aggregates import above_group_mean
 from velocart.operators.relational import (
     BROADCAST_ROW_BOUND,
@@ -90,7 +90,7 @@ def daily_orders(
         orders.filter(
             date_range("order_date", start, end, closed_end=True)
             & (F.col("order_status") == F.lit(status))
-            & is_true("online_order")
+            & holds("online_order")
         )
         .groupBy("order_date")
         .agg(
@@ -212,7 +212,7 @@ def top_customers(
     )
     wanted = checked_broadcast(product.filter(F.col("brand").isin(list(brands))).select("product_id"))
     counts = (
-        orders.filter(is_true("online_order"))
+        orders.filter(holds("online_order"))
         .select("order_id", "customer_id")
         .join(qualified.select("customer_id"), "customer_id", "left_semi")
         .join(order_items.select("order_id", "product_id"), "order_id", "inner")
@@ -251,7 +251,7 @@ def lapsed_customers(
         F.col("order_date") < F.make_date(latest_year + 1, F.lit(1), F.lit(1))
     )
     recent = (
-        orders.filter((F.col("order_status") == F.lit(status)) & is_true("online_order") & in_latest_year)
+        orders.filter((F.col("order_status") == F.lit(status)) & holds("online_order") & in_latest_year)
         .select("customer_id")
         .distinct()
     )
