@@ -34,6 +34,8 @@ def test_filters_reach_the_scan(spark):
     assert "In(c_mktsegment, [BUILDING,HOUSEHOLD])" in r8
     r5 = plan_of(spark, "r5_top_customers")
     assert "In(p_brand, [Brand#1,Brand#2,Brand#3])" in r5
+    # `online_order is true` in a filter reaches the scan as the IN list it is made of
+    assert "In(o_orderpriority, [1-URGENT,2-HIGH])" in r5
 
 
 def test_scans_read_only_needed_columns(spark):
