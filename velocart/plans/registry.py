@@ -166,6 +166,12 @@ def _scan_all(t):
     return tables.scan_all(t.spark, t.part)
 
 
+@register("scan_summary")
+def _scan_summary(t):
+    """Row and column counts of the four tables the reports use."""
+    return tables.scan_summary({name: getattr(t, name) for name in ("customer", "orders", "part", "lineitem")})
+
+
 @register("project_columns")
 def _project_columns(t):
     return op.project(t.part, ["p_partkey", "p_brand"])

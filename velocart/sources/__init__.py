@@ -7,6 +7,7 @@ from velocart.sources.tables import (
     read_table,
     save_table,
     scan_all,
+    scan_summary,
     table_path,
 )
 
@@ -17,5 +18,6 @@ __all__ = [
     "read_table",
     "save_table",
     "scan_all",
+    "scan_summary",
     "table_path",
 ]

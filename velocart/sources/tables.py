@@ -58,6 +58,25 @@ def scan_all(spark: SparkSession, name_or_df) -> DataFrame:
     return df.select("*")
 
 
+def scan_summary(frames: dict[str, DataFrame]) -> DataFrame:
+    """The import check: one row per table with its row and column count.
+
+    Each count is a global aggregate over a full scan (Parquet answers it
+    from footers where it can); the per-table rows are unioned, so all
+    tables are checked in one job.
+    """
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count")
+        )
+        for name, df in frames.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def create_namespace(spark: SparkSession, name: str) -> None:
     """``create schema if not exists name``."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
