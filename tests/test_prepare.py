@@ -49,3 +49,24 @@ def test_bucketed_facts_join_without_exchange(spark):
         assert R.valuable_customers(c, orders, items, **kw).count() == 38
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_date_partitioned_orders_prune_partitions(spark):
+    from velocart.sources import save_table
+
+    t = SourceTables(spark, sf_dir("0.01"))
+    create_namespace(spark, "prep")
+    # one year of orders keeps the fixture to a few hundred date folders
+    flat = roles.orders_role(t.orders).filter(F.year("order_date") == 1997)
+    save_table(flat, "prep.orders_by_day", mode="overwrite", partition_by=["order_date"])
+    orders = spark.table("prep.orders_by_day")
+    r2 = R.daily_orders(orders, "1997-04-01", "1997-04-09", status="F")
+    plan = r2._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in plan and "(order_date#" in plan
+    assert sorted(r2.collect()) == sorted(R.daily_orders(flat, "1997-04-01", "1997-04-09", status="F").collect())
+    # the latest-year range of R6 prunes too, with the year from its scalar sub-query
+    c = roles.customer_car_role(t.customer)
+    r6 = R.lapsed_customers(c, orders, status="F", excluded_segment="AUTOMOBILE")
+    plan6 = r6._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in plan6 and "make_date(Subquery" in plan6
+    assert sorted(r6.collect()) == sorted(R.lapsed_customers(c, flat, status="F", excluded_segment="AUTOMOBILE").collect())

@@ -87,13 +87,18 @@ def save_table(
     name: str,
     mode: str = "errorifexists",
     bucket_by: tuple[int, list[str]] | None = None,
+    partition_by: list[str] | None = None,
 ) -> None:
     """``create table name as select ...``: fails if the table exists.
 
     ``bucket_by=(n, keys)`` stores the table bucketed and sorted on its key,
     so later joins and aggregates on that key read it without a shuffle.
+    ``partition_by`` stores one folder per value (e.g. ``order_date``), so
+    filters on that column skip whole folders instead of scanning them.
     """
     writer = df.write.mode(mode).format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if bucket_by is not None:
         buckets, keys = bucket_by
         writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
