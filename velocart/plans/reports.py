@@ -221,10 +221,16 @@ def top_customers(
         .agg(F.count_distinct("order_id").alias("count_order"))
     )
     ranking = [desc("count_order"), asc("customer_id")]
-    top = broadcast_bounded(counts.orderBy(*ranking).limit(k), k)
-    names = customer.select("customer_id", "first_name", "last_name")
+    top = counts.orderBy(*ranking).limit(k)
+    # ``top left join customer``: an outer join can only build its other
+    # side, which would shuffle the whole customer table for k names. So the
+    # customers are streamed once through a broadcast semi join on the k ids,
+    # and the k rows are then left-joined to that small result.
+    names = customer.select("customer_id", "first_name", "last_name").join(
+        broadcast_bounded(top.select("customer_id"), k), "customer_id", "left_semi"
+    )
     return (
-        top.join(names, "customer_id", "left")
+        top.join(F.broadcast(names), "customer_id", "left")
         .select("customer_id", "first_name", "last_name", "count_order")
         .orderBy(*ranking)
     )
