@@ -17,9 +17,10 @@ def plan_of(spark, name, sf="0.01"):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_in_any_plan(spark, name):
+def test_no_python_or_pairwise_join_in_any_plan(spark, name):
     plan = plan_of(spark, name)
     assert not any(node in plan for node in PY_NODES)
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 def test_keep_first_limits_groups_before_the_shuffle(spark):
