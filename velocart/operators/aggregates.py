@@ -8,8 +8,6 @@ rows sends one partial row per map task, not a third of the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
