@@ -28,6 +28,17 @@ def _key(row):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -51,6 +62,10 @@ def test_query_matches_oracle(spark, duck, name):
     want = sorted((tuple(_norm(r[i]) for i in oorder) for r in rel.fetchall()), key=_key)
     assert len(got) == len(want)
     assert got == want
+    # same logical types on both sides
+    spark_types = {f.name: SPARK_TO_DUCK[f.dataType.simpleString()] for f in df.schema.fields}
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    assert spark_types == duck_types
 
 
 def test_entry_smoke(spark):
