@@ -39,6 +39,24 @@ def _audit(t):
     return quality.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
+@register("audit_customer_keys")
+def _audit_customer(t):
+    """Duplicate-key audit of the customer table (no duplicates expected)."""
+    return quality.duplicate_keys(t.customer, "c_custkey")
+
+
+@register("audit_orders_keys")
+def _audit_orders(t):
+    """Duplicate-key audit of the orders table (no duplicates expected)."""
+    return quality.duplicate_keys(t.orders, "o_orderkey")
+
+
+@register("audit_part_keys")
+def _audit_part(t):
+    """Duplicate-key audit of the part (product) table (no duplicates expected)."""
+    return quality.duplicate_keys(t.part, "p_partkey")
+
+
 @register("keep_first")
 def _keep_first(t):
     """One line per (l_orderkey, l_linenumber): earliest ship date, then part, supplier."""
