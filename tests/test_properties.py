@@ -186,3 +186,31 @@ def test_r8_matches_union_of_branches(spark, shop):
 
     literal = branch("IT").union(branch("Health")).distinct()
     assert rows(R.valuable_customers(c, o, i)) == rows(literal)
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(maybe([1, 2, 3, None]), maybe(["a", "b", None]), st.integers(0, 50)), max_size=25))
+def test_keep_first_and_audit_match_brute_force(spark, data):
+    from collections import Counter
+
+    from velocart.operators import duplicate_keys, keep_first
+
+    # a unique sequence number makes the order total, as keep_first requires
+    rows_in = [(k1, k2, v, seq) for seq, (k1, k2, v) in enumerate(data)]
+    df = spark.createDataFrame(rows_in, "k1 int, k2 string, v int, seq int")
+
+    first = {}
+    for k1, k2, v, seq in sorted(rows_in, key=lambda r: (r[2], r[3])):
+        first.setdefault((k1, k2), (k1, k2, v, seq))
+    assert rows(keep_first(df, ["k1", "k2"], ["v", "seq"])) == rows_sorted(first.values())
+
+    counts = Counter((k1, k2) for k1, k2, _, _ in rows_in)
+    expected = [(k1, k2, n) for (k1, k2), n in counts.items() if n > 1]
+    got = [tuple(r) for r in duplicate_keys(df, ["k1", "k2"]).collect()]
+    # ascending with NULLs last, as the source database orders
+    key = lambda t: tuple((v is None, v if v is not None else 0) for v in t[:2])
+    assert got == sorted(expected, key=key)
+
+
+def rows_sorted(items):
+    return sorted((tuple(r) for r in items), key=lambda t: tuple((v is not None, v) for v in t))
