@@ -32,12 +32,14 @@ def build_session(
     app_name: str = "velocart",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    largest_shuffle_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the settings the engine expects.
 
-    On a cluster, leave ``master`` and ``shuffle_partitions`` unset: the
-    submitter decides them. Tests pass ``local[*]`` and a small partition
-    count.
+    On a cluster, leave ``master`` unset (spark-submit decides) and pass
+    ``largest_shuffle_bytes`` and ``total_cores`` to size partitions with
+    ``sizing_conf``. Tests pass ``local[*]`` and a small partition count.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -49,6 +51,10 @@ def build_session(
         "spark.ui.showConsoleProgress": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+    if largest_shuffle_bytes is not None:
+        if total_cores is None:
+            raise ValueError("total_cores is needed to size partitions")
+        conf.update(sizing_conf(largest_shuffle_bytes, total_cores))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
