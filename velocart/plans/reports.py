@@ -285,7 +285,8 @@ def buyers_of_top_products(
     ranks highest; ties go to the lower product id).
 
     The top-k set has at most ``k`` rows, so it is broadcast and filters the
-    line items map-side before anything is shuffled.
+    line items map-side before anything is shuffled; orders are restricted
+    to the industries' customers (semi join) before they meet the lines.
     """
     top = broadcast_bounded(
         product.filter(F.col("product_line") == F.lit(line))
@@ -295,11 +296,15 @@ def buyers_of_top_products(
         k,
     )
     buyers = customer.filter(F.col("job_industry_category").isin(list(industries)))
+    # orders are cut to the industries' customers before the order/line join,
+    # so only their share of the order table is shuffled for it
+    buyer_orders = orders.select("order_id", "customer_id").join(
+        buyers.select("customer_id"), "customer_id", "left_semi"
+    )
     hits = (
         order_items.select("order_id", "product_id")
         .join(top, "product_id", "inner")
-        .join(orders.select("order_id", "customer_id"), "order_id", "inner")
-        .join(buyers.select("customer_id"), "customer_id", "left_semi")
+        .join(buyer_orders, "order_id", "inner")
         .groupBy("customer_id")
         .agg(F.count_distinct("product_id").alias("products_count"))
         .filter(F.col("products_count") >= F.lit(min_hits))
