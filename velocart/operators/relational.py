@@ -1,8 +1,11 @@
 """Projection, filter and join operators in the source dialect's semantics.
 
-Joins are left to the optimizer: adaptive execution measures each side at
-run time and broadcasts only what is actually small; otherwise it plans a
-sort-merge join and splits skewed partitions.
+Join strategy is mostly left to the planner: file-size estimates and
+adaptive execution's measured sizes decide what is broadcast, otherwise a
+sort-merge join is planned and skewed partitions are split. An explicit
+broadcast is given only with a size bound: ``broadcast_bounded`` for sides
+bounded by construction, ``checked_broadcast`` / ``fits_broadcast`` for
+sides counted first.
 """
 
 from __future__ import annotations
@@ -14,9 +17,9 @@ from pyspark.sql import functions as F
 
 from velocart.functions.scalar import as_column, date_value, holds
 
-# Largest row count for which an explicit broadcast hint is given. Callers
-# pass a bound that holds by construction (a LIMIT k, a global aggregate);
-# anything larger is left to the adaptive planner's measured sizes.
+# Largest row count for which an explicit broadcast hint is given, whether
+# the bound holds by construction (a LIMIT k, a global aggregate) or was
+# counted; anything larger is left to the planner and adaptive execution.
 BROADCAST_ROW_BOUND = 100_000
 
 
