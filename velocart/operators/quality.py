@@ -49,7 +49,7 @@ def keep_first(
     df: DataFrame,
     keys,
     order_by: Sequence[str | Column] | str,
-    rank_name: str = "rn",
+    rank_name: str = "__keep_first_rank",
 ) -> DataFrame:
     """One row per key: the first by ``order_by``; all original columns kept.
 
