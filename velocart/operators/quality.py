@@ -40,8 +40,8 @@ def with_file_order(df: DataFrame) -> DataFrame:
     ``_metadata.row_index``). It is the "first record as imported" order:
     stable across retries because it is read from the file, not computed.
     """
-    return df.withColumn("_src_file", F.col("_metadata.file_path")).withColumn(
-        "_src_row", F.col("_metadata.row_index")
+    return df.withColumn("__src_file", F.col("_metadata.file_path")).withColumn(
+        "__src_row", F.col("_metadata.row_index")
     )
 
 
@@ -64,7 +64,7 @@ def keep_first(
     base = df
     if isinstance(order_by, str) and order_by == FILE_ORDER:
         base = with_file_order(df)
-        order_cols = [F.col("_src_file").asc(), F.col("_src_row").asc()]
+        order_cols = [F.col("__src_file").asc(), F.col("__src_row").asc()]
     else:
         if isinstance(order_by, (str, Column)):
             order_by = [order_by]
