@@ -70,3 +70,23 @@ def test_date_partitioned_orders_prune_partitions(spark):
     plan6 = r6._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_date" in plan6 and "make_date(Subquery" in plan6
     assert sorted(r6.collect()) == sorted(R.lapsed_customers(c, flat, status="F", excluded_segment="AUTOMOBILE").collect())
+
+
+def test_analyze_tables_gives_row_counts(spark):
+    from velocart.sources import save_table
+
+    t = SourceTables(spark, sf_dir("0.001"))
+    create_namespace(spark, "prep")
+    save_table(roles.orders_role(t.orders), "prep.orders_stats", mode="overwrite")
+    prepare.analyze_tables(spark, ["prep.orders_stats"])
+    described = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED prep.orders_stats").collect()}
+    assert "1500 rows" in described["Statistics"]
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    try:
+        table_rows = spark.table("prep.orders_stats")._jdf.queryExecution().optimizedPlan().stats().rowCount()
+        assert int(str(table_rows.get())) == 1500
+        filtered = spark.table("prep.orders_stats").filter(F.col("order_status") == "F")
+        est = filtered._jdf.queryExecution().optimizedPlan().stats().rowCount()
+        assert est.isDefined() and int(str(est.get())) < 1500
+    finally:
+        spark.conf.unset("spark.sql.cbo.enabled")
