@@ -39,21 +39,40 @@ SPARK_TO_DUCK = {
 }
 
 
-@pytest.fixture(scope="module")
-def duck():
+def _duck(sf):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf_dir('0.01')}/{t}.parquet')")
+        con.execute(f"create view {t} as select * from read_parquet('{sf_dir(sf)}/{t}.parquet')")
     return con
 
 
+@pytest.fixture(scope="module")
+def duck():
+    return _duck("0.01")
+
+
+@pytest.fixture(scope="module")
+def duck_small():
+    return _duck("0.001")
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = QUERIES[name](spark, sf_dir("0.01"))
+    _compare(spark, duck, name, "0.01")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle_smallest_scale(spark, duck_small, name):
+    # several reports are empty or nearly so here: edge behaviour, not volume
+    _compare(spark, duck_small, name, "0.001")
+
+
+def _compare(spark, duck, name, sf):
+    df = QUERIES[name](spark, sf_dir(sf))
     rel = duck.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(rel.columns)
     order = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
