@@ -206,6 +206,9 @@ def top_customers(
     product of ``brands``, among active customers whose property valuation is
     above their state's mean (mean over all customers of the state, the
     deceased included). Ties go to the lower customer id.
+
+    Building the plan runs two small counting jobs: the state statistics and
+    the brand products are broadcast only when counted under the bound.
     """
     qualified = above_group_mean(customer, "state", "property_valuation").filter(
         F.col("deceased_indicator") == F.lit(active_value)
@@ -225,7 +228,8 @@ def top_customers(
     # ``top left join customer``: an outer join can only build its other
     # side, which would shuffle the whole customer table for k names. So the
     # customers are streamed once through a broadcast semi join on the k ids,
-    # and the k rows are then left-joined to that small result.
+    # and the k rows are then left-joined to that small result (k rows, as
+    # customer ids are unique: the audited key contract).
     names = customer.select("customer_id", "first_name", "last_name").join(
         broadcast_bounded(top.select("customer_id"), k), "customer_id", "left_semi"
     )
