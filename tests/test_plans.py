@@ -63,3 +63,11 @@ def test_count_distinct_is_two_level(spark):
     plan = plan_of(spark, "r5_top_customers")
     assert "Exchange hashpartitioning(customer_id" in plan
     assert re.search(r"Exchange hashpartitioning\(customer_id#\d+L, order_id#\d+L", plan)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_query_scans_the_given_tables(spark, name):
+    df = QUERIES[name](spark, sf_dir("0.01"))
+    physical = df._jdf.queryExecution().sparkPlan().toString()
+    assert f"file:{sf_dir('0.01')}/" in physical
+    assert "LocalTableScan" not in physical and "LocalRelation" not in physical
