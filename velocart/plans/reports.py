@@ -150,10 +150,14 @@ def _brand_flags(
     rows cross each shuffle.
     """
     industry = F.col("job_industry_category")
-    buyers = customer.filter(industry.isin(industry_a, industry_b)).select(
-        "customer_id",
-        (industry == F.lit(industry_a)).alias("__a"),
-        (industry == F.lit(industry_b)).alias("__b"),
+    # a few industries of a large customer table: counted, and broadcast when
+    # small, so the order table is then streamed instead of shuffled
+    buyers = checked_broadcast(
+        customer.filter(industry.isin(industry_a, industry_b)).select(
+            "customer_id",
+            (industry == F.lit(industry_a)).alias("__a"),
+            (industry == F.lit(industry_b)).alias("__b"),
+        )
     )
     per_order = orders.select("order_id", "customer_id").join(buyers, "customer_id", "inner")
     per_product = (
@@ -303,7 +307,7 @@ def buyers_of_top_products(
     # orders are cut to the industries' customers before the order/line join,
     # so only their share of the order table is shuffled for it
     buyer_orders = orders.select("order_id", "customer_id").join(
-        buyers.select("customer_id"), "customer_id", "left_semi"
+        checked_broadcast(buyers.select("customer_id")), "customer_id", "left_semi"
     )
     hits = (
         order_items.select("order_id", "product_id")
@@ -343,7 +347,7 @@ def valuable_customers(
             (F.col("order_status") == F.lit(status)) & date_range("order_date", start, end, closed_end=False)
         )
         .select("order_id", "customer_id")
-        .join(buyers.select("customer_id"), "customer_id", "left_semi")
+        .join(checked_broadcast(buyers.select("customer_id")), "customer_id", "left_semi")
         .join(order_items.select("order_id", "item_list_price_at_sale", "quantity"), "order_id", "inner")
         .groupBy("customer_id")
         .agg(
