@@ -113,4 +113,7 @@ def sizing_conf(
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        # on a shared cluster, merge medium shuffles up to the target size
+        # instead of spreading them over every core in tiny partitions
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
