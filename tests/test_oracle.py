@@ -91,3 +91,22 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["customer_id", "first_name", "last_name", "count_order"]
     assert df.count() == 10
+
+
+COMPOSITES = [
+    "audit_duplicate_keys", "keep_first", "r1_brand_volume", "r2_daily_orders", "r3_titles", "r4a_not_exists",
+    "r4b_except", "r5_top_customers", "r6_lapsed", "r7_top_product_buyers", "r8_valuable", "fn_age_years",
+    "filter_range_closed", "filter_latest_year", "agg_max_global",
+]
+
+
+@pytest.mark.parametrize("name", COMPOSITES)
+def test_results_do_not_depend_on_session_settings(spark, duck, name):
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        _compare(spark, duck, name, "0.01")
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
