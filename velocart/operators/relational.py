@@ -110,10 +110,14 @@ def anti_join(left: DataFrame, right: DataFrame, key: str, null_matches: bool =
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, counted by a small job
-    that stops at ``max_rows + 1``. Nothing is cached, so the answer always
-    reflects current data."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    A plain count: each task sends one partial count, so the job scales with
+    any number of tasks. (``limit(n).count()`` would instead gather up to n
+    rows from every task into a single partition.) Nothing is cached, so the
+    answer always reflects current data.
+    """
+    return df.count() <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
