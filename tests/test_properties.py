@@ -214,3 +214,31 @@ def test_keep_first_and_audit_match_brute_force(spark, data):
 
 def rows_sorted(items):
     return sorted((tuple(r) for r in items), key=lambda t: tuple((v is not None, v) for v in t))
+
+
+@SETTINGS
+@given(shop=shops())
+def test_top_k_truncation_and_ties(spark, shop):
+    """k = 2 truncates often and with ties; both sides break ties on the key."""
+    c, p, o, i = frames(spark, shop)
+    w = Window.partitionBy("state")
+    pv = F.col("property_valuation")
+    data = c.select("customer_id", "deceased_indicator", pv, F.sum(pv).over(w).alias("s"), F.count(pv).over(w).alias("n"))
+    eligible = data.filter((pv * F.col("n") > F.col("s")) & (F.col("deceased_indicator") == "N")).select("customer_id")
+    facts = (o.join(i.select("order_id", "product_id"), "order_id", "left")
+             .join(p.select("product_id", "brand"), "product_id", "left"))
+    counts = (facts.filter(F.col("online_order").eqNullSafe(True) & F.col("brand").isin(list(R.TOP_BRANDS)))
+              .join(eligible, "customer_id", "left_semi")
+              .groupBy("customer_id").agg(F.count_distinct("order_id").alias("count_order")))
+    top = counts.orderBy(F.col("count_order").desc_nulls_first(), F.col("customer_id").asc_nulls_last()).limit(2)
+    literal5 = top.join(c.select("customer_id", "first_name", "last_name"), "customer_id", "left").select(
+        "customer_id", "first_name", "last_name", "count_order")
+    assert rows(R.top_customers(c, o, i, p, k=2)) == rows(literal5)
+
+    best = (p.filter(F.col("product_line") == "Road")
+            .orderBy(F.col("list_price").desc_nulls_first(), F.col("product_id").asc()).limit(2).select("product_id"))
+    cp = (c.join(o.select("order_id", "customer_id"), "customer_id").join(i.select("order_id", "product_id"), "order_id")
+          .join(best, "product_id").filter(F.col("job_industry_category") == "IT")
+          .groupBy("customer_id").agg(F.count_distinct("product_id").alias("k")).filter(F.col("k") >= 1))
+    literal7 = cp.join(c, "customer_id").select("customer_id", "first_name", "last_name")
+    assert rows(R.buyers_of_top_products(c, o, i, p, k=2, min_hits=1)) == rows(literal7)
