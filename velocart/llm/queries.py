@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velocart.llm import exact_dedup, packing, token_files
+from velocart.llm import exact_dedup, mixing, packing, quality_rules, token_files
 from velocart.llm.store import new_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,24 @@ def op5_token_files(spark, sf_dir):
 def op7_packing(spark, sf_dir):
     """All documents packed into sequences of 1024 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, size=1024)
+
+
+@register
+def op9_quality_rules(spark, sf_dir):
+    """Base counts of all documents and the verdict of the list learned from ``labels``."""
+    docs = table(spark, sf_dir, "documents")
+    judged = quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: Tempered targets: small sources, languages and topics are raised.
+TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 0.8}
+
+
+@register
+def op10_mixing(spark, sf_dir):
+    """All documents with the probability and the draw of their cell."""
+    return mixing.mix(table(spark, sf_dir, "documents"), TEMPERATURE)
+
+
+SQL["op10_mixing"] = mixing.mix_sql(TEMPERATURE)
