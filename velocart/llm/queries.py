@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from velocart.llm import exact_dedup, mixing, packing, quality_rules, token_files
+from velocart.llm import exact_dedup, mixing, packing, quality_rules, token_files, toxicity
 from velocart.llm.store import new_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(column: str, n: int) -> Column:
+    """crc32 of an id as text, modulo n; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % n
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Learned from labelled rows whose fold of three isn't 1."""
+    labels = labels.select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.train(*toxicity.sample(docs, labels, fold("doc_id", 3) != 1))
+
+
+@register
+def op1_toxicity(spark, sf_dir):
+    """All documents scored by the model learned from two of three folds of ``labels``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        F.col("toxic").cast("int").alias("predicted"),
+    )
+
+
 @register
 def op3_exact_dedup(spark, sf_dir):
     """Copies equal up to the case of A-Z; the largest doc_id of a group stays."""

@@ -13,10 +13,9 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
-from velocart.llm.words import _SPACE, _TABLE, span_hashes, text_bytes
+from velocart.llm.words import _SPACE, _TABLE, Known, distinct, grown, span_hashes, text_bytes
 
 #: Distinct segments a worker remembers before it starts afresh.
 CACHE_SEGMENTS = 1_500_000
@@ -55,8 +54,8 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        # known segments: hashes in order with their slots; per slot the place of its ids
-        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.known = Known()
+        # per slot the place of its ids
         self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.ids, self.used = np.zeros(1 << 18, np.int32), 0
 
@@ -65,33 +64,23 @@ class Encoder:
         coded = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, coded), np.int64, len(coded))
         fresh = np.fromiter(chain.from_iterable(coded), np.int32, int(lengths.sum()))
-        n = len(self.slot)
-        while n + len(keys) > len(self.begin):
-            self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
-        while self.used + len(fresh) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        slots = self.known.add(keys)
+        n = int(slots[0])
+        self.begin, self.size = grown(self.begin, n + len(keys)), grown(self.size, n + len(keys))
+        self.ids = grown(self.ids, self.used + len(fresh))
         self.begin[n : n + len(keys)] = self.used + np.cumsum(lengths) - lengths
         self.size[n : n + len(keys)] = lengths
         self.ids[self.used : self.used + len(fresh)] = fresh
         self.used += len(fresh)
-        slots = np.arange(n, n + len(keys))
-        order = np.argsort(keys)
-        at = np.searchsorted(self.keys, keys[order])
-        self.keys, self.slot = np.insert(self.keys, at, keys[order]), np.insert(self.slot, at, slots[order])
         return slots
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, ``end_id`` after each text, and the n+1 offsets of the texts."""
-        if len(self.slot) > CACHE_SEGMENTS:
+        if len(self.known) > CACHE_SEGMENTS:
             self.clear()
         data, bounds, first = segments(texts)
-        code, keys = pd.factorize(span_hashes(_TABLE[data], bounds[:-1], bounds[1:]))
-        place = np.empty(len(keys), np.int64)
-        place[code[::-1]] = np.arange(len(code))[::-1]
-        slots = np.full(len(keys), -1)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            slots = np.where(self.keys[at] == keys, self.slot[at], -1)
+        keys, place, code = distinct(span_hashes(_TABLE[data], bounds[:-1], bounds[1:]))
+        slots = self.known.find(keys)
         new = np.flatnonzero(slots < 0)
         if len(new):
             raw = data.tobytes()

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -92,12 +93,12 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def split_words(texts: pa.Array, lower: bool) -> Words:
-    """Split texts into words; with ``lower``, A-Z only is lower-cased."""
+def split_words(texts: pa.Array, lower: bool, gap: np.ndarray = _SPACE) -> Words:
+    """Split texts into words; with ``lower``, A-Z only is lower-cased. ``gap`` marks the bytes between words."""
     data, at = text_bytes(texts)
     if lower:
         data = _LOWER[data]
-    inside = ~_SPACE[data]
+    inside = ~gap[data]
     opens = np.zeros(len(data) + 1, bool)
     opens[at] = True
     start, end = inside.copy(), inside.copy()
@@ -117,12 +118,12 @@ def window_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndar
     return span_hashes(h, at, at + width), at
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+def text_chunks(batches: Iterator[pa.RecordBatch], column: str | int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of ``column``, or one longer text."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, at = text_bytes(batch.column(batch.schema.get_field_index(column)))
+        _, at = text_bytes(batch.column(column if isinstance(column, int) else batch.schema.get_field_index(column)))
         begin = 0
         while begin < batch.num_rows:
             stop = max(begin + 1, int(np.searchsorted(at, at[begin] + limit, "right")) - 1)
@@ -137,3 +138,43 @@ def group_slices(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
     bounds = np.searchsorted(part[order], np.arange(n + 1))
     for k in np.flatnonzero(np.diff(bounds)).tolist():
         yield k, order[bounds[k] : bounds[k + 1]]
+
+
+class Known:
+    """A worker's memory of 64-bit keys: each has a slot, counted up from 0."""
+
+    def __init__(self):
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of the keys, -1 where unknown."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.slots[at], -1)
+
+    def add(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of new, different keys, in their order."""
+        slots = np.arange(len(self.keys), len(self.keys) + len(keys))
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.slots = np.insert(self.keys, at, keys[order]), np.insert(self.slots, at, slots[order])
+        return slots
+
+
+def grown(a: np.ndarray, n: int) -> np.ndarray:
+    """``a`` with room for n entries; room doubles."""
+    while n > len(a):
+        a = np.resize(a, 2 * len(a))
+    return a
+
+
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different values, where each first stands, and the index of each entry's value."""
+    code, keys = pd.factorize(h)
+    place = np.empty(len(keys), np.int64)
+    place[code[::-1]] = np.arange(len(code))[::-1]
+    return keys, place, code
