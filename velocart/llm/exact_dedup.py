@@ -33,8 +33,7 @@ def lower_ascii(text: Column) -> Column:
 
 
 @contextmanager
-def _conf(spark: SparkSession, **values: str):
-    keys = {k.replace("__", "."): v for k, v in values.items()}
+def _conf(spark: SparkSession, keys: dict[str, str]):
     before = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
@@ -48,7 +47,13 @@ def _conf(spark: SparkSession, **values: str):
 def stream_state(spark: SparkSession, arrivals: str, schema) -> DataFrame:
     """Run the stream over the Parquet folder ``arrivals``; one row a key: key, keep (doc_id, file, row), n."""
     checkpoint = new_path(spark, "dedup-state")
-    with _conf(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        # many small stores: no room reserved ahead, only changes uploaded
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    with _conf(spark, settings):
         entries = (
             spark.readStream.schema(schema)
             .parquet(arrivals)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm import exact_dedup, mixing, packing, quality_rules, token_files, toxicity
+from velocart.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, token_files, toxicity
 from velocart.llm.store import new_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,42 @@ FROM t WINDOW w AS (PARTITION BY norm)
 """
 
 
+@register
+def op4_ngram_join(spark, sf_dir):
+    """Near-copy components of all documents at a Jaccard similarity of 0.75 of 5-word shingles."""
+    return ngram_join.join(table(spark, sf_dir, "documents"), percent=75).drop("file", "row")
+
+
+SQL["op4_ngram_join"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM words, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i)
+  WHERE len(w) > 0
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * k >= 75 * (p.n + q.n - k)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.other) AS component_id
+FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
+"""
+
+
 @register
 def op5_token_files(spark, sf_dir):
     """Token files of all documents, written, read back and digested."""
