@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, token_files, toxicity
+from velocart.llm import class_lm, exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, token_files, toxicity
 from velocart.llm.store import new_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,12 +119,26 @@ def op5_token_files(spark, sf_dir):
     return token_files.digests(token_files.read_token_files(spark, path))
 
 
+@register
+def op6_class_lm(spark, sf_dir):
+    """All documents scored by the class model of nine of ten folds."""
+    scored = class_lm.evaluate(table(spark, sf_dir, "documents"), fold("doc_id", 10) != 0)
+    held_out = (fold("doc_id", 10) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register
 def op7_packing(spark, sf_dir):
     """All documents packed into sequences of 1024 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, size=1024)
 
 
+@register
+def op8_substring_dedup(spark, sf_dir):
+    """All documents without the words of repeated windows of 35 words."""
+    return substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 @register
 def op9_quality_rules(spark, sf_dir):
     """Base counts of all documents and the verdict of the list learned from ``labels``."""
