@@ -81,7 +81,7 @@ def anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     number = np.arange(len(start)) - np.searchsorted(start, words.first)[text]
     begin, end = words.first[text], words.first[text + 1]
     from_, to = start + size - 1 - HALF, start + HALF + 1  # words common to all windows with their middle here
-    ok = np.flatnonzero((from_ >= begin) & (to <= end))
+    ok = np.flatnonzero((from_ >= begin) & (to <= end) & (end - begin >= WIDTH))
     key = mix(span_hashes(h, from_[ok], to[ok]) ^ name[ok])
     low = np.maximum(start, begin + HALF)[ok]
     high = np.minimum(start + size - 1, end - 1 - HALF)[ok]
