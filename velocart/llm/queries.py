@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm import class_lm, exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, token_files, toxicity
+from velocart.llm import class_lm, exact_dedup, html_extract, mixing, ngram_join, packing, quality_rules, substring_dedup, token_files, toxicity
 from velocart.llm.store import new_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,12 @@ def op1_toxicity(spark, sf_dir):
     )
 
 
+@register
+def op2_html_extract(spark, sf_dir):
+    """Main text of all pages."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @register
 def op3_exact_dedup(spark, sf_dir):
     """Copies equal up to the case of A-Z; the largest doc_id of a group stays."""
