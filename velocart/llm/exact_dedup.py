@@ -20,7 +20,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm.store import located, new_path, stored
+from velocart.llm.store import documents_at, located, new_path, on_files, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -112,3 +112,9 @@ def dedup(
         "file",
         "row",
     )
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with their columns, that stay."""
+    docs = on_files(docs, "dedup-docs")
+    return documents_at(docs, dedup(docs).filter("kept"))

@@ -45,8 +45,8 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def weigh(docs: DataFrame, topic: Column | None = None) -> DataFrame:
-    """doc_id, source, lang, topic, tokens and the draw (0 to 1) of each document."""
+def weigh(docs: DataFrame, topic: Column | None = None, *more: Column) -> DataFrame:
+    """doc_id, source, lang, topic, tokens and the draw (0 to 1) of each document, and ``more``."""
     text = F.coalesce("text", F.lit(""))
     trimmed = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), text))
@@ -57,6 +57,7 @@ def weigh(docs: DataFrame, topic: Column | None = None) -> DataFrame:
         F.coalesce(topic_of(F.col("text")) if topic is None else topic, F.lit("none")).alias("topic"),
         F.size(F.split(trimmed, r"[\x20\x09-\x0D]+")).cast("long").alias("tokens"),
         (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 4294967296.0).alias("draw"),
+        *more,
     )
 
 
@@ -116,26 +117,31 @@ def probabilities(cells: Mapping[tuple[str, ...], int], weight: Mapping[tuple[st
     return {c: min(1.0, scale * ratio[c]) for c in ratio}
 
 
-def mix(
-    docs: DataFrame,
-    targets: Mapping[str, Mapping[str, float] | float],
-    topic: Column | None = None,
-    budget: float | None = None,
-) -> DataFrame:
-    """Per document: doc_id, source, lang, topic, tokens, probability, sampled."""
-    spark = docs.sparkSession
-    rows = stored(weigh(docs, topic), "mix-rows")
-    named = rows
+Targets = Mapping[str, Mapping[str, float] | float]
+KEYS = [f"{m}_cell" for m in MARGINS]
+
+
+def chances(rows: DataFrame, targets: Targets, budget: float | None) -> tuple[DataFrame, dict[str, Column]]:
+    """The probability of each cell of weighed ``rows``, and the columns that name a row's cell."""
+    spark = rows.sparkSession
+    rows = stored(rows.select(*MARGINS, "tokens"), "mix-rows")
+    names = {}
     for m in MARGINS:
         largest = rows.groupBy(m).agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), m).limit(TOP[m])
         kept = sorted(r[m] for r in largest.select(m).collect())
-        named = named.withColumn(f"{m}_cell", F.when(F.col(m).isin(kept), F.col(m)).otherwise(OTHER))
-    keys = [f"{m}_cell" for m in MARGINS]
-    cells = {tuple(r[k] for k in keys): r["n"] for r in named.groupBy(*keys).agg(F.sum("tokens").alias("n")).collect()}
+        names[f"{m}_cell"] = F.when(F.col(m).isin(kept), F.col(m)).otherwise(OTHER)
+    counted = rows.withColumns(names).groupBy(*KEYS).agg(F.sum("tokens").alias("n")).collect()
+    cells = {tuple(r[k] for k in KEYS): r["n"] for r in counted}
     weight = rake(cells, [targets[m] for m in MARGINS]) if cells else {}
     table = [(*c, p) for c, p in sorted(probabilities(cells, weight, budget).items())]
-    chance = spark.createDataFrame(table, ", ".join(f"{k} string" for k in keys) + ", probability double")
-    out = named.join(F.broadcast(chance), keys)  # at most the product of TOP rows
+    return spark.createDataFrame(table, ", ".join(f"{k} string" for k in KEYS) + ", probability double"), names
+
+
+def mix(docs: DataFrame, targets: Targets, topic: Column | None = None, budget: float | None = None) -> DataFrame:
+    """Per document: doc_id, source, lang, topic, tokens, probability, sampled."""
+    rows = stored(weigh(docs, topic), "mix-weighed")
+    chance, names = chances(rows, targets, budget)
+    out = rows.withColumns(names).join(F.broadcast(chance), KEYS)  # at most the product of TOP rows
     return out.select(
         "doc_id", "source", "lang", "topic", "tokens",
         F.round("probability", 9).alias("probability"),
@@ -143,6 +149,14 @@ def mix(
     )
 
 
+def keep(docs: DataFrame, targets: Targets, topic: Column | None = None, budget: float | None = None) -> DataFrame:
+    """The rows of ``docs``, with their columns, that are drawn."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    chance, names = chances(weigh(docs, topic), targets, budget)
+    drawn = weigh(docs, topic, whole).withColumns(names).join(F.broadcast(chance), KEYS).filter("draw < probability")
+    return drawn.select("document.*")
+
+
 def mix_sql(temperature: Mapping[str, float], rounds: int = 30) -> str:
     """The same as DuckDB SQL for tempered targets: one step of raking a CTE."""
     steps, last = [], "cells"

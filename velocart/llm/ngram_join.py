@@ -3,8 +3,9 @@
 Every text is the set of its distinct 5-word shingles (as 64-bit hashes). A
 global order puts rare shingles first, by a counter table of fixed size over
 all texts and then by hash. Two sets with Jaccard similarity of 0.75 or more
-share a shingle among the first n - ceil(0.75 n) + 1 of each; only those
-prefixes travel, dealt out by shingle. Each task stores its part of the
+share a shingle among the first n - ceil(0.75 n) + 1 of each, and, as beyond
+the shorter prefix at most the rest of its set can be shared, more of them the
+larger the sets; only those prefixes travel, dealt out by shingle. Each task stores its part of the
 prefixes in a trie, most shared shingles first, so that sets with a common
 beginning share nodes, and walks it with bounds on the lengths left.
 
@@ -25,11 +26,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velocart.llm.components import components
-from velocart.llm.store import located, slices, stored
+from velocart.llm.store import documents_at, located, on_files, slices, stored
 from velocart.llm.words import group_slices, mix, split_words, span_hashes, text_chunks, window_hashes
 
 WIDTH = 5
@@ -126,8 +127,8 @@ def paths_of(token: np.ndarray, member: np.ndarray) -> tuple[list[int], list[lis
     return names[by].tolist(), [cut[i].tolist() for i in by.tolist()]
 
 
-def star_pairs(token: np.ndarray, member: np.ndarray, n: np.ndarray, percent: int) -> tuple[list, list, list]:
-    """(central, member, shared shingles): every member with the first, most central class in bounds at each of its shingles."""
+def star_pairs(token: np.ndarray, member: np.ndarray, n: np.ndarray, percent: int) -> dict[tuple[int, int], int]:
+    """(central, member): shared shingles. Every member with the first, most central class in bounds at each of its shingles."""
     size = dict(zip(member.tolist(), n.tolist()))
     names, paths = paths_of(token, member)
     trie = Trie()
@@ -142,18 +143,21 @@ def star_pairs(token: np.ndarray, member: np.ndarray, n: np.ndarray, percent: in
                 out[(head, name)] = out.get((head, name), 0) + 1
                 done = depth
         trie.insert(name, path, mine, name)
-    return [a for a, _ in out], [b for _, b in out], list(out.values())
+    return out
 
 
-def cross_pairs(token, member, n, position, part, percent: int) -> tuple[list, list]:
-    """All pairs of different parts that share a shingle here and can reach the similarity."""
+def cross_pairs(token, member, n, position, part, percent: int) -> dict[tuple[int, int], int]:
+    """All pairs of different parts that share shingles here and can reach the similarity: how many they share."""
     size = dict(zip(member.tolist(), n.tolist()))
     part_of = dict(zip(member.tolist(), part.tolist()))
-    place = dict(zip(zip(member.tolist(), token.tolist()), position.tolist()))
+    place: dict[tuple[int, int], int | None] = {}
+    for m, t, at in zip(member.tolist(), token.tolist(), position.tolist()):
+        place[(m, t)] = None if (m, t) in place else at  # shortened hashes can meet
     names, paths = paths_of(token, member)
-    trie, out = Trie(), set()
+    trie, out = Trie(), {}
     for name, path in zip(names, paths):
         mine, own = size[name], part_of[name]
+        found: dict[int, int] = {}
         for depth, others in trie.partners(path, mine, own, percent):
             t = path[depth]
             here = place[(name, t)]
@@ -163,11 +167,26 @@ def cross_pairs(token, member, n, position, part, percent: int) -> tuple[list, l
                     continue
                 there = place[(other, t)]
                 # at most all before, this one, and all after it in the shorter rest
-                reach = min(here, there) + 1 + min(mine - here, theirs - there) - 1
-                if (100 + percent) * reach >= percent * (mine + theirs):
-                    out.add((min(name, other), max(name, other)))
+                if here is None or there is None:
+                    reach = mine
+                else:
+                    reach = min(here, there) + min(mine - here, theirs - there)
+                if (100 + percent) * reach < percent * (mine + theirs):
+                    found[other] = -len(path) - 1  # out of reach, whatever else is shared
+                else:
+                    found[other] = found.get(other, 0) + 1
+        for other, shared in found.items():
+            if shared > 0:
+                out[(min(name, other), max(name, other))] = shared
         trie.insert(name, path, mine, own)
-    return [a for a, _ in out], [b for _, b in out]
+    return out
+
+
+def reachable(shared: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """Whether sets that share ``shared`` shingles of their prefixes can be similar: beyond the prefix that
+    ends first in the global order, at most the rest of that set is shared."""
+    rest = [F.ceil(n * percent / 100) - 1 for n in (n_a, n_b)]
+    return (100 + percent) * (shared + F.greatest(*rest)) >= percent * (n_a + n_b)
 
 
 ENTRY = np.dtype([("token", "<u4"), ("owner", "<u4"), ("position", "<u4")])
@@ -191,18 +210,17 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return entries["token"], owners["name"][at], owners["n"][at], entries["position"]
 
 
-def _shared(token: np.ndarray, name: np.ndarray, *rest: np.ndarray) -> list[np.ndarray]:
-    """Entries without repeats, of shingles that two classes have."""
-    order = np.lexsort((name, token))
-    token, name = token[order], name[order]
+def _shared(token: np.ndarray, name: np.ndarray, n: np.ndarray, position: np.ndarray) -> list[np.ndarray]:
+    """Entries of shingles that two classes have, those of a class that several tasks sent once."""
+    order = np.lexsort((position, name, token))
+    columns = [c[order] for c in (token, name, n, position)]
+    token, name, _, position = columns
     new = np.ones(len(token), bool)
-    new[1:] = (token[1:] != token[:-1]) | (name[1:] != name[:-1])
-    order, token, name = order[new], token[new], name[new]
-    same = token[1:] == token[:-1]
-    twice = np.zeros(len(token), bool)
-    twice[1:] |= same
-    twice[:-1] |= same
-    return [token[twice], name[twice], *(r[order[twice]] for r in rest)]
+    new[1:] = (token[1:] != token[:-1]) | (name[1:] != name[:-1]) | (position[1:] != position[:-1])
+    token, name, n, position = (c[new] for c in columns)
+    _, first, code = np.unique(token, return_index=True, return_inverse=True)
+    several = np.bincount(code, name != name[first][code]) > 0
+    return [c[several[code]] for c in (token, name, n, position)]
 
 
 def survey(source: DataFrame) -> DataFrame:
@@ -292,23 +310,26 @@ def prefixes(source: DataFrame, counts, n_slices: int, percent: int) -> DataFram
 
 
 def first_walk(dealt: DataFrame, n_slices: int, percent: int) -> DataFrame:
-    """Per slice: kind 0 entries of shared shingles (slice, token, name, n, position); kind 1 star pairs (name: central, other, n: shared)."""
+    """Per slice: kind 0 entries of shared shingles (slice, token, name, n, position); kind 1 star pairs
+    (name: central, other, n: shared, token and position: their set sizes)."""
 
     def walk(table: pa.Table) -> pa.Table:
         k = table.column("slice")[0].as_py()
         parts = [_unpack(b) for b in table.column("blob").to_pylist()]
         token, name, n, position = _shared(*(np.concatenate([p[i] for p in parts]) for i in range(4)))
-        a, b, shared = star_pairs(token, name, n, percent)
+        size = dict(zip(name.tolist(), n.tolist()))
+        pairs = star_pairs(token, name, n, percent)
+        a, b, shared = [p for p, _ in pairs], [p for _, p in pairs], list(pairs.values())
         e, s = len(token), len(a)
         return pa.table(
             {
                 "kind": pa.array(np.repeat([0, 1], [e, s]).astype(np.int32)),
                 "slice": pa.array(np.full(e + s, k, np.int32)),
-                "token": pa.array(np.concatenate([token.astype(np.int64), np.zeros(s, np.int64)])),
+                "token": pa.array(np.concatenate([token.astype(np.int64), np.array([size[x] for x in a], np.int64)])),
                 "name": pa.array(np.concatenate([name, np.array(a, np.int64)])),
                 "other": pa.array(np.concatenate([np.zeros(e, np.int64), np.array(b, np.int64)])),
                 "n": pa.array(np.concatenate([n.astype(np.int64), np.array(shared, np.int64)])),
-                "position": pa.array(np.concatenate([position.astype(np.int64), np.zeros(s, np.int64)])),
+                "position": pa.array(np.concatenate([position.astype(np.int64), np.array([size[x] for x in b], np.int64)])),
             }
         )
 
@@ -323,10 +344,15 @@ def second_walk(entries: DataFrame, percent: int) -> DataFrame:
 
     def walk(table: pa.Table) -> pa.Table:
         columns = [table.column(c).to_numpy() for c in ("token", "name", "n", "position", "part")]
-        a, b = cross_pairs(*columns, percent)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        size = dict(zip(columns[1].tolist(), columns[2].tolist()))
+        pairs = cross_pairs(*columns, percent)
+        a, b = [p for p, _ in pairs], [p for _, p in pairs]
+        values = (a, b, [size[x] for x in a], [size[x] for x in b], list(pairs.values()))
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("a", "b", "n_a", "n_b", "shared"), values)})
 
-    return left.groupBy("slice").applyInArrow(walk, "a long, b long").distinct()
+    found = left.groupBy("slice").applyInArrow(walk, "a long, b long, n_a long, n_b long, shared long")
+    found = found.groupBy("a", "b").agg(F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"), F.sum("shared").alias("shared"))
+    return found.filter(reachable(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -360,7 +386,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, and its locator (file, row)."""
+    """One row a document: doc_id, n_shingles, component_id, component (its name; null without shingles), file, row."""
     spark = docs.sparkSession
     n_slices = slices(spark)
     source = located(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "text": F.col(f"`{text}`").cast("string")}, "join-docs")
@@ -372,7 +398,9 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     dealt = prefixes(source, counts, n_slices, percent).repartition(n_slices, "slice")
     walked = stored(first_walk(dealt, n_slices, percent), "walk")
     entries = walked.filter("kind = 0").select("slice", "token", "name", "n", "position")
-    stars = walked.filter("kind = 1").groupBy(F.col("name").alias("a"), F.col("other").alias("b")).agg(F.sum("n").alias("shared"))
+    stars = walked.filter("kind = 1").groupBy(F.col("name").alias("a"), F.col("other").alias("b"))
+    stars = stars.agg(F.sum("n").alias("shared"), F.max("token").alias("n_a"), F.max("position").alias("n_b"))
+    stars = stars.filter(reachable(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
     stars = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
 
     # a text of every class that shares a shingle with another
@@ -389,9 +417,19 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     roots = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("smallest"))
     roots = roots.join(found, F.col("name") == F.col("node"), "left").select("name", "smallest", F.coalesce("root", "name").alias("root"))
     ids = roots.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    by_name = stored(roots.join(ids, "root").select("name", "component_id"), "names")
+    by_name = stored(roots.join(ids, "root").select("name", "component_id", F.col("root").alias("component")), "names")
     return rows.join(by_name, "name", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        "file", "row",
+        "component", "file", "row",
     )
+
+
+def keep(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The rows of ``docs``, with their columns, but of each component only the one with the smallest id (null
+    after all others, then by place). Rows without shingles all stay."""
+    docs = on_files(docs, "join-docs")
+    rows = join(docs, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("file"), F.col("row"))).alias("at")
+    firsts = rows.filter("component IS NOT NULL").groupBy("component").agg(first).select("at.file", "at.row")
+    return documents_at(docs, firsts.unionByName(rows.filter("component IS NULL").select("file", "row")))

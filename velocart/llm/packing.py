@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velocart.llm.store import slices, stored
-from velocart.llm.tokens import encoder, pieces_of, read_definition
+from velocart.llm.tokens import pieces_of, worker_encoder
 from velocart.llm.words import text_chunks
 
 GRAIN = 8
@@ -37,10 +37,10 @@ CUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, he
 
 def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Tokenize every text and cut it: one row a piece."""
-    definition = docs.sparkSession.sparkContext.broadcast(read_definition(tokenizer))
+    encoder = worker_encoder(docs.sparkSession, tokenizer)
 
     def run(batches):
-        own = encoder(definition)
+        own = encoder()
         for batch in text_chunks(batches, "text"):
             ids, at = own.encode(batch.column(1), end_id)
             cuts = np.array(list(pieces_of(ids, at, size)), np.int64).reshape(-1, 3)

@@ -82,7 +82,7 @@ FROM t WINDOW w AS (PARTITION BY norm)
 @register
 def op4_ngram_join(spark, sf_dir):
     """Near-copy components of all documents at a Jaccard similarity of 0.75 of 5-word shingles."""
-    return ngram_join.join(table(spark, sf_dir, "documents"), percent=75).drop("file", "row")
+    return ngram_join.join(table(spark, sf_dir, "documents"), percent=75).drop("component", "file", "row")
 
 
 SQL["op4_ngram_join"] = """

@@ -51,6 +51,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def on_files(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` itself if it is a projection or filter of Parquet files, else a copy in the shared folder."""
+    plan = docs._jdf.queryExecution().analyzed().toString()
+    nodes = {line.lstrip(" :+-").split(" ")[0] for line in plan.splitlines() if line.strip()}
+    if nodes <= {"Project", "Filter", "Relation"} and "parquet" in plan and "_metadata" not in docs.columns:
+        return docs
+    return stored(docs, name)
+
+
 def located(docs: DataFrame, columns: dict[str, Column], name: str) -> DataFrame:
     """``columns`` of ``docs`` plus ``file`` and ``row``, which tell equal rows apart.
 
@@ -58,13 +67,15 @@ def located(docs: DataFrame, columns: dict[str, Column], name: str) -> DataFrame
     in every run over the same files. A frame that is more than a projection
     or filter of Parquet files is written to the shared folder first.
     """
+    back = on_files(docs, name)
     place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
-    plan = docs._jdf.queryExecution().analyzed().toString()
-    nodes = {line.lstrip(" :+-").split(" ")[0] for line in plan.splitlines() if line.strip()}
-    if nodes <= {"Project", "Filter", "Relation"} and "parquet" in plan and "_metadata" not in docs.columns:
-        return docs.select(*[c.alias(k) for k, c in columns.items()], *place)
-    back = stored(docs.select(*[c.alias(k) for k, c in columns.items()]), name)
-    return back.select(*columns, *place)
+    return back.select(*[c.alias(k) for k, c in columns.items()], *place)
+
+
+def documents_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (on files), with all their columns, that stand at ``places`` (file, row)."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return located(docs, {"document": whole}, "documents").join(places.select("file", "row"), ["file", "row"]).select("document.*")
 
 
 def slices(spark: SparkSession, factor: int = 1) -> int:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velocart.llm.store import slices
-from velocart.llm.tokens import encoder, read_definition
+from velocart.llm.tokens import worker_encoder
 from velocart.llm.words import text_chunks
 
 SCHEMA = "doc_id long, part int, before long, n_tokens long, ids array<int>"
@@ -47,12 +47,12 @@ def write_token_files(
 ) -> None:
     """Encode ``text`` and write ``files`` files (default: the shuffle partitions) in ascending ``doc_id`` order."""
     spark = docs.sparkSession
-    definition = spark.sparkContext.broadcast(read_definition(tokenizer))
+    encoder = worker_encoder(spark, tokenizer)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     rows = rows.repartitionByRange(files or slices(spark), "doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches):
-        part, before, own = TaskContext.get().partitionId(), 0, encoder(definition)
+        part, before, own = TaskContext.get().partitionId(), 0, encoder()
         for batch in text_chunks(batches, "text"):
             ids, at = own.encode(batch.column(1), end_id)
             n = len(at) - 1

@@ -1,21 +1,24 @@
 """Token ids of whole texts with a public tokenizer, by array operations.
 
 A text is cut before every space that stands between two characters other
-than white space; no pretokenizer rule of the supported tokenizers reaches
-over such a cut, so the ids of a text are the ids of its segments in a row.
+than white space, and between an ASCII letter and a full stop or the like; no
+pretokenizer rule of the supported tokenizers reaches over such a cut, so the
+ids of a text are the ids of its segments in a row.
 Each different segment is encoded once a worker and then looked up by hash.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-from velocart.llm.words import _SPACE, _TABLE, Known, distinct, grown, span_hashes, text_bytes
+from velocart.llm.words import _SPACE, _TABLE, Known, distinct, grown, per_worker, span_hashes, text_bytes
 
 #: Distinct segments a worker remembers before it starts afresh.
 CACHE_SEGMENTS = 1_500_000
@@ -27,6 +30,10 @@ _GOES_ON = np.zeros(256, bool)
 _GOES_ON[0x21:0x7F] = True
 _GOES_ON[0xC3:0xF5] = True
 _GOES_ON[[0xE1, 0xE2, 0xE3]] = False
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b".,;:!?")] = True
 
 
 def segments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -38,6 +45,7 @@ def segments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         # the byte after the space must belong to the same text
         inner = at[1:-1]
         cut[inner[inner > 0] - 1] = False
+        cut[1:-1] |= _LETTER[data[:-1]] & _STOP[data[1:]]
     cut[at] = True
     bounds = np.flatnonzero(cut)
     return data, bounds, np.searchsorted(bounds, at)
@@ -99,23 +107,13 @@ class Encoder:
         return out, offsets
 
 
-def read_definition(path: str) -> str:
-    """The tokenizer's JSON, read on the driver; tasks get it as a broadcast of a few MB, whatever the corpus."""
+def worker_encoder(spark: SparkSession, path: str) -> Callable[[], Encoder]:
+    """The worker's encoder for the tokenizer at ``path``, which only the driver reads: tasks get its JSON
+    as a broadcast of a few MB, whatever the corpus."""
     with open(path, encoding="utf-8") as f:
-        return f.read()
-
-
-_encoders: dict[int, Encoder] = {}
-
-
-def encoder(definition) -> Encoder:
-    """The worker's encoder for a broadcast definition; a reused Python worker keeps what it has encoded."""
-    key = definition.id if hasattr(definition, "id") else hash(definition)
-    text = definition.value if hasattr(definition, "value") else definition
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(text)
-    return _encoders[key]
+        definition = spark.sparkContext.broadcast(f.read())
+    key = uuid.uuid4().hex
+    return lambda: per_worker(key, lambda: Encoder(definition.value))
 
 
 def pieces_of(ids: np.ndarray, offsets: np.ndarray, longest: int) -> Iterator[tuple[int, int, int]]:

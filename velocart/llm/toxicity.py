@@ -17,14 +17,16 @@ scores; other columns are not read. No text is cut.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm.words import _TABLE, Known, distinct, grown, span_hashes, split_words, text_chunks
+from velocart.llm.words import _TABLE, Known, distinct, grown, per_worker, span_hashes, split_words, text_chunks
 
 #: Labelled rows learned from, at most: of each label those with the smallest hashes of their ids.
 TOXIC_SAMPLE, CLEAN_SAMPLE = 1600, 3200
@@ -219,23 +221,172 @@ class Scorer:
         return self.model.score(worst)
 
 
+def worker_scorer(spark: SparkSession, model: Model) -> Callable[[], Scorer]:
+    """The worker's scorer of a broadcast model (one number a bucket); a reused worker keeps the words it has seen."""
+    shared, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
+    return lambda: per_worker(key, lambda: Scorer(shared.value))
+
+
+def score(self, margin: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
+
+
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 40, seed: int = 7) -> Model:
+    """Fit on three quarters of the texts, calibrate on the rest."""
+    if len(set(toxic.tolist())) < 2:
+        return Model(np.zeros(BUCKETS), 0.0, 0.0, -60.0)
+    rng = np.random.default_rng(seed)
+    words = split_words(pa.array(texts, pa.large_string()), True, _GAP)
+    _, place, code = distinct(words.hashes())
+    bucket, count = subwords([words.word(i) for i in place])
+    size, of = windows(words.first)
+    begin = np.cumsum(size) - size
+    per_text = np.bincount(of, minlength=len(texts))
+    full = np.flatnonzero(per_text)  # texts with words
+    y = toxic[full].astype(float)
+    held = rng.random(len(full)) < 0.25
+    held &= ~_only(y, held)
+    balance = np.where(held, 0.0, np.where(y > 0, 0.5 / max(1, (y[~held] > 0).sum()), 0.5 / max(1, (y[~held] == 0).sum())))
+    text_begin = np.cumsum(per_text[full]) - per_text[full]
+    groups = np.repeat(np.arange(len(full)), per_text[full])
+
+    embed = rng.normal(0, 1e-3, (BUCKETS, DIM)).astype(np.float32)  # n-grams never seen stay near 0
+    softmax = rng.normal(0, 1.0, (DIM, 2)).astype(np.float32)
+    bias = np.zeros(2)
+    speed = [np.full(BUCKETS, 1e-10), np.full((DIM, 2), 1e-10), np.full(2, 1e-10)]  # Adagrad
+    owner = np.repeat(np.arange(len(count)), count).astype(np.int32)
+    once = (~repeated(code, size)).astype(float)
+
+    def margins() -> np.ndarray:
+        per_bucket = embed @ (softmax[:, 1] - softmax[:, 0])
+        return np.add.reduceat(_mean(per_bucket[bucket], count)[code] * once, begin) / size + (bias[1] - bias[0])
+
+    for epoch in range(epochs):
+        z = margins()
+        sharp = 1.0 + 4.0 * epoch / epochs  # the worst window counts more and more
+        top = np.maximum.reduceat(z, text_begin)
+        e = np.exp(sharp * (z - top[groups]))
+        total = np.add.reduceat(e, text_begin)
+        margin = top + np.log(total) / sharp
+        slope = balance * (1 / (1 + np.exp(-margin)) - y)  # of the loss by a text's margin
+        g = slope[groups] * e / total[groups]  # by a window's margin
+        by_word = np.bincount(code, np.repeat(g / size, size) * once, len(count))
+        by_bucket = np.bincount(bucket, (by_word / count)[owner], BUCKETS)
+        direction = softmax[:, 1] - softmax[:, 0]
+        by_softmax = embed.T @ by_bucket
+        if epoch == 0:
+            speed[0] += (0.01 * np.abs(by_bucket).max()) ** 2  # rare n-grams learn slowly
+        speed[0] += by_bucket**2
+        embed -= (0.5 * by_bucket / np.sqrt(speed[0]))[:, None] * direction[None, :] / (np.abs(direction).max() + 1e-9)
+        for k, sign in ((0, -1), (1, 1)):
+            speed[1][:, k] += by_softmax**2
+            softmax[:, k] -= 0.1 * sign * by_softmax / np.sqrt(speed[1][:, k])
+            speed[2][k] += g.sum() ** 2
+            bias[k] -= 0.1 * sign * g.sum() / np.sqrt(speed[2][k])
+    worst = np.maximum.reduceat(margins(), text_begin)
+    part = held if held.any() else np.ones(len(y), bool)
+    slope, shift = calibrate(worst[part], y[part])
+    return Model((embed @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64), float(bias[1] - bias[0]), slope, shift)
+
+
+def _only(y: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """All true if holding back would take a class out of the training or calibration part."""
+    parts = [set(y[held].tolist()), set(y[~held].tolist())]
+    return np.full(len(y), min(map(len, parts)) < 2)
+
+
+def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Logistic fit of the label by the margin, with smoothed targets, by Newton's method."""
+    n1, n0 = (y > 0).sum(), (y == 0).sum()
+    target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(y > 0, 0.5 / max(1, n1), 0.5 / max(1, n0))
+    middle, spread = margin.mean(), margin.std() + 1e-9
+    x = np.stack([(margin - middle) / spread, np.ones(len(y))])
+    b = np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(b @ x, -30, 30)))
+        gradient = x @ (weight * (p - target)) + 1e-4 * b
+        hessian = (x * (weight * p * (1 - p))) @ x.T + 1e-4 * np.eye(2)
+        det = hessian[0, 0] * hessian[1, 1] - hessian[0, 1] ** 2
+        step = np.array([hessian[1, 1] * gradient[0] - hessian[0, 1] * gradient[1], hessian[0, 0] * gradient[1] - hessian[0, 1] * gradient[0]]) / det
+        b -= np.clip(step, -2, 2)
+    return float(b[0] / spread), float(b[1] - b[0] * middle / spread)
+
+
+def sample(docs: DataFrame, labels: DataFrame, usable: Column) -> tuple[list[str], np.ndarray]:
+    """Whole texts and labels of the bounded sample of ``labels`` (doc_id, label) where ``usable`` holds."""
+    picked = None
+    for label, most in ((1, TOXIC_SAMPLE), (0, CLEAN_SAMPLE)):
+        part = labels.filter((F.col("label") == label) & usable & F.col("doc_id").isNotNull()).distinct()
+        part = part.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        picked = part if picked is None else picked.unionByName(part)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    got = sorted((r["doc_id"], r["label"], r["text"]) for r in rows.limit(4 * (TOXIC_SAMPLE + CLEAN_SAMPLE)).collect())
+    return [t for _, _, t in got], np.array([y for _, y, _ in got], np.int64)
+
+
+class Scorer:
+    """Scores Arrow string columns; remembers the words it has seen."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.known, self.value = Known(), np.zeros(1 << 16)
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        if len(self.known) > CACHE_WORDS:
+            self.known = Known()
+        words = split_words(texts, True, _GAP)
+        keys, place, code = distinct(words.hashes())
+        slots = self.known.find(keys)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            bucket, count = subwords([words.word(i) for i in place[new]])
+            slots[new] = self.known.add(keys[new])
+            self.value = grown(self.value, len(self.known))
+            self.value[slots[new]] = _mean(self.model.weight[bucket], count)
+        size, of = windows(words.first)
+        worst = np.full(len(texts), self.model.bias)
+        if len(size):
+            value = np.where(repeated(code, size), 0.0, self.value[slots][code])
+            z = np.add.reduceat(value, np.cumsum(size) - size) / size + self.model.bias
+            per_text = np.bincount(of, minlength=len(texts))
+            worst[per_text > 0] = np.maximum.reduceat(z, (np.cumsum(per_text) - per_text)[per_text > 0])
+        return self.model.score(worst)
+
+
 _scorers: dict[int, Scorer] = {}
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """All columns of ``docs`` with toxicity (0 to 1) and toxic (at least ``threshold``) at the end."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # one number a bucket
-    fields = list(docs.schema.fields)
+def _scorer(shared) -> Scorer:
+    """The worker's scorer of a broadcast model; a reused worker keeps the words it has seen."""
+    if shared.id not in _scorers:
+        _scorers.clear()
+        _scorers[shared.id] = Scorer(shared.value)
+    return _scorers[shared.id]
+
+
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """doc_id, toxicity (0 to 1) and toxic (at least ``threshold``) of every row."""
+    scorer = worker_scorer(docs.sparkSession, model)
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+
+    def run(batches):
+        own = scorer()
+        for batch in text_chunks(batches, "text"):
+            s = own(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array(s >= threshold)], ["doc_id", "toxicity", "toxic"])
+
+    return rows.mapInArrow(run, "doc_id long, toxicity double, toxic boolean")
+
+
+def clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, with their columns, that score under ``threshold``."""
+    scorer = worker_scorer(docs.sparkSession, model)
     at = docs.columns.index(text)
 
     def run(batches):
-        if shared.id not in _scorers:
-            _scorers.clear()
-            _scorers[shared.id] = Scorer(shared.value)
-        own = _scorers[shared.id]
+        own = scorer()
         for batch in text_chunks(batches, at):
-            s = own(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array(s >= threshold)], names=[*batch.schema.names, "toxicity", "toxic"])
+            yield batch.filter(pa.array(own(batch.column(at)) < threshold))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.mapInArrow(run, f"{schema}, toxicity double, toxic boolean")
+    return docs.mapInArrow(run, docs.schema)

@@ -178,3 +178,14 @@ def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     place = np.empty(len(keys), np.int64)
     place[code[::-1]] = np.arange(len(code))[::-1]
     return keys, place, code
+
+
+_kept: dict[str, object] = {}
+
+
+def per_worker(key: str, make):
+    """What ``make`` gives, once a worker: a reused worker keeps the last, under a key made on the driver."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
