@@ -14,8 +14,8 @@ _MORE = (
 )
 
 PAGES = [
-    f"<html><head><title>Flood</title></head><body>{_NAV}<!--[--><article><h1>River floods the lower road</h1><p>{_LONG}</p><p>{_MORE}</p>"
-    "<p>More to come.</p></article><!--]--><footer>&copy; The Daily. <a href='/imprint'>Imprint</a> <a href='/privacy'>Privacy</a></footer></body></html>",
+    f"<html><head><title>Flood</title></head><body>{_NAV}<article><!--[--><h1>River floods the lower road</h1><p>{_LONG}</p><p>{_MORE}</p>"
+    "<p>More to come.</p><!--]--></article><footer>&copy; The Daily. <a href='/imprint'>Imprint</a> <a href='/privacy'>Privacy</a></footer></body></html>",
     f"<body><header><a href='/'>The Daily</a> <form><input name=q><button>Search</button></form></header>{_NAV}<div class=ad>Buy two, get one</div>"
     f"<main><!--[--><h2>Council meets</h2><p>{_MORE}<p>{_LONG}<ul><li>Keep drains clear, please.</li><li>Move cars uphill before dark.</li></ul><!--]--></main>"
     "<aside><h3>Most read</h3><ul><li><a href='/1'>Bridge closed</a></li><li><a href='/2'>Market moved</a></li></ul></aside><footer>Contact us</footer>",
@@ -24,6 +24,10 @@ PAGES = [
     "<div>I was there and it was not that bad.</div></div><div id=bottom><a href='/x'>Terms</a> <a href='/y'>Help</a></div></body>",
     f"<body><div class='cookie-notice'>We use cookies. <button>Fine</button></div><table><tr><td><a href='/1'>One</a><br><a href='/2'>Two</a></td><td>"
     f"<!--[--><p>{_LONG}</p><p>{_LONG}</p><p>{_MORE}</p><!--]--></td></tr></table><div>Share: <a href='#'>this</a> <a href='#'>that</a></div></body>",
+    f"<body>{_NAV}<article><!--[--><h1>Depot opens</h1><p>{_LONG}</p><div class=ad>Pumps, half price</div><form>Your town <input></form><p>Soon more.</p>"
+    "<!--]--></article><div>All pictures by our readers, who keep their rights, unless named otherwise there</div></body>",
+    f"<body><div><div><!--[--><p>{_MORE}</p><p>{_LONG}</p><p>Thanks.</p><!--]--></div></div><div><div>Weather: dry tomorrow, wind from the west, and "
+    "cooler at night</div></div><div><div>Exchange rates are of yesterday evening and given without warranty</div></div></body>",
     f"<body><ul><li><a href='/en'>English</a></li><li><a href='/de'>Deutsch</a></li></ul><section><!--[--><h1>Sandbags</h1><p>{_MORE}</p>"
     f"<figure><figcaption>Sandbags at the depot on Monday.</figcaption></figure><p>{_LONG}</p><!--]--></section><section><h2>Read on</h2>"
     "<ul><li><a href='/p'>Pumps</a></li><li><a href='/q'>Quays</a></li></ul></section><form>Your mail <input><button>Subscribe</button></form></body>",
