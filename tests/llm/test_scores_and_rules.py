@@ -1,0 +1,197 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import LOWER, WORD
+from velocart.llm import class_lm, mixing, quality_rules, toxicity
+from velocart.llm.queries import fold
+
+
+# ---- toxicity --------------------------------------------------------------
+def labelled_texts(n, seed):
+    """One in three is toxic: a few words of bad stems with endings, some never seen in training."""
+    rng = np.random.default_rng(seed)
+    sound = ["".join(rng.choice(list("aeioustrnlm"), 5)) for _ in range(400)]
+    texts, toxic = [], []
+    for i in range(n):
+        words = rng.choice(sound, rng.integers(20, 200)).tolist()
+        bad = i % 3 == 0
+        if bad:
+            for _ in range(max(1, len(words) // 50)):
+                words[rng.integers(len(words))] = str(rng.choice(["vequ", "gorbz"])) + "".join(rng.choice(list("aeiou"), 3))
+        texts.append(" ".join(words))
+        toxic.append(int(bad))
+    return texts, np.array(toxic)
+
+
+def test_toxicity_finds_unseen_forms_in_held_out_texts():
+    texts, toxic = labelled_texts(900, 1)
+    model = toxicity.train(texts[:600], toxic[:600], epochs=25)
+    score = toxicity.Scorer(model)(pa.array(texts[600:]))
+    assert ((score >= 0.7) == (toxic[600:] == 1)).mean() > 0.95
+    again = toxicity.Scorer(model)
+    assert np.allclose(np.concatenate([again(pa.array([t])) for t in texts[600:650]]), score[:50])  # batches don't matter
+
+
+def test_toxicity_awkward(spark, awkward, nothing):
+    texts, toxic = labelled_texts(60, 2)
+    model = toxicity.train(texts, toxic, epochs=3)
+    rows = toxicity.score(awkward, model).collect()
+    assert len(rows) == 7 and all(0 <= r.toxicity <= 1 for r in rows)
+    assert len({r.toxicity for r in rows if r.doc_id in (5, 6)}) == 1
+    assert toxicity.score(nothing, model).count() == 0
+    one = toxicity.train(texts, np.zeros(60, int))
+    assert toxicity.score(awkward, one).filter("toxic").count() == 0
+    kept = toxicity.clean(awkward, one)
+    assert kept.schema == awkward.schema and kept.exceptAll(awkward).count() == 0 and kept.count() == 7
+    labels = spark.createDataFrame([(4, 1), (4, 1), (5, 0), (None, 1), (6, None), (77, 0)], "doc_id long, label int")
+    texts, y = toxicity.sample(awkward, labels, F.lit(True))
+    assert sorted(zip(texts, y.tolist())) == [("", 0), ("Same text here", 1), ("Same text here", 1), ("other text", 1)]
+
+
+# ---- quality rules ---------------------------------------------------------
+def counts(text):
+    t = text or ""
+    words = WORD.findall(t)
+    seen = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if seen[tuple(words[i : i + 5])] > 1 for k in range(5)}
+    lines = [line for line in t.split("\n") if WORD.search(line)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_statistics_equal_brute_force(spark, docs, corpus, awkward):
+    rows = [(c[0], c[1]) for c in corpus] + [(900, "a|b <x> #\n\na|b <x> #\n \na b a b a b a b a b a b"), (901, "x\n" * 300), (902, "\x0b\x0c \r")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in quality_rules.statistics(frame).collect()}
+    assert got == {d: counts(t) for d, t in rows}
+    assert quality_rules.judge(awkward, []).filter("kept").count() == 0  # all too short
+    assert quality_rules.judge(awkward.limit(0), []).count() == 0
+
+
+def test_rules_are_learned_and_emitted_in_order(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(900):
+        r = dict.fromkeys(quality_rules.FEATURES, 0.0) | {"symbols": rng.random(), "upper": rng.random(), "n_words": float(rng.integers(10, 500))}
+        r["bad"] = int(r["symbols"] > 0.7 or (r["upper"] > 0.6 and r["n_words"] < 100))
+        rows.append(r)
+    rules = quality_rules.learn(rows)
+    frame = spark.createDataFrame([{k: float(v) for k, v in r.items()} for r in rows])
+    judged = frame.select("bad", *quality_rules.FEATURES, quality_rules.verdict(rules).alias("kept")).collect()
+    assert np.mean([r.kept == (r.bad == 0) for r in judged]) > 0.97
+    for r in judged:  # the list by hand
+        assert r.kept == (not any(all(c.holds(r.asDict()) for c in rule) for rule in rules))
+    assert quality_rules.learn([]) == [] and quality_rules.learn([r for r in rows if not r["bad"]]) == []
+
+
+def test_fit_reads_labels_with_nulls(spark, docs):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 0), (3, None), (1, 1)], "doc_id long, quality int")
+    rules = quality_rules.fit(docs, labels)
+    assert quality_rules.judge(docs, rules).count() == docs.count()
+
+
+# ---- mixing ----------------------------------------------------------------
+def test_raking_meets_the_targets():
+    cells = {(s, lang, t): 10 + 7 * i + 3 * j + k for i, s in enumerate("abc") for j, lang in enumerate("xy") for k, t in enumerate("pq")}
+    targets = [{"a": 0.5, "b": 0.3, "c": 0.2}, {"x": 0.25, "y": 0.75}, 0.5]
+    weight = mixing.rake(cells, targets)
+    total = sum(cells.values())
+    for value, share in targets[0].items():
+        assert abs(sum(w for c, w in weight.items() if c[0] == value) / total - share) < 1e-6
+    assert abs(sum(w for c, w in weight.items() if c[1] == "y") / total - 0.75) < 1e-9
+    chances = mixing.probabilities(cells, weight, None)
+    assert max(chances.values()) == 1.0 and min(chances.values()) > 0
+    got = mixing.probabilities(cells, weight, 0.8)
+    assert abs(sum(got[c] * n for c, n in cells.items()) / total - 0.8) < 1e-6 and max(got.values()) <= 1
+
+
+def test_shares_without_documents_or_targets():
+    assert mixing.shares({"a": 30, "b": 70}, {"a": 0.5, "b": 0.25, "gone": 0.25}) == {"a": 2 / 3, "b": 1 / 3}
+    assert mixing.shares({"a": 30, "b": 70}, {"a": 0.9}) == {"a": 0.3, "b": 0.7}
+
+
+def test_sampled_tokens_follow_the_targets(spark):
+    rows = [(i, "w " * (1 + i % 7), "en" if i % 4 else "de", "hot" if i % 3 else f"s{i % 5}") for i in range(20000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.mix(frame, {"source": {"hot": 0.2, **{f"s{i}": 0.16 for i in range(5)}}, "lang": {"en": 0.5, "de": 0.5}, "topic": 1.0})
+    drawn = got.filter("sampled").groupBy("source").agg(F.sum("tokens").alias("n")).collect()
+    total = sum(r.n for r in drawn)
+    assert all(abs(r.n / total - (0.2 if r.source == "hot" else 0.16)) < 0.03 for r in drawn)
+
+
+def test_mixing_awkward(awkward, nothing):
+    frame = awkward.withColumns({"lang": F.lit(None).cast("string"), "source": F.col("key"), "tokens": F.lit("x"), "draw": F.lit(0), "lang_cell": F.lit(1)})
+    rows = mixing.mix(frame, {"source": 0.7, "lang": 0.7, "topic": 0.7}).collect()
+    assert len(rows) == 7 and {r.lang for r in rows} == {"none"} and {r.source for r in rows} == {"k", "none"}
+    kept = mixing.keep(frame, {"source": 0.7, "lang": 0.7, "topic": 0.7}, budget=1.0)
+    assert kept.columns == frame.columns and kept.count() == 7
+    assert mixing.mix(nothing, {"source": 0.7, "lang": 0.7, "topic": 0.7}).count() == 0
+
+
+# ---- language model --------------------------------------------------------
+def base_scores(rows):
+    tokens = {d: [*WORD.findall((t or "").translate(LOWER)), "\n"] for d, t in rows}
+    count = Counter(x for d, v in tokens.items() if zlib.crc32(str(d).encode()) % 10 for x in v)
+    n, v = sum(count.values()), len(count)
+    return {
+        d: (len(x), sum(count[w] > 0 for w in x), n, sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in x))
+        for d, x in tokens.items()
+    }
+
+
+def check_lm(got, wanted):
+    assert set(got) == set(wanted)
+    for d, (n, known, train, base) in wanted.items():
+        assert (got[d].n_tokens, got[d].n_known, got[d].train_tokens) == (n, known, train)
+        assert math.isclose(got[d].base_score, base, rel_tol=1e-9) and got[d].score < 0
+
+
+def test_class_lm_base_equals_brute_force(monkeypatch, docs, corpus):
+    wanted = base_scores([(c[0], c[1]) for c in corpus])
+    for known, frequent in ((200_000, 2000), (40, 10)):  # most words broadcast, or looked up by slices
+        monkeypatch.setattr(class_lm, "KNOWN", known)
+        monkeypatch.setattr(class_lm, "FREQUENT", frequent)
+        check_lm({r.doc_id: r for r in class_lm.evaluate(docs, fold("doc_id", 10) != 0).collect()}, wanted)
+
+
+def test_class_lm_probabilities_sum_to_one_and_use_order(spark):
+    rng = np.random.default_rng(2)
+    groups = [[f"{g}{i}" for i in range(20)] for g in "abc"]
+    texts = [" ".join(str(rng.choice(groups[(k + s) % 3])) for k in range(30)) for s in rng.integers(0, 3, 300)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model, vocabulary = class_lm.build(frame.select("text"), 4)
+    assert model.tokens == 300 * 31 and model.distinct == 61
+    # after every class the transitions' shares sum to one
+    u = (np.append(model.counts, [0] * 0) + class_lm.ADD) / model.total
+    share = np.zeros(class_lm.CLASSES)
+    np.add.at(share, model.of[: len(model.units.keys)], u)
+    share[0] = (model.texts + class_lm.ADD) / model.total
+    seen = share > 0
+    for row in np.flatnonzero(seen):
+        assert 0.97 < (10 ** model.bonus[row][seen] * share[seen]).sum() < 1.03
+    other = spark.createDataFrame([(1, " ".join(["a1 b2 c3"] * 10)), (2, " ".join(["a1 a2 a3"] * 10)), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in class_lm.score(other, model, vocabulary, 4).collect()}
+    assert got[1].score > got[1].base_score + 5 and got[2].score < got[2].base_score and got[3].n_tokens == 1
+
+
+def test_class_lm_awkward(awkward, nothing):
+    assert class_lm.evaluate(awkward, F.lit(True)).count() == 7
+    assert {r.score for r in class_lm.evaluate(awkward, F.lit(False)).select("score").collect()} == {0.0}
+    assert class_lm.evaluate(nothing, F.lit(True)).count() == 0
+
+
+def test_exchange_finds_the_classes():
+    rng = np.random.default_rng(3)
+    of = np.arange(40) % 4
+    bigrams = np.zeros((41, 41), np.int64)
+    for a in range(40):
+        for b in range(40):
+            bigrams[a, b] = 50 + rng.integers(10) if of[b] == (of[a] + 1) % 4 else rng.integers(2)
+    bigrams[40, :40] = bigrams[:40, 40] = 1
+    found = class_lm.exchange(bigrams, 5, 10)
+    assert found[40] == 0 and all(len(set(found[:40][of == k].tolist())) == 1 for k in range(4))
