@@ -1,132 +1,66 @@
-"""Spark-first reshapes return the same rows as the literal SQL forms."""
+"""Reports and group means against plain Python over the test tables."""
+
+from collections import defaultdict
+from decimal import Decimal
 
 from conftest import sf_dir
 from pyspark.sql import functions as F
 
-from velocart.operators import anti_join, except_distinct, with_group_mean
+from velocart.operators import above_group_mean, with_group_mean
 from velocart.plans import reports as R
 from velocart.sources import roles
 from velocart.sources.roles import SourceTables
 
 
-def same(a, b):
-    assert a.exceptAll(b).count() == 0
-    assert b.exceptAll(a).count() == 0
-
-
-def r4_inputs(t):
-    brand = F.concat(F.col("p_brand"), F.lit("/"), F.col("p_name"), F.lit("/"), F.col("p_size").cast("string"))
-    return (
-        roles.orders_role(t.orders),
-        roles.order_items_role(t.lineitem),
-        roles.product_role(t.part, brand=brand),
-        roles.customer_industry_role(t.customer, industry=F.col("c_nationkey").cast("string")),
-    )
-
-
-def r4_literal(o, i, p, c, a, b):
-    """orders left join items left join product left join customer, two
-    distinct brand sets, then NOT EXISTS / EXCEPT."""
-    ttl = (
-        o.join(i, "order_id", "left")
-        .join(p.select("product_id", "brand"), "product_id", "left")
-        .join(c, "customer_id", "left")
-    )
-    s1 = ttl.filter(F.col("job_industry_category") == a).select("brand").distinct()
-    s2 = ttl.filter(F.col("job_industry_category") == b).select("brand").distinct()
-    return anti_join(s1, s2, "brand", null_matches=False), except_distinct(s1, s2)
-
-
-def test_r4_one_pass_equals_anti_and_except(spark):
+def balances(spark):
+    """A NULL group and NULL values among them."""
     t = SourceTables(spark, sf_dir("0.01"))
-    o, i, p, c = r4_inputs(t)
-    not_exists, exc = r4_literal(o, i, p, c, "3", "7")
-    same(R.bought_by_a_not_b(o, i, p, c, "3", "7", "keep"), not_exists)
-    same(R.bought_by_a_not_b(o, i, p, c, "3", "7", "match"), exc)
-    assert not_exists.count() == exc.count() + 1  # the NULL brand
-
-
-def test_group_mean_aggregate_equals_window(spark):
-    t = SourceTables(spark, sf_dir("0.01"))
-    bal = t.customer.select("c_custkey", "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("v"))
-    # a NULL group and a NULL value, to exercise null-safe grouping
-    bal = bal.select(
+    return t.customer.select(
         "c_custkey",
         F.when(F.col("c_custkey") % 97 == 0, F.lit(None)).otherwise(F.col("c_nationkey")).alias("g"),
-        F.when(F.col("c_custkey") % 89 == 0, F.lit(None)).otherwise(F.col("v")).alias("v"),
+        F.when(F.col("c_custkey") % 89 == 0, F.lit(None)).otherwise(F.col("c_acctbal").cast("decimal(12,2)")).alias("v"),
     )
-    same(with_group_mean(bal, "g", "v", method="aggregate"), with_group_mean(bal, "g", "v", method="window"))
-
-
-def test_r3_single_pass_equals_union_all(spark):
-    t = SourceTables(spark, sf_dir("0.1"))
-    c = roles.customers_from_parts(t.part, t.lineitem)
-    rules = (("ECONOMY", "BLUE%"), ("STANDARD", "Small%"))
-    got = R.titles_by_rules(c, rules, 6, "2002-01-15")
-    from velocart.functions import age_years
 
-    old = age_years("dob", F.lit("2002-01-15").cast("date")) > 6
-    parts = [
-        c.filter((F.col("job_industry_category") == ind) & F.col("job_title").ilike(pat) & old)
-        .select("job_title")
-        .distinct()
-        for ind, pat in rules
-    ]
-    same(got, parts[0].unionByName(parts[1]))
-
-
-def test_r8_union_reshape_equals_two_branches(spark):
-    t = SourceTables(spark, sf_dir("0.01"))
-    c = roles.customer_industry_role(t.customer)
-    o, i = roles.orders_role(t.orders), roles.order_items_role(t.lineitem)
-    got = R.valuable_customers(
-        c, o, i, industries=("BUILDING", "HOUSEHOLD"), status="F", start="1996-01-01",
-        end="1998-01-01", min_orders=3, min_revenue=15_000_000,
-    )
-    # literal form: summary over both industries, then one branch per industry, UNION
-    summary = (
-        o.filter((F.col("order_status") == "F") & (F.col("order_date") >= F.lit("1996-01-01").cast("date"))
-                 & (F.col("order_date") < F.lit("1998-01-01").cast("date")))
-        .join(i, "order_id")
-        .join(c.filter(F.col("job_industry_category").isin("BUILDING", "HOUSEHOLD")), "customer_id")
-        .groupBy("customer_id")
-        .agg(F.count_distinct("order_id").alias("n"), F.sum(F.col("item_list_price_at_sale") * F.col("quantity")).alias("rev"))
-        .filter((F.col("n") >= 3) & (F.col("rev") > 15_000_000))
-    )
 
-    def branch(ind):
-        return (
-            summary.join(c, "customer_id")
-            .filter(F.col("job_industry_category") == ind)
-            .select("customer_id", "first_name", "last_name", F.col("job_industry_category").alias("industry"))
-        )
+def test_group_means(spark):
+    frame = balances(spark)
+    groups = defaultdict(list)
+    for r in frame.collect():
+        groups[r.g].append((r.c_custkey, r.v))
+    sums = {g: (sum((v for _, v in x if v is not None), Decimal(0)), sum(v is not None for _, v in x)) for g, x in groups.items()}
+    for bound in (None, 26):  # planned by the planner, or broadcast as declared
+        got = {r.c_custkey: r.group_mean for r in with_group_mean(frame, "g", "v", max_groups=bound).collect()}
+        assert got == {k: float(sums[g][0]) / sums[g][1] for g, x in groups.items() for k, _ in x}
+        above = {r.c_custkey for r in above_group_mean(frame, "g", "v", bound).collect()}
+        assert above == {k for g, x in groups.items() for k, v in x if v is not None and v * sums[g][1] > sums[g][0]}
 
-    same(got, branch("BUILDING").union(branch("HOUSEHOLD")).distinct())
-    assert got.count() == 38
-    # the final order is industry, then customer id
-    keys = [(r.industry, r.customer_id) for r in got.collect()]
-    assert keys == sorted(keys)
 
+def test_group_statistics_are_broadcast_only_on_a_declared_bound(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bound, node in ((None, "SortMergeJoin"), (26, "BroadcastHashJoin"), (10**6, "SortMergeJoin")):
+            assert node in above_group_mean(balances(spark), "g", "v", bound)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
-def test_group_stats_beyond_the_bound_are_joined_not_broadcast(spark):
-    from velocart.operators import above_group_mean
 
+def test_r4_null_brand(spark):
     t = SourceTables(spark, sf_dir("0.01"))
-    bal = t.customer.select("c_custkey", "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("v"))
-    small = above_group_mean(bal, "c_nationkey", "v")
-    big = above_group_mean(bal, "c_nationkey", "v", max_groups=1)  # 25 groups > 1: shuffled join
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    same(small, big)
-    assert small.count() == 728
+    brand = F.concat(F.col("p_brand"), F.lit("/"), F.col("p_name"), F.lit("/"), F.col("p_size").cast("string"))
+    frames = (
+        roles.orders_role(t.orders), roles.order_items_role(t.lineitem), roles.product_role(t.part, brand=brand),
+        roles.customer_industry_role(t.customer, industry=F.col("c_nationkey").cast("string")),
+    )
+    keep = {r.brand for r in R.bought_by_a_not_b(*frames, "3", "7", "keep").collect()}
+    match = {r.brand for r in R.bought_by_a_not_b(*frames, "3", "7", "match").collect()}
+    assert (len(keep), len(match)) == (332, 331) and keep - match == {None}
 
 
-def test_r1_both_plans_agree(spark):
+def test_r8_order(spark):
     t = SourceTables(spark, sf_dir("0.01"))
-    p, i = roles.product_role(t.part), roles.order_items_role(t.lineitem)
-    filtered_first = R.brands_by_cost_and_volume(p, i, 990, 1100)
-    summed_first = R.brands_by_cost_and_volume(p, i, 990, 1100, max_broadcast_rows=0)
-    plan_a = filtered_first._jdf.queryExecution().executedPlan().toString()
-    plan_b = summed_first._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan_a and "LeftSemi" not in plan_b
-    same(filtered_first, summed_first)
-    assert filtered_first.count() == 5
+    got = R.valuable_customers(
+        roles.customer_industry_role(t.customer), roles.orders_role(t.orders), roles.order_items_role(t.lineitem),
+        industries=("BUILDING", "HOUSEHOLD"), status="F", start="1996-01-01", end="1998-01-01", min_orders=3, min_revenue=15_000_000,
+    ).collect()
+    keys = [(r.industry, r.customer_id) for r in got]
+    assert len(keys) == 38 and keys == sorted(keys)

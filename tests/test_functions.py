@@ -5,14 +5,23 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from velocart.functions import age_years, calendar_year, is_true, to_date_strict
+from velocart.functions import age_years, calendar_year, cast_strict, holds, to_date_strict
 from velocart.plans import reports as R
 
 
 def test_bad_date_text_is_an_error(spark):
     df = spark.createDataFrame([("1980-05-05",), ("not a date",)], "dob string")
-    with pytest.raises(Exception):
-        df.select(to_date_strict("dob")).collect()
+    for ansi in ("true", "false"):  # whatever the session does with bad casts
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="does not fit"):
+                df.select(to_date_strict("dob")).collect()
+            with pytest.raises(Exception, match="does not fit"):
+                df.select(cast_strict("dob", "int")).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+    good = spark.createDataFrame([("1980-05-05",), (None,)], "dob string").select(to_date_strict("dob"))
+    assert [r[0] for r in good.collect()] == [dt.date(1980, 5, 5), None]
 
 
 def test_completed_years_and_leap_day(spark):
@@ -24,9 +33,9 @@ def test_completed_years_and_leap_day(spark):
     assert got == [36, 37, 0]
 
 
-def test_is_true_treats_null_as_false(spark):
+def test_is_true_as_a_filter_drops_null_and_false(spark):
     df = spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
-    assert [r[0] for r in df.select(is_true("b")).collect()] == [True, False, False]
+    assert [r.b for r in df.filter(holds("b")).collect()] == [True]
 
 
 def test_calendar_year(spark):

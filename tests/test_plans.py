@@ -5,9 +5,13 @@ import re
 import pytest
 from conftest import sf_dir
 
-import __spark_entry__ as entry
+from velocart.plans import reports as R
+from velocart.plans.registry import QUERIES
+from velocart.session import sizing_conf
+from velocart.sources import roles
+from velocart.sources.roles import SourceTables
+
 
-QUERIES = entry.queries()
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
 
@@ -59,6 +63,47 @@ def test_group_mean_uses_no_window(spark):
         assert "BroadcastHashJoin" in plan
 
 
+def test_building_a_query_starts_no_job(spark):
+    spark.sparkContext.setJobGroup("building", "no job may start")
+    try:
+        for name in QUERIES:
+            QUERIES[name](spark, sf_dir("0.001"))
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_hint_without_a_bound(spark):
+    """R5 with a large k, and all reports at the size of large tables: no broadcast is forced but the top-k's."""
+    t = SourceTables(spark, sf_dir("0.001"))
+    frames = (
+        roles.customer_valuation_role(t.customer), roles.orders_role(t.orders), roles.order_items_role(t.lineitem), roles.product_role(t.part)
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = R.top_customers(*frames, brands=("Brand#1",), k=500_000)._jdf.queryExecution()
+        assert "Broadcast" not in big.executedPlan().toString()
+        for name in ("r1_brand_volume", "r4a_not_exists", "r4b_except", "r8_valuable"):
+            assert "Broadcast" not in plan_of(spark, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_r8_lines_are_cut_by_a_runtime_bloom_filter(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+        **{k: v for k, v in sizing_conf(2**20, 4, filtered_side_bytes=2**30).items() if "bloomFilter" in k},
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert "might_contain" in plan_of(spark, "r8_valuable")
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_count_distinct_is_two_level(spark):
     plan = plan_of(spark, "r5_top_customers")
     assert "Exchange hashpartitioning(customer_id" in plan

@@ -42,6 +42,18 @@ def test_bucketed_facts_join_without_exchange(spark):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan
         assert "Exchange" not in plan
+        # R4 on the bucketed copies: no exchange below the first aggregate on the line side
+        r4 = R.bought_by_a_not_b(orders, items, roles.product_role(t.part), roles.customer_industry_role(t.customer), "BUILDING", "MACHINERY")
+        lines = r4._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, x in enumerate(lines) if "items_b" in x and "Scan" in x)
+        depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+        above, at = [], depth(lines[scan])
+        for x in reversed(lines[:scan]):
+            if depth(x) < at:
+                at = depth(x)
+                above.append(x)
+        first_join = next(i for i, x in enumerate(above) if "SortMergeJoin" in x)
+        assert not any("Exchange" in x for x in above[:first_join])
         # and the reports give the same answer on the bucketed copies
         c = roles.customer_industry_role(t.customer)
         kw = dict(industries=("BUILDING", "HOUSEHOLD"), status="F", start="1996-01-01", end="1998-01-01",

@@ -88,12 +88,13 @@ def test_composite_exact_under_skew(spark, skewed_dir, duck, name):
     assert got == want
 
 
-def test_hot_partition_is_split(spark, skewed_dir):
+@pytest.mark.parametrize("name", ["r4a_not_exists", "r5_top_customers"])
+def test_hot_partition_is_split(spark, skewed_dir, name):
     saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
     try:
-        df = entry.queries()["r5_top_customers"](spark, skewed_dir)
+        df = entry.queries()[name](spark, skewed_dir)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()
         final = qe.executedPlan().toString().split("== Initial Plan ==")[0]

@@ -5,8 +5,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from velocart.operators import keep_first
-from velocart.schemas import PRODUCT, TEST_PART
-from velocart.sources import conform, create_namespace, load_typed, save_table, scan_all, table_path
+from velocart.schemas import PRODUCT
+from velocart.sources import conform, create_namespace, file_columns, load_typed, save_table, scan_all, table_path
+from velocart.sources.roles import TEST_SCHEMAS, SourceTables
+
+TEST_PART = TEST_SCHEMAS["part"]
 
 
 def test_namespace_and_ctas_fails_when_table_exists(spark):
@@ -42,8 +45,71 @@ def test_load_typed_csv_failfast(spark, tmp_path):
     assert load_typed(spark, str(good), schema, fmt="csv").count() == 2
     bad = tmp_path / "bad.csv"
     bad.write_text("product_id,brand\nxx,A\n")
+    for read in (lambda df: df.collect(), lambda df: df.select("brand").collect(), lambda df: df.count()):
+        with pytest.raises(Exception):
+            read(load_typed(spark, str(bad), schema, fmt="csv"))
+
+
+def test_csv_columns_are_checked_by_name(spark, tmp_path):
+    file = tmp_path / "swapped.csv"
+    file.write_text("last_name,first_name\nLee,Ann\n")
+    schema = T.StructType([T.StructField("first_name", T.StringType()), T.StructField("last_name", T.StringType())])
+    with pytest.raises(Exception):
+        load_typed(spark, str(file), schema, fmt="csv").collect()
+
+
+def test_parquet_columns_are_checked_by_name_and_type(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(1, "a", 2.0)], "product_id long, brand string, cost double").write.parquet(path)
+    assert file_columns(spark, path) == {"product_id": "INT64", "brand": "BINARY", "cost": "DOUBLE"}
+    for name, kind in (("brnd", T.StringType()), ("brand", T.LongType()), ("product_id", T.IntegerType())):
+        with pytest.raises(ValueError, match=name):
+            load_typed(spark, path, T.StructType([T.StructField(name, kind)]))
+    wide = T.StructType([T.StructField("cost", T.DoubleType())])
+    assert load_typed(spark, path, wide).first().cost == 2.0
     with pytest.raises(Exception):
-        load_typed(spark, str(bad), schema, fmt="csv").collect()
+        load_typed(spark, str(tmp_path / "gone.parquet"), wide)
+
+
+def test_a_later_run_sees_new_files(spark, tmp_path):
+    from velocart.plans.registry import QUERIES
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    total = lambda: sum(r.row_count for r in QUERIES["agg_count"](spark, str(tmp_path)).collect())
+    assert total() == 1500
+    orders.write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    assert total() == 3000
+
+
+def test_keep_first_in_file_order_over_many_files(spark, tmp_path):
+    """Numbers in names count by value: part-2 comes before part-10. An older file comes first."""
+    import os
+
+    from velocart.operators import FILE_ORDER
+
+    folder = tmp_path / "p.parquet"
+    folder.mkdir()
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for n in (10, 2, 100000, 33):
+        file = str(folder / f"part-{n}.parquet")
+        pq.write_table(pa.table({"product_id": [1, n], "brand": [f"b{n}", "x"]}), file)
+        os.utime(file, (1_000_000, 1_000_000))
+    read = lambda: keep_first(spark.read.parquet(str(folder)), "product_id", FILE_ORDER)
+    assert {r.product_id: r.brand for r in read().collect()}[1] == "b2"
+    os.utime(str(folder / "part-100000.parquet"), (900_000, 900_000))
+    assert {r.product_id: r.brand for r in read().collect()}[1] == "b100000"
+    csv = tmp_path / "c.csv"
+    csv.write_text("product_id,brand\n1,A\n")
+    with pytest.raises(ValueError, match="import sequence"):
+        keep_first(spark.read.option("header", True).csv(str(csv)), "product_id", FILE_ORDER)
+
+
+def test_tables_are_not_kept_between_accesses(spark):
+    t = SourceTables(spark, "/root/testdata/sf0.001")
+    assert t.part is not t.part
 
 
 def test_conform_to_product_schema(spark):
@@ -58,9 +124,10 @@ def test_conform_to_product_schema(spark):
 def test_sizing_conf_for_a_large_cluster():
     from velocart.session import sizing_conf
 
-    conf = sizing_conf(100 * 1024**4, 8000)  # 100 TiB over 1000 executors x 8 cores: capped
-    assert conf["spark.sql.shuffle.partitions"] == "100000"
-    mid = sizing_conf(5 * 1024**4, 8000)  # 5 TiB: 256 MiB partitions
-    assert mid["spark.sql.shuffle.partitions"] == str(5 * 1024**4 // (256 * 1024**2))
+    conf = sizing_conf(100 * 1024**4, 8000)  # 100 TiB over 1000 executors x 8 cores: 256 MiB partitions
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (256 * 1024**2))
     small = sizing_conf(10 * 1024**2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+    assert not any("bloomFilter" in k for k in small)
+    bloom = sizing_conf(1024**4, 800, filtered_side_bytes=1024**3)
+    assert bloom["spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold"] == str(1024**3)

@@ -6,9 +6,8 @@ sources     typed loads, scans, namespace and stored-table writes
 functions   column-level helpers (NULL-safe truth, completed years, casts)
 operators   reusable DataFrame operators: audits, dedupe, joins, top-k, set ops
 plans       the composite reports and the bindings to the test tables
-streaming   notes only: the reports are batch (see README)
 """
 
-from velocart.session import build_session, checkpoint_dir
+from velocart.session import build_session
 
-__all__ = ["build_session", "checkpoint_dir"]
+__all__ = ["build_session"]

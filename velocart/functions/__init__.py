@@ -4,11 +4,9 @@ from velocart.functions.scalar import (
     age_years,
     as_column,
     calendar_year,
+    cast_strict,
     holds,
-    in_list,
-    is_true,
     line_amount,
-    matches_prefix,
     to_date_strict,
 )
 
@@ -16,10 +14,8 @@ __all__ = [
     "age_years",
     "as_column",
     "calendar_year",
+    "cast_strict",
     "holds",
-    "in_list",
-    "is_true",
     "line_amount",
-    "matches_prefix",
     "to_date_strict",
 ]

@@ -29,15 +29,6 @@ def _date_literal(value) -> Column:
     return F.lit(value)
 
 
-def is_true(col) -> Column:
-    """``x IS TRUE`` as a value: unknown (NULL) counts as false, never as NULL.
-
-    Use it in projections. Inside a filter, use ``holds`` instead: there NULL
-    and false both drop the row, and the plain predicate can reach the scan.
-    """
-    return as_column(col).eqNullSafe(F.lit(True))
-
-
 def holds(col) -> Column:
     """``x IS TRUE`` as a filter condition (or a conjunct of one).
 
@@ -50,9 +41,17 @@ def holds(col) -> Column:
     return as_column(col)
 
 
+def cast_strict(col, data_type) -> Column:
+    """Cast; a value that does not fit raises an error, in any session (ANSI mode or not)."""
+    value = as_column(col)
+    cast = value.try_cast(data_type)
+    message = F.concat(F.lit("value does not fit its type: "), value.cast("string"))
+    return F.when(value.isNotNull() & cast.isNull(), F.raise_error(message).cast(data_type)).otherwise(cast)
+
+
 def to_date_strict(col) -> Column:
-    """``text::date``. With ANSI mode on, malformed text raises an error."""
-    return as_column(col).cast("date")
+    """``text::date``: malformed text raises an error, in any session."""
+    return cast_strict(col, "date")
 
 
 def age_years(birth, as_of) -> Column:
@@ -70,16 +69,6 @@ def calendar_year(col) -> Column:
     return F.year(as_column(col))
 
 
-def matches_prefix(col, pattern: str) -> Column:
-    """``col ILIKE pattern`` (case-insensitive LIKE; ``%`` and ``_`` wildcards)."""
-    return as_column(col).ilike(pattern)
-
-
-def in_list(col, values) -> Column:
-    """``col IN (v1, v2, ...)`` over literal values."""
-    return as_column(col).isin(list(values))
-
-
 def line_amount(price, quantity) -> Column:
     """``price * quantity`` in exact decimal arithmetic."""
     return as_column(price) * as_column(quantity)

@@ -12,8 +12,7 @@ from velocart.operators.aggregates import (
 from velocart.operators.quality import FILE_ORDER, duplicate_keys, keep_first, with_file_order
 from velocart.operators.relational import (
     anti_join,
-    broadcast_bounded,
-    checked_broadcast,
+    broadcast_limited,
     date_range,
     distinct_values,
     filter_date_range,
@@ -23,13 +22,12 @@ from velocart.operators.relational import (
     filter_in,
     filter_is_true,
     filter_ne,
-    fits_broadcast,
     left_join_using,
     project,
     project_rename,
     semi_join,
 )
 from velocart.operators.setops import except_distinct, union_all, union_distinct
-from velocart.operators.topk import asc, desc, sort_by, top_k
+from velocart.operators.topk import asc, desc, top_k
 
 __all__ = [name for name in dir() if not name.startswith("_")]

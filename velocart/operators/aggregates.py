@@ -8,11 +8,11 @@ rows sends one partial row per map task, not a third of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velocart.functions.scalar import as_column
-from velocart.operators.relational import checked_broadcast
+from velocart.operators.relational import broadcast_limited
 
 
 def _cols(keys) -> list[str]:
@@ -50,47 +50,31 @@ def _group_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
-def _join_group_stats(df: DataFrame, group: str, value: str, max_groups: int) -> DataFrame:
-    stats = checked_broadcast(_group_stats(df, group, value), max_groups)
-    # NULL group keys form one group with its own statistics
-    return df.join(stats, F.col(group).eqNullSafe(F.col("__g")), "inner")
-
-
-def with_group_mean(
-    df: DataFrame,
-    group: str,
-    value: str,
-    name: str = "group_mean",
-    method: str = "aggregate",
-    max_groups: int = 100_000,
-) -> DataFrame:
+def with_group_mean(df: DataFrame, group: str, value: str, name: str = "group_mean", max_groups: int | None = None) -> DataFrame:
     """Add ``avg(value) over (partition by group)`` as a double.
 
     The mean is ``double(sum) / count`` of the non-NULL values (NULL when a
-    group has none). ``method="aggregate"`` (default) computes per-group sums
-    with map-side partial aggregation and joins them back (broadcast when the
-    group count is small, checked at run time): no task ever holds a whole
-    group. ``method="window"`` is the literal window form; it puts each group
-    in one task and is kept for comparison only.
+    group has none). Per-group sums are computed with map-side partial
+    aggregation and joined back, so no task ever holds a whole group; NULL
+    group keys form one group. ``max_groups`` declares a bound on the number
+    of groups, for a broadcast; without it the planner decides.
     """
-    if method == "window":
-        w = Window.partitionBy(group)
-        s, n = F.sum(value).over(w), F.count(value).over(w)
-        return df.withColumn(name, F.when(n > 0, s.cast("double") / n))
-    joined = _join_group_stats(df, group, value, max_groups)
+    stats = broadcast_limited(_group_stats(df, group, value), max_groups)
     mean = F.when(F.col("__n") > 0, F.col("__sum").cast("double") / F.col("__n"))
+    joined = df.join(stats, F.col(group).eqNullSafe(F.col("__g")), "inner")
     return joined.withColumn(name, mean).drop("__g", "__sum", "__n")
 
 
-def above_group_mean(df: DataFrame, group: str, value: str, max_groups: int = 100_000) -> DataFrame:
+def above_group_mean(df: DataFrame, group: str, value: str, max_groups: int | None = None) -> DataFrame:
     """Rows whose ``value`` is strictly above the mean of their ``group``.
 
     Compared without division, ``value * count > sum``, which is exact for
     integer and decimal values (a rounded decimal mean can flip a row that
     sits on the mean). The mean covers every row of the group; filter other
     conditions after calling this, not before. Rows with a NULL value drop.
+    ``max_groups``: see ``with_group_mean``.
     """
-    stats = checked_broadcast(_group_stats(df, group, value), max_groups)
+    stats = broadcast_limited(_group_stats(df, group, value), max_groups)
     # a semi join with the comparison in its condition: keeps df's columns
     # and lets the planner size the result as df, not df x stats
     cond = F.col(group).eqNullSafe(F.col("__g")) & (F.col(value) * F.col("__n") > F.col("__sum"))

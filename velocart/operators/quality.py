@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,16 +34,30 @@ def duplicate_keys(df: DataFrame, keys, count_name: str = "row_count") -> DataFr
     )
 
 
+def _natural(name: Column) -> Column:
+    """A sort key that orders numbers inside names by value: part-2 before part-10."""
+    pieces = F.regexp_extract_all(name, F.lit("([0-9]+|[^0-9]+)"), 1)
+    return F.array_join(F.transform(pieces, lambda x: F.when(x.rlike("^[0-9]"), F.lpad(x, 24, "0")).otherwise(x)), "")
+
+
 def with_file_order(df: DataFrame) -> DataFrame:
-    """Add the physical position of each row (file path, row index in file).
+    """Add the position of each row as imported: the file's modification time, its name with numbers by value,
+    and the row's place in the file.
 
-    Only valid directly on a file scan (Parquet exposes
-    ``_metadata.row_index``). It is the "first record as imported" order:
-    stable across retries because it is read from the file, not computed.
+    Only on a direct scan of Parquet files, the format whose rows have a
+    place; other frames need an import sequence column of their own. The
+    order is read from the files, not computed, so it is stable across retries.
     """
-    return df.withColumn("__src_file", F.col("_metadata.file_path")).withColumn(
-        "__src_row", F.col("_metadata.row_index")
-    )
+    try:
+        return df.withColumns(
+            {
+                "__src_time": F.col("_metadata.file_modification_time"),
+                "__src_file": _natural(F.col("_metadata.file_path")),
+                "__src_row": F.col("_metadata.row_index"),
+            }
+        )
+    except AnalysisException as error:
+        raise ValueError("file order needs a direct scan of Parquet files; give keep_first an import sequence column") from error
 
 
 def keep_first(
@@ -64,7 +79,7 @@ def keep_first(
     base = df
     if isinstance(order_by, str) and order_by == FILE_ORDER:
         base = with_file_order(df)
-        order_cols = [F.col("__src_file").asc(), F.col("__src_row").asc()]
+        order_cols = [F.col(c).asc() for c in ("__src_time", "__src_file", "__src_row")]
     else:
         if isinstance(order_by, (str, Column)):
             order_by = [order_by]

@@ -1,11 +1,10 @@
 """Projection, filter and join operators in the source dialect's semantics.
 
-Join strategy is mostly left to the planner: file-size estimates and
-adaptive execution's measured sizes decide what is broadcast, otherwise a
-sort-merge join is planned and skewed partitions are split. An explicit
-broadcast is given only with a size bound: ``broadcast_bounded`` for sides
-bounded by construction, ``checked_broadcast`` / ``fits_broadcast`` for
-sides counted first.
+Join strategy is left to the planner: file-size estimates and adaptive
+execution's measured sizes decide what is broadcast, otherwise a sort-merge
+join is planned and skewed partitions are split. Building a plan starts no
+job. The only explicit broadcast is ``broadcast_limited``, of rows that a
+LIMIT or a declared bound keeps few.
 """
 
 from __future__ import annotations
@@ -17,21 +16,14 @@ from pyspark.sql import functions as F
 
 from velocart.functions.scalar import as_column, date_value, holds
 
-# Largest row count for which an explicit broadcast hint is given, whether
-# the bound holds by construction (a LIMIT k, a global aggregate) or was
-# counted; anything larger is left to the planner and adaptive execution.
-BROADCAST_ROW_BOUND = 100_000
+# Most rows that are broadcast by a hint; their number must be bounded by
+# construction (a LIMIT k) or declared by the caller, never measured.
+LIMITED_ROWS = 10_000
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its row count is bounded by ``max_rows``.
-
-    ``max_rows`` must be a proof, not a guess: e.g. ``k`` after ``limit(k)``,
-    or 1 after a global aggregate.
-    """
-    if max_rows <= BROADCAST_ROW_BOUND:
-        return F.broadcast(df)
-    return df
+def broadcast_limited(df: DataFrame, max_rows: int | None) -> DataFrame:
+    """Hint a broadcast of ``df`` if it has at most ``max_rows`` rows and that is few; None: unknown, no hint."""
+    return F.broadcast(df) if max_rows is not None and max_rows <= LIMITED_ROWS else df
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -107,25 +99,3 @@ def anti_join(left: DataFrame, right: DataFrame, key: str, null_matches: bool =
     r = right.select(F.col(key).alias("__anti_key"))
     cond = F.col(key).eqNullSafe(F.col("__anti_key")) if null_matches else F.col(key) == F.col("__anti_key")
     return left.join(r, cond, "left_anti")
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows.
-
-    A plain count: each task sends one partial count, so the job scales with
-    any number of tasks. (``limit(n).count()`` would instead gather up to n
-    rows from every task into a single partition.) Nothing is cached, so the
-    answer always reflects current data.
-    """
-    return df.count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
-    """Broadcast a side whose size is not known in advance, after measuring it.
-
-    Within the bound (``fits_broadcast``) the side is broadcast; beyond it,
-    it is returned as is and the join shuffles (adaptive execution still
-    splits skewed partitions). The side is recomputed in the query itself,
-    which for group statistics or a filtered dimension is one narrow scan.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

@@ -20,10 +20,6 @@ def desc(col) -> Column:
     return (F.col(col) if isinstance(col, str) else col).desc_nulls_first()
 
 
-def sort_by(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    return df.orderBy(*order)
-
-
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     """``order by ... limit k``.
 

@@ -12,11 +12,12 @@ from velocart import functions as fx
 from velocart import operators as op
 from velocart.operators import quality
 from velocart.plans import reports as R
-from velocart.schemas import TEST_PART
 from velocart.sources import roles, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# Fixed size of the nation dimension, at every scale of the test data.
+NATIONS = 25
 
 
 def register(name: str):
@@ -63,6 +64,42 @@ def _keep_first(t):
     return quality.keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
 
 
+@register("keep_first_file_order")
+def _keep_first_file_order(t):
+    """One line per (l_orderkey, l_linenumber): the first as imported, in the order of the files."""
+    return quality.keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], quality.FILE_ORDER)
+
+
+def _imported_products(t):
+    """Products with duplicates, in import order (``import_no``): every third product comes a second time, under
+    another brand and three times the price."""
+    product = roles.product_role(t.part)
+    first = product.withColumn("import_no", F.lit(1))
+    second = product.filter(F.col("product_id") % 3 == 0).withColumns(
+        {
+            "brand": F.concat(F.col("brand"), F.lit(" (again)")),
+            "list_price": (F.col("list_price") * 3).cast(roles.MONEY),
+            "standard_cost": (F.col("standard_cost") * 3).cast(roles.MONEY),
+            "import_no": F.lit(2),
+        }
+    )
+    return second.unionByName(first)
+
+
+@register("keep_first_product")
+def _keep_first_product(t):
+    """The deduplicated product table: the first import of each product."""
+    first = quality.keep_first(_imported_products(t), "product_id", "import_no")
+    return first.select("product_id", "brand", "product_line", F.col("list_price").cast("double").alias("list_price"))
+
+
+@register("r1_brand_volume_deduplicated")
+def _r1_deduplicated(t):
+    """R1 over the deduplicated products; the second imports would add brands."""
+    product = quality.keep_first(_imported_products(t), "product_id", "import_no").drop("import_no")
+    return R.brands_by_cost_and_volume(product, roles.order_items_role(t.lineitem), min_cost=990, min_quantity=1100)
+
+
 @register("r1_brand_volume")
 def _r1(t):
     return R.brands_by_cost_and_volume(
@@ -117,6 +154,7 @@ def _r5(t):
         roles.product_role(t.part),
         brands=("Brand#1", "Brand#2", "Brand#3"),
         k=10,
+        max_states=NATIONS,
     )
 
 
@@ -176,7 +214,7 @@ def _online_flag():
 @register("load_typed")
 def _load_typed(t):
     """Typed load: the part table read with a declared schema (no inference)."""
-    return tables.load_typed(t.spark, tables.table_path(t.root, "part"), TEST_PART)
+    return tables.load_typed(t.spark, tables.table_path(t.root, "part"), roles.TEST_SCHEMAS["part"])
 
 
 @register("scan_all")
@@ -184,10 +222,26 @@ def _scan_all(t):
     return tables.scan_all(t.spark, t.part)
 
 
+@register("scan_customer")
+def _scan_customer(t):
+    return tables.scan_all(t.spark, t.customer)
+
+
+@register("scan_orders")
+def _scan_orders(t):
+    return tables.scan_all(t.spark, t.orders)
+
+
+@register("scan_lineitem")
+def _scan_lineitem(t):
+    return tables.scan_all(t.spark, t.lineitem)
+
+
 @register("scan_summary")
 def _scan_summary(t):
-    """Row and column counts of the four tables the reports use."""
-    return tables.scan_summary({name: getattr(t, name) for name in ("customer", "orders", "part", "lineitem")})
+    """Row and column counts of the four tables the reports use, as found."""
+    frames = {name: getattr(t, name) for name in ("customer", "orders", "part", "lineitem")}
+    return tables.scan_summary(t.spark, t.root, frames)
 
 
 @register("project_columns")
@@ -412,14 +466,14 @@ def _balances(t):
 
 @register("group_mean_window")
 def _group_mean_window(t):
-    return op.with_group_mean(_balances(t), "c_nationkey", "balance", "group_mean").select(
+    return op.with_group_mean(_balances(t), "c_nationkey", "balance", "group_mean", NATIONS).select(
         "c_custkey", "c_nationkey", "group_mean"
     )
 
 
 @register("above_group_mean")
 def _above_group_mean(t):
-    return op.above_group_mean(_balances(t), "c_nationkey", "balance").select(
+    return op.above_group_mean(_balances(t), "c_nationkey", "balance", NATIONS).select(
         "c_custkey", "c_nationkey", F.col("balance").cast("double").alias("balance")
     )
 

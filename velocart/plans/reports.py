@@ -16,13 +16,7 @@ from pyspark.sql import functions as F
 
 from velocart.functions.scalar import age_years, date_value, holds, line_amount
 from velocart.operators.aggregates import above_group_mean
-from velocart.operators.relational import (
-    BROADCAST_ROW_BOUND,
-    broadcast_bounded,
-    checked_broadcast,
-    date_range,
-    fits_broadcast,
-)
+from velocart.operators.relational import broadcast_limited, date_range
 from velocart.operators.topk import asc, desc
 
 # Fixed values of the source script (used as parameter defaults).
@@ -49,29 +43,19 @@ MIN_REVENUE = 10000
 
 
 def brands_by_cost_and_volume(
-    product: DataFrame,
-    order_items: DataFrame,
-    min_cost=COST_THRESHOLD,
-    min_quantity=VOLUME_THRESHOLD,
-    max_broadcast_rows: int = BROADCAST_ROW_BOUND,
+    product: DataFrame, order_items: DataFrame, min_cost=COST_THRESHOLD, min_quantity=VOLUME_THRESHOLD
 ) -> DataFrame:
     """R1. Brands with one product that both costs more than ``min_cost`` and
     sold at least ``min_quantity`` units in total.
 
     Both conditions hold on the same product. A product without sales has a
-    NULL sum and fails; a NULL brand is one output row. When the costly
-    products are few enough to broadcast (counted first), lines are filtered
-    to them map-side before summing; otherwise all lines are summed per
-    product first, so only partial sums are shuffled, and then joined. Either
-    way the line table itself is never shuffled.
+    NULL sum and fails; a NULL brand is one output row. Quantities are summed
+    per product first, so only partial sums are shuffled, never lines, and
+    then meet the costly products.
     """
     costly = product.filter(F.col("standard_cost") > F.lit(min_cost)).select("product_id", "brand")
-    lines = order_items.select("product_id", "quantity")
-    costly_ids = costly.select("product_id")
-    if fits_broadcast(costly_ids, max_broadcast_rows):
-        lines = lines.join(F.broadcast(costly_ids), "product_id", "left_semi")
     volume = (
-        lines.groupBy("product_id")
+        order_items.groupBy("product_id")
         .agg(F.sum("quantity").alias("sum_quantity"))
         .filter(F.col("sum_quantity") >= F.lit(min_quantity))
     )
@@ -144,24 +128,23 @@ def _brand_flags(
     """Per brand: bought by industry A? by industry B?
 
     Facts are ``orders ⟕ order_items ⟕ product ⋈ customer``; an order with no
-    line, or a line without a product, has a NULL brand. The industry filter
-    is applied to the small customer side first, the flags are OR-ed per
-    product before the product lookup and again per brand, so only partial
-    rows cross each shuffle.
+    line, or a line without a product, has a NULL brand. Orders meet their
+    lines first: on facts stored bucketed by order that needs no exchange.
+    Then the two industries' customers come in (broadcast where the planner
+    finds them small, so the facts stream through), and the flags are OR-ed
+    per product and again per brand; only partial rows cross those shuffles.
     """
     industry = F.col("job_industry_category")
-    # a few industries of a large customer table: counted, and broadcast when
-    # small, so the order table is then streamed instead of shuffled
-    buyers = checked_broadcast(
-        customer.filter(industry.isin(industry_a, industry_b)).select(
-            "customer_id",
-            (industry == F.lit(industry_a)).alias("__a"),
-            (industry == F.lit(industry_b)).alias("__b"),
-        )
+    buyers = customer.filter(industry.isin(industry_a, industry_b)).select(
+        "customer_id",
+        (industry == F.lit(industry_a)).alias("__a"),
+        (industry == F.lit(industry_b)).alias("__b"),
+    )
+    per_order = orders.select("order_id", "customer_id").join(
+        order_items.select("order_id", "product_id"), "order_id", "left"
     )
-    per_order = orders.select("order_id", "customer_id").join(buyers, "customer_id", "inner")
     per_product = (
-        per_order.join(order_items.select("order_id", "product_id"), "order_id", "left")
+        per_order.join(buyers, "customer_id", "inner")
         .groupBy("product_id")
         .agg(F.bool_or("__a").alias("__a"), F.bool_or("__b").alias("__b"))
     )
@@ -205,19 +188,20 @@ def top_customers(
     brands: Sequence[str] = TOP_BRANDS,
     k: int = TOP_CUSTOMERS,
     active_value: str = ACTIVE,
+    max_states: int | None = None,
 ) -> DataFrame:
     """R5. The ``k`` customers with most distinct online orders containing a
     product of ``brands``, among active customers whose property valuation is
     above their state's mean (mean over all customers of the state, the
     deceased included). Ties go to the lower customer id.
 
-    Building the plan runs two small counting jobs: the state statistics and
-    the brand products are broadcast only when counted under the bound.
+    ``max_states`` declares a bound on the number of states, so that their
+    statistics are broadcast; the other sides are left to the planner.
     """
-    qualified = above_group_mean(customer, "state", "property_valuation").filter(
+    qualified = above_group_mean(customer, "state", "property_valuation", max_states).filter(
         F.col("deceased_indicator") == F.lit(active_value)
     )
-    wanted = checked_broadcast(product.filter(F.col("brand").isin(list(brands))).select("product_id"))
+    wanted = product.filter(F.col("brand").isin(list(brands))).select("product_id")
     counts = (
         orders.filter(holds("online_order"))
         .select("order_id", "customer_id")
@@ -229,16 +213,13 @@ def top_customers(
     )
     ranking = [desc("count_order"), asc("customer_id")]
     top = counts.orderBy(*ranking).limit(k)
-    # ``top left join customer``: an outer join can only build its other
-    # side, which would shuffle the whole customer table for k names. So the
-    # customers are streamed once through a broadcast semi join on the k ids,
-    # and the k rows are then left-joined to that small result (k rows, as
-    # customer ids are unique: the audited key contract).
+    # the customers are streamed once through a semi join on the k ids (k at
+    # most, by the limit), so an outer join never shuffles the whole table
     names = customer.select("customer_id", "first_name", "last_name").join(
-        broadcast_bounded(top.select("customer_id"), k), "customer_id", "left_semi"
+        broadcast_limited(top.select("customer_id"), k), "customer_id", "left_semi"
     )
     return (
-        top.join(F.broadcast(names), "customer_id", "left")
+        top.join(names, "customer_id", "left")
         .select("customer_id", "first_name", "last_name", "count_order")
         .orderBy(*ranking)
     )
@@ -293,10 +274,10 @@ def buyers_of_top_products(
     ranks highest; ties go to the lower product id).
 
     The top-k set has at most ``k`` rows, so it is broadcast and filters the
-    line items map-side before anything is shuffled; orders are restricted
-    to the industries' customers (semi join) before they meet the lines.
+    line items map-side before anything is shuffled. Only the few distinct
+    (order, product) rows left meet the orders, and only then the customers.
     """
-    top = broadcast_bounded(
+    top = broadcast_limited(
         product.filter(F.col("product_line") == F.lit(line))
         .orderBy(desc("list_price"), asc("product_id"))
         .limit(k)
@@ -304,15 +285,10 @@ def buyers_of_top_products(
         k,
     )
     buyers = customer.filter(F.col("job_industry_category").isin(list(industries)))
-    # orders are cut to the industries' customers before the order/line join,
-    # so only their share of the order table is shuffled for it
-    buyer_orders = orders.select("order_id", "customer_id").join(
-        checked_broadcast(buyers.select("customer_id")), "customer_id", "left_semi"
-    )
+    bought = order_items.select("order_id", "product_id").join(top, "product_id", "inner").distinct()
     hits = (
-        order_items.select("order_id", "product_id")
-        .join(top, "product_id", "inner")
-        .join(buyer_orders, "order_id", "inner")
+        bought.join(orders.select("order_id", "customer_id"), "order_id", "inner")
+        .join(buyers.select("customer_id"), "customer_id", "left_semi")
         .groupBy("customer_id")
         .agg(F.count_distinct("product_id").alias("products_count"))
         .filter(F.col("products_count") >= F.lit(min_hits))
@@ -338,8 +314,9 @@ def valuable_customers(
     The per-industry UNION of the source is one pass here: the industries
     are disjoint filters of the same rows. Orders are restricted to the
     industries' customers with a semi join, which equals the source's inner
-    join when customer ids are unique (the audited key contract) and keeps
-    the planner's size estimate of the order side at the order table's.
+    join when customer ids are unique (the audited key contract). At scale a
+    runtime Bloom filter of those orders cuts the lines before their shuffle
+    (see ``session.sizing_conf``).
     """
     buyers = customer.filter(F.col("job_industry_category").isin(list(industries)))
     summary = (
@@ -347,7 +324,7 @@ def valuable_customers(
             (F.col("order_status") == F.lit(status)) & date_range("order_date", start, end, closed_end=False)
         )
         .select("order_id", "customer_id")
-        .join(checked_broadcast(buyers.select("customer_id")), "customer_id", "left_semi")
+        .join(buyers.select("customer_id"), "customer_id", "left_semi")
         .join(order_items.select("order_id", "item_list_price_at_sale", "quantity"), "order_id", "inner")
         .groupBy("customer_id")
         .agg(

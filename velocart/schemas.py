@@ -29,7 +29,7 @@ CUSTOMER = T.StructType([
     # stored as text by the importer; cast to a date where it is used
     T.StructField("dob", T.StringType()),
     T.StructField("state", T.StringType()),
-    T.StructField("property_valuation", MONEY),
+    T.StructField("property_valuation", T.IntegerType()),
     T.StructField("deceased_indicator", T.StringType()),
     T.StructField("owns_car", T.StringType()),
     T.StructField("wealth_segment", T.StringType()),
@@ -47,17 +47,10 @@ ORDER_ITEMS = T.StructType([
     T.StructField("order_item_id", T.LongType()),
     T.StructField("order_id", T.LongType()),
     T.StructField("product_id", T.LongType()),
-    T.StructField("quantity", MONEY),
+    T.StructField("quantity", T.IntegerType()),
     T.StructField("item_list_price_at_sale", MONEY),
 ])
 
-BY_NAME = {
-    "product": PRODUCT,
-    "customer": CUSTOMER,
-    "orders": ORDERS,
-    "order_items": ORDER_ITEMS,
-}
-
 # Business key of each table, audited for duplicates before any join.
 KEYS = {
     "product": ["product_id"],
@@ -65,13 +58,3 @@ KEYS = {
     "orders": ["order_id"],
     "order_items": ["order_item_id"],
 }
-
-# Declared schema of the test data's part table, for the typed load check.
-TEST_PART = T.StructType([
-    T.StructField("p_partkey", T.LongType()),
-    T.StructField("p_name", T.StringType()),
-    T.StructField("p_brand", T.StringType()),
-    T.StructField("p_type", T.StringType()),
-    T.StructField("p_size", T.IntegerType()),
-    T.StructField("p_retailprice", T.DoubleType()),
-])

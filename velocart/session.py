@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the reports depend on for their semantics, plus the adaptive
@@ -66,48 +63,27 @@ def build_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
-
-    The cluster sets ``spark.checkpoint.dir`` to a shared file system
-    location. Only when it is unset (local tests) a scratch folder is
-    created and registered, so lineage cuts always land somewhere every
-    executor can read.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="velocart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
-
-
 def sizing_conf(
     largest_shuffle_bytes: int,
     total_cores: int,
     target_partition_bytes: int = 256 * 1024 * 1024,
-    max_partitions: int = 100_000,
+    filtered_side_bytes: int | None = None,
 ) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run, as Spark settings.
 
     ``largest_shuffle_bytes`` is the biggest input that gets shuffled (for
     these reports the order lines after column pruning). Reduce partitions
-    aim at ``target_partition_bytes`` with at least two waves of tasks, and
-    are capped at ``max_partitions``: the number of shuffle blocks is map
-    tasks times reduce partitions, and past the cap it is cheaper to let
-    partitions grow (sorts and aggregates spill to disk) than to multiply
-    blocks. Scan splits use the same target, which also bounds the map-task
-    count. Adaptive execution merges small partitions back to the target and
-    splits skewed ones. Pass the result as ``extra`` to ``build_session`` or
-    to spark-submit.
+    aim at ``target_partition_bytes`` with at least two waves of tasks. Scan
+    splits use the same target, which also bounds the map-task count; both
+    counts grow with the input. Adaptive execution merges small partitions
+    back to the target and splits skewed ones. ``filtered_side_bytes`` is the
+    expected size of a filtered order side (R8): up to it, Spark builds a
+    runtime Bloom filter of its keys, which cuts the lines before their
+    shuffle. Pass the result as ``extra`` to ``build_session`` or to
+    spark-submit.
     """
-    by_size = -(-largest_shuffle_bytes // target_partition_bytes)
-    partitions = min(max(2 * total_cores, by_size), max_partitions)
-    return {
+    partitions = max(2 * total_cores, -(-largest_shuffle_bytes // target_partition_bytes))
+    conf = {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
@@ -117,3 +93,15 @@ def sizing_conf(
         # instead of spreading them over every core in tiny partitions
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
+    if filtered_side_bytes is not None:
+        keys = max(1_000_000, filtered_side_bytes // 16)  # two longs a row
+        conf.update(
+            {
+                "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(filtered_side_bytes),
+                "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": str(keys),
+                "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(keys),
+                "spark.sql.optimizer.runtime.bloomFilter.numBits": str(8 * keys),
+                "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(8 * keys),
+            }
+        )
+    return conf

@@ -3,6 +3,7 @@
 from velocart.sources.tables import (
     conform,
     create_namespace,
+    file_columns,
     load_typed,
     read_table,
     save_table,
@@ -14,6 +15,7 @@ from velocart.sources.tables import (
 __all__ = [
     "conform",
     "create_namespace",
+    "file_columns",
     "load_typed",
     "read_table",
     "save_table",

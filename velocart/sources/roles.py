@@ -8,8 +8,6 @@ the Parquet scans underneath it.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,14 +47,8 @@ TEST_SCHEMAS = {
 }
 
 
-# One DataFrame per (session, folder, table): the test tables are read-only,
-# so every report in a session reuses the same loaded table, as a user loads
-# tables once and passes them to several reports.
-_LOADED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
 class SourceTables:
-    """Lazy access to the driver's Parquet tables under one scale directory."""
+    """Access to the driver's Parquet tables under one scale directory; every access lists the files anew."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -65,14 +57,9 @@ class SourceTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        loaded = _LOADED.setdefault(self.spark, {})
-        key = (self.root, name)
-        if key not in loaded:
-            if name in TEST_SCHEMAS:
-                loaded[key] = load_typed(self.spark, table_path(self.root, name), TEST_SCHEMAS[name])
-            else:
-                loaded[key] = read_table(self.spark, self.root, name)
-        return loaded[key]
+        if name in TEST_SCHEMAS:
+            return load_typed(self.spark, table_path(self.root, name), TEST_SCHEMAS[name])
+        return read_table(self.spark, self.root, name)
 
 
 def customer_names() -> list[Column]:

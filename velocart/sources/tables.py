@@ -8,10 +8,14 @@ table is a managed table written by the executors.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from velocart.functions.scalar import cast_strict
+
 
 def table_path(root: str, name: str) -> str:
     """Location of table ``name`` (one Parquet dataset per table) under ``root``."""
@@ -23,6 +27,54 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))
 
 
+# What a Parquet column may hold for a declared type: its physical type in the file.
+_PHYSICAL = {
+    "bigint": {"INT64", "INT32"}, "int": {"INT32"}, "smallint": {"INT32"}, "tinyint": {"INT32"}, "double": {"DOUBLE", "FLOAT"},
+    "float": {"FLOAT"}, "string": {"BINARY"}, "binary": {"BINARY"}, "boolean": {"BOOLEAN"}, "date": {"INT32"},
+    "timestamp": {"INT64", "INT96"}, "timestamp_ntz": {"INT64", "INT96"},
+}
+
+
+def file_columns(spark: SparkSession, path: str) -> dict[str, str]:
+    """Columns of a Parquet dataset as found: name and physical type, from the footer of its first file.
+
+    Read on the driver through the file system Spark uses for the path; no
+    Spark job is started. A nested column has the type ``group``.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(conf).listFiles(root, True)
+    first = None
+    while files.hasNext():
+        file = files.next().getPath()
+        hidden = any(part[:1] in "_." for part in file.toString()[len(root.toString()) :].split("/") if part)
+        if not hidden and (first is None or file.toString() < first.toString()):
+            first = file
+    if first is None:
+        raise FileNotFoundError(f"no Parquet file in {path}")
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+        jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(first, conf)
+    )
+    try:
+        fields = reader.getFooter().getFileMetaData().getSchema().getFields()
+        return {
+            f.getName(): f.asPrimitiveType().getPrimitiveTypeName().toString() if f.isPrimitive() else "group" for f in fields
+        }
+    finally:
+        reader.close()
+
+
+def _check_columns(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    found = file_columns(spark, path)
+    missing = [f.name for f in schema.fields if f.name not in found]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(found)}")
+    for f in schema.fields:
+        allowed = _PHYSICAL.get(f.dataType.simpleString())
+        if allowed and found[f.name] not in allowed:
+            raise ValueError(f"{path}: column {f.name} is stored as {found[f.name]}, declared {f.dataType.simpleString()}")
+
+
 def load_typed(
     spark: SparkSession,
     path: str,
@@ -32,24 +84,33 @@ def load_typed(
 ) -> DataFrame:
     """Load a file source with a declared schema; never infer.
 
-    CSV and JSON use FAILFAST, so a malformed row stops the job instead of
-    silently becoming NULLs.
+    Wrong data fails loudly: a Parquet dataset must have the declared columns
+    in a matching physical type (checked at once); a CSV header must name the
+    columns in their order, and a malformed row stops the job whatever
+    columns are read; JSON stops on malformed rows.
     """
     reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", header).option("mode", "FAILFAST")
+    if fmt == "parquet":
+        _check_columns(spark, path, schema)
+    elif fmt == "csv":
+        reader = reader.option("header", header).option("mode", "FAILFAST").option("enforceSchema", not header)
     elif fmt == "json":
         reader = reader.option("mode", "FAILFAST")
-    return reader.format(fmt).load(path)
+    df = reader.format(fmt).load(path)
+    if fmt in ("csv", "json"):
+        # always true, but it reads every column: a malformed value stops also
+        # a job that needs other columns only, or none (a count)
+        df = df.filter(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) >= F.lit(-(2**63)))
+    return df
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: same names, order and types.
 
     Columns must already exist under the schema's names; each is cast to the
-    declared type (ANSI casts: a value that does not fit is an error).
+    declared type, and a value that does not fit is an error in any session.
     """
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[cast_strict(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
 def scan_all(spark: SparkSession, name_or_df) -> DataFrame:
@@ -58,8 +119,8 @@ def scan_all(spark: SparkSession, name_or_df) -> DataFrame:
     return df.select("*")
 
 
-def scan_summary(frames: dict[str, DataFrame]) -> DataFrame:
-    """The import check: one row per table with its row and column count.
+def scan_summary(spark: SparkSession, root: str, frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The import check: one row per table with its row count and the columns its files have.
 
     Each count is a global aggregate over a full scan (Parquet answers it
     from footers where it can); the per-table rows are unioned, so all
@@ -67,7 +128,9 @@ def scan_summary(frames: dict[str, DataFrame]) -> DataFrame:
     """
     parts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count")
+            F.lit(name).alias("table_name"),
+            "row_count",
+            F.lit(len(file_columns(spark, table_path(root, name)))).alias("column_count"),
         )
         for name, df in frames.items()
     ]
