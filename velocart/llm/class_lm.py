@@ -16,7 +16,7 @@ slice. The driver gets bigrams of units: a table whose size the parameters
 bound.
 
 Defined results: a null text is empty and scores its end token; without
-training texts every token scores 0; repeated rows get equal scores; a null id
+training texts the base score is 0 and all classes are alike; repeated rows get equal scores; a null id
 counts as the empty text in the choice of training texts; an empty table gives
 no rows; other columns are not read.
 """

@@ -2,7 +2,7 @@
 
 A word is the mean of the embeddings of its character n-grams, between word
 marks, hashed into buckets; so misspellings and endings never seen share most
-of a word's vectors. A window of words is the mean of its words, a linear
+of a word's vectors. A window of two words is the mean of its words, a linear
 softmax scores it, and a document is as toxic as its worst window: one insult
 counts the same in a long text. Embeddings and softmax are trained jointly in
 numpy on whole texts of a bounded sample of labelled rows; a held-back part
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from velocart.llm.words import _TABLE, Known, distinct, grown, per_worker, span_hashes, split_words, text_chunks
 
 #: Labelled rows learned from, at most: of each label those with the smallest hashes of their ids.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 1600, 3200
-BUCKETS, DIM, WINDOW = 1 << 17, 8, 12
+TOXIC_SAMPLE, CLEAN_SAMPLE = 1400, 2800
+BUCKETS, DIM, WINDOW = 1 << 17, 8, 2
 NGRAMS = (3, 4, 5, 6)
 #: Scored words a worker remembers before it starts afresh.
 CACHE_WORDS = 1_500_000
@@ -98,7 +98,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 40, seed: int = 7) -> Model:
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7) -> Model:
     """Fit on three quarters of the texts, calibrate on the rest."""
     if len(set(toxic.tolist())) < 2:
         return Model(np.zeros(BUCKETS), 0.0, 0.0, -60.0)
@@ -144,7 +144,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 40, seed: int = 7)
         if epoch == 0:
             speed[0] += (0.01 * np.abs(by_bucket).max()) ** 2  # rare n-grams learn slowly
         speed[0] += by_bucket**2
-        embed -= (0.5 * by_bucket / np.sqrt(speed[0]))[:, None] * direction[None, :] / (np.abs(direction).max() + 1e-9)
+        embed -= (by_bucket / np.sqrt(speed[0]))[:, None] * direction[None, :] / (np.abs(direction).max() + 1e-9)
         for k, sign in ((0, -1), (1, 1)):
             speed[1][:, k] += by_softmax**2
             softmax[:, k] -= 0.1 * sign * by_softmax / np.sqrt(speed[1][:, k])
@@ -231,7 +231,7 @@ def score(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 40, seed: int = 7) -> Model:
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7) -> Model:
     """Fit on three quarters of the texts, calibrate on the rest."""
     if len(set(toxic.tolist())) < 2:
         return Model(np.zeros(BUCKETS), 0.0, 0.0, -60.0)
@@ -277,7 +277,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 40, seed: int = 7)
         if epoch == 0:
             speed[0] += (0.01 * np.abs(by_bucket).max()) ** 2  # rare n-grams learn slowly
         speed[0] += by_bucket**2
-        embed -= (0.5 * by_bucket / np.sqrt(speed[0]))[:, None] * direction[None, :] / (np.abs(direction).max() + 1e-9)
+        embed -= (by_bucket / np.sqrt(speed[0]))[:, None] * direction[None, :] / (np.abs(direction).max() + 1e-9)
         for k, sign in ((0, -1), (1, 1)):
             speed[1][:, k] += by_softmax**2
             softmax[:, k] -= 0.1 * sign * by_softmax / np.sqrt(speed[1][:, k])
