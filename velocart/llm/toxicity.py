@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 from velocart.llm.words import _TABLE, Known, distinct, grown, per_worker, span_hashes, split_words, text_chunks
 
 #: Labelled rows learned from, at most: of each label those with the smallest hashes of their ids.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 1400, 2800
+TOXIC_SAMPLE, CLEAN_SAMPLE = 800, 1600
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 2
 NGRAMS = (3, 4, 5, 6)
+#: Words whose n-grams are handled at once in training.
+BLOCK_WORDS = 30_000
 #: Scored words a worker remembers before it starts afresh.
 CACHE_WORDS = 1_500_000
 
@@ -98,15 +100,22 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7) -> Model:
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 40, seed: int = 7) -> Model:
     """Fit on three quarters of the texts, calibrate on the rest."""
     if len(set(toxic.tolist())) < 2:
         return Model(np.zeros(BUCKETS), 0.0, 0.0, -60.0)
     rng = np.random.default_rng(seed)
-    words = split_words(pa.array(texts, pa.large_string()), True, _GAP)
-    _, place, code = distinct(words.hashes())
-    bucket, count = subwords([words.word(i) for i in place])
-    size, of = windows(words.first)
+    batch = pa.record_batch([pa.array(texts, pa.large_string())], ["text"])
+    parts = [split_words(b.column(0), True, _GAP) for b in text_chunks(iter([batch]), "text")]
+    _, place, code = distinct(np.concatenate([p.hashes() for p in parts]))
+    before = np.cumsum([0] + [len(p.start) for p in parts])
+    part_of = np.searchsorted(before, place, "right") - 1
+    spelled = [parts[k].word(i - before[k]) for i, k in zip(place.tolist(), part_of.tolist())]
+    # the n-grams of the words, in blocks that bound the arrays made of them
+    blocks = [subwords(spelled[k : k + BLOCK_WORDS]) for k in range(0, len(place), BLOCK_WORDS)]
+    edges = range(BLOCK_WORDS, len(place), BLOCK_WORDS)
+    size, of = windows(np.cumsum(np.concatenate([[0], *(np.diff(p.first) for p in parts)])))
+    del parts, spelled, batch
     begin = np.cumsum(size) - size
     per_text = np.bincount(of, minlength=len(texts))
     full = np.flatnonzero(per_text)  # texts with words
@@ -121,12 +130,12 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7)
     softmax = rng.normal(0, 1.0, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2)
     speed = [np.full(BUCKETS, 1e-10), np.full((DIM, 2), 1e-10), np.full(2, 1e-10)]  # Adagrad
-    owner = np.repeat(np.arange(len(count)), count).astype(np.int32)
-    once = (~repeated(code, size)).astype(float)
+    once = (~repeated(code, size)).astype(np.float32)
 
     def margins() -> np.ndarray:
         per_bucket = embed @ (softmax[:, 1] - softmax[:, 0])
-        return np.add.reduceat(_mean(per_bucket[bucket], count)[code] * once, begin) / size + (bias[1] - bias[0])
+        per_word = np.concatenate([_mean(per_bucket[b], c) for b, c in blocks])
+        return np.add.reduceat(per_word[code] * once, begin) / size + (bias[1] - bias[0])
 
     for epoch in range(epochs):
         z = margins()
@@ -137,8 +146,8 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7)
         margin = top + np.log(total) / sharp
         slope = balance * (1 / (1 + np.exp(-margin)) - y)  # of the loss by a text's margin
         g = slope[groups] * e / total[groups]  # by a window's margin
-        by_word = np.bincount(code, np.repeat(g / size, size) * once, len(count))
-        by_bucket = np.bincount(bucket, (by_word / count)[owner], BUCKETS)
+        by_word = np.bincount(code, np.repeat(g / size, size) * once, len(place))
+        by_bucket = sum(np.bincount(b, np.repeat(w / c, c), BUCKETS) for (b, c), w in zip(blocks, np.split(by_word, edges)))
         direction = softmax[:, 1] - softmax[:, 0]
         by_softmax = embed.T @ by_bucket
         if epoch == 0:
@@ -231,14 +240,16 @@ def score(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7) -> Model:
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 40, seed: int = 7) -> Model:
     """Fit on three quarters of the texts, calibrate on the rest."""
     if len(set(toxic.tolist())) < 2:
         return Model(np.zeros(BUCKETS), 0.0, 0.0, -60.0)
     rng = np.random.default_rng(seed)
     words = split_words(pa.array(texts, pa.large_string()), True, _GAP)
     _, place, code = distinct(words.hashes())
-    bucket, count = subwords([words.word(i) for i in place])
+    # the n-grams of the words, in blocks that bound the arrays made of them
+    blocks = [subwords([words.word(i) for i in place[k : k + BLOCK_WORDS]]) for k in range(0, len(place), BLOCK_WORDS)]
+    edges = range(BLOCK_WORDS, len(place), BLOCK_WORDS)
     size, of = windows(words.first)
     begin = np.cumsum(size) - size
     per_text = np.bincount(of, minlength=len(texts))
@@ -254,12 +265,12 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7)
     softmax = rng.normal(0, 1.0, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2)
     speed = [np.full(BUCKETS, 1e-10), np.full((DIM, 2), 1e-10), np.full(2, 1e-10)]  # Adagrad
-    owner = np.repeat(np.arange(len(count)), count).astype(np.int32)
-    once = (~repeated(code, size)).astype(float)
+    once = (~repeated(code, size)).astype(np.float32)
 
     def margins() -> np.ndarray:
         per_bucket = embed @ (softmax[:, 1] - softmax[:, 0])
-        return np.add.reduceat(_mean(per_bucket[bucket], count)[code] * once, begin) / size + (bias[1] - bias[0])
+        per_word = np.concatenate([_mean(per_bucket[b], c) for b, c in blocks])
+        return np.add.reduceat(per_word[code] * once, begin) / size + (bias[1] - bias[0])
 
     for epoch in range(epochs):
         z = margins()
@@ -270,8 +281,8 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7)
         margin = top + np.log(total) / sharp
         slope = balance * (1 / (1 + np.exp(-margin)) - y)  # of the loss by a text's margin
         g = slope[groups] * e / total[groups]  # by a window's margin
-        by_word = np.bincount(code, np.repeat(g / size, size) * once, len(count))
-        by_bucket = np.bincount(bucket, (by_word / count)[owner], BUCKETS)
+        by_word = np.bincount(code, np.repeat(g / size, size) * once, len(place))
+        by_bucket = sum(np.bincount(b, np.repeat(w / c, c), BUCKETS) for (b, c), w in zip(blocks, np.split(by_word, edges)))
         direction = softmax[:, 1] - softmax[:, 0]
         by_softmax = embed.T @ by_bucket
         if epoch == 0:
