@@ -363,7 +363,7 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, n_slices: int) -
             size = np.diff(words.first)
             bonus = np.add.reduceat(step, words.first[:-1] + np.arange(n)) if n else step
             yield _rows(
-                n, slice=np.full(n, chunk % n_slices), kind=np.zeros(n, int), chunk=np.full(n, chunk), place=held + np.arange(n),
+                n, slice=(chunk + held + np.arange(n)) % n_slices, kind=np.zeros(n, int), chunk=np.full(n, chunk), place=held + np.arange(n),
                 doc_id=batch.column(0), n_tokens=size + 1, n_known=np.bincount(text[known], minlength=n) + (m.texts > 0), base=base, bonus=bonus,
             )
             keys.append(h[~known])
