@@ -27,6 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,14 +89,20 @@ def anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return key, text[ok], number[ok], low, high
 
 
-def _marks(text: np.ndarray, number: np.ndarray, ids: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Per text that has any: its id and the numbers, as bytes."""
-    if not len(text):
-        return [], []
+def _pack_marks(ids: np.ndarray, text: np.ndarray, number: np.ndarray) -> bytes:
+    """Numbers by text, for the texts that have any."""
     order = np.lexsort((number, text))
-    text, number = text[order], number[order].astype("<u4")
-    who, begin = np.unique(text, return_index=True)
-    return ids[who].tolist(), [p.tobytes() for p in np.split(number, begin[1:])]
+    used, begin = np.unique(text[order], return_index=True)
+    counts = np.diff(np.append(begin, len(text)))
+    head = np.array([len(used)], "<u4")
+    return b"".join(x.tobytes() for x in (head, ids[used].astype("<i8"), counts.astype("<u4"), number[order].astype("<u4")))
+
+
+def _unpack_marks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Id and number of each mark."""
+    k = int(np.frombuffer(data, "<u4", 1)[0])
+    ids, counts = np.frombuffer(data, "<i8", k, 4), np.frombuffer(data, "<u4", k, 4 + 8 * k)
+    return np.repeat(ids, counts), np.frombuffer(data, "<u4", -1, 4 + 12 * k)
 
 
 def _pack(key: np.ndarray, ids: np.ndarray, text: np.ndarray, number: np.ndarray, wide: bool) -> bytes:
@@ -125,22 +132,35 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key.astype(np.uint64), np.repeat(ids, counts), total - np.repeat(before, counts)
 
 
+#: Kind 0: a text (id); kind 1: marks of a flush (id); kind 2: entries of a flush (id) for a slice.
 ROW = "slice int, kind int, id long, doc_id long, n_words long, sha string, data binary"
 _NAMES = ["slice", "kind", "id", "doc_id", "n_words", "sha", "data"]
 
 
-def _rows(kind: int, slice_, id_=None, doc_id=None, n_words=None, sha=None, data=None) -> pa.RecordBatch:
+def _rows(kind: int, slice_, id_, doc_id=None, n_words=None, sha=None, data=None) -> pa.RecordBatch:
     k = len(slice_)
     types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
     columns = [slice_, [kind] * k, id_, doc_id, n_words, sha, data]
     return pa.RecordBatch.from_arrays([pa.nulls(k, t) if c is None else pa.array(c, t) for c, t in zip(columns, types)], _NAMES)
 
 
+def _twice(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries whose key occurs more than once, and those that are not the first of their key."""
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    again, later = np.zeros(len(key), bool), np.zeros(len(key), bool)
+    later[order[1:][same]] = True
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    return again, later
+
+
 class _Sender:
-    """Collects a task's entries, resolves repeats among them, and deals out the others."""
+    """Collects a task's entries, resolves repeats among them, and deals out the others, a flush at a time."""
 
     def __init__(self, n_slices: int, wide: bool):
         self.n, self.wide = n_slices, wide
+        self.flush_id = TaskContext.get().partitionId() << 24
         self.clear()
 
     def clear(self) -> None:
@@ -160,43 +180,36 @@ class _Sender:
         key, text, number = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
         ids = np.concatenate(self.ids)
         self.clear()
-        order = np.argsort(key, kind="stable")
-        same = key[order][1:] == key[order][:-1]
-        again, later = np.zeros(len(key), bool), np.zeros(len(key), bool)
-        later[order[1:][same]] = True
-        again[order[1:][same]] = True
-        again[order[:-1][same]] = True
-        who, data = _marks(text[again], number[again], ids)
-        if who:
-            yield _rows(1, [w % self.n for w in who], who, data=data)
-        sent = np.flatnonzero(~later)
-        key, text, number = key[sent], text[sent], number[sent]
+        again, later = _twice(key)
+        if again.any():
+            yield _rows(1, [self.flush_id % self.n], [self.flush_id], data=[_pack_marks(ids, text[again], number[again])])
+        key, text, number = key[~later], text[~later], number[~later]
         blobs = [(k, _pack(key[at], ids, text[at], number[at], self.wide)) for k, at in group_slices(key, self.n)]
-        yield _rows(2, [b[0] for b in blobs], data=[b[1] for b in blobs])
+        yield _rows(2, [b[0] for b in blobs], [self.flush_id] * len(blobs), data=[b[1] for b in blobs])
+        self.flush_id += 1
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """One slice: hashes that several tasks sent. Rows of other kinds pass."""
+    """One slice: marks of the hashes that several flushes sent. Rows of other kinds pass."""
     kind = table.column("kind").to_numpy()
-    through = table.filter(pa.array(kind != 2))
-    blobs = [b.as_py() for b in table.column("data").filter(pa.array(kind == 2))]
-    if not blobs:
+    through, sent = table.filter(pa.array(kind != 2)), table.filter(pa.array(kind == 2))
+    if not sent.num_rows:
         return through
-    parts = [_unpack(b) for b in blobs]
-    key, ids, number = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    del parts
-    order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    again = np.zeros(len(key), bool)
-    again[order[1:][same]] = True
-    again[order[:-1][same]] = True
-    texts, code = np.unique(ids[again], return_inverse=True)
-    who, data = _marks(code, number[again], texts)
-    return pa.concat_tables([through, pa.Table.from_batches([_rows(1, [0] * len(who), who, data=data)], through.schema)])
+    parts = [_unpack(b.as_py()) for b in sent.column("data")]
+    again, _ = _twice(np.concatenate([p[0] for p in parts]))
+    out, at = [], 0
+    for flush, (key, ids, number) in zip(sent.column("id").to_pylist(), parts):
+        own = again[at : at + len(key)]
+        at += len(key)
+        if own.any():
+            texts, code = np.unique(ids[own], return_inverse=True)
+            out.append((flush, _pack_marks(texts, code, number[own])))
+    marks = _rows(1, [0] * len(out), [f for f, _ in out], data=[d for _, d in out])
+    return pa.concat_tables([through, pa.Table.from_batches([marks], through.schema)])
 
 
 def first_pass(source: DataFrame, n_slices: int) -> DataFrame:
-    """Kind 0: every text with its words and their digest; kind 1: numbers of shared symbols by text."""
+    """Kind 0: every text with its words and their digest; kind 1: numbers of shared symbols."""
 
     def run(batches):
         sender = _Sender(n_slices, False)
@@ -216,11 +229,20 @@ def first_pass(source: DataFrame, n_slices: int) -> DataFrame:
 
 
 def _by_text(rows: DataFrame) -> DataFrame:
-    return rows.filter("kind = 1").groupBy("id").agg(F.collect_list("data").alias("marks"))
+    """(id, marks) of every text with marks. All texts of a flush, and so all marks of a text, meet in one group."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        ids, number = (np.concatenate(x) for x in zip(*(_unpack_marks(d) for d in table.column("data").to_pylist())))
+        order = np.lexsort((number, ids))
+        used, begin = np.unique(ids[order], return_index=True)
+        marks = [m.tobytes() for m in np.split(number[order], begin[1:])]
+        return pa.table({"id": pa.array(used, pa.int64()), "marks": pa.array(marks, pa.binary())})
+
+    return rows.filter("kind = 1").select("id", "data").groupBy("id").applyInArrow(gather, "id long, marks binary")
 
 
 def second_pass(candidates: DataFrame, n_slices: int) -> DataFrame:
-    """Kind 1: first words of repeated windows by text, of the windows with their middle in a shared symbol."""
+    """Kind 1: first words of repeated windows, of the windows with their middle in a shared symbol."""
 
     def run(batches):
         sender = _Sender(n_slices, True)
@@ -230,7 +252,7 @@ def second_pass(candidates: DataFrame, n_slices: int) -> DataFrame:
             chosen = np.zeros(len(text), bool)
             bounds = np.searchsorted(text, np.arange(len(ids) + 1))
             for i, marks in enumerate(batch.column(2).to_pylist()):
-                own = np.frombuffer(b"".join(marks), "<u4")
+                own = np.frombuffer(marks, "<u4")
                 chosen[bounds[i] : bounds[i + 1]] = np.isin(number[bounds[i] : bounds[i + 1]], own)
             count = (high - low + 1)[chosen]
             middle = np.repeat(low[chosen] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
@@ -262,7 +284,7 @@ def strip(cut: DataFrame) -> DataFrame:
             raw = words.data.tobytes()
             for i, marks in enumerate(batch.column(2).to_pylist()):
                 a, b = words.first[i], words.first[i + 1]
-                gone = cover(b - a, np.unique(np.frombuffer(b"".join(marks), "<u4")).astype(np.int64))
+                gone = cover(b - a, np.unique(np.frombuffer(marks, "<u4")).astype(np.int64))
                 left = np.flatnonzero(~gone) + a
                 text = b" ".join(raw[s:e] for s, e in zip(words.start[left].tolist(), words.end[left].tolist()))
                 removed.append(int(gone.sum()))
