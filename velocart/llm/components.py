@@ -22,13 +22,11 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         parent = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("p"))
-        parent = stored(parent, "parents")
         up = parent.select(F.col("v").alias("p"), F.col("p").alias("pp"))
-        parent = stored(parent.join(up, "p").select("v", F.col("pp").alias("p")), "grandparents")
+        parent = stored(parent.join(up, "p").select("v", F.col("pp").alias("p")), "parents")
         found = found.join(parent, F.col("root") == F.col("v"), "left").select("node", F.coalesce("p", "root").alias("root"))
-        found = stored(found, "roots")
         left = parent.select(F.col("v").alias("a"), F.col("p").alias("a2"))
         right = parent.select(F.col("v").alias("b"), F.col("p").alias("b2"))
         moved = edges.join(left, "a").join(right, "b").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b"))
         edges = stored(moved.filter("a <> b").distinct(), "edges")
-    return found
+    return stored(found, "roots")

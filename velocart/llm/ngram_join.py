@@ -9,12 +9,15 @@ larger the sets; only those prefixes travel, dealt out by shingle. Each task sto
 prefixes in a trie, most shared shingles first, so that sets with a common
 beginning share nodes, and walks it with bounds on the lengths left.
 
-Equal sets are one class from the start. The first walk links every class to
-one central class it shares most with; those pairs are verified on the whole
-sets and give a first partition. The second walk lists all pairs that share a
-prefix shingle across parts of that partition, prunes subtrees inside one part
-or out of the length bounds, and those are verified too. So a group of k near
-copies costs about k pairs, and no link between different parts is lost.
+Equal sets are one class from the start. How many of a class's prefix shingles
+any other class has bounds what it can share with one. In ``STAR_ROUNDS``
+rounds every part found so far (a class at first) is paired with the class of
+another part it shares most with, among ``HEADS`` classes of each shingle that
+have most shared shingles; those pairs are verified on the whole sets and join
+parts. Then the trie is walked for all pairs that share a prefix shingle across
+parts: subtrees inside one part or out of the bounds are pruned, and the pairs
+left that were not tried before are verified too. So a group of k near copies
+costs about k pairs a round, and no link between different parts is lost.
 
 Defined results: null and empty texts, and those without words, have no
 shingles and are alone; fewer than five words are one shingle; repeated rows
@@ -35,9 +38,11 @@ from velocart.llm.words import group_slices, mix, split_words, span_hashes, text
 
 WIDTH = 5
 #: Counters of the frequency table, and the pieces it is summed in. Its size does not depend on the input.
-COUNTERS, BLOCKS = 1 << 18, 64
+COUNTERS, BLOCKS = 1 << 22, 256
 #: Members verified against a class in one group; more members make more groups.
 GROUP = 500
+#: Rounds that pair parts before the trie is walked, and classes a shingle offers as partners in a round.
+STAR_ROUNDS, HEADS = 2, 2
 #: Bytes of text between two flushes of a task's prefixes.
 FLUSH = 24 << 20
 
@@ -116,40 +121,19 @@ class Trie:
 
 
 def paths_of(token: np.ndarray, member: np.ndarray) -> tuple[list[int], list[list[int]]]:
-    """For each member its shingles, the most shared first; members sharing most come first."""
+    """For each member its shingles, the most shared first."""
     _, code, count = np.unique(token, return_inverse=True, return_counts=True)
-    weight = count[code]
-    order = np.lexsort((token, -weight, member))
+    order = np.lexsort((token, -count[code], member))
     names, begin = np.unique(member[order], return_index=True)
-    central = np.add.reduceat(weight[order], begin) if len(begin) else begin
-    cut = np.split(token[order], begin[1:])
-    by = np.lexsort((names, -central))
-    return names[by].tolist(), [cut[i].tolist() for i in by.tolist()]
+    return names.tolist(), [p.tolist() for p in np.split(token[order], begin[1:])]
 
 
-def star_pairs(token: np.ndarray, member: np.ndarray, n: np.ndarray, percent: int) -> dict[tuple[int, int], int]:
-    """(central, member): shared shingles. Every member with the first, most central class in bounds at each of its shingles."""
-    size = dict(zip(member.tolist(), n.tolist()))
-    names, paths = paths_of(token, member)
-    trie = Trie()
-    out: dict[tuple[int, int], int] = {}
-    for name, path in zip(names, paths):
-        mine, done = size[name], -1
-        for depth, others in trie.partners(path, mine, None, percent):
-            if depth == done:
-                continue
-            head = next((o for o in others if percent * max(mine, size[o]) <= 100 * min(mine, size[o])), None)
-            if head is not None:
-                out[(head, name)] = out.get((head, name), 0) + 1
-                done = depth
-        trie.insert(name, path, mine, name)
-    return out
-
-
-def cross_pairs(token, member, n, position, part, percent: int) -> dict[tuple[int, int], int]:
-    """All pairs of different parts that share shingles here and can reach the similarity: how many they share."""
+def cross_pairs(token, member, n, position, part, common, percent: int) -> dict[tuple[int, int], int]:
+    """All pairs of different parts that share shingles here and can reach the similarity: how many they share.
+    ``common``: how many prefix shingles of the member other classes have, over all slices."""
     size = dict(zip(member.tolist(), n.tolist()))
     part_of = dict(zip(member.tolist(), part.tolist()))
+    most = dict(zip(member.tolist(), common.tolist()))
     place: dict[tuple[int, int], int | None] = {}
     for m, t, at in zip(member.tolist(), token.tolist(), position.tolist()):
         place[(m, t)] = None if (m, t) in place else at  # shortened hashes can meet
@@ -165,12 +149,13 @@ def cross_pairs(token, member, n, position, part, percent: int) -> dict[tuple[in
                 theirs = size[other]
                 if part_of[other] == own or percent * max(mine, theirs) > 100 * min(mine, theirs):
                     continue
+                # what is shared in the prefixes, and beyond the one that ends first
+                rest = -(-percent * max(mine, theirs) // 100) - 1
+                reach = min(most[name], most[other]) + rest
                 there = place[(other, t)]
-                # at most all before, this one, and all after it in the shorter rest
-                if here is None or there is None:
-                    reach = mine
-                else:
-                    reach = min(here, there) + min(mine - here, theirs - there)
+                if here is not None and there is not None:
+                    # at most all before, this one, and all after it in the shorter rest
+                    reach = min(reach, min(here, there) + min(mine - here, theirs - there))
                 if (100 + percent) * reach < percent * (mine + theirs):
                     found[other] = -len(path) - 1  # out of reach, whatever else is shared
                 else:
@@ -227,11 +212,12 @@ def survey(source: DataFrame) -> DataFrame:
     """One pass over all texts: rows of kind 0 (doc_id, file, row, n, name) and of kind 1, the counters by block."""
 
     def run(batches):
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.int32)
         for batch in text_chunks(batches, "text"):
             sets = shingles(batch.column(3))
             if any(len(s) for s in sets):
-                counts += np.bincount((np.concatenate(sets) % _U(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+                at, n = np.unique((np.concatenate(sets) % _U(COUNTERS)).astype(np.int64), return_counts=True)
+                counts[at] += n.astype(np.int32)
             n = [len(s) for s in sets]
             names = [class_of(s) if len(s) else None for s in sets]
             k = len(n)
@@ -241,7 +227,7 @@ def survey(source: DataFrame) -> DataFrame:
                 ["kind", "doc_id", "file", "row", "n", "name", "counts"],
             )
         if counts.any():
-            parts = [p.astype("<u4").tobytes() for p in np.split(counts, BLOCKS)]
+            parts = [p.tobytes() for p in np.split(np.minimum(counts, 255).astype(np.uint8), BLOCKS)]
             k = len(parts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([1] * k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.string()), pa.array(range(k), pa.int64()),
@@ -253,23 +239,25 @@ def survey(source: DataFrame) -> DataFrame:
 
 
 def frequencies(surveyed: DataFrame) -> np.ndarray:
-    """The counter table: ``BLOCKS`` rows of fixed size reach the driver."""
+    """How often shingles of each counter occur, on a logarithmic scale: the global order goes by it. A task
+    counts to 255; ``BLOCKS`` rows of fixed size reach the driver."""
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = np.frombuffer(part, "<u4").astype(np.int64)
-                total[block] = total[block] + got if block in total else got
+                if block not in total:
+                    total[block] = np.zeros(COUNTERS // BLOCKS, np.int64)
+                total[block] += np.frombuffer(part, np.uint8)
         if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.int64()), pa.array([t.tobytes() for t in total.values()], pa.binary())], ["row", "counts"]
-            )
+            scaled = [np.round(16 * np.log2(1 + t)).astype("<u2").tobytes() for t in total.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(scaled, pa.binary())], ["row", "counts"])
 
-    blocks = surveyed.filter("kind = 1").select("row", "counts").repartition(BLOCKS, "row").mapInArrow(add, "row long, counts binary")
-    out = np.zeros((BLOCKS, COUNTERS // BLOCKS), np.int64)
+    blocks = surveyed.filter("kind = 1").select("row", "counts")
+    blocks = blocks.repartition(slices(surveyed.sparkSession), "row").mapInArrow(add, "row long, counts binary")
+    out = np.zeros((BLOCKS, COUNTERS // BLOCKS), np.uint16)
     for r in blocks.collect():
-        out[r["row"]] = np.frombuffer(r["counts"], np.int64)
+        out[r["row"]] = np.frombuffer(r["counts"], "<u2")
     return out.reshape(-1)
 
 
@@ -309,49 +297,51 @@ def prefixes(source: DataFrame, counts, n_slices: int, percent: int) -> DataFram
     return source.select("text").mapInArrow(run, "slice int, blob binary")
 
 
-def first_walk(dealt: DataFrame, n_slices: int, percent: int) -> DataFrame:
-    """Per slice: kind 0 entries of shared shingles (slice, token, name, n, position); kind 1 star pairs
-    (name: central, other, n: shared, token and position: their set sizes)."""
+def shared_entries(dealt: DataFrame) -> DataFrame:
+    """Per slice (slice, token, name, n, position): the prefix shingles that two classes have."""
 
-    def walk(table: pa.Table) -> pa.Table:
+    def meet(table: pa.Table) -> pa.Table:
         k = table.column("slice")[0].as_py()
         parts = [_unpack(b) for b in table.column("blob").to_pylist()]
-        token, name, n, position = _shared(*(np.concatenate([p[i] for p in parts]) for i in range(4)))
+        columns = _shared(*(np.concatenate([p[i] for p in parts]) for i in range(4)))
+        out = {"slice": pa.array(np.full(len(columns[0]), k, np.int32))}
+        return pa.table(out | {c: pa.array(v.astype(np.int64)) for c, v in zip(("token", "name", "n", "position"), columns)})
+
+    return dealt.groupBy("slice").applyInArrow(meet, "slice int, token long, name long, n long, position long")
+
+
+def star_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: for each part its class and a head of another part that share most, if they can be similar."""
+    best = [F.max_by("name", F.struct("common", F.xxhash64("name", F.lit(k)))).alias(f"h{k}") for k in range(HEADS)]
+    heads = entries.groupBy("slice", "token").agg(F.min("part").alias("p"), F.max("part").alias("q"), *best)
+    heads = heads.filter("p <> q").select("slice", "token", F.array_distinct(F.array(*[f"h{k}" for k in range(HEADS)])).alias("heads"))
+    pairs = entries.join(heads, ["slice", "token"]).select("name", "n", "part", F.explode("heads").alias("a")).filter("name <> a")
+    pairs = pairs.groupBy(F.col("name").alias("b"), "a").agg(F.max("n").alias("n_b"), F.max("part").alias("part"), F.count(F.lit(1)).alias("shared"))
+    classes = entries.groupBy(F.col("name").alias("a")).agg(F.max("n").alias("n_a"), F.max("part").alias("part_a"))
+    pairs = pairs.join(classes, "a").filter(F.col("part") != F.col("part_a"))
+    pairs = pairs.filter(reachable(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
+    chosen = pairs.groupBy("part").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("best"))
+    return chosen.select(F.least("best.a", "best.b").alias("a"), F.greatest("best.a", "best.b").alias("b")).distinct()
+
+
+PAIRS = "a long, b long, n_a long, n_b long, shared long"
+
+
+def walk(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs across parts that can be similar."""
+    several = entries.groupBy("slice", "token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
+    left = entries.join(several.select("slice", "token"), ["slice", "token"], "left_semi")
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = ("token", "name", "n", "position", "part", "common")
+        token, name, n, position, part, common = (table.column(c).to_numpy() for c in columns)
+        pairs = cross_pairs(token, name, n, position, part, common, percent)
         size = dict(zip(name.tolist(), n.tolist()))
-        pairs = star_pairs(token, name, n, percent)
-        a, b, shared = [p for p, _ in pairs], [p for _, p in pairs], list(pairs.values())
-        e, s = len(token), len(a)
-        return pa.table(
-            {
-                "kind": pa.array(np.repeat([0, 1], [e, s]).astype(np.int32)),
-                "slice": pa.array(np.full(e + s, k, np.int32)),
-                "token": pa.array(np.concatenate([token.astype(np.int64), np.array([size[x] for x in a], np.int64)])),
-                "name": pa.array(np.concatenate([name, np.array(a, np.int64)])),
-                "other": pa.array(np.concatenate([np.zeros(e, np.int64), np.array(b, np.int64)])),
-                "n": pa.array(np.concatenate([n.astype(np.int64), np.array(shared, np.int64)])),
-                "position": pa.array(np.concatenate([position.astype(np.int64), np.array([size[x] for x in b], np.int64)])),
-            }
-        )
-
-    schema = "kind int, slice int, token long, name long, other long, n long, position long"
-    return dealt.groupBy("slice").applyInArrow(walk, schema)
-
-
-def second_walk(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs across parts, of the shingles that occur in more than one part."""
-    spread = entries.groupBy("slice", "token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
-    left = entries.join(spread.select("slice", "token"), ["slice", "token"], "left_semi")
-
-    def walk(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).to_numpy() for c in ("token", "name", "n", "position", "part")]
-        size = dict(zip(columns[1].tolist(), columns[2].tolist()))
-        pairs = cross_pairs(*columns, percent)
         a, b = [p for p, _ in pairs], [p for _, p in pairs]
         values = (a, b, [size[x] for x in a], [size[x] for x in b], list(pairs.values()))
-        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("a", "b", "n_a", "n_b", "shared"), values)})
+        return pa.table({c.split()[0]: pa.array(v, pa.int64()) for c, v in zip(PAIRS.split(", "), values)})
 
-    found = left.groupBy("slice").applyInArrow(walk, "a long, b long, n_a long, n_b long, shared long")
-    found = found.groupBy("a", "b").agg(F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"), F.sum("shared").alias("shared"))
+    found = left.groupBy("slice").applyInArrow(run, PAIRS).groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     return found.filter(reachable(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
@@ -361,7 +351,6 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     The members b of a class a are split into groups of about ``GROUP``; each
     group gets the text of a, and is read as a stream: one set is held.
     """
-    pairs = stored(pairs.select("a", "b"), "pairs")
     size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("long").alias("groups"))
     members = pairs.join(size, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).alias("g"), F.lit(1).alias("role"), F.col("b").alias("name"))
     heads = size.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g"), F.lit(0).alias("role"), F.col("a").alias("name"))
@@ -392,27 +381,28 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     source = located(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "text": F.col(f"`{text}`").cast("string")}, "join-docs")
     source = source.select("doc_id", "file", "row", F.coalesce("text", F.lit("")).alias("text"))
     surveyed = stored(survey(source), "survey")
-    counts = spark.sparkContext.broadcast(frequencies(surveyed))  # COUNTERS integers, whatever the input
+    counts = spark.sparkContext.broadcast(frequencies(surveyed))  # COUNTERS small integers, whatever the input
     rows = surveyed.filter("kind = 0").select("doc_id", "file", "row", "n", "name")
 
     dealt = prefixes(source, counts, n_slices, percent).repartition(n_slices, "slice")
-    walked = stored(first_walk(dealt, n_slices, percent), "walk")
-    entries = walked.filter("kind = 0").select("slice", "token", "name", "n", "position")
-    stars = walked.filter("kind = 1").groupBy(F.col("name").alias("a"), F.col("other").alias("b"))
-    stars = stars.agg(F.sum("n").alias("shared"), F.max("token").alias("n_a"), F.max("position").alias("n_b"))
-    stars = stars.filter(reachable(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
-    stars = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+    entries = stored(shared_entries(dealt), "shared")
 
     # a text of every class that shares a shingle with another
     some = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min(F.struct("file", "row")).alias("at"))
     some = some.join(entries.select("name").distinct(), "name").select("name", "at.file", "at.row")
     texts = stored(source.select("file", "row", "text").join(some, ["file", "row"]).select("name", "text"), "texts")
 
-    links = stored(verified(stars, texts, percent), "links")
-    first = components(links)
-    parted = entries.join(first, F.col("name") == F.col("node"), "left").withColumn("part", F.coalesce("root", "name")).drop("node", "root")
-    more = stored(verified(second_walk(parted, percent), texts, percent), "links")
-    found = components(links.union(more))
+    common = entries.groupBy("name").agg(F.count(F.lit(1)).alias("common"))
+    entries = stored(entries.join(common, "name").select("slice", "token", "name", "n", "position", "common"), "entries")
+    parted, links, tried = entries.withColumn("part", F.col("name")), None, None
+    for star in (True,) * STAR_ROUNDS + (False,):
+        pairs = star_pairs(parted, percent) if star else walk(parted, percent)
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        new = stored(verified(pairs, texts, percent), "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = new if links is None else links.unionByName(new)
+        found = components(links)
+        parted = entries.join(found, F.col("name") == F.col("node"), "left").withColumn("part", F.coalesce("root", "name")).drop("node", "root")
 
     roots = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("smallest"))
     roots = roots.join(found, F.col("name") == F.col("node"), "left").select("name", "smallest", F.coalesce("root", "name").alias("root"))
