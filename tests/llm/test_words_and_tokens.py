@@ -10,7 +10,7 @@ from tests.llm.conftest import LOWER, WORD
 from velocart.llm import words as w
 from velocart.llm.tokens import Encoder
 
-CHARACTERS = [" ", " ", "\n", "\t", " ", " ", "　", "\u0085", "\x1c", "a", "B", "é", "é", "1", "'s", ".", ",", "!", "日", "😀", "<|endoftext|>", "ß", "İ", "Σ", "?x"]
+CHARACTERS = ["A", "I", "K", "\u0307", "\u030a", " ", " ", "\n", "\t", " ", " ", "　", "\u0085", "\x1c", "a", "B", "é", "é", "1", "'s", ".", ",", "!", "日", "😀", "<|endoftext|>", "<|ENDOFTEXT|>", "ß", "İ", "Σ", "?x"]
 
 
 def random_texts(n, seed=1):

@@ -18,10 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-from velocart.llm.words import _SPACE, _TABLE, Known, distinct, grown, per_worker, span_hashes, text_bytes
+from velocart.llm.words import _LOWER, _SPACE, _TABLE, Known, distinct, grown, per_worker, span_hashes, text_bytes
 
 #: Distinct segments a worker remembers before it starts afresh.
 CACHE_SEGMENTS = 1_500_000
+#: The special token that stands between segments encoded together, and how many are.
+MARK, TOGETHER = "<|endoftext|>", 200
 
 # After a cut stands " " and one of these: ASCII that is not white space, or the
 # first byte of a character that can't be white space (U+0085, U+00A0, U+1680,
@@ -59,8 +61,24 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        # a tokenizer that lower-cases gives "The" and "the" the same ids
+        self.folds = '"type":"Lowercase"' in definition.replace(" ", "")
+        # a special token between segments keeps them apart in one call
+        self.mark = self.tokenizer.token_to_id(MARK)
         self.clear()
 
+    def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts in a row, and how many each has."""
+        if self.mark is None or "<|" in "".join(parts):
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+            return np.fromiter(chain.from_iterable(coded), np.int32, int(lengths.sum())), lengths
+        joined = [MARK.join(parts[i : i + TOGETHER]) for i in range(0, len(parts), TOGETHER)]
+        coded = [e.ids + [self.mark] for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(coded), np.int32)
+        marks = np.flatnonzero(ids == self.mark)
+        return ids[ids != self.mark], np.diff(marks, prepend=-1) - 1
+
     def clear(self) -> None:
         self.known = Known()
         # per slot the place of its ids
@@ -69,9 +87,7 @@ class Encoder:
 
     def _remember(self, keys: np.ndarray, parts: list[str]) -> np.ndarray:
         """Encode new segments; returns their slots."""
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        fresh = np.fromiter(chain.from_iterable(coded), np.int32, int(lengths.sum()))
+        fresh, lengths = self._ids(parts)
         slots = self.known.add(keys)
         n = int(slots[0])
         self.begin, self.size = grown(self.begin, n + len(keys)), grown(self.size, n + len(keys))
@@ -87,6 +103,8 @@ class Encoder:
         if len(self.known) > CACHE_SEGMENTS:
             self.clear()
         data, bounds, first = segments(texts)
+        if self.folds and b"<|" not in data.tobytes():  # special tokens are told apart by case
+            data = _LOWER[data]
         keys, place, code = distinct(span_hashes(_TABLE[data], bounds[:-1], bounds[1:]))
         slots = self.known.find(keys)
         new = np.flatnonzero(slots < 0)
