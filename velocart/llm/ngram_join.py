@@ -12,8 +12,9 @@ beginning share nodes, and walks it with bounds on the lengths left.
 Equal sets are one class from the start. How many of a class's prefix shingles
 any other class has bounds what it can share with one. In ``STAR_ROUNDS``
 rounds every part found so far (a class at first) is paired with the class of
-another part it shares most with, among ``HEADS`` classes of each shingle that
-have most shared shingles; those pairs are verified on the whole sets and join
+another part it shares most with, among the class with most shared shingles of
+each shingle and ``HEADS`` that hashes pick anew each round; those pairs, tried
+once each, are verified on the whole sets and join
 parts. Then the trie is walked for all pairs that share a prefix shingle across
 parts: subtrees inside one part or out of the bounds are pruned, and the pairs
 left that were not tried before are verified too. So a group of k near copies
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velocart.llm.components import components
@@ -42,7 +43,7 @@ COUNTERS, BLOCKS = 1 << 22, 256
 #: Members verified against a class in one group; more members make more groups.
 GROUP = 500
 #: Rounds that pair parts before the trie is walked, and classes a shingle offers as partners in a round.
-STAR_ROUNDS, HEADS = 2, 2
+STAR_ROUNDS, HEADS = 3, 2
 #: Bytes of text between two flushes of a task's prefixes.
 FLUSH = 24 << 20
 
@@ -128,9 +129,9 @@ def paths_of(token: np.ndarray, member: np.ndarray) -> tuple[list[int], list[lis
     return names.tolist(), [p.tolist() for p in np.split(token[order], begin[1:])]
 
 
-def cross_pairs(token, member, n, position, part, common, percent: int) -> dict[tuple[int, int], int]:
-    """All pairs of different parts that share shingles here and can reach the similarity: how many they share.
-    ``common``: how many prefix shingles of the member other classes have, over all slices."""
+def cross_pairs(token, member, n, position, part, common, percent: int) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """All pairs (a < b) of different parts that share shingles here and can reach the similarity: how many, and
+    the last position of one in a and in b. ``common``: how many prefix shingles of a member others have."""
     size = dict(zip(member.tolist(), n.tolist()))
     part_of = dict(zip(member.tolist(), part.tolist()))
     most = dict(zip(member.tolist(), common.tolist()))
@@ -141,7 +142,7 @@ def cross_pairs(token, member, n, position, part, common, percent: int) -> dict[
     trie, out = Trie(), {}
     for name, path in zip(names, paths):
         mine, own = size[name], part_of[name]
-        found: dict[int, int] = {}
+        found: dict[int, tuple[int, int, int] | None] = {}
         for depth, others in trie.partners(path, mine, own, percent):
             t = path[depth]
             here = place[(name, t)]
@@ -149,31 +150,29 @@ def cross_pairs(token, member, n, position, part, common, percent: int) -> dict[
                 theirs = size[other]
                 if part_of[other] == own or percent * max(mine, theirs) > 100 * min(mine, theirs):
                     continue
-                # what is shared in the prefixes, and beyond the one that ends first
-                rest = -(-percent * max(mine, theirs) // 100) - 1
-                reach = min(most[name], most[other]) + rest
                 there = place[(other, t)]
+                shared, i, j = found.get(other) or (0, 0, 0)
                 if here is not None and there is not None:
-                    # at most all before, this one, and all after it in the shorter rest
-                    reach = min(reach, min(here, there) + min(mine - here, theirs - there))
-                if (100 + percent) * reach < percent * (mine + theirs):
-                    found[other] = -len(path) - 1  # out of reach, whatever else is shared
-                else:
-                    found[other] = found.get(other, 0) + 1
-        for other, shared in found.items():
-            if shared > 0:
-                out[(min(name, other), max(name, other))] = shared
+                    # all before, or all that the prefixes share; this one; and all after it in the shorter rest
+                    after = min(mine - here, theirs - there) - 1
+                    reach = min(min(here, there) + 1, min(most[name], most[other])) + after
+                    if (100 + percent) * reach < percent * (mine + theirs) and min(here, there) + 1 <= min(most[name], most[other]):
+                        found[other] = None  # out of reach, whatever else is shared
+                    elif (100 + percent) * (min(most[name], most[other]) + after) < percent * (mine + theirs):
+                        found[other] = None
+                    if other in found and found[other] is None:
+                        continue
+                    i, j = max(i, here), max(j, there)
+                if other not in found or found[other] is not None:
+                    found[other] = (shared + 1, i, j)
+        for other, what in found.items():
+            if what is not None:
+                shared, i, j = what
+                out[(min(name, other), max(name, other))] = (shared, i, j) if name < other else (shared, j, i)
         trie.insert(name, path, mine, own)
     return out
 
 
-def reachable(shared: Column, n_a: Column, n_b: Column, percent: int) -> Column:
-    """Whether sets that share ``shared`` shingles of their prefixes can be similar: beyond the prefix that
-    ends first in the global order, at most the rest of that set is shared."""
-    rest = [F.ceil(n * percent / 100) - 1 for n in (n_a, n_b)]
-    return (100 + percent) * (shared + F.greatest(*rest)) >= percent * (n_a + n_b)
-
-
 ENTRY = np.dtype([("token", "<u4"), ("owner", "<u4"), ("position", "<u4")])
 OWNER = np.dtype([("name", "<i8"), ("n", "<u4")])
 
@@ -310,25 +309,38 @@ def shared_entries(dealt: DataFrame) -> DataFrame:
     return dealt.groupBy("slice").applyInArrow(meet, "slice int, token long, name long, n long, position long")
 
 
-def star_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: for each part its class and a head of another part that share most, if they can be similar."""
-    best = [F.max_by("name", F.struct("common", F.xxhash64("name", F.lit(k)))).alias(f"h{k}") for k in range(HEADS)]
-    heads = entries.groupBy("slice", "token").agg(F.min("part").alias("p"), F.max("part").alias("q"), *best)
-    heads = heads.filter("p <> q").select("slice", "token", F.array_distinct(F.array(*[f"h{k}" for k in range(HEADS)])).alias("heads"))
-    pairs = entries.join(heads, ["slice", "token"]).select("name", "n", "part", F.explode("heads").alias("a")).filter("name <> a")
-    pairs = pairs.groupBy(F.col("name").alias("b"), "a").agg(F.max("n").alias("n_b"), F.max("part").alias("part"), F.count(F.lit(1)).alias("shared"))
-    classes = entries.groupBy(F.col("name").alias("a")).agg(F.max("n").alias("n_a"), F.max("part").alias("part_a"))
-    pairs = pairs.join(classes, "a").filter(F.col("part") != F.col("part_a"))
-    pairs = pairs.filter(reachable(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
+def star_pairs(entries: DataFrame, percent: int, salt: int, tried: DataFrame | None) -> DataFrame:
+    """(a, b), a < b, not tried: for each part its class and a head of another part that share most, if they are
+    likely similar (the bound of the smaller rest; what it misses is left to the walk)."""
+    heads = [F.max_by("name", F.struct("common", "name"))]
+    heads += [F.max_by("name", F.xxhash64("name", F.lit(HEADS * salt + k))) for k in range(HEADS)]
+    best = entries.groupBy("slice", "token").agg(
+        F.min("part").alias("p"), F.max("part").alias("q"), *[h.alias(f"h{k}") for k, h in enumerate(heads)]
+    )
+    best = best.filter("p <> q").select("slice", "token", F.array_distinct(F.array(*[f"h{k}" for k in range(len(heads))])).alias("heads"))
+    pairs = entries.join(best, ["slice", "token"]).select("name", "n", "part", F.explode("heads").alias("head")).filter("name <> head")
+    pairs = pairs.groupBy("name", "head").agg(F.max("n").alias("n"), F.max("part").alias("part"), F.count(F.lit(1)).alias("shared"))
+    classes = entries.groupBy(F.col("name").alias("head")).agg(F.max("n").alias("n_head"), F.max("part").alias("part_head"))
+    pairs = pairs.join(classes, "head").filter(F.col("part") != F.col("part_head"))
+    rest = F.ceil(F.least("n", "n_head") * percent / 100) - 1
+    pairs = pairs.filter((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("n") + F.col("n_head")))
+    pairs = pairs.select("part", "shared", F.least("name", "head").alias("a"), F.greatest("name", "head").alias("b"))
+    if tried is not None:
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
     chosen = pairs.groupBy("part").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("best"))
-    return chosen.select(F.least("best.a", "best.b").alias("a"), F.greatest("best.a", "best.b").alias("b")).distinct()
+    return chosen.select("best.a", "best.b").distinct()
 
 
-PAIRS = "a long, b long, n_a long, n_b long, shared long"
+PAIRS = "a long, b long, n_a long, n_b long, shared long, last_a long, last_b long"
 
 
-def walk(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs across parts that can be similar."""
+def walk(entries: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
+    """(a, b), a < b: all pairs across parts that can be similar and were not tried.
+
+    Beyond the last shingle that the prefixes share, at most the shorter rest
+    of the two sets is shared; and beyond the prefix that ends first, at most
+    the rest of its set.
+    """
     several = entries.groupBy("slice", "token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
     left = entries.join(several.select("slice", "token"), ["slice", "token"], "left_semi")
 
@@ -338,11 +350,17 @@ def walk(entries: DataFrame, percent: int) -> DataFrame:
         pairs = cross_pairs(token, name, n, position, part, common, percent)
         size = dict(zip(name.tolist(), n.tolist()))
         a, b = [p for p, _ in pairs], [p for _, p in pairs]
-        values = (a, b, [size[x] for x in a], [size[x] for x in b], list(pairs.values()))
+        shared = [list(x) for x in zip(*pairs.values())] or [[], [], []]
+        values = (a, b, [size[x] for x in a], [size[x] for x in b], *shared)
         return pa.table({c.split()[0]: pa.array(v, pa.int64()) for c, v in zip(PAIRS.split(", "), values)})
 
-    found = left.groupBy("slice").applyInArrow(run, PAIRS).groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
-    return found.filter(reachable(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    found = left.groupBy("slice").applyInArrow(run, PAIRS).groupBy("a", "b", "n_a", "n_b")
+    found = found.agg(F.sum("shared").alias("shared"), F.max("last_a").alias("last_a"), F.max("last_b").alias("last_b"))
+    beyond = F.least(F.col("n_a") - 1 - F.col("last_a"), F.col("n_b") - 1 - F.col("last_b"))
+    rest = F.ceil(F.greatest("n_a", "n_b") * percent / 100) - 1
+    reach = F.col("shared") + F.least(beyond, rest)
+    pairs = found.filter((100 + percent) * reach >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -395,9 +413,9 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     common = entries.groupBy("name").agg(F.count(F.lit(1)).alias("common"))
     entries = stored(entries.join(common, "name").select("slice", "token", "name", "n", "position", "common"), "entries")
     parted, links, tried = entries.withColumn("part", F.col("name")), None, None
-    for star in (True,) * STAR_ROUNDS + (False,):
-        pairs = star_pairs(parted, percent) if star else walk(parted, percent)
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    for salt in (*range(STAR_ROUNDS), None):
+        pairs = walk(parted, percent, tried) if salt is None else star_pairs(parted, percent, salt, tried)
+        pairs = stored(pairs, "pairs")
         new = stored(verified(pairs, texts, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
