@@ -195,3 +195,17 @@ def test_exchange_finds_the_classes():
     bigrams[40, :40] = bigrams[:40, 40] = 1
     found = class_lm.exchange(bigrams, 5, 10)
     assert found[40] == 0 and all(len(set(found[:40][of == k].tolist())) == 1 for k in range(4))
+
+
+def test_class_lm_clusters_words_beyond_the_most_frequent(monkeypatch, spark):
+    """Words of two groups stand in turn; their endings say nothing, and only four words are clustered one by one."""
+    monkeypatch.setattr(class_lm, "FREQUENT", 4)
+    rng = np.random.default_rng(4)
+    groups = [["x", "xx"] + [f"a{i}zzz" for i in range(40)], ["y", "yy"] + [f"b{i}zzz" for i in range(40)]]
+    weight = np.array([0.3, 0.2] + [0.5 / 40] * 40)
+    texts = [" ".join(str(rng.choice(groups[k % 2], p=weight)) for k in range(40)) for _ in range(300)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model, vocabulary = class_lm.build(frame.select("text"), 4)
+    other = spark.createDataFrame([(1, "a1zzz b2zzz " * 10), (2, "a1zzz a2zzz " * 10)], "doc_id long, text string")
+    got = {r.doc_id: r for r in class_lm.score(other, model, vocabulary, 4).collect()}
+    assert got[1].score - got[1].base_score > got[2].score - got[2].base_score + 5

@@ -4,16 +4,21 @@ Words are counted over all training texts. The most frequent ``FREQUENT``
 words and, for all others, ``SHAPES`` groups by word ending are units; the
 units' bigrams are counted over all training texts and the exchange algorithm
 assigns units to classes: it moves one unit at a time to the class that raises
-the likelihood of the class bigrams most. A token's probability is the
-transition from the class before, smoothed towards the class's share, times
-the word's share of its class. The word shares are the smoothed unigram
-estimates of the base score, so the score is the base score plus what each
-class transition adds.
-
-Counters of all words stay in hash slices on the executors; only the
-``KNOWN`` most frequent words are broadcast, the others are looked up slice by
-slice. The driver gets bigrams of units: a table whose size the parameters
-bound.
+the likelihood of the class bigrams most. From these classes, rounds on Spark
+move every other word seen ``LEAST`` times or more, so the clustered vocabulary
+grows with the texts; only rarer and unseen words keep the class of their
+ending. In a round, words beside classes are counted over all training texts,
+and each hash slice moves its words to the class that raises the likelihood
+most while all others stay; a round that doesn't raise it is taken back.
+
+A token's probability is the transition from the class before, smoothed
+towards the class's share, times the word's share of its class. The word
+shares are the smoothed unigram estimates of the base score, so the score is
+the base score plus what each class transition adds.
+
+Counts and classes of all words stay in hash slices on the executors, where the
+different words of a chunk of texts are looked up. The driver gets bigrams of
+units and of classes: tables whose size the parameters bound.
 
 Defined results: a null text is empty and scores its end token; without
 training texts the base score is 0 and all classes are alike; repeated rows get equal scores; a null id
@@ -33,13 +38,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velocart.llm.store import slices, stored
-from velocart.llm.words import _TABLE, Words, group_slices, span_hashes, split_words, text_chunks
+from velocart.llm.words import _TABLE, Words, distinct, group_slices, span_hashes, split_words, text_chunks
 
-#: Units clustered one by one, groups of other words, classes, and words broadcast with their counts.
+#: Units clustered one by one, groups of other words, classes, and words whose counts the driver ranks.
 FREQUENT, SHAPES, CLASSES, KNOWN = 2000, 256, 64, 200_000
 #: Weight of a class's share against its counted transitions.
 PRIOR = 50.0
 ROUNDS = 4
+#: Words seen so often are clustered themselves, in so many rounds on Spark.
+LEAST, SPARK_ROUNDS = 5, 2
 ENDING = 3
 #: Bytes of text between two flushes of a task's counts, at most.
 FLUSH = 24 << 20
@@ -111,20 +118,18 @@ def _bin(count: np.ndarray) -> np.ndarray:
     return np.where(count <= 1024, count, 1024 + np.floor(16 * np.log2(np.maximum(count, 1024) / 1024))).astype(np.int64)
 
 
-def summarize(vocabulary: DataFrame) -> tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, distinct words, texts; keys, counts and shapes of the most frequent words (``KNOWN`` at most, most
-    frequent first); and the number of distinct words by shape."""
+def summarize(vocabulary: DataFrame) -> tuple[int, int, int, np.ndarray, np.ndarray]:
+    """Tokens, distinct words, texts; keys and counts of the most frequent words (``KNOWN`` at most, most frequent first)."""
 
     def bins(batches):
         for batch in batches:
-            for k, c, s in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
-                c, s = np.frombuffer(c, np.int64), np.frombuffer(s, np.uint8)
+            for k, c in zip(*(batch.column(i).to_pylist() for i in (0, 2))):
+                c = np.frombuffer(c, np.int64)
                 if k < 0:
                     rows = [(0, -1, int(c.sum()), 0)]
                 else:
                     b, n = np.unique(_bin(c), return_counts=True)
-                    kinds, m = np.unique(s, return_counts=True)
-                    rows = [(1, x, y, 0) for x, y in zip(b.tolist(), n.tolist())] + [(2, x, y, 0) for x, y in zip(kinds.tolist(), m.tolist())]
+                    rows = [(1, x, y, 0) for x, y in zip(b.tolist(), n.tolist())]
                     rows.append((3, 0, int(c.sum()), len(c)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(4)], ["kind", "bin", "n", "m"])
 
@@ -132,10 +137,6 @@ def summarize(vocabulary: DataFrame) -> tuple[int, int, int, np.ndarray, np.ndar
     by = {(r["kind"], r["bin"]): (r["n"], r["m"]) for r in found}
     texts = by.get((0, -1), (0, 0))[0]
     tokens, distinct = by.get((3, 0), (0, 0))
-    by_shape = np.zeros(SHAPES, np.int64)
-    for (kind, b), (n, _) in by.items():
-        if kind == 2:
-            by_shape[b] = n
     least, taken = None, 0
     for b in sorted((b for kind, b in by if kind == 1), reverse=True):
         taken += by[(1, b)][0]
@@ -145,18 +146,18 @@ def summarize(vocabulary: DataFrame) -> tuple[int, int, int, np.ndarray, np.ndar
 
     def frequent(batches):
         for batch in batches:
-            for k, keys, c, s in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for k, keys, c in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if k < 0 or least is None:
                     continue
                 c = np.frombuffer(c, np.int64)
                 at = np.flatnonzero(_bin(c) >= least)
-                keys, s = np.frombuffer(keys, np.uint64)[at], np.frombuffer(s, np.uint8)[at]
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in (keys, c[at], s)], ["keys", "counts", "shapes"])
+                keys = np.frombuffer(keys, np.uint64)[at]
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in (keys, c[at])], ["keys", "counts"])
 
-    rows = vocabulary.mapInArrow(frequent, "keys binary, counts binary, shapes binary").collect()
-    keys, counts, shape = (np.frombuffer(b"".join(bytes(r[c]) for r in rows), t) for c, t in (("keys", np.uint64), ("counts", np.int64), ("shapes", np.uint8)))
+    rows = vocabulary.mapInArrow(frequent, "keys binary, counts binary").collect()
+    keys, counts = (np.frombuffer(b"".join(bytes(r[c]) for r in rows), t) for c, t in (("keys", np.uint64), ("counts", np.int64)))
     order = np.lexsort((keys, -counts))
-    return tokens, distinct, texts, keys[order], counts[order], shape[order], by_shape
+    return tokens, distinct, texts, keys[order], counts[order]
 
 
 @dataclass
@@ -277,13 +278,51 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS)
     return of
 
 
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of class bigrams, up to what the words alone decide."""
+    table = table.astype(np.float64)
+    return float(_xlogx(table).sum() - _xlogx(table.sum(axis=0)).sum() - _xlogx(table.sum(axis=1)).sum())
+
+
+def best_classes(old: np.ndarray, word: np.ndarray, side: np.ndarray, count: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Class of each word that raises the likelihood most while all others stay.
+
+    ``word``, ``side`` and ``count`` say how often a word (a place in ``old``) stands before class ``side`` or after
+    class ``side - CLASSES``. A word's own bigrams are taken out of its old class; cells where both of its sides meet
+    are taken as they stand.
+    """
+    table = table.astype(np.float64)
+    cells = np.concatenate([table.T, table])  # by side, then by the word's class
+    gain = np.zeros((len(old), CLASSES))
+    step = 50_000  # bounds the arrays of one step
+    for a in range(0, len(word), step):
+        w, c = word[a : a + step], count[a : a + step, None].astype(np.float64)
+        there = cells[side[a : a + step]]
+        own = np.arange(len(w)), old[w]
+        there[own] = np.maximum(there[own] - c[:, 0], 0)
+        np.add.at(gain, w, _xlogx(there + c) - _xlogx(there))
+    for axis, at in ((1, side < CLASSES), (0, side >= CLASSES)):
+        size = np.bincount(word[at], count[at], len(old))
+        for a in range(0, len(old), step):
+            n, mine = size[a : a + step, None], old[a : a + step]
+            whole = np.tile(table.sum(axis=axis), (len(mine), 1))
+            own = np.arange(len(mine)), mine
+            whole[own] = np.maximum(whole[own] - n[:, 0], 0)
+            gain[a : a + step] -= _xlogx(whole + n) - _xlogx(whole)
+    gain[:, 0] = -np.inf  # the end stays alone
+    gain[:, table.sum(axis=0) + table.sum(axis=1) == 0] = -np.inf  # an empty class would draw all words at once
+    new = gain.argmax(axis=1)
+    every = np.arange(len(old))
+    return np.where(gain[every, new] > gain[every, old] + 1e-9, new, old)
+
+
 @dataclass
 class Model:
     tokens: int
     distinct: int
     texts: int
     units: Units
-    keys: np.ndarray  # of known words, ascending
+    keys: np.ndarray  # of the most frequent words, ascending
     counts: np.ndarray
     of: np.ndarray  # class of each unit
     bonus: np.ndarray  # log10 of a transition's probability over the class's share
@@ -293,141 +332,242 @@ class Model:
         return self.tokens + ADD * (self.distinct + 1)
 
 
-def build(texts: DataFrame, n_slices: int) -> tuple[Model, DataFrame]:
-    """The model of ``texts`` (text), and the stored vocabulary."""
-    spark = texts.sparkSession
-    vocabulary = stored(count_words(texts, n_slices), "lm-words")
-    tokens, distinct, n_texts, keys, counts, shape, by_shape = summarize(vocabulary)
-    top = np.argsort(keys[:FREQUENT])
-    units = Units(keys[:FREQUENT][top], np.arange(len(top)))
-    top_counts, top_shapes = counts[:FREQUENT][top], shape[:FREQUENT][top]
-    order = np.argsort(keys)
-    model = Model(tokens + n_texts, distinct + (n_texts > 0), n_texts, units, keys[order], counts[order], np.zeros(0), np.zeros(0))
-    bigrams = count_bigrams(texts, spark.sparkContext.broadcast(units), n_slices)
-    of = exchange(bigrams)
-    # shares: of each class by the unigram estimates; an unseen word is one more in each class with shapes
-    mass = np.zeros(CLASSES)
-    np.add.at(mass, of[: len(top)], top_counts + ADD)
-    rest = by_shape - np.bincount(top_shapes, minlength=SHAPES)
-    np.add.at(mass, of[len(top) : -1], bigrams[len(top) : -1].sum(axis=1) + ADD * rest)
-    mass[np.unique(of[len(top) : -1])] += ADD
-    mass[0] = n_texts + ADD
-    share = mass / model.total
-    one = np.zeros((len(of), CLASSES))
-    one[np.arange(len(of)), of] = 1
-    table = one.T @ bigrams @ one
-    with np.errstate(divide="ignore", invalid="ignore"):
-        smooth = (table + PRIOR * share / share.sum()) / (table.sum(axis=1, keepdims=True) + PRIOR)
-        bonus = np.log10(smooth / share)
-    model.of, model.bonus = of, np.where(np.isfinite(bonus), bonus, 0.0)
-    return model, vocabulary
-
-
-ROW = "slice int, kind int, chunk long, place int, doc_id long, n_tokens long, n_known long, base double, bonus double, data binary"
-_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+ROW = "slice int, kind int, chunk long, begin long, ids array<bigint>, data binary, counts binary, shapes binary, classes binary"
+_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 _NAMES = [c.split()[0] for c in ROW.split(", ")]
+#: Kinds of rows: texts as places of words, words asked for, words of a slice, answers, words beside classes, class bigrams.
+TEXTS, ASKED, OWN, ANSWER, BESIDE, TABLE = range(6)
 
 
-def _rows(n: int, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in zip(_NAMES, _TYPES)], _NAMES)
+def _rows(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r.get(k) for r in rows], t) for k, t in zip(_NAMES, _TYPES)], _NAMES)
 
 
-_PART = np.dtype([("place", "<u4"), ("known", "<u4"), ("base", "<f8")])
+def sequences(docs: DataFrame, n_slices: int) -> DataFrame:
+    """ROWs of ``docs`` (doc_id, text): texts as places in the list of their chunk's different words, and by slice the
+    words of that list, from place ``begin``, with their shapes."""
 
+    def run(batches):
+        partition, number, held, volume = TaskContext.get().partitionId(), 0, [], 0
 
-def score(docs: DataFrame, model: Model, vocabulary: DataFrame, n_slices: int) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score of every row of ``docs`` (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # KNOWN words and the classes at most
-
-    def local(batches):
-        """Kind 0: texts with what the broadcast words give; kind 2: hashes of the other words, to be looked up."""
-        m = shared.value
-        total, partition, number = np.log10(m.total), TaskContext.get().partitionId(), 0
-        end = np.log10(m.texts + ADD) - total
-        keys, texts, held, volume = [], [], 0, 0
-
-        def flush(chunk):
-            k, t = np.concatenate(keys), np.concatenate(texts)
-            rows = [(s, np.concatenate([k[at].view(np.uint8), t[at].astype("<u4").view(np.uint8)]).tobytes()) for s, at in group_slices(k, n_slices)]
-            return _rows(len(rows), slice=[r[0] for r in rows], kind=[2] * len(rows), chunk=[chunk] * len(rows), data=[r[1] for r in rows])
+        def flush():
+            chunk = partition << 24 | number
+            keys, place, code = distinct(np.concatenate([h for _, h, _, _ in held]))
+            kinds = np.concatenate([s for _, _, s, _ in held])[place]
+            rank, begin, asked = np.empty(len(keys), np.int64), 0, []
+            for k, at in group_slices(keys, n_slices):
+                rank[at] = begin + np.arange(len(at))
+                asked.append({"slice": k, "kind": ASKED, "chunk": chunk, "begin": begin, "data": keys[at].tobytes(), "shapes": kinds[at].tobytes()})
+                begin += len(at)
+            code, at = rank[code].astype("<u4"), 0
+            for ids, h, _, size in held:
+                yield _rows([{"kind": TEXTS, "chunk": chunk, "ids": ids, "data": code[at : at + len(h)].tobytes(), "counts": size.tobytes()}])
+                at += len(h)
+            if asked:
+                yield _rows(asked)
 
         for batch in text_chunks(batches, "text"):
-            chunk, n = partition << 24 | number, batch.num_rows
             words = split_words(batch.column(1), True)
-            h, text = words.hashes(), words.text_of
-            at = np.minimum(np.searchsorted(m.keys, h), max(0, len(m.keys) - 1))
-            known = m.keys[at] == h if len(m.keys) else np.zeros(len(h), bool)
-            base = np.bincount(text[known], np.log10(m.counts + ADD)[at[known]] - total, n) + end
-            classes = m.of[with_ends(m.units.of(h, shapes(words)), words.first, m.units.end)]
-            step = m.bonus[classes[:-1], classes[1:]]
-            size = np.diff(words.first)
-            bonus = np.add.reduceat(step, words.first[:-1] + np.arange(n)) if n else step
-            yield _rows(
-                n, slice=(chunk + held + np.arange(n)) % n_slices, kind=np.zeros(n, int), chunk=np.full(n, chunk), place=held + np.arange(n),
-                doc_id=batch.column(0), n_tokens=size + 1, n_known=np.bincount(text[known], minlength=n) + (m.texts > 0), base=base, bonus=bonus,
-            )
-            keys.append(h[~known])
-            texts.append(text[~known] + held)
-            held += n
+            held.append((batch.column(0).to_pylist(), words.hashes(), shapes(words), np.diff(words.first)))
             volume += batch.nbytes
             if volume > FLUSH:
-                yield flush(chunk)
-                number, keys, texts, held, volume = number + 1, [], [], 0, 0
-        if keys:
-            yield flush(partition << 24 | number)
+                yield from flush()
+                number, held, volume = number + 1, [], 0
+        if held:
+            yield from flush()
+
+    return docs.select("doc_id", "text").mapInArrow(run, ROW)
+
+
+def answered(rows: DataFrame, state: DataFrame, of_shape: np.ndarray) -> DataFrame:
+    """The texts of ``rows`` and, to each ASKED row, count, class and place in the slice (-1: unseen) of its words."""
 
     def look_up(table: pa.Table) -> pa.Table:
-        """One slice: counts of the words asked for, summed by text."""
-        m = shared.value
         kind = table.column("kind").to_numpy()
-        out = [table.filter(pa.array(kind == 0))]
-        own = table.filter(pa.array(kind == 1)).column("data").to_pylist()
-        keys = counts = np.zeros(0)
-        if own:
-            k = len(own[0]) // 16
-            keys, counts = np.frombuffer(own[0], np.uint64, k), np.frombuffer(own[0], np.int64, k, 8 * k)
-        asked = table.filter(pa.array(kind == 2))
-        for chunk, data in zip(asked.column("chunk").to_pylist(), asked.column("data").to_pylist()):
-            k = len(data) // 12
-            h, text = np.frombuffer(data, np.uint64, k), np.frombuffer(data, "<u4", k, 8 * k).astype(np.int64)
-            count = np.zeros(k)
+        own = table.filter(pa.array(kind == OWN)).to_pylist()
+        keys, counts, classes = (np.frombuffer(own[0][c], t) if own else np.zeros(0, t) for c, t in (("data", np.uint64), ("counts", np.int64), ("classes", np.uint8)))
+        out = []
+        for r in table.filter(pa.array(kind == ASKED)).to_pylist():
+            asked, shape = np.frombuffer(r["data"], np.uint64), np.frombuffer(r["shapes"], np.uint8)
+            place, count, of = np.full(len(asked), -1), np.zeros(len(asked), np.int64), of_shape[shape].astype(np.uint8)
             if len(keys):
-                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                count = np.where(keys[at] == h, counts[at], 0)
-            part = np.zeros(int(text.max()) + 1, _PART)
-            part["base"] = np.bincount(text, np.log10((count + ADD) / m.total))
-            part["known"] = np.bincount(text, count > 0)
-            part["place"] = np.arange(len(part))
-            part = part[np.bincount(text) > 0]
-            out.append(pa.Table.from_batches([_rows(1, slice=[0], kind=[3], chunk=[chunk], data=[part.tobytes()])], table.schema))
-        return pa.concat_tables(out)
+                at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                seen = keys[at] == asked
+                place, count, of = np.where(seen, at, -1), np.where(seen, counts[at], 0), np.where(seen, classes[at], of)
+            out.append(
+                {"slice": r["slice"], "kind": ANSWER, "chunk": r["chunk"], "begin": r["begin"], "data": place.astype("<i4").tobytes(), "counts": count.tobytes(), "classes": of.astype(np.uint8).tobytes()}
+            )
+        return pa.Table.from_batches([_rows(out)])
+
+    kept = state.select("slice", F.lit(OWN).alias("kind"), F.col("keys").alias("data"), "counts", "classes")
+    both = rows.filter(F.col("kind") == ASKED).unionByName(kept, allowMissingColumns=True).select(*_NAMES)
+    return rows.filter(F.col("kind") == TEXTS).unionByName(both.groupBy("slice").applyInArrow(look_up, ROW))
+
+
+def _chunk(table: pa.Table) -> tuple[list[dict], list[dict], np.ndarray, np.ndarray, np.ndarray]:
+    """TEXTS rows, ANSWER rows, and place in its slice, count and class of each word of the chunk's list."""
+    kind = table.column("kind").to_numpy()
+    texts, answers = (table.filter(pa.array(kind == k)).to_pylist() for k in (TEXTS, ANSWER))
+    answers.sort(key=lambda r: r["begin"])
+    columns = (("data", "<i4"), ("counts", np.int64), ("classes", np.uint8))
+    return texts, answers, *(np.frombuffer(b"".join(r[c] for r in answers), t) for c, t in columns)
+
+
+def beside(rows: DataFrame, state: DataFrame, model: Model, n_slices: int, words: bool) -> DataFrame:
+    """TABLE rows (class bigram in ``chunk``, count in ``begin``) and, if wanted, BESIDE rows for all words that may move."""
+    fixed = model.units
+
+    def count(table: pa.Table) -> pa.Table:
+        texts, answers, place, counts, classes = _chunk(table)
+        seq, first = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
+        for r in texts:
+            seq.append(np.frombuffer(r["data"], "<u4"))
+            first.append(first[-1][-1] + np.cumsum(np.frombuffer(r["counts"], np.int64)))
+        seq, first = np.concatenate(seq), np.concatenate(first)
+        own = with_ends(seq, first, len(place)).astype(np.int64)
+        of = np.append(classes, 0).astype(np.int64)[own]
+        pairs = np.bincount(of[:-1] * CLASSES + of[1:], minlength=CLASSES**2)
+        out = [{"kind": TABLE, "chunk": int(k), "begin": int(pairs[k])} for k in np.flatnonzero(pairs)]
+        moves = np.append((counts >= LEAST) & (place >= 0), False)
+        if words and moves.any():
+            before, after = moves[own[:-1]], moves[own[1:]]
+            width = 2 * CLASSES
+            code = np.concatenate([own[:-1][before] * width + of[1:][before], own[1:][after] * width + CLASSES + of[:-1][after]])
+            code, n = np.unique(code, return_counts=True)
+            for r in answers:
+                begin, end = r["begin"], r["begin"] + len(r["classes"])
+                a, b = np.searchsorted(code, [begin * width, end * width])
+                if a < b:
+                    at = place[code[a:b] // width].astype("<u4")
+                    out.append({"slice": r["slice"], "kind": BESIDE, "data": at.tobytes(), "classes": (code[a:b] % width).astype(np.uint8).tobytes(), "counts": n[a:b].astype("<u4").tobytes()})
+        return pa.Table.from_batches([_rows(out)])
+
+    return answered(rows, state, model.of[len(fixed.keys) : -1]).groupBy("chunk").applyInArrow(count, ROW)
+
+
+def class_table(counted: DataFrame) -> np.ndarray:
+    """Bigrams of classes: at most CLASSES**2 cells reach the driver."""
+    out = np.zeros(CLASSES**2, np.int64)
+    for r in counted.filter(F.col("kind") == TABLE).groupBy("chunk").agg(F.sum("begin").alias("n")).collect():
+        out[r["chunk"]] = r["n"]
+    return out.reshape(CLASSES, CLASSES)
+
+
+STATE = "slice int, keys binary, counts binary, shapes binary, classes binary"
+
+
+def seeded(vocabulary: DataFrame, units: Units, of: np.ndarray) -> DataFrame:
+    """The vocabulary with the class of each word's unit."""
+
+    def run(batches):
+        for batch in batches:
+            for k, keys, counts, shape in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                classes = of[units.of(np.frombuffer(keys, np.uint64), np.frombuffer(shape, np.uint8))].astype(np.uint8)
+                yield pa.RecordBatch.from_pylist([{"slice": k, "keys": keys, "counts": counts, "shapes": shape, "classes": classes.tobytes()}], _STATE)
+
+    return vocabulary.filter("slice >= 0").mapInArrow(run, STATE)
+
+
+_STATE = pa.schema([("slice", pa.int32()), *((c, pa.binary()) for c in ("keys", "counts", "shapes", "classes"))])
+
+
+def moved(state: DataFrame, counted: DataFrame, table: np.ndarray, units: Units) -> DataFrame:
+    """The state after one round: each slice moves its words seen ``LEAST`` times, except those clustered one by one."""
+
+    def move(group: pa.Table) -> pa.Table:
+        kind = group.column("kind").to_numpy()
+        own = group.filter(pa.array(kind == OWN)).to_pylist()[0]
+        near = group.filter(pa.array(kind == BESIDE))
+        classes = np.frombuffer(own["classes"], np.uint8).astype(np.int64)
+        place, side, count = (np.frombuffer(b"".join(near.column(c).to_pylist()), t) for c, t in (("data", "<u4"), ("classes", np.uint8), ("counts", "<u4")))
+        code, _, count = _sum_by(place.astype(np.int64) * 2 * CLASSES + side, count)
+        free = ~np.isin(np.frombuffer(own["data"], np.uint64), units.keys)
+        at = free[code // (2 * CLASSES)]
+        code, count = code[at], count[at]
+        words, word = np.unique(code // (2 * CLASSES), return_inverse=True)
+        classes[words] = best_classes(classes[words], word, code % (2 * CLASSES), count, table)
+        return pa.Table.from_pylist([{"slice": own["slice"], "keys": own["data"], "counts": own["counts"], "shapes": own["shapes"], "classes": classes.astype(np.uint8).tobytes()}], _STATE)
+
+    kept = state.select("slice", F.lit(OWN).alias("kind"), F.col("keys").alias("data"), "counts", "shapes", "classes")
+    near = counted.filter(F.col("kind") == BESIDE)
+    return near.unionByName(kept, allowMissingColumns=True).select(*_NAMES).groupBy("slice").applyInArrow(move, STATE)
+
+
+def masses(state: DataFrame) -> np.ndarray:
+    """Occurrences and number of words of each class."""
+
+    def run(batches):
+        for batch in batches:
+            for counts, classes in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist()):
+                of, n = np.frombuffer(classes, np.uint8), np.frombuffer(counts, np.int64)
+                per, words = np.bincount(of, n, CLASSES).astype(np.int64), np.bincount(of, minlength=CLASSES)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(per), pa.array(words)], ["class", "n", "words"])
+
+    out = np.zeros((2, CLASSES))
+    for r in state.mapInArrow(run, "class long, n long, words long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect():
+        out[:, r["class"]] = r["n"], r["words"]
+    return out
+
+
+def build(texts: DataFrame, n_slices: int) -> tuple[Model, DataFrame]:
+    """The model of ``texts`` (text), and the stored vocabulary with its classes."""
+    spark = texts.sparkSession
+    vocabulary = stored(count_words(texts, n_slices), "lm-words")
+    tokens, distinct_words, n_texts, keys, counts = summarize(vocabulary)
+    units = Units(np.sort(keys[:FREQUENT]), np.arange(min(FREQUENT, len(keys))))
+    order = np.argsort(keys)
+    model = Model(tokens + n_texts, distinct_words + (n_texts > 0), n_texts, units, keys[order], counts[order], np.zeros(0), np.zeros(0))
+    bigrams = count_bigrams(texts, spark.sparkContext.broadcast(units), n_slices)
+    model.of = of = exchange(bigrams)
+    one = np.zeros((len(of), CLASSES))
+    one[np.arange(len(of)), of] = 1
+    table = one.T @ bigrams @ one
+    state = stored(seeded(vocabulary, units, of), "lm-classes")
+    if SPARK_ROUNDS and distinct_words > len(units.keys):
+        rows = stored(sequences(texts.select(F.lit(None).cast("long").alias("doc_id"), "text"), n_slices), "lm-sequences")
+        counted = stored(beside(rows, state, model, n_slices, True), "lm-beside")
+        for k in range(SPARK_ROUNDS):
+            after = stored(moved(state, counted, table, units), "lm-classes")
+            counted = stored(beside(rows, after, model, n_slices, k + 1 < SPARK_ROUNDS), "lm-beside")
+            found = class_table(counted)
+            if likelihood(found) <= likelihood(table):
+                break
+            state, table = after, found
+    # shares: of each class by the unigram estimates; an unseen word is one more in each class with shapes
+    n, words = masses(state)
+    mass = n + ADD * words
+    mass[np.unique(of[len(units.keys) : -1])] += ADD
+    mass[0] = n_texts + ADD
+    share = mass / model.total
+    with np.errstate(divide="ignore", invalid="ignore"):
+        smooth = (table + PRIOR * share / share.sum()) / (table.sum(axis=1, keepdims=True) + PRIOR)
+        bonus = np.log10(smooth / share)
+    model.bonus = np.where(np.isfinite(bonus), bonus, 0.0)
+    return model, state
+
+
+def score(docs: DataFrame, model: Model, vocabulary: DataFrame, n_slices: int) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score, score of every row of ``docs`` (doc_id, text)."""
+    end = np.log10((model.texts + ADD) / model.total)
+    total, bonus, of_shape, extra = model.total, model.bonus, model.of[len(model.units.keys) : -1], int(model.texts > 0)
 
     def merge(table: pa.Table) -> pa.Table:
         """One chunk of a task: its texts and what the slices found."""
-        kind = table.column("kind").to_numpy()
-        rows = table.filter(pa.array(kind == 0))
-        place = rows.column("place").to_numpy()
-        n = int(place.max(initial=-1)) + 1
-        base, known = np.zeros(n), np.zeros(n, np.int64)
-        for data in table.filter(pa.array(kind == 3)).column("data").to_pylist():
-            part = np.frombuffer(data, _PART)
-            base[part["place"]] += part["base"]
-            known[part["place"]] += part["known"]
-        total = rows.column("base").to_numpy() + base[place]
-        return pa.table(
-            {
-                "doc_id": rows.column("doc_id"),
-                "n_tokens": rows.column("n_tokens"),
-                "n_known": pa.array(rows.column("n_known").to_numpy() + known[place]),
-                "base_score": pa.array(total),
-                "score": pa.array(total + rows.column("bonus").to_numpy()),
-            }
-        )
-
-    asked = docs.select("doc_id", "text").mapInArrow(local, ROW)
-    kept = vocabulary.filter("slice >= 0").select("slice", F.lit(1).alias("kind"), F.concat("keys", "counts").alias("data"))
-    both = asked.unionByName(kept, allowMissingColumns=True).select(*_NAMES)
-    found = both.groupBy("slice").applyInArrow(look_up, ROW)
+        texts, _, _, counts, classes = _chunk(table)
+        share, seen = np.log10((counts + ADD) / total), counts > 0
+        parts = []
+        for r in texts:
+            seq, size = np.frombuffer(r["data"], "<u4"), np.frombuffer(r["counts"], np.int64)
+            first, n = np.concatenate([[0], np.cumsum(size)]), len(size)
+            text = np.repeat(np.arange(n), size)
+            of = with_ends(classes[seq].astype(np.int64), first, 0)
+            base = np.bincount(text, share[seq], n) + end
+            step = np.add.reduceat(bonus[of[:-1], of[1:]], first[:-1] + np.arange(n))
+            known = np.bincount(text, seen[seq], n).astype(np.int64) + extra
+            parts.append(pa.table({"doc_id": pa.array(r["ids"], pa.int64()), "n_tokens": size + 1, "n_known": known, "base_score": base, "score": base + step}))
+        return pa.concat_tables(parts)
+
+    found = answered(sequences(docs, n_slices), vocabulary, of_shape)
     return found.groupBy("chunk").applyInArrow(merge, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
