@@ -133,6 +133,28 @@ def test_mixing_awkward(awkward, nothing):
     assert mixing.mix(nothing, {"source": 0.7, "lang": 0.7, "topic": 0.7}).count() == 0
 
 
+def test_mixing_tells_all_values_apart(monkeypatch, spark):
+    """230 sources, one of them named 'other', on the driver and as a DataFrame: as the SQL says."""
+    import duckdb
+
+    rows = [(i, "w " * (1 + i % 5) + "7" * (i % 2), "en" if i % 3 else "de", "other" if i % 40 == 0 else f"s{(i * i) % 229}") for i in range(6000)]
+    rows += [(10_000 + i, "w", "en", f"rare{i}") for i in range(230)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = {"source": 0.7, "lang": 0.7, "topic": 0.8}
+    documents = pa.table({c: [r[k] for r in rows] for k, c in enumerate(frame.columns)})
+    with duckdb.connect() as db:
+        db.register("documents", documents)
+        wanted = {r[0]: r[5] for r in db.execute(mixing.mix_sql(targets)).fetchall()}
+    got = {r.doc_id: r.probability for r in mixing.mix(frame, targets).collect()}
+    assert got.keys() == wanted.keys() and all(abs(got[d] - p) < 1e-8 for d, p in wanted.items())
+    some = frame.filter("doc_id < 300")
+    shares = {"source": 0.7, "lang": {"en": 0.3, "gone": 0.2}, "topic": 0.8}
+    few = {r.doc_id: r.probability for r in mixing.mix(some, shares, budget=0.8).collect()}
+    monkeypatch.setattr(mixing, "CELLS", 10)
+    many = {r.doc_id: r.probability for r in mixing.mix(some, shares, budget=0.8).collect()}
+    assert many.keys() == few.keys() and all(abs(many[d] - p) < 1e-8 for d, p in few.items())
+
+
 # ---- language model --------------------------------------------------------
 def base_scores(rows):
     tokens = {d: [*WORD.findall((t or "").translate(LOWER)), "\n"] for d, t in rows}

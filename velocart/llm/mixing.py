@@ -4,11 +4,11 @@ Token weights of the cells (source, language, topic) are raked until their
 marginals meet the targets; a document is drawn with the probability of its
 cell, the fitted weight over the present one, scaled so that none exceeds 1.
 The draw is a hash of the document, so it repeats. DataFrame functions only;
-the driver sees cells, never documents.
+the driver never sees documents, and cells only up to ``CELLS``: more cells
+than that are raked as a DataFrame, so the number of values needs no bound.
 
 A marginal's target shares are given, or tempered: share**temperature,
-normalised. Only the ``TOP`` largest values of a marginal are told apart, the
-others are raked together as ``other``; that bounds the cells.
+normalised.
 
 Defined results: null source, language or topic count as the value ``none``;
 a null text is empty and weighs one token, as does one without words, so every
@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from velocart.llm.store import stored
 
 MARGINS = ("source", "lang", "topic")
-#: Values of each marginal that are told apart: at most 200 * 50 * 20 cells.
-TOP = {"source": 200, "lang": 50, "topic": 20}
-OTHER = "other"
+#: Cells that are raked on the driver, at most; more are raked by Spark, with the same result.
+CELLS = 200_000
+#: Passes over the marginals; scales that one job of Spark tries.
+ROUNDS, TRIED = 30, 64
 
 
 def topic_of(text: Column) -> Column:
@@ -75,7 +76,7 @@ def shares(present: Mapping[str, float], targets: Mapping[str, float] | float) -
     return {v: t / whole for v, t in raw.items()}
 
 
-def rake(cells: Mapping[tuple[str, ...], int], targets: list[Mapping[str, float] | float], rounds: int = 30) -> dict[tuple[str, ...], float]:
+def rake(cells: Mapping[tuple[str, ...], int], targets: list[Mapping[str, float] | float], rounds: int = ROUNDS) -> dict[tuple[str, ...], float]:
     """Fitted weight of every cell after ``rounds`` passes over the marginals."""
     order = sorted(cells)
     total = float(sum(cells.values()))
@@ -118,30 +119,65 @@ def probabilities(cells: Mapping[tuple[str, ...], int], weight: Mapping[tuple[st
 
 
 Targets = Mapping[str, Mapping[str, float] | float]
-KEYS = [f"{m}_cell" for m in MARGINS]
-
-
-def chances(rows: DataFrame, targets: Targets, budget: float | None) -> tuple[DataFrame, dict[str, Column]]:
-    """The probability of each cell of weighed ``rows``, and the columns that name a row's cell."""
+KEYS = list(MARGINS)
+
+
+def goals(cells: DataFrame, margin: str, target: Mapping[str, float] | float, total: int) -> DataFrame:
+    """``shares`` of every present value of a marginal, times ``total``, as a DataFrame: margin, goal."""
+    present = cells.groupBy(margin).agg((F.sum("n") / F.lit(float(total))).alias("part"))
+    if isinstance(target, Mapping):
+        given = cells.sparkSession.createDataFrame([(v, float(t)) for v, t in target.items()], f"{margin} string, named double")
+        present = stored(present.join(given, margin, "left"), "mix-shares")
+        sums = present.agg(F.sum("named").alias("named"), F.sum(F.when(F.col("named").isNull(), F.col("part"))).alias("free")).first()
+        scale = (1 - (sums["free"] or 0.0)) / sums["named"] if sums["named"] else 1.0
+        present = present.select(margin, F.coalesce(F.col("named") * F.lit(scale), F.col("part")).alias("raw"))
+    else:
+        present = present.select(margin, F.pow("part", F.lit(float(target))).alias("raw"))
+    present = stored(present, "mix-shares")
+    whole = present.agg(F.sum("raw")).first()[0]
+    return stored(present.select(margin, (F.col("raw") / F.lit(whole) * F.lit(float(total))).alias("goal")), "mix-goals")
+
+
+def rake_cells(cells: DataFrame, targets: Targets, budget: float | None) -> DataFrame:
+    """``rake`` and ``probabilities`` of any number of cells (MARGINS, n): each pass is a sum by one marginal and a join."""
+    total = cells.agg(F.sum("n")).first()[0]
+    wanted = {m: goals(cells, m, targets[m], total) for m in MARGINS}
+    weighed = cells.withColumn("w", F.col("n").cast("double"))
+    for _ in range(ROUNDS):
+        for m in MARGINS:
+            factor = weighed.groupBy(m).agg(F.sum("w").alias("now")).join(wanted[m], m).select(m, (F.col("goal") / F.col("now")).alias("factor"))
+            weighed = weighed.join(factor, m).select(*KEYS, "n", (F.col("w") * F.col("factor")).alias("w"))
+        weighed = stored(weighed, "mix-raked")
+    ratio = F.col("w") / F.col("n")
+    least, most = weighed.agg(F.min(ratio), F.max(ratio)).first()
+    scale = 1 / most
+    if budget is not None:
+        low, high = scale, 1 / least
+        for _ in range(10):  # 65**10 steps: finer than a double
+            tried = [low + (high - low) * (k + 1) / (TRIED + 1) for k in range(TRIED)]
+            got = weighed.agg(*[F.sum(F.col("n") * F.least(F.lit(1.0), F.lit(x) * ratio)) for x in tried]).first()
+            under = sum(g < budget * total for g in got)
+            low, high = [low, *tried][under], [*tried, high][under]
+        scale = (low + high) / 2
+    return weighed.select(*KEYS, F.least(F.lit(1.0), F.lit(scale) * ratio).alias("probability"))
+
+
+def chances(rows: DataFrame, targets: Targets, budget: float | None) -> DataFrame:
+    """The probability of each cell of weighed ``rows``."""
     spark = rows.sparkSession
-    rows = stored(rows.select(*MARGINS, "tokens"), "mix-rows")
-    names = {}
-    for m in MARGINS:
-        largest = rows.groupBy(m).agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), m).limit(TOP[m])
-        kept = sorted(r[m] for r in largest.select(m).collect())
-        names[f"{m}_cell"] = F.when(F.col(m).isin(kept), F.col(m)).otherwise(OTHER)
-    counted = rows.withColumns(names).groupBy(*KEYS).agg(F.sum("tokens").alias("n")).collect()
-    cells = {tuple(r[k] for k in KEYS): r["n"] for r in counted}
-    weight = rake(cells, [targets[m] for m in MARGINS]) if cells else {}
-    table = [(*c, p) for c, p in sorted(probabilities(cells, weight, budget).items())]
-    return spark.createDataFrame(table, ", ".join(f"{k} string" for k in KEYS) + ", probability double"), names
+    cells = stored(rows.groupBy(*KEYS).agg(F.sum("tokens").alias("n")), "mix-cells")
+    if cells.count() > CELLS:
+        return rake_cells(cells, targets, budget)
+    found = {tuple(r[k] for k in KEYS): r["n"] for r in cells.collect()}
+    weight = rake(found, [targets[m] for m in MARGINS]) if found else {}
+    table = [(*c, p) for c, p in sorted(probabilities(found, weight, budget).items())]
+    return F.broadcast(spark.createDataFrame(table, ", ".join(f"{k} string" for k in KEYS) + ", probability double"))  # at most CELLS rows
 
 
 def mix(docs: DataFrame, targets: Targets, topic: Column | None = None, budget: float | None = None) -> DataFrame:
     """Per document: doc_id, source, lang, topic, tokens, probability, sampled."""
     rows = stored(weigh(docs, topic), "mix-weighed")
-    chance, names = chances(rows, targets, budget)
-    out = rows.withColumns(names).join(F.broadcast(chance), KEYS)  # at most the product of TOP rows
+    out = rows.join(chances(rows, targets, budget), KEYS)
     return out.select(
         "doc_id", "source", "lang", "topic", "tokens",
         F.round("probability", 9).alias("probability"),
@@ -152,8 +188,8 @@ def mix(docs: DataFrame, targets: Targets, topic: Column | None = None, budget:
 def keep(docs: DataFrame, targets: Targets, topic: Column | None = None, budget: float | None = None) -> DataFrame:
     """The rows of ``docs``, with their columns, that are drawn."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
-    chance, names = chances(weigh(docs, topic), targets, budget)
-    drawn = weigh(docs, topic, whole).withColumns(names).join(F.broadcast(chance), KEYS).filter("draw < probability")
+    chance = chances(weigh(docs, topic), targets, budget)
+    drawn = weigh(docs, topic, whole).join(chance, KEYS).filter("draw < probability")
     return drawn.select("document.*")
 
 
