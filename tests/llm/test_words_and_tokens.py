@@ -50,6 +50,19 @@ def test_ids_are_those_of_the_whole_text(name, corpus):
             assert ids[at[i] : at[i + 1]].tolist() == plain.encode(t or "", add_special_tokens=False).ids + [7]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_capitals_without_a_composed_form(name):
+    path = public_tokenizers.path(name)
+    plain, own = Tokenizer.from_file(path), Encoder(open(path, encoding="utf-8").read())
+    pairs = ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a"]
+    rng = random.Random(3)
+    texts = [f"x {p} y" for p in pairs] + [p for p in pairs] + ["T", "\u0308 a"]
+    texts += ["".join(rng.choices([*pairs, "H", "t", "W", "y", " ", ".", "\u030a", "\u0323", "é"], k=rng.randint(1, 30))) for _ in range(1000)]
+    ids, at = own.encode(pa.array(texts), 7)
+    for i, t in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids + [7]
+
+
 def test_known_keys():
     known, keys = w.Known(), np.array([9, 3, 7], np.uint64)
     assert known.find(keys).tolist() == [-1, -1, -1]

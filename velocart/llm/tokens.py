@@ -104,7 +104,8 @@ class Encoder:
             self.clear()
         data, bounds, first = segments(texts)
         if self.folds and b"<|" not in data.tobytes():  # special tokens are told apart by case
-            data = _LOWER[data]
+            # NFC comes before Lowercase: a capital before a mark may have no composed form where the small letter has
+            data = np.where(np.append(data[1:], 0) < 0x80, _LOWER[data], data).astype(np.uint8)
         keys, place, code = distinct(span_hashes(_TABLE[data], bounds[:-1], bounds[1:]))
         slots = self.known.find(keys)
         new = np.flatnonzero(slots < 0)
