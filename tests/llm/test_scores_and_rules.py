@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import LOWER, WORD
 from velocart.llm import class_lm, mixing, quality_rules, toxicity
 from velocart.llm.queries import fold
+from velocart.llm.words import text_chunks
 
 
 # ---- toxicity --------------------------------------------------------------
@@ -38,6 +39,17 @@ def test_toxicity_finds_unseen_forms_in_held_out_texts():
     assert np.allclose(np.concatenate([again(pa.array([t])) for t in texts[600:650]]), score[:50])  # batches don't matter
 
 
+def test_toxicity_trains_by_chunks_on_the_whole_sample(monkeypatch):
+    """Each part of the texts is split alone; nothing shadows that."""
+    texts, toxic = labelled_texts(120, 3)
+    sizes, split = [], toxicity.split_words
+    monkeypatch.setattr(toxicity, "split_words", lambda batch, *more: (sizes.append(len(batch)), split(batch, *more))[1])
+    monkeypatch.setattr(toxicity, "text_chunks", lambda batches, column: text_chunks(batches, column, 10_000))
+    toxicity.train(texts, toxic, epochs=2)
+    assert len(sizes) > 3 and sum(sizes) == 120
+    assert (toxicity.TOXIC_SAMPLE, toxicity.CLEAN_SAMPLE) == (1400, 2800)
+
+
 def test_toxicity_awkward(spark, awkward, nothing):
     texts, toxic = labelled_texts(60, 2)
     model = toxicity.train(texts, toxic, epochs=3)
