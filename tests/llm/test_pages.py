@@ -62,3 +62,14 @@ def test_extract_awkward(spark):
     got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in h.extract(pages).collect()), key=str)
     assert got == sorted([(1, "u", "", 0), (None, None, LONG, len(LONG)), (2, "v", "", 0), (2, "v", LONG, len(LONG)), (2, "v", LONG, len(LONG))], key=str)
     assert h.extract(pages.limit(0)).count() == 0
+
+
+def test_quoted_ends_of_tags_belong_to_the_tag():
+    many = "x => y > " * 40
+    for quoted in (f'"{many}"', f"'{many}'", f"""'{{"a": "<p>{many}</p>"}}'""", f' "{many}"'):
+        page = f"<div data-x={quoted} title='it'>inside</div>"
+        found = list(h.pieces(page))
+        assert found[1:] == [("text", "inside"), ("tag", "div", True, "")] and found[0][:3] == ("tag", "div", False)
+    assert list(h.pieces("<p title=\"open>one</p>"))[1] == ("text", "one")
+    assert [x[0] for x in h.pieces("<p it's>one</p><b>it's</b>")] == ["tag", "text", "tag", "tag", "text", "tag"]
+    assert len(list(h.pieces("<a b='>'" * 100_000))) > 1

@@ -47,11 +47,13 @@ NAMED = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+#: The attributes of a tag, up to its ">"; a quote that isn't closed counts as a letter.
+REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+""")
 
 
 def pieces(page: str):
     """The page as ("text", text), ("tag", name, closing, attributes) and ("mark", comment) in order."""
-    at, n = 0, len(page)
+    at, n, paired = 0, len(page), True
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -73,19 +75,12 @@ def pieces(page: str):
                 yield "text", "<"
                 at = lt + 1
             continue
-        end = page.find(">", found.end())
-        if end < 0:
-            return
-        # a quoted ">" belongs to the tag
-        close = end
-        for _ in range(8):
-            inside = page[found.end() : close]
-            if inside.count('"') % 2 == 0 and (inside.count("'") % 2 == 0 or "='" not in inside):
-                end = close
-                break
-            close = page.find(">", close + 1)
-            if close < 0:
-                break
+        end = REST.match(page, found.end()).end() if paired else n  # a quoted ">" belongs to the tag
+        if end == n:
+            # quotes don't pair to the page's end: from here on tags end at the first ">", so that the scan stays linear
+            paired, end = False, page.find(">", found.end())
+            if end < 0:
+                return
         name, closing = found[1].lower(), page[lt + 1] == "/"
         attributes = page[found.end() : end]
         at = end + 1
