@@ -12,7 +12,8 @@ DATA = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{DATA}/documents.parquet')")
+    for name_ in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM read_parquet('{DATA}/{name_}.parquet')")
     theirs = con.sql(SQL[name]).df()
     ours = QUERIES[name](spark, DATA).toPandas()
     assert sorted(ours.columns) == sorted(theirs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm import class_lm, exact_dedup, html_extract, mixing, ngram_join, packing, quality_rules, substring_dedup, token_files, toxicity
+from velocart.llm import class_lm, exact_dedup, filter_audit, html_extract, mixing, ngram_join, packing, quality_rules, substring_dedup, token_files, toxicity
 from velocart.llm.store import new_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,12 @@ def op10_mixing(spark, sf_dir):
 
 
 SQL["op10_mixing"] = mixing.mix_sql(TEMPERATURE)
+
+
+@register
+def op13_filter_audit(spark, sf_dir):
+    """Outcomes of five filters over all documents, by language, for all orders and steps."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op13_filter_audit"] = filter_audit.audit_sql()
