@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm import class_lm, exact_dedup, filter_audit, html_extract, mixing, ngram_join, packing, quality_rules, substring_dedup, token_files, toxicity
+from velocart.llm import class_lm, exact_dedup, filter_audit, html_extract, mixing, ngram_join, packing, quality_rules, substring_dedup, token_alignment, token_files, toxicity
 from velocart.llm.store import new_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,6 +166,13 @@ def op10_mixing(spark, sf_dir):
 SQL["op10_mixing"] = mixing.mix_sql(TEMPERATURE)
 
 
+@register
+def op12_token_alignment(spark, sf_dir):
+    """All documents by two tokenizers, aligned by bytes."""
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.Alignment(table(spark, sf_dir, "documents"), a, b).documents()
+
+
 @register
 def op13_filter_audit(spark, sf_dir):
     """Outcomes of five filters over all documents, by language, for all orders and steps."""

@@ -51,6 +51,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
+    """Write ``df`` to the shared folder in ``n`` buckets by ``key`` and read it back: groups and joins by ``key`` that
+    are dealt over ``n`` partitions move the other side only. The catalog forgets the table; its files stay."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    table = os.path.basename(path).replace("-", "_")
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(table)
+    back = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return back
+
+
 def on_files(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` itself if it is a projection or filter of Parquet files, else a copy in the shared folder."""
     plan = docs._jdf.queryExecution().analyzed().toString()
