@@ -42,9 +42,9 @@ from velocart.llm.tokens import _GOES_ON, Encoder
 from velocart.llm.words import _SPACE, _TABLE, Known, distinct, group_slices, grown, mix, per_worker, span_hashes, text_bytes, text_chunks
 
 #: Distinct segments a worker remembers before it starts afresh.
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 400_000
 #: Bytes of text of a chunk, at most (one longer text is a chunk of its own).
-FLUSH = 24 << 20
+FLUSH = 6 << 20
 #: Pieces in which vectors of A's vocabulary are summed.
 BLOCKS = 64
 #: B writes a space so.
@@ -233,9 +233,9 @@ def first_pass(docs: DataFrame, aligner, n_slices: int, with_groups: bool) -> Da
             slots, size = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
             doc = np.repeat(np.arange(len(ids)), size)
             none = np.bincount(doc, own.bad[slots], len(ids)) > 0
-            digests, groups, ends, per_slot = [], [], np.cumsum(size).tolist(), slots.tolist()
-            for gone, e, n in zip(none.tolist(), ends, size.tolist()):
-                text = b"" if gone or not n else b";".join([own.groups[s] for s in per_slot[e - n : e]])
+            digests, groups = [], []
+            for gone, e, n in zip(none.tolist(), np.cumsum(size).tolist(), size.tolist()):
+                text = b"" if gone or not n else b";".join([own.groups[s] for s in slots[e - n : e].tolist()])
                 digests.append(hashlib.sha256(text).digest() if text else bytes(32))
                 if with_groups:
                     groups.append(text.decode())
