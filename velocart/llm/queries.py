@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm import class_lm, exact_dedup, filter_audit, html_extract, mixing, ngram_join, packing, quality_rules, substring_dedup, token_alignment, token_files, toxicity
+from velocart.llm import class_lm, exact_dedup, filter_audit, html_extract, hyper_minhash, mixing, ngram_join, packing, quality_rules, substring_dedup, token_alignment, token_files, toxicity
 from velocart.llm.store import new_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,6 +166,18 @@ def op10_mixing(spark, sf_dir):
 SQL["op10_mixing"] = mixing.mix_sql(TEMPERATURE)
 
 
+@register
+def op11_hyper_minhash(spark, sf_dir):
+    """Near-copy components of all documents at a Jaccard similarity of 0.85 of 5-word shingles."""
+    return hyper_minhash.join(table(spark, sf_dir, "documents"), percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+SQL["op11_hyper_minhash"] = f"""
+WITH found AS ({SQL["op4_ngram_join"].replace("75 *", "85 *")})
+SELECT *, doc_id = component_id AS kept FROM found
+"""
+
+
 @register
 def op12_token_alignment(spark, sf_dir):
     """All documents by two tokenizers, aligned by bytes."""
