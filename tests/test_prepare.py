@@ -29,6 +29,20 @@ def test_audit_and_store_first_per_key(spark):
     assert prepare.audit_tables({"x": stored}, {"x": ["l_orderkey", "l_linenumber"]})["x"].count() == 0
 
 
+def test_prepare_shop_stores_and_reads_back(spark):
+    rows = [(1, "A", "Road", 1.0, 2.0, 2), (1, "B", "Road", 3.0, 4.0, 1), (2, "C", None, None, None, 1)]
+    product = spark.createDataFrame(rows, "product_id long, brand string, product_line string, list_price double, standard_cost double, import_no int")
+    frames = {"product": product, "customer": None, "orders": None, "order_items": None}
+    shop = prepare.prepare_shop(frames, "prep_shop", "first_products", "import_no", mode="overwrite")
+    assert sorted((r.product_id, r.brand) for r in shop["product"].collect()) == [(1, "B"), (2, "C")]
+    assert "import_no" not in shop["product"].columns and set(shop) == set(frames)
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException, match="already exists"):
+        prepare.prepare_shop(frames, "prep_shop", "first_products", "import_no")
+
+
 def test_bucketed_facts_join_without_exchange(spark):
     t = SourceTables(spark, sf_dir("0.01"))
     create_namespace(spark, "prep")

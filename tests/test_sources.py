@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from velocart.operators import keep_first
 from velocart.schemas import PRODUCT
-from velocart.sources import conform, create_namespace, file_columns, load_typed, save_table, scan_all, table_path
+from velocart.sources import conform, create_namespace, file_columns, load_typed, missing_columns, save_table, scan_all, scan_summary, table_path
 from velocart.sources.roles import TEST_SCHEMAS, SourceTables
 
 TEST_PART = TEST_SCHEMAS["part"]
@@ -101,10 +101,118 @@ def test_keep_first_in_file_order_over_many_files(spark, tmp_path):
     assert {r.product_id: r.brand for r in read().collect()}[1] == "b2"
     os.utime(str(folder / "part-100000.parquet"), (900_000, 900_000))
     assert {r.product_id: r.brand for r in read().collect()}[1] == "b100000"
-    csv = tmp_path / "c.csv"
-    csv.write_text("product_id,brand\n1,A\n")
     with pytest.raises(ValueError, match="import sequence"):
-        keep_first(spark.read.option("header", True).csv(str(csv)), "product_id", FILE_ORDER)
+        keep_first(spark.read.parquet(str(folder)).distinct(), "product_id", FILE_ORDER)
+
+
+def _lines(fmt, rows):
+    if fmt == "csv":
+        return "product_id,brand\n" + "".join(f"{i},{b}\n" for i, b in rows)
+    return "".join(f'{{"product_id": {i}, "brand": "{b}"}}\n' for i, b in rows)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_keep_first_in_file_order_of_text_files(spark, tmp_path, fmt):
+    """The same first records of text imports under any split size, however the rows are dealt to tasks."""
+    import os
+    import random
+
+    from velocart.operators import FILE_ORDER
+
+    rng, wanted = random.Random(3), {}
+    schema = T.StructType([T.StructField("product_id", T.LongType()), T.StructField("brand", T.StringType())])
+    for n in (2, 10, 1):  # in the order of import: by time, then by the number in the name
+        file = tmp_path / f"part-{n}.{fmt}"
+        rows = [(rng.randrange(300), f"{n}-{i}-" + "x" * rng.randrange(40)) for i in range(1500)]
+        file.write_text(_lines(fmt, rows))
+        os.utime(file, (1_000_000 + (n == 1), 1_000_000 + (n == 1)))
+        for i, b in rows:
+            wanted.setdefault(i, b)
+    for size in ("1g", "50000", "7000", "999"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            df = load_typed(spark, str(tmp_path), schema, fmt=fmt)
+            assert df.rdd.getNumPartitions() > (0 if size == "1g" else 4)
+            got = keep_first(df, "product_id", FILE_ORDER)
+            assert {r.product_id: r.brand for r in got.collect()} == wanted, size
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_every_file_is_checked(spark, tmp_path):
+    """A later file without a column, or with one of another type, raises; columns of all nulls and empty files don't."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "t.parquet"
+    folder.mkdir()
+    full = {"id": pa.array([1, 2], pa.int64()), "brand": ["a", "b"], "flag": [True, True], "cost": [1.0, None], "day": pa.array([0, 1], pa.date32())}
+    schema = T.StructType.fromDDL("id long, brand string, flag boolean, cost double, day date")
+    write = lambda name, columns: pq.write_table(pa.table(columns), str(folder / f"{name}.parquet"))
+    write("a", full)
+    write("b", {**full, "brand": pa.nulls(2, pa.string()), "flag": [False, False]})
+    write("c", {**full, "flag": [True, False]})
+    write("d", {k: pa.array(v).slice(0, 0) if not isinstance(v, pa.Array) else v.slice(0, 0) for k, v in full.items()})
+    assert load_typed(spark, str(folder), schema).count() == 6
+    assert missing_columns(spark, str(folder), schema).count() == 0
+    for column in full:
+        write("e", {k: v for k, v in full.items() if k != column})
+        lacking = missing_columns(spark, str(folder), schema).collect()
+        assert [(r.file.rsplit("/", 1)[1], r.column_name) for r in lacking] == [("e.parquet", column)]
+        with pytest.raises(ValueError, match=f"e.parquet has no column {column}"):
+            load_typed(spark, str(folder), schema)
+    assert load_typed(spark, str(folder), schema, check="first").count() == 8
+    write("e", {**full, "brand": pa.array([1, 2], pa.int64())})
+    with pytest.raises(ValueError, match="different types"):
+        load_typed(spark, str(folder), schema)
+    write("e", {**full, "more": [1, 2]})
+    assert load_typed(spark, str(folder), schema).count() == 8
+    summary = scan_summary(spark, str(tmp_path), {"t": spark.read.schema(schema).parquet(str(folder))}).first()
+    assert (summary.row_count, summary.column_count) == (8, 6)
+    with pytest.raises(ValueError, match="has no column gone"):
+        load_typed(spark, str(folder), T.StructType.fromDDL("id long, gone string"))
+    with pytest.raises(ValueError, match="stored as bigint, declared int"):
+        load_typed(spark, str(folder), T.StructType.fromDDL("id int"))
+
+
+def test_stand_ins_of_all_types_differ(spark, tmp_path):
+    """Each type's two stand-ins are read as such from a file without the column."""
+    from velocart.sources.tables import _STAND_INS
+
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    schema = T.StructType.fromDDL("id long, " + ", ".join(f"c_{t} {t}" for t in _STAND_INS) + ", m decimal(12,2), whole decimal(3,3)")
+    lacking = {r.column_name for r in missing_columns(spark, path, schema).collect()}
+    assert lacking == {f.name for f in schema.fields} - {"id"}
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    """Neither table nor folder; the second run works. A failed replacement leaves the old table."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    create_namespace(spark, "staged")
+    root = next(r[1] for r in spark.sql("DESCRIBE NAMESPACE staged").collect() if r[0] == "Location").removeprefix("file:")
+    names = lambda: sorted(os.listdir(root)) if os.path.isdir(root) else []
+    good = spark.range(100).withColumn("k", F.col("id") % 5)
+    bad = good.withColumn("v", F.when(F.col("id") == 99, F.raise_error(F.lit("no such value"))).otherwise(F.lit("x")))
+    for kw in ({}, {"bucket_by": (4, ["k"])}, {"partition_by": ["k"]}):
+        with pytest.raises(Exception, match="no such value"):
+            save_table(bad, "staged.t", **kw)
+        assert not spark.catalog.tableExists("staged.t") and names() == [] and spark.catalog.listTables("staged") == []
+        save_table(good, "staged.t", **kw)
+        assert spark.table("staged.t").count() == 100 and names() == ["t"]
+        with pytest.raises(Exception, match="no such value"):
+            save_table(bad, "staged.t", mode="overwrite", **kw)
+        assert spark.table("staged.t").count() == 100 and names() == ["t"]
+        with pytest.raises(AnalysisException, match="already exists"):
+            save_table(good, "staged.t")
+        save_table(spark.table("staged.t").filter("id < 10"), "staged.t", mode="overwrite", **kw)  # from itself
+        assert spark.table("staged.t").count() == 10
+        spark.sql("DROP TABLE staged.t")
 
 
 def test_tables_are_not_kept_between_accesses(spark):

@@ -12,7 +12,9 @@ from velocart.operators.aggregates import (
 from velocart.operators.quality import FILE_ORDER, duplicate_keys, keep_first, with_file_order
 from velocart.operators.relational import (
     anti_join,
+    broadcast_declared,
     broadcast_limited,
+    bucketed_alike,
     date_range,
     distinct_values,
     filter_date_range,
@@ -22,6 +24,7 @@ from velocart.operators.relational import (
     filter_in,
     filter_is_true,
     filter_ne,
+    latest_year,
     left_join_using,
     project,
     project_rename,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velocart.functions.scalar import as_column
-from velocart.operators.relational import broadcast_limited
+from velocart.operators.relational import broadcast_declared
 
 
 def _cols(keys) -> list[str]:
@@ -57,9 +57,10 @@ def with_group_mean(df: DataFrame, group: str, value: str, name: str = "group_me
     group has none). Per-group sums are computed with map-side partial
     aggregation and joined back, so no task ever holds a whole group; NULL
     group keys form one group. ``max_groups`` declares a bound on the number
-    of groups, for a broadcast; without it the planner decides.
+    of groups, for a broadcast; with more groups the query fails. Without it
+    the planner decides.
     """
-    stats = broadcast_limited(_group_stats(df, group, value), max_groups)
+    stats = broadcast_declared(_group_stats(df, group, value), max_groups, f"groups of {group}")
     mean = F.when(F.col("__n") > 0, F.col("__sum").cast("double") / F.col("__n"))
     joined = df.join(stats, F.col(group).eqNullSafe(F.col("__g")), "inner")
     return joined.withColumn(name, mean).drop("__g", "__sum", "__n")
@@ -74,7 +75,7 @@ def above_group_mean(df: DataFrame, group: str, value: str, max_groups: int | No
     conditions after calling this, not before. Rows with a NULL value drop.
     ``max_groups``: see ``with_group_mean``.
     """
-    stats = broadcast_limited(_group_stats(df, group, value), max_groups)
+    stats = broadcast_declared(_group_stats(df, group, value), max_groups, f"groups of {group}")
     # a semi join with the comparison in its condition: keeps df's columns
     # and lets the planner size the result as df, not df x stats
     cond = F.col(group).eqNullSafe(F.col("__g")) & (F.col(value) * F.col("__n") > F.col("__sum"))

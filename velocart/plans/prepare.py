@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 
 from velocart.operators.quality import duplicate_keys, keep_first
 from velocart.schemas import KEYS
-from velocart.sources.tables import save_table
+from velocart.sources.tables import create_namespace, save_table
 
 
 def audit_tables(
@@ -42,6 +42,27 @@ def store_first_per_key(
     return df.sparkSession.table(table)
 
 
+def prepare_shop(
+    frames: Mapping[str, DataFrame],
+    namespace: str,
+    product_table: str = "product_new",
+    order_by: Sequence[str | Column] | str = "file_order",
+    mode: str = "errorifexists",
+) -> dict[str, DataFrame]:
+    """The whole preparation: create the namespace, keep the first record of each product, store it, read it back.
+
+    ``frames`` are the role frames (product, customer, orders, order_items);
+    returned are the same, with the stored table in place of ``product``. The
+    stored table has the product's columns (without an import sequence that
+    ``order_by`` names).
+    """
+    create_namespace(frames["product"].sparkSession, namespace)
+    sequence = [c for c in ([order_by] if isinstance(order_by, str) else order_by) if isinstance(c, str)]
+    first = keep_first(frames["product"], list(KEYS["product"]), order_by).drop(*sequence)
+    save_table(first, f"{namespace}.{product_table}", mode=mode)
+    return {**frames, "product": first.sparkSession.table(f"{namespace}.{product_table}")}
+
+
 def store_facts_bucketed(
     orders: DataFrame,
     order_items: DataFrame,

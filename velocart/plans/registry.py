@@ -3,6 +3,7 @@ report or operator. Parameters are those recorded in FIXTURES.md."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from velocart import functions as fx
 from velocart import operators as op
 from velocart.operators import quality
+from velocart.plans import prepare
 from velocart.plans import reports as R
 from velocart.sources import roles, tables
 
@@ -100,6 +102,46 @@ def _r1_deduplicated(t):
     return R.brands_by_cost_and_volume(product, roles.order_items_role(t.lineitem), min_cost=990, min_quantity=1100)
 
 
+#: Where the stored products of the registered queries go; a table for each data folder.
+STORED = "velocart_prepared"
+
+
+def _prepared(t):
+    """The role frames after the preparation: products with duplicates audited, kept first and stored in the catalog,
+    and read back from there. A later run replaces the table."""
+    frames = {
+        "product": _imported_products(t),
+        "customer": roles.customer_industry_role(t.customer),
+        "orders": roles.orders_role(t.orders),
+        "order_items": roles.order_items_role(t.lineitem),
+    }
+    table = f"product_new_{zlib.crc32(t.root.encode()):08x}"
+    return prepare.prepare_shop(frames, STORED, table, "import_no", mode="overwrite")
+
+
+@register("stored_product_new")
+def _stored_product_new(t):
+    """The stored product table, read back from the catalog."""
+    money = [F.col(c).cast("double").alias(c) for c in ("list_price", "standard_cost")]
+    return tables.scan_all(t.spark, _prepared(t)["product"]).select("product_id", "brand", "product_line", *money)
+
+
+@register("r1_stored_product")
+def _r1_stored(t):
+    """R1 over the stored product table."""
+    shop = _prepared(t)
+    return R.brands_by_cost_and_volume(shop["product"], shop["order_items"], min_cost=990, min_quantity=1100)
+
+
+@register("r7_stored_product")
+def _r7_stored(t):
+    """R7 over the stored product table; the second imports, at three times the price, would be the top products."""
+    shop = _prepared(t)
+    return R.buyers_of_top_products(
+        shop["customer"], shop["orders"], shop["order_items"], shop["product"], line="ECONOMY", k=20, industries=("BUILDING", "MACHINERY"), min_hits=2
+    )
+
+
 @register("r1_brand_volume")
 def _r1(t):
     return R.brands_by_cost_and_volume(
@@ -321,6 +363,19 @@ def _fn_age_years(t):
     return _ages(t)
 
 
+@register("fn_age_today")
+def _fn_age_today(t):
+    """Completed years from the order date to the current date."""
+    return t.orders.select("o_orderkey", fx.age_years(F.col("o_orderdate").cast("date"), F.current_date()).alias("age_years"))
+
+
+@register("r3_titles_today")
+def _r3_today(t):
+    """R3 with ages as of the current date, which is its default."""
+    rules = (("ECONOMY", "BLUE%"), ("STANDARD", "Small%"))
+    return R.titles_by_rules(roles.customers_from_parts(t.part, t.lineitem), rules=rules, min_age=30)
+
+
 @register("filter_min_age")
 def _filter_min_age(t):
     return _ages(t).filter(F.col("age_years") > 6)
@@ -329,8 +384,7 @@ def _filter_min_age(t):
 @register("filter_latest_year")
 def _filter_latest_year(t):
     dates = _order_dates(t)
-    latest = dates.agg(fx.calendar_year(F.max("order_date")).alias("y")).scalar()
-    return dates.filter(fx.calendar_year("order_date") == latest)
+    return dates.filter(op.latest_year(dates, "order_date"))
 
 
 def _quantities(t):

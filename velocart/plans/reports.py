@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from velocart.functions.scalar import age_years, date_value, holds, line_amount
 from velocart.operators.aggregates import above_group_mean
-from velocart.operators.relational import broadcast_limited, date_range
+from velocart.operators.relational import broadcast_limited, bucketed_alike, date_range, latest_year
 from velocart.operators.topk import asc, desc
 
 # Fixed values of the source script (used as parameter defaults).
@@ -128,11 +128,12 @@ def _brand_flags(
     """Per brand: bought by industry A? by industry B?
 
     Facts are ``orders ⟕ order_items ⟕ product ⋈ customer``; an order with no
-    line, or a line without a product, has a NULL brand. Orders meet their
-    lines first: on facts stored bucketed by order that needs no exchange.
-    Then the two industries' customers come in (broadcast where the planner
-    finds them small, so the facts stream through), and the flags are OR-ed
-    per product and again per brand; only partial rows cross those shuffles.
+    line, or a line without a product, has a NULL brand. The order of the
+    joins follows the layout. On plain tables the two industries' customers
+    cut the orders first, and what is left meets the lines: lines are
+    exchanged once, by order. On facts stored bucketed by order, orders meet
+    their lines first, which exchanges neither. The flags are OR-ed per
+    product and again per brand; only partial rows cross those shuffles.
     """
     industry = F.col("job_industry_category")
     buyers = customer.filter(industry.isin(industry_a, industry_b)).select(
@@ -140,14 +141,12 @@ def _brand_flags(
         (industry == F.lit(industry_a)).alias("__a"),
         (industry == F.lit(industry_b)).alias("__b"),
     )
-    per_order = orders.select("order_id", "customer_id").join(
-        order_items.select("order_id", "product_id"), "order_id", "left"
-    )
-    per_product = (
-        per_order.join(buyers, "customer_id", "inner")
-        .groupBy("product_id")
-        .agg(F.bool_or("__a").alias("__a"), F.bool_or("__b").alias("__b"))
-    )
+    placed, lines = orders.select("order_id", "customer_id"), order_items.select("order_id", "product_id")
+    if bucketed_alike(orders, order_items, "order_id"):
+        bought = placed.join(lines, "order_id", "left").join(buyers, "customer_id", "inner")
+    else:
+        bought = placed.join(buyers, "customer_id", "inner").join(lines, "order_id", "left")
+    per_product = bought.groupBy("product_id").agg(F.bool_or("__a").alias("__a"), F.bool_or("__b").alias("__b"))
     return (
         per_product.join(product.select("product_id", "brand"), "product_id", "left")
         .groupBy("brand")
@@ -196,7 +195,8 @@ def top_customers(
     deceased included). Ties go to the lower customer id.
 
     ``max_states`` declares a bound on the number of states, so that their
-    statistics are broadcast; the other sides are left to the planner.
+    statistics are broadcast (with more states the query fails); the other
+    sides are left to the planner.
     """
     qualified = above_group_mean(customer, "state", "property_valuation", max_states).filter(
         F.col("deceased_indicator") == F.lit(active_value)
@@ -235,18 +235,12 @@ def lapsed_customers(
     """R6. Car owners outside ``excluded_segment`` with no approved online
     order in the calendar year of the latest order date (over all orders).
 
-    The latest year is a one-row scalar sub-query, evaluated once. A NULL
-    segment fails ``<>``; a customer with a NULL id is never matched, so it
+    The latest year is a date range from a scalar sub-query (``latest_year``),
+    which prunes row groups and date folders. A NULL segment fails ``<>``; a customer with a NULL id is never matched, so it
     stays (NOT EXISTS semantics).
     """
-    latest_year = orders.agg(F.year(F.max("order_date")).alias("y")).scalar()
-    # year(d) = y written as a date range, so the bound can prune row groups
-    # (and date partitions) instead of testing every row
-    in_latest_year = (F.col("order_date") >= F.make_date(latest_year, F.lit(1), F.lit(1))) & (
-        F.col("order_date") < F.make_date(latest_year + 1, F.lit(1), F.lit(1))
-    )
     recent = (
-        orders.filter((F.col("order_status") == F.lit(status)) & holds("online_order") & in_latest_year)
+        orders.filter((F.col("order_status") == F.lit(status)) & holds("online_order") & latest_year(orders, "order_date"))
         .select("customer_id")
         .distinct()
     )

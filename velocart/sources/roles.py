@@ -48,7 +48,10 @@ TEST_SCHEMAS = {
 
 
 class SourceTables:
-    """Access to the driver's Parquet tables under one scale directory; every access lists the files anew."""
+    """Access to the driver's Parquet tables under one scale directory; every access lists the files anew.
+
+    An access looks at one footer only; ``load_typed`` and ``check_files`` are the import's check of all files.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -58,7 +61,7 @@ class SourceTables:
         if name.startswith("_"):
             raise AttributeError(name)
         if name in TEST_SCHEMAS:
-            return load_typed(self.spark, table_path(self.root, name), TEST_SCHEMAS[name])
+            return load_typed(self.spark, table_path(self.root, name), TEST_SCHEMAS[name], check="first")
         return read_table(self.spark, self.root, name)
 
 
