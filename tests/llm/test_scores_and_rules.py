@@ -5,12 +5,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import LOWER, WORD
 from velocart.llm import class_lm, mixing, quality_rules, toxicity
 from velocart.llm.queries import fold
-from velocart.llm.words import text_chunks
+from velocart.llm.words import split_words, text_chunks
 
 
 # ---- toxicity --------------------------------------------------------------
@@ -198,7 +199,7 @@ def test_class_lm_probabilities_sum_to_one_and_use_order(spark):
     groups = [[f"{g}{i}" for i in range(20)] for g in "abc"]
     texts = [" ".join(str(rng.choice(groups[(k + s) % 3])) for k in range(30)) for s in rng.integers(0, 3, 300)]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    model, vocabulary = class_lm.build(frame.select("text"), 4)
+    model, vocabulary, _ = class_lm.build(frame.withColumn("training", F.lit(True)), 4)
     assert model.tokens == 300 * 31 and model.distinct == 61
     # after every class the transitions' shares sum to one
     u = (np.append(model.counts, [0] * 0) + class_lm.ADD) / model.total
@@ -209,10 +210,57 @@ def test_class_lm_probabilities_sum_to_one_and_use_order(spark):
     for row in np.flatnonzero(seen):
         assert 0.97 < (10 ** model.bonus[row][seen] * share[seen]).sum() < 1.03
     other = spark.createDataFrame([(1, " ".join(["a1 b2 c3"] * 10)), (2, " ".join(["a1 a2 a3"] * 10)), (3, None)], "doc_id long, text string")
-    got = {r.doc_id: r for r in class_lm.score(other, model, vocabulary, 4).collect()}
+    got = {r.doc_id: r for r in class_lm.score(class_lm.corpus(other.withColumn("training", F.lit(False)), 4), model, vocabulary).collect()}
     assert got[1].score > got[1].base_score + 5 and got[2].score < got[2].base_score and got[3].n_tokens == 1
 
 
+@pytest.mark.parametrize("flush", [1 << 20, 300])
+def test_class_lm_score_equals_brute_force(monkeypatch, spark, docs, corpus, flush):
+    """Counts, classes and every text's score anew, token by token, from the learned class of each word; one chunk a
+    task or many."""
+    for name, value in (("FREQUENT", 20), ("LEAST", 3), ("FLUSH", flush)):
+        monkeypatch.setattr(class_lm, name, value)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (fold("doc_id", 10) != 0).alias("training"))
+    model, vocabulary, own = class_lm.build(rows, 3)
+    of_hash = {}
+    for r in vocabulary.collect():
+        of_hash |= dict(zip(np.frombuffer(r["keys"], np.uint64).tolist(), np.frombuffer(r["classes"], np.uint8).tolist()))
+    texts = {c[0]: WORD.findall((c[1] or "").translate(LOWER)) for c in corpus}
+    training = {d for d in texts if zlib.crc32(str(d).encode()) % 10 != 0}
+    count = Counter(w for d in training for w in texts[d])
+    of_word = {}
+    for w in {w for words in texts.values() for w in words}:
+        found = split_words(pa.array([w]), False)
+        unseen = model.of[len(model.units.keys) + int(class_lm.shapes(found)[0])]
+        of_word[w] = of_hash.get(int(found.hashes()[0]), int(unseen))
+        assert (w in count) == (int(found.hashes()[0]) in of_hash)
+    assert len({of_word[w] for w in count}) > 5
+    # class bigrams and shares of the training texts
+    k, end = class_lm.CLASSES, 0
+    table, mass = np.zeros((k, k)), np.zeros(k)
+    for d in training:
+        sequence = [end, *(of_word[w] for w in texts[d]), end]
+        for a, b in zip(sequence, sequence[1:]):
+            table[a, b] += 1
+    total = sum(count.values()) + len(training) + 0.1 * (len(count) + 2)
+    for w, n in count.items():
+        mass[of_word[w]] += n + 0.1
+    mass[sorted({int(c) for c in model.of[len(model.units.keys) : -1]})] += 0.1  # an unseen word
+    mass[end] = len(training) + 0.1
+    share = mass / total
+    got = {r.doc_id: r for r in class_lm.score(own, model, vocabulary).collect()}
+    assert set(got) == set(texts)
+    for d, words in texts.items():
+        score, before = 0.0, end
+        for token in [*words, None]:
+            c = end if token is None else of_word[token]
+            own_share = (len(training) if token is None else count[token]) + 0.1
+            step = (table[before, c] + class_lm.PRIOR * share[c] / share.sum()) / (table[before].sum() + class_lm.PRIOR)
+            score += np.log10(own_share / total) + (np.log10(step / share[c]) if share[c] > 0 else 0.0)
+            before = c
+        assert abs(got[d].score - score) < 1e-6 * max(1, abs(score)), d
+
+
 def test_class_lm_awkward(awkward, nothing):
     assert class_lm.evaluate(awkward, F.lit(True)).count() == 7
     assert {r.base_score for r in class_lm.evaluate(awkward, F.lit(False)).collect()} == {0.0}
@@ -239,7 +287,7 @@ def test_class_lm_clusters_words_beyond_the_most_frequent(monkeypatch, spark):
     weight = np.array([0.3, 0.2] + [0.5 / 40] * 40)
     texts = [" ".join(str(rng.choice(groups[k % 2], p=weight)) for k in range(40)) for _ in range(300)]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    model, vocabulary = class_lm.build(frame.select("text"), 4)
+    model, vocabulary, _ = class_lm.build(frame.withColumn("training", F.lit(True)), 4)
     other = spark.createDataFrame([(1, "a1zzz b2zzz " * 10), (2, "a1zzz a2zzz " * 10)], "doc_id long, text string")
-    got = {r.doc_id: r for r in class_lm.score(other, model, vocabulary, 4).collect()}
+    got = {r.doc_id: r for r in class_lm.score(class_lm.corpus(other.withColumn("training", F.lit(False)), 4), model, vocabulary).collect()}
     assert got[1].score - got[1].base_score > got[2].score - got[2].base_score + 5

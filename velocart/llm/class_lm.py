@@ -16,9 +16,13 @@ towards the class's share, times the word's share of its class. The word
 shares are the smoothed unigram estimates of the base score, so the score is
 the base score plus what each class transition adds.
 
-Counts and classes of all words stay in hash slices on the executors, where the
-different words of a chunk of texts are looked up. The driver gets bigrams of
-units and of classes: tables whose size the parameters bound.
+All texts are written once, as places in the list of their chunk's different
+words, bucketed by chunk; those lists, words with their counts and classes are
+bucketed by hash slice. A round looks the lists up in their slices, where
+nothing moves, and sends what it found to the chunks (five bytes a word of a
+list), whose texts don't move either. The scores are made of the same texts.
+Tables of a round are deleted when the next is written. The driver gets bigrams
+of units and of classes: tables whose size the parameters bound.
 
 Defined results: a null text is empty and scores its end token; without
 training texts the base score is 0 and all classes are alike; repeated rows get equal scores; a null id
@@ -37,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velocart.llm.store import slices, stored
+from velocart.llm.store import bucketed, discard, slices, stored
 from velocart.llm.words import _TABLE, Words, distinct, group_slices, span_hashes, split_words, text_chunks
 
 #: Units clustered one by one, groups of other words, classes, and words whose counts the driver ranks.
@@ -335,8 +339,8 @@ class Model:
 ROW = "slice int, kind int, chunk long, begin long, ids array<bigint>, data binary, counts binary, shapes binary, classes binary"
 _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 _NAMES = [c.split()[0] for c in ROW.split(", ")]
-#: Kinds of rows: texts as places of words, words asked for, words of a slice, answers, words beside classes, class bigrams.
-TEXTS, ASKED, OWN, ANSWER, BESIDE, TABLE = range(6)
+#: Kinds of rows: texts as places of words, words asked for, answers, words beside classes, class bigrams.
+TEXTS, ASKED, ANSWER, BESIDE, TABLE = range(5)
 
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
@@ -344,31 +348,34 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
 
 
 def sequences(docs: DataFrame, n_slices: int) -> DataFrame:
-    """ROWs of ``docs`` (doc_id, text): texts as places in the list of their chunk's different words, and by slice the
-    words of that list, from place ``begin``, with their shapes."""
+    """ROWs of ``docs`` (doc_id, text, training): texts as places in the list of their chunk's different words (with
+    their numbers of words, and in ``shapes`` whether they train), and by slice the words of that list, from place
+    ``begin``, with their shapes."""
 
     def run(batches):
         partition, number, held, volume = TaskContext.get().partitionId(), 0, [], 0
 
         def flush():
             chunk = partition << 24 | number
-            keys, place, code = distinct(np.concatenate([h for _, h, _, _ in held]))
-            kinds = np.concatenate([s for _, _, s, _ in held])[place]
+            keys, place, code = distinct(np.concatenate([h for _, h, _, _, _ in held]))
+            kinds = np.concatenate([s for _, _, s, _, _ in held])[place]
             rank, begin, asked = np.empty(len(keys), np.int64), 0, []
             for k, at in group_slices(keys, n_slices):
                 rank[at] = begin + np.arange(len(at))
                 asked.append({"slice": k, "kind": ASKED, "chunk": chunk, "begin": begin, "data": keys[at].tobytes(), "shapes": kinds[at].tobytes()})
                 begin += len(at)
             code, at = rank[code].astype("<u4"), 0
-            for ids, h, _, size in held:
-                yield _rows([{"kind": TEXTS, "chunk": chunk, "ids": ids, "data": code[at : at + len(h)].tobytes(), "counts": size.tobytes()}])
+            for ids, h, _, size, training in held:
+                row = {"kind": TEXTS, "chunk": chunk, "ids": ids, "data": code[at : at + len(h)].tobytes(), "counts": size.tobytes()}
+                yield _rows([row | {"shapes": training.tobytes()}])
                 at += len(h)
             if asked:
                 yield _rows(asked)
 
         for batch in text_chunks(batches, "text"):
             words = split_words(batch.column(1), True)
-            held.append((batch.column(0).to_pylist(), words.hashes(), shapes(words), np.diff(words.first)))
+            training = batch.column(2).fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint8)
+            held.append((batch.column(0).to_pylist(), words.hashes(), shapes(words), np.diff(words.first), training))
             volume += batch.nbytes
             if volume > FLUSH:
                 yield from flush()
@@ -376,73 +383,77 @@ def sequences(docs: DataFrame, n_slices: int) -> DataFrame:
         if held:
             yield from flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, ROW)
+    return docs.select("doc_id", "text", "training").mapInArrow(run, ROW)
 
 
-def answered(rows: DataFrame, state: DataFrame, of_shape: np.ndarray) -> DataFrame:
-    """The texts of ``rows`` and, to each ASKED row, count, class and place in the slice (-1: unseen) of its words."""
+#: An answer: place in the slice (with counts wanted: how often seen; -1 and 0 if unseen), and the class, of each word asked.
+ANSWERS = "chunk long, slice int, begin long, data binary, classes binary"
+_ANSWERS = pa.schema([("chunk", pa.int64()), ("slice", pa.int32()), ("begin", pa.int64()), ("data", pa.binary()), ("classes", pa.binary())])
 
-    def look_up(table: pa.Table) -> pa.Table:
-        kind = table.column("kind").to_numpy()
-        own = table.filter(pa.array(kind == OWN)).to_pylist()
-        keys, counts, classes = (np.frombuffer(own[0][c], t) if own else np.zeros(0, t) for c, t in (("data", np.uint64), ("counts", np.int64), ("classes", np.uint8)))
+
+def answered(asked: DataFrame, state: DataFrame, of_shape: np.ndarray, counts: bool) -> DataFrame:
+    """ANSWERS to all ASKED rows: class and count, or class and place, -1 also for words that never move."""
+
+    def look_up(rows: pa.Table, own: pa.Table) -> pa.Table:
+        own = own.to_pylist()
+        keys, count, classes = (np.frombuffer(own[0][c], t) if own else np.zeros(0, t) for c, t in (("keys", np.uint64), ("counts", np.int64), ("classes", np.uint8)))
         out = []
-        for r in table.filter(pa.array(kind == ASKED)).to_pylist():
-            asked, shape = np.frombuffer(r["data"], np.uint64), np.frombuffer(r["shapes"], np.uint8)
-            place, count, of = np.full(len(asked), -1), np.zeros(len(asked), np.int64), of_shape[shape].astype(np.uint8)
+        for r in rows.to_pylist():
+            words, shape = np.frombuffer(r["data"], np.uint64), np.frombuffer(r["shapes"], np.uint8)
+            found, of = np.zeros(len(words), np.int64) if counts else np.full(len(words), -1, np.int32), of_shape[shape].astype(np.uint8)
             if len(keys):
-                at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                seen = keys[at] == asked
-                place, count, of = np.where(seen, at, -1), np.where(seen, counts[at], 0), np.where(seen, classes[at], of)
-            out.append(
-                {"slice": r["slice"], "kind": ANSWER, "chunk": r["chunk"], "begin": r["begin"], "data": place.astype("<i4").tobytes(), "counts": count.tobytes(), "classes": of.astype(np.uint8).tobytes()}
-            )
-        return pa.Table.from_batches([_rows(out)])
-
-    kept = state.select("slice", F.lit(OWN).alias("kind"), F.col("keys").alias("data"), "counts", "classes")
-    both = rows.filter(F.col("kind") == ASKED).unionByName(kept, allowMissingColumns=True).select(*_NAMES)
-    return rows.filter(F.col("kind") == TEXTS).unionByName(both.groupBy("slice").applyInArrow(look_up, ROW))
-
-
-def _chunk(table: pa.Table) -> tuple[list[dict], list[dict], np.ndarray, np.ndarray, np.ndarray]:
-    """TEXTS rows, ANSWER rows, and place in its slice, count and class of each word of the chunk's list."""
-    kind = table.column("kind").to_numpy()
-    texts, answers = (table.filter(pa.array(kind == k)).to_pylist() for k in (TEXTS, ANSWER))
-    answers.sort(key=lambda r: r["begin"])
-    columns = (("data", "<i4"), ("counts", np.int64), ("classes", np.uint8))
-    return texts, answers, *(np.frombuffer(b"".join(r[c] for r in answers), t) for c, t in columns)
-
-
-def beside(rows: DataFrame, state: DataFrame, model: Model, n_slices: int, words: bool) -> DataFrame:
-    """TABLE rows (class bigram in ``chunk``, count in ``begin``) and, if wanted, BESIDE rows for all words that may move."""
-    fixed = model.units
-
-    def count(table: pa.Table) -> pa.Table:
-        texts, answers, place, counts, classes = _chunk(table)
-        seq, first = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
-        for r in texts:
-            seq.append(np.frombuffer(r["data"], "<u4"))
-            first.append(first[-1][-1] + np.cumsum(np.frombuffer(r["counts"], np.int64)))
-        seq, first = np.concatenate(seq), np.concatenate(first)
-        own = with_ends(seq, first, len(place)).astype(np.int64)
-        of = np.append(classes, 0).astype(np.int64)[own]
-        pairs = np.bincount(of[:-1] * CLASSES + of[1:], minlength=CLASSES**2)
+                at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+                seen = keys[at] == words
+                of = np.where(seen, classes[at], of)
+                found = np.where(seen, count[at], 0) if counts else np.where(seen & (count[at] >= LEAST), at, -1).astype(np.int32)
+            out.append({"chunk": r["chunk"], "slice": r["slice"], "begin": r["begin"], "data": found.tobytes(), "classes": of.astype(np.uint8).tobytes()})
+        return pa.Table.from_pylist(out, _ANSWERS)
+
+    return asked.groupBy("slice").cogroup(state.groupBy("slice")).applyInArrow(look_up, ANSWERS)
+
+
+def _listed(answers: pa.Table, kind) -> tuple[list[dict], np.ndarray, np.ndarray]:
+    """The answers to a chunk in the order of its list, and what they say of each word."""
+    rows = sorted(answers.to_pylist(), key=lambda r: r["begin"])
+    return rows, *(np.frombuffer(b"".join(r[c] for r in rows), t) for c, t in (("data", kind), ("classes", np.uint8)))
+
+
+def _texts(chunk: pa.Table) -> list[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, words as places, numbers of words and the training flags of each row of a chunk's texts."""
+    return [
+        (r["ids"], np.frombuffer(r["data"], "<u4"), np.frombuffer(r["counts"], np.int64), np.frombuffer(r["shapes"], np.uint8) > 0)
+        for r in chunk.to_pylist()
+    ]
+
+
+def beside(chunks: DataFrame, answers: DataFrame, words: bool) -> DataFrame:
+    """TABLE rows (class bigram in ``chunk``, count in ``begin``) and, if wanted, BESIDE rows for all words that may
+    move, of the training texts of ``chunks``."""
+
+    def count(chunk: pa.Table, told: pa.Table) -> pa.Table:
+        rows, place, classes = _listed(told, np.int32)
+        of_list, pairs = np.append(classes, 0).astype(np.int64), np.zeros(CLASSES**2, np.int64)
+        moves, width = np.append(place >= 0, False), 2 * CLASSES
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for _, seq, size, training in _texts(chunk):
+            seq, size = seq[np.repeat(training, size)], size[training]
+            own = with_ends(seq, np.concatenate([[0], np.cumsum(size)]), len(place)).astype(np.int64)
+            of = of_list[own]
+            pairs += np.bincount(of[:-1] * CLASSES + of[1:], minlength=CLASSES**2)
+            if words:
+                before, after = moves[own[:-1]], moves[own[1:]]
+                code = np.concatenate([own[:-1][before] * width + of[1:][before], own[1:][after] * width + CLASSES + of[:-1][after]])
+                found.append(np.unique(code, return_counts=True))
         out = [{"kind": TABLE, "chunk": int(k), "begin": int(pairs[k])} for k in np.flatnonzero(pairs)]
-        moves = np.append((counts >= LEAST) & (place >= 0), False)
-        if words and moves.any():
-            before, after = moves[own[:-1]], moves[own[1:]]
-            width = 2 * CLASSES
-            code = np.concatenate([own[:-1][before] * width + of[1:][before], own[1:][after] * width + CLASSES + of[:-1][after]])
-            code, n = np.unique(code, return_counts=True)
-            for r in answers:
-                begin, end = r["begin"], r["begin"] + len(r["classes"])
-                a, b = np.searchsorted(code, [begin * width, end * width])
-                if a < b:
-                    at = place[code[a:b] // width].astype("<u4")
-                    out.append({"slice": r["slice"], "kind": BESIDE, "data": at.tobytes(), "classes": (code[a:b] % width).astype(np.uint8).tobytes(), "counts": n[a:b].astype("<u4").tobytes()})
+        code, _, n = _sum_by(np.concatenate([c for c, _ in found]), np.concatenate([k for _, k in found]))
+        for r in rows:
+            a, b = np.searchsorted(code, [r["begin"] * width, (r["begin"] + len(r["classes"])) * width])
+            if a < b:
+                at = place[code[a:b] // width].astype("<u4")
+                out.append({"slice": r["slice"], "kind": BESIDE, "data": at.tobytes(), "classes": (code[a:b] % width).astype(np.uint8).tobytes(), "counts": n[a:b].astype("<u4").tobytes()})
         return pa.Table.from_batches([_rows(out)])
 
-    return answered(rows, state, model.of[len(fixed.keys) : -1]).groupBy("chunk").applyInArrow(count, ROW)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(count, ROW)
 
 
 def class_table(counted: DataFrame) -> np.ndarray:
@@ -474,23 +485,22 @@ _STATE = pa.schema([("slice", pa.int32()), *((c, pa.binary()) for c in ("keys",
 def moved(state: DataFrame, counted: DataFrame, table: np.ndarray, units: Units) -> DataFrame:
     """The state after one round: each slice moves its words seen ``LEAST`` times, except those clustered one by one."""
 
-    def move(group: pa.Table) -> pa.Table:
-        kind = group.column("kind").to_numpy()
-        own = group.filter(pa.array(kind == OWN)).to_pylist()[0]
-        near = group.filter(pa.array(kind == BESIDE))
+    def move(own: pa.Table, near: pa.Table) -> pa.Table:
+        if not len(own):
+            return own
+        own = own.to_pylist()[0]
         classes = np.frombuffer(own["classes"], np.uint8).astype(np.int64)
         place, side, count = (np.frombuffer(b"".join(near.column(c).to_pylist()), t) for c, t in (("data", "<u4"), ("classes", np.uint8), ("counts", "<u4")))
         code, _, count = _sum_by(place.astype(np.int64) * 2 * CLASSES + side, count)
-        free = ~np.isin(np.frombuffer(own["data"], np.uint64), units.keys)
+        free = ~np.isin(np.frombuffer(own["keys"], np.uint64), units.keys)
         at = free[code // (2 * CLASSES)]
         code, count = code[at], count[at]
         words, word = np.unique(code // (2 * CLASSES), return_inverse=True)
         classes[words] = best_classes(classes[words], word, code % (2 * CLASSES), count, table)
-        return pa.Table.from_pylist([{"slice": own["slice"], "keys": own["data"], "counts": own["counts"], "shapes": own["shapes"], "classes": classes.astype(np.uint8).tobytes()}], _STATE)
+        return pa.Table.from_pylist([own | {"classes": classes.astype(np.uint8).tobytes()}], _STATE)
 
-    kept = state.select("slice", F.lit(OWN).alias("kind"), F.col("keys").alias("data"), "counts", "shapes", "classes")
-    near = counted.filter(F.col("kind") == BESIDE)
-    return near.unionByName(kept, allowMissingColumns=True).select(*_NAMES).groupBy("slice").applyInArrow(move, STATE)
+    near = counted.filter(F.col("kind") == BESIDE).select("slice", "data", "classes", "counts")
+    return state.groupBy("slice").cogroup(near.groupBy("slice")).applyInArrow(move, STATE)
 
 
 def masses(state: DataFrame) -> np.ndarray:
@@ -509,9 +519,27 @@ def masses(state: DataFrame) -> np.ndarray:
     return out
 
 
-def build(texts: DataFrame, n_slices: int) -> tuple[Model, DataFrame]:
-    """The model of ``texts`` (text), and the stored vocabulary with its classes."""
-    spark = texts.sparkSession
+@dataclass
+class Corpus:
+    """All texts as ``sequences``: their chunks, and the words asked for, each bucketed by where they are read."""
+
+    chunks: DataFrame
+    asked: DataFrame
+
+
+def corpus(docs: DataFrame, n_slices: int) -> Corpus:
+    """Write ``docs`` (doc_id, text, training) as sequences, once."""
+    rows = bucketed(sequences(docs, n_slices), "lm-texts", "chunk", n_slices)
+    asked = rows.filter(F.col("kind") == ASKED).select("slice", "chunk", "begin", "data", "shapes")
+    chunks = rows.filter(F.col("kind") == TEXTS).select("chunk", "ids", "data", "counts", "shapes")
+    return Corpus(chunks, bucketed(asked, "lm-asked", "slice", n_slices))
+
+
+def build(docs: DataFrame, n_slices: int) -> tuple[Model, DataFrame, Corpus]:
+    """The model of the training rows of ``docs`` (doc_id, text, training), the stored vocabulary with its classes, and
+    all rows as sequences."""
+    spark = docs.sparkSession
+    texts = docs.filter("training").select("text")
     vocabulary = stored(count_words(texts, n_slices), "lm-words")
     tokens, distinct_words, n_texts, keys, counts = summarize(vocabulary)
     units = Units(np.sort(keys[:FREQUENT]), np.arange(min(FREQUENT, len(keys))))
@@ -522,17 +550,23 @@ def build(texts: DataFrame, n_slices: int) -> tuple[Model, DataFrame]:
     one = np.zeros((len(of), CLASSES))
     one[np.arange(len(of)), of] = 1
     table = one.T @ bigrams @ one
-    state = stored(seeded(vocabulary, units, of), "lm-classes")
+    state = bucketed(seeded(vocabulary, units, of), "lm-classes", "slice", n_slices)
+    discard(vocabulary)
+    own = corpus(docs, n_slices)
     if SPARK_ROUNDS and distinct_words > len(units.keys):
-        rows = stored(sequences(texts.select(F.lit(None).cast("long").alias("doc_id"), "text"), n_slices), "lm-sequences")
-        counted = stored(beside(rows, state, model, n_slices, True), "lm-beside")
+        of_shape = model.of[len(units.keys) : -1]
+        counted = stored(beside(own.chunks, answered(own.asked, state, of_shape, False), True), "lm-beside")
         for k in range(SPARK_ROUNDS):
-            after = stored(moved(state, counted, table, units), "lm-classes")
-            counted = stored(beside(rows, after, model, n_slices, k + 1 < SPARK_ROUNDS), "lm-beside")
+            after = bucketed(moved(state, counted, table, units), "lm-classes", "slice", n_slices)
+            discard(counted)
+            counted = stored(beside(own.chunks, answered(own.asked, after, of_shape, False), k + 1 < SPARK_ROUNDS), "lm-beside")
             found = class_table(counted)
             if likelihood(found) <= likelihood(table):
+                discard(after)
                 break
+            discard(state)
             state, table = after, found
+        discard(counted)
     # shares: of each class by the unigram estimates; an unseen word is one more in each class with shapes
     n, words = masses(state)
     mass = n + ADD * words
@@ -543,32 +577,35 @@ def build(texts: DataFrame, n_slices: int) -> tuple[Model, DataFrame]:
         smooth = (table + PRIOR * share / share.sum()) / (table.sum(axis=1, keepdims=True) + PRIOR)
         bonus = np.log10(smooth / share)
     model.bonus = np.where(np.isfinite(bonus), bonus, 0.0)
-    return model, state
+    return model, state, own
 
 
-def score(docs: DataFrame, model: Model, vocabulary: DataFrame, n_slices: int) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score of every row of ``docs`` (doc_id, text)."""
+def score(own: Corpus, model: Model, vocabulary: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score, score of every text of the corpus."""
     end = np.log10((model.texts + ADD) / model.total)
     total, bonus, of_shape, extra = model.total, model.bonus, model.of[len(model.units.keys) : -1], int(model.texts > 0)
 
-    def merge(table: pa.Table) -> pa.Table:
-        """One chunk of a task: its texts and what the slices found."""
-        texts, _, _, counts, classes = _chunk(table)
+    def merge(chunk: pa.Table, told: pa.Table) -> pa.Table:
+        """One chunk: its texts and what the slices found."""
+        _, counts, classes = _listed(told, np.int64)
         share, seen = np.log10((counts + ADD) / total), counts > 0
         parts = []
-        for r in texts:
-            seq, size = np.frombuffer(r["data"], "<u4"), np.frombuffer(r["counts"], np.int64)
+        for ids, seq, size, _ in _texts(chunk):
             first, n = np.concatenate([[0], np.cumsum(size)]), len(size)
             text = np.repeat(np.arange(n), size)
             of = with_ends(classes[seq].astype(np.int64), first, 0)
             base = np.bincount(text, share[seq], n) + end
             step = np.add.reduceat(bonus[of[:-1], of[1:]], first[:-1] + np.arange(n))
             known = np.bincount(text, seen[seq], n).astype(np.int64) + extra
-            parts.append(pa.table({"doc_id": pa.array(r["ids"], pa.int64()), "n_tokens": size + 1, "n_known": known, "base_score": base, "score": base + step}))
-        return pa.concat_tables(parts)
+            parts.append(pa.table({"doc_id": pa.array(ids, pa.int64()), "n_tokens": size + 1, "n_known": known, "base_score": base, "score": base + step}))
+        return pa.concat_tables(parts) if parts else pa.Table.from_pylist([], _SCORES)
+
+    answers = answered(own.asked, vocabulary, of_shape, True)
+    scores = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+    return own.chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(merge, scores)
+
 
-    found = answered(sequences(docs, n_slices), vocabulary, of_shape)
-    return found.groupBy("chunk").applyInArrow(merge, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+_SCORES = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_tokens", "n_known")] + [(c, pa.float64()) for c in ("base_score", "score")])
 
 
 def evaluate(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -577,5 +614,5 @@ def evaluate(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: st
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), training.alias("training")
     )
-    model, vocabulary = build(rows.filter("training").select("text"), n_slices)
-    return score(rows.select("doc_id", "text"), model, vocabulary, n_slices).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    model, vocabulary, own = build(rows, n_slices)
+    return score(own, model, vocabulary).withColumn("train_tokens", F.lit(model.tokens).cast("long"))

@@ -48,7 +48,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._velocart_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``stored`` or ``bucketed`` gave and nothing will read again: all that was made
+    of them must be written itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._velocart_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bucketed(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
@@ -59,6 +69,7 @@ def bucketed(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
     df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(table)
     back = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
+    back._velocart_path = path
     return back
 
 
