@@ -92,12 +92,66 @@ def test_ngram_join_awkward(awkward, nothing):
 
 def test_trie_prunes_parts_and_lengths():
     trie = ngram_join.Trie()
-    trie.insert(1, [7, 8], 100, 1)
-    trie.insert(2, [7, 9], 100, 1)
-    trie.insert(3, [9], 10, 3)
-    assert [m for _, m in trie.partners([7], 100, 1, 75)] == []
-    assert [m for _, m in trie.partners([7], 100, 5, 75)] == [[1, 2]]
-    assert [m for _, m in trie.partners([9], 100, 5, 75)] == [[2]]
+    trie.insert(1, [(7, 130), (8, 130)], 100, 1)
+    trie.insert(2, [(7, 130), (9, 130)], 100, 1)
+    trie.insert(3, [(9, 13)], 10, 3)
+    assert trie.partners([(7, 130)], 100, 1, 75) == set()
+    assert trie.partners([(7, 130)], 100, 5, 75) == {1, 2}
+    assert trie.partners([(9, 130)], 100, 5, 75) == {2}
+    # too far back in one set or in the other
+    assert trie.partners([(7, 99)], 100, 5, 75) == set()
+    assert trie.partners([(7, 140)], 131, 5, 75) == set()
+
+
+def test_trie_finds_every_similar_pair():
+    """Brute force over random sets: whatever is similar meets at its first common shingle, within the bounds."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    for percent in (75, 60, 90):
+        sets, base = [], rng.permutation(4000)[:120]
+        for i in range(80):
+            s = base.copy()
+            change = rng.integers(0, 30)
+            s[rng.integers(0, len(s), change)] = rng.integers(5000, 9000, change)
+            sets.append(np.unique(s[: rng.integers(90, 121)]))
+        order = rng.permutation(9000)  # of all shingles
+        rows = []
+        for i, s in enumerate(sets):
+            prefix = s[np.argsort(order[s])][: ngram_join.prefix_length(len(s), percent)]
+            rows += [(int(t), i, len(s), at) for at, t in enumerate(prefix)]
+        token, member, n, position = (np.array(c) for c in zip(*rows))
+        found = ngram_join.cross_pairs(token, member, n, position, member, percent)
+        wanted = {(a, b) for b in range(len(sets)) for a in range(b) if ngram_join.similar(sets[a], sets[b], percent)}
+        assert wanted and wanted <= found
+        parts = member % 7
+        assert {p for p in wanted if p[0] % 7 != p[1] % 7} <= ngram_join.cross_pairs(token, member, n, position, parts, percent)
+        assert all(a % 7 != b % 7 for a, b in ngram_join.cross_pairs(token, member, n, position, parts, percent))
+
+
+def test_shortened_hashes_that_meet_lose_no_link():
+    """Two sets sharing 90 of 110 shingles, whose tokens are forced to meet wrongly, early or within one set."""
+    import numpy as np
+
+    n, own = 100, 10
+    shared = np.arange(1000, 1090)
+    sets = [np.concatenate([np.arange(own), shared]), np.concatenate([np.arange(500, 500 + own), shared])]
+    prefix = ngram_join.prefix_length(n, 75)
+    for clash in range(prefix):
+        tokens = [s[:prefix].copy() for s in sets]
+        tokens[1][clash] = tokens[0][prefix - 1 - clash]  # not the same shingle
+        rows = [(int(t), i, n, at) for i, s in enumerate(tokens) for at, t in enumerate(s)]
+        token, member, size, position = (np.array(c) for c in zip(*rows))
+        if tokens[1][own] == tokens[0][own]:  # unless the first common shingle itself was overwritten
+            assert ngram_join.cross_pairs(token, member, size, position, member, 75) == {(0, 1)}
+
+
+def test_ngram_join_ends_alike_without_rounds(spark, docs, corpus, monkeypatch):
+    """Rounds only save work."""
+    wanted = expected_join([(c[0], c[1]) for c in corpus])
+    for rounds in (0, 1):
+        monkeypatch.setattr(ngram_join, "STAR_ROUNDS", rounds)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs).collect()} == wanted
 
 
 def test_components(spark):

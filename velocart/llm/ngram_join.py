@@ -3,22 +3,26 @@
 Every text is the set of its distinct 5-word shingles (as 64-bit hashes). A
 global order puts rare shingles first, by a counter table of fixed size over
 all texts and then by hash. Two sets with Jaccard similarity of 0.75 or more
-share a shingle among the first n - ceil(0.75 n) + 1 of each, and, as beyond
-the shorter prefix at most the rest of its set can be shared, more of them the
-larger the sets; only those prefixes travel, dealt out by shingle. Each task stores its part of the
-prefixes in a trie, most shared shingles first, so that sets with a common
-beginning share nodes, and walks it with bounds on the lengths left.
+have the first shingle they share among the first n - ceil(0.75 n) + 1 of each;
+only those prefixes travel, dealt out by shingle. Each task stores its part of
+the prefixes in a trie, most shared shingles first, so that sets with a common
+beginning share nodes, and walks it with bounds on the lengths left: if a
+shingle is the first that two sets share, they share no more than it and the
+shorter of the rests behind it. A pair that this bound leaves at any shingle is
+a candidate. At the shingle that is truly their first, the bound holds for
+every similar pair, so no link is lost; shingles that meet by a shortened hash
+can only add candidates.
 
 Equal sets are one class from the start. How many of a class's prefix shingles
-any other class has bounds what it can share with one. In ``STAR_ROUNDS``
-rounds every part found so far (a class at first) is paired with the class of
-another part it shares most with, among the class with most shared shingles of
-each shingle and ``HEADS`` that hashes pick anew each round; those pairs, tried
-once each, are verified on the whole sets and join
-parts. Then the trie is walked for all pairs that share a prefix shingle across
-parts: subtrees inside one part or out of the bounds are pruned, and the pairs
-left that were not tried before are verified too. So a group of k near copies
-costs about k pairs a round, and no link between different parts is lost.
+any other class has bounds what it can share with one. In up to ``STAR_ROUNDS``
+rounds, while they find links, every part found so far (a class at first) is
+paired with the class of another part it shares most with, among the class with
+most shared shingles of each shingle and ``HEADS`` that hashes pick anew each
+round; those pairs, tried once each, are verified on the whole sets and join
+parts. Then the trie is walked for the candidates across parts: subtrees inside
+one part or out of the bounds are pruned, and the pairs left that were not
+tried before are verified too. So a group of k near copies costs about k pairs
+a round, and no link between different parts is lost.
 
 Defined results: null and empty texts, and those without words, have no
 shingles and are alone; fewer than five words are one shingle; repeated rows
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velocart.llm.components import components
-from velocart.llm.store import documents_at, located, on_files, slices, stored
+from velocart.llm.store import discard, documents_at, located, on_files, slices, stored
 from velocart.llm.words import group_slices, mix, split_words, span_hashes, text_chunks, window_hashes
 
 WIDTH = 5
@@ -80,22 +84,30 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+def largest_partner(n: int, position: int, percent: int) -> int:
+    """The most shingles of a set with which one of ``n`` can be similar, if they share none before ``position``."""
+    return (100 + percent) * (n - position) // percent - n
+
+
 class Trie:
     """Prefix parts of classes as paths of shingles; ``header`` finds all nodes of a shingle.
 
-    A node knows the classes that pass it (in order of insertion), the range
-    of their set sizes, and their part if all are in the same.
+    A node knows the classes that pass it (in order of insertion) with the
+    size of the largest partner its shingle allows each, the range of their
+    set sizes, the largest of those partners, and their part if all are in
+    the same.
     """
 
     def __init__(self):
         self.children: dict[tuple[int, int], int] = {}
         self.header: dict[int, list[int]] = {}
-        self.members: list[list[int]] = [[]]
-        self.least, self.most, self.part = [0], [0], [0]
+        self.members: list[list[tuple[int, int, int, int]]] = [[]]
+        self.least, self.most, self.reach, self.part = [0], [0], [0], [0]
 
-    def insert(self, member: int, path: list[int], n: int, part: int) -> None:
+    def insert(self, member: int, path: list[tuple[int, int]], n: int, part: int) -> None:
+        """``path``: each shingle with the size of the largest partner it allows."""
         node = 0
-        for token in path:
+        for token, partner in path:
             below = self.children.get((node, token))
             if below is None:
                 below = self.children[(node, token)] = len(self.members)
@@ -103,73 +115,49 @@ class Trie:
                 self.members.append([])
                 self.least.append(n)
                 self.most.append(n)
+                self.reach.append(partner)
                 self.part.append(part)
             node = below
-            self.members[node].append(member)
+            self.members[node].append((member, n, partner, part))
             self.least[node] = min(self.least[node], n)
             self.most[node] = max(self.most[node], n)
+            self.reach[node] = max(self.reach[node], partner)
             if self.part[node] != part:
                 self.part[node] = None
 
-    def partners(self, path: list[int], n: int, part: int, percent: int):
-        """Classes that share a shingle of ``path``, but for subtrees in the same part or out of the length bounds."""
-        low, high = percent * n / 100, 100 * n / percent
-        for depth, token in enumerate(path):
+    def partners(self, path: list[tuple[int, int]], n: int, part: int, percent: int) -> set[int]:
+        """Classes of other parts that may be similar, if one of the shingles of ``path`` is the first shared."""
+        found, low, high = set(), percent * n / 100, 100 * n / percent
+        for token, partner in path:
+            most = min(high, partner)
             for node in self.header.get(token, ()):
-                if (part is not None and self.part[node] == part) or self.most[node] < low or self.least[node] > high:
+                if self.part[node] == part or self.most[node] < low or self.least[node] > most or self.reach[node] < n:
                     continue
-                yield depth, self.members[node]
+                for other, theirs, reach, of in self.members[node]:
+                    if of != part and low <= theirs <= most and reach >= n:
+                        found.add(other)
+        return found
 
 
-def paths_of(token: np.ndarray, member: np.ndarray) -> tuple[list[int], list[list[int]]]:
-    """For each member its shingles, the most shared first."""
+def paths_of(token: np.ndarray, member: np.ndarray, partner: np.ndarray) -> tuple[list[int], list[list[tuple[int, int]]]]:
+    """For each member its shingles with their largest partners, the most shared shingles first."""
     _, code, count = np.unique(token, return_inverse=True, return_counts=True)
     order = np.lexsort((token, -count[code], member))
     names, begin = np.unique(member[order], return_index=True)
-    return names.tolist(), [p.tolist() for p in np.split(token[order], begin[1:])]
-
-
-def cross_pairs(token, member, n, position, part, common, percent: int) -> dict[tuple[int, int], tuple[int, int, int]]:
-    """All pairs (a < b) of different parts that share shingles here and can reach the similarity: how many, and
-    the last position of one in a and in b. ``common``: how many prefix shingles of a member others have."""
-    size = dict(zip(member.tolist(), n.tolist()))
-    part_of = dict(zip(member.tolist(), part.tolist()))
-    most = dict(zip(member.tolist(), common.tolist()))
-    place: dict[tuple[int, int], int | None] = {}
-    for m, t, at in zip(member.tolist(), token.tolist(), position.tolist()):
-        place[(m, t)] = None if (m, t) in place else at  # shortened hashes can meet
-    names, paths = paths_of(token, member)
-    trie, out = Trie(), {}
+    pairs = list(zip(token[order].tolist(), partner[order].tolist()))
+    ends = [*begin[1:].tolist(), len(pairs)]
+    return names.tolist(), [pairs[a:b] for a, b in zip(begin.tolist(), ends)]
+
+
+def cross_pairs(token, member, n, position, part, percent: int) -> set[tuple[int, int]]:
+    """All pairs (a < b) of different parts that may be similar, if one of the shingles here is the first they share."""
+    size, part_of = dict(zip(member.tolist(), n.tolist())), dict(zip(member.tolist(), part.tolist()))
+    names, paths = paths_of(token, member, largest_partner(n, position, percent))
+    trie, out = Trie(), set()
     for name, path in zip(names, paths):
-        mine, own = size[name], part_of[name]
-        found: dict[int, tuple[int, int, int] | None] = {}
-        for depth, others in trie.partners(path, mine, own, percent):
-            t = path[depth]
-            here = place[(name, t)]
-            for other in others:
-                theirs = size[other]
-                if part_of[other] == own or percent * max(mine, theirs) > 100 * min(mine, theirs):
-                    continue
-                there = place[(other, t)]
-                shared, i, j = found.get(other) or (0, 0, 0)
-                if here is not None and there is not None:
-                    # all before, or all that the prefixes share; this one; and all after it in the shorter rest
-                    after = min(mine - here, theirs - there) - 1
-                    reach = min(min(here, there) + 1, min(most[name], most[other])) + after
-                    if (100 + percent) * reach < percent * (mine + theirs) and min(here, there) + 1 <= min(most[name], most[other]):
-                        found[other] = None  # out of reach, whatever else is shared
-                    elif (100 + percent) * (min(most[name], most[other]) + after) < percent * (mine + theirs):
-                        found[other] = None
-                    if other in found and found[other] is None:
-                        continue
-                    i, j = max(i, here), max(j, there)
-                if other not in found or found[other] is not None:
-                    found[other] = (shared + 1, i, j)
-        for other, what in found.items():
-            if what is not None:
-                shared, i, j = what
-                out[(min(name, other), max(name, other))] = (shared, i, j) if name < other else (shared, j, i)
-        trie.insert(name, path, mine, own)
+        for other in trie.partners(path, size[name], part_of[name], percent):
+            out.add((min(name, other), max(name, other)))
+        trie.insert(name, path, size[name], part_of[name])
     return out
 
 
@@ -331,35 +319,16 @@ def star_pairs(entries: DataFrame, percent: int, salt: int, tried: DataFrame | N
     return chosen.select("best.a", "best.b").distinct()
 
 
-PAIRS = "a long, b long, n_a long, n_b long, shared long, last_a long, last_b long"
-
-
 def walk(entries: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
-    """(a, b), a < b: all pairs across parts that can be similar and were not tried.
-
-    Beyond the last shingle that the prefixes share, at most the shorter rest
-    of the two sets is shared; and beyond the prefix that ends first, at most
-    the rest of its set.
-    """
+    """(a, b), a < b: all candidates across parts that were not tried."""
     several = entries.groupBy("slice", "token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
     left = entries.join(several.select("slice", "token"), ["slice", "token"], "left_semi")
 
     def run(table: pa.Table) -> pa.Table:
-        columns = ("token", "name", "n", "position", "part", "common")
-        token, name, n, position, part, common = (table.column(c).to_numpy() for c in columns)
-        pairs = cross_pairs(token, name, n, position, part, common, percent)
-        size = dict(zip(name.tolist(), n.tolist()))
-        a, b = [p for p, _ in pairs], [p for _, p in pairs]
-        shared = [list(x) for x in zip(*pairs.values())] or [[], [], []]
-        values = (a, b, [size[x] for x in a], [size[x] for x in b], *shared)
-        return pa.table({c.split()[0]: pa.array(v, pa.int64()) for c, v in zip(PAIRS.split(", "), values)})
-
-    found = left.groupBy("slice").applyInArrow(run, PAIRS).groupBy("a", "b", "n_a", "n_b")
-    found = found.agg(F.sum("shared").alias("shared"), F.max("last_a").alias("last_a"), F.max("last_b").alias("last_b"))
-    beyond = F.least(F.col("n_a") - 1 - F.col("last_a"), F.col("n_b") - 1 - F.col("last_b"))
-    rest = F.ceil(F.greatest("n_a", "n_b") * percent / 100) - 1
-    reach = F.col("shared") + F.least(beyond, rest)
-    pairs = found.filter((100 + percent) * reach >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+        pairs = cross_pairs(*(table.column(c).to_numpy() for c in ("token", "name", "n", "position", "part")), percent)
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+    pairs = left.groupBy("slice").applyInArrow(run, "a long, b long").distinct()
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
@@ -403,24 +372,34 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     rows = surveyed.filter("kind = 0").select("doc_id", "file", "row", "n", "name")
 
     dealt = prefixes(source, counts, n_slices, percent).repartition(n_slices, "slice")
-    entries = stored(shared_entries(dealt), "shared")
+    met = stored(shared_entries(dealt), "shared")
 
     # a text of every class that shares a shingle with another
     some = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min(F.struct("file", "row")).alias("at"))
-    some = some.join(entries.select("name").distinct(), "name").select("name", "at.file", "at.row")
+    some = some.join(met.select("name").distinct(), "name").select("name", "at.file", "at.row")
     texts = stored(source.select("file", "row", "text").join(some, ["file", "row"]).select("name", "text"), "texts")
 
-    common = entries.groupBy("name").agg(F.count(F.lit(1)).alias("common"))
-    entries = stored(entries.join(common, "name").select("slice", "token", "name", "n", "position", "common"), "entries")
-    parted, links, tried = entries.withColumn("part", F.col("name")), None, None
-    for salt in (*range(STAR_ROUNDS), None):
-        pairs = walk(parted, percent, tried) if salt is None else star_pairs(parted, percent, salt, tried)
-        pairs = stored(pairs, "pairs")
+    common = met.groupBy("name").agg(F.count(F.lit(1)).alias("common"))
+    entries = stored(met.join(common, "name").select("slice", "token", "name", "n", "position", "common"), "entries")
+    discard(met)
+    parted, found, links, tried, salt, settled = entries.withColumn("part", F.col("name")), None, None, None, 0, False
+    while True:
+        walking = settled or salt == STAR_ROUNDS
+        pairs = stored(walk(parted, percent, tried) if walking else star_pairs(parted, percent, salt, tried), "pairs")
         new = stored(verified(pairs, texts, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
+        if walking:
+            break
+        settled, salt = new.isEmpty(), salt + 1
+        if not settled:
+            before, found = found, components(links)
+            parted = entries.join(found, F.col("name") == F.col("node"), "left").withColumn("part", F.coalesce("root", "name")).drop("node", "root")
+            if before is not None:
+                discard(before)
+    if found is None or not new.isEmpty():
         found = components(links)
-        parted = entries.join(found, F.col("name") == F.col("node"), "left").withColumn("part", F.coalesce("root", "name")).drop("node", "root")
+    discard(entries, texts)
 
     roots = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("smallest"))
     roots = roots.join(found, F.col("name") == F.col("node"), "left").select("name", "smallest", F.coalesce("root", "name").alias("root"))
