@@ -13,8 +13,9 @@ a candidate. At the shingle that is truly their first, the bound holds for
 every similar pair, so no link is lost; shingles that meet by a shortened hash
 can only add candidates.
 
-Equal sets are one class from the start. How many of a class's prefix shingles
-any other class has bounds what it can share with one. In up to ``STAR_ROUNDS``
+Equal sets are one class from the start. The prefix shingles that several
+classes have are written once, bucketed by slice, and don't move again; only
+what became of the parts travels to them. In up to ``STAR_ROUNDS``
 rounds, while they find links, every part found so far (a class at first) is
 paired with the class of another part it shares most with, among the class with
 most shared shingles of each shingle and ``HEADS`` that hashes pick anew each
@@ -33,12 +34,13 @@ another; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velocart.llm.components import components
-from velocart.llm.store import discard, documents_at, located, on_files, slices, stored
+from velocart.llm.store import bucketed, discard, documents_at, located, on_files, slices, stored
 from velocart.llm.words import group_slices, mix, split_words, span_hashes, text_chunks, window_hashes
 
 WIDTH = 5
@@ -297,19 +299,71 @@ def shared_entries(dealt: DataFrame) -> DataFrame:
     return dealt.groupBy("slice").applyInArrow(meet, "slice int, token long, name long, n long, position long")
 
 
-def star_pairs(entries: DataFrame, percent: int, salt: int, tried: DataFrame | None) -> DataFrame:
+ENTRY_COLUMNS = ("token", "name", "n", "position")
+
+
+def mixed_entries(own: pa.Table, parts: pa.Table) -> tuple[np.ndarray, ...]:
+    """Token, name, n, position and part of the entries of a slice whose shingle several parts have. ``parts`` (name,
+    part) has the classes that are in a part with others."""
+    token, name, n, position = (own.column(c).to_numpy() for c in ENTRY_COLUMNS)
+    part = name.copy()
+    if len(parts):
+        known, root = parts.column("name").to_numpy(), parts.column("part").to_numpy()
+        order = np.argsort(known)
+        known, root = known[order], root[order]
+        at = np.minimum(np.searchsorted(known, name), len(known) - 1)
+        part = np.where(known[at] == name, root[at], name)
+    _, first, code = np.unique(token, return_index=True, return_inverse=True)
+    mixed = (np.bincount(code, part != part[first][code]) > 0)[code]
+    return tuple(c[mixed] for c in (token, name, n, position, part))
+
+
+def heads_of(token: np.ndarray, name: np.ndarray, salt: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each entry, one head of its shingle at a time (the place of the head's entry), and whether it is a new one:
+    the class with most shingles here, and ``HEADS`` chosen by hashes of this round."""
+    _, code = np.unique(token, return_inverse=True)
+    _, own, count = np.unique(name, return_inverse=True, return_counts=True)
+    keys = [count[own].astype(np.uint64)] + [mix(name.view(np.uint64) ^ _U(0x9E3779B97F4A7C15 * (HEADS * salt + k + 1) % 2**64)) for k in range(HEADS)]
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for key in keys:
+        order = np.lexsort((name, key, code))
+        last = np.ones(len(order), bool)
+        last[:-1] = code[order][1:] != code[order][:-1]
+        head = order[last][code]
+        fresh = np.ones(len(token), bool)
+        for other, _ in out:
+            fresh &= name[head] != name[other]
+        out.append((head, fresh))
+    return out
+
+
+def by_slice(entries: DataFrame, parts: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` on the entries and the parts of each slice; the entries, bucketed by slice, don't move."""
+    return entries.groupBy("slice").cogroup(parts.groupBy("slice")).applyInArrow(run, schema)
+
+
+STARS = "name long, head long, n long, n_head long, part long, part_head long, shared long"
+
+
+def star_pairs(entries: DataFrame, parts: DataFrame, percent: int, salt: int, tried: DataFrame | None) -> DataFrame:
     """(a, b), a < b, not tried: for each part its class and a head of another part that share most, if they are
     likely similar (the bound of the smaller rest; what it misses is left to the walk)."""
-    heads = [F.max_by("name", F.struct("common", "name"))]
-    heads += [F.max_by("name", F.xxhash64("name", F.lit(HEADS * salt + k))) for k in range(HEADS)]
-    best = entries.groupBy("slice", "token").agg(
-        F.min("part").alias("p"), F.max("part").alias("q"), *[h.alias(f"h{k}") for k, h in enumerate(heads)]
-    )
-    best = best.filter("p <> q").select("slice", "token", F.array_distinct(F.array(*[f"h{k}" for k in range(len(heads))])).alias("heads"))
-    pairs = entries.join(best, ["slice", "token"]).select("name", "n", "part", F.explode("heads").alias("head")).filter("name <> head")
-    pairs = pairs.groupBy("name", "head").agg(F.max("n").alias("n"), F.max("part").alias("part"), F.count(F.lit(1)).alias("shared"))
-    classes = entries.groupBy(F.col("name").alias("head")).agg(F.max("n").alias("n_head"), F.max("part").alias("part_head"))
-    pairs = pairs.join(classes, "head").filter(F.col("part") != F.col("part_head"))
+
+    def run(own: pa.Table, joined: pa.Table) -> pa.Table:
+        token, name, n, _, part = mixed_entries(own, joined)
+        found = [np.zeros((0, 2), np.int64)]
+        for head, fresh in heads_of(token, name, salt):
+            at = np.flatnonzero(fresh & (part != part[head]))
+            found.append(np.stack([at, head[at]], 1))
+        at = np.concatenate(found)
+        pairs = pd.DataFrame({"x": at[:, 0], "y": at[:, 1], "a": name[at[:, 0]], "b": name[at[:, 1]]}).groupby(["a", "b"], sort=False)
+        some, shared = pairs.first(), pairs.size()
+        x, y = some["x"].to_numpy(np.int64), some["y"].to_numpy(np.int64)
+        values = (name[x], name[y], n[x], n[y], part[x], part[y], shared.to_numpy(np.int64))
+        return pa.table({c.split()[0]: pa.array(v, pa.int64()) for c, v in zip(STARS.split(", "), values)})
+
+    pairs = by_slice(entries, parts, run, STARS).groupBy("name", "head")
+    pairs = pairs.agg(*[F.max(c).alias(c) for c in ("n", "n_head", "part", "part_head")], F.sum("shared").alias("shared"))
     rest = F.ceil(F.least("n", "n_head") * percent / 100) - 1
     pairs = pairs.filter((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("n") + F.col("n_head")))
     pairs = pairs.select("part", "shared", F.least("name", "head").alias("a"), F.greatest("name", "head").alias("b"))
@@ -319,16 +373,14 @@ def star_pairs(entries: DataFrame, percent: int, salt: int, tried: DataFrame | N
     return chosen.select("best.a", "best.b").distinct()
 
 
-def walk(entries: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
+def walk(entries: DataFrame, parts: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
     """(a, b), a < b: all candidates across parts that were not tried."""
-    several = entries.groupBy("slice", "token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
-    left = entries.join(several.select("slice", "token"), ["slice", "token"], "left_semi")
 
-    def run(table: pa.Table) -> pa.Table:
-        pairs = cross_pairs(*(table.column(c).to_numpy() for c in ("token", "name", "n", "position", "part")), percent)
+    def run(own: pa.Table, joined: pa.Table) -> pa.Table:
+        pairs = cross_pairs(*mixed_entries(own, joined), percent)
         return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
-    pairs = left.groupBy("slice").applyInArrow(run, "a long, b long").distinct()
+    pairs = by_slice(entries, parts, run, "a long, b long").distinct()
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
@@ -372,20 +424,19 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     rows = surveyed.filter("kind = 0").select("doc_id", "file", "row", "n", "name")
 
     dealt = prefixes(source, counts, n_slices, percent).repartition(n_slices, "slice")
-    met = stored(shared_entries(dealt), "shared")
+    entries = bucketed(shared_entries(dealt), "entries", "slice", n_slices)
+    where = stored(entries.select("slice", "name").distinct(), "where")
 
-    # a text of every class that shares a shingle with another
+    # a text of every class that shares a shingle with another; by a shuffle at every size, as neither side has a bound
     some = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min(F.struct("file", "row")).alias("at"))
-    some = some.join(met.select("name").distinct(), "name").select("name", "at.file", "at.row")
-    texts = stored(source.select("file", "row", "text").join(some, ["file", "row"]).select("name", "text"), "texts")
+    some = some.join(where.select("name").distinct(), "name").select("name", "at.file", "at.row")
+    texts = stored(source.select("file", "row", "text").join(some.hint("merge"), ["file", "row"]).select("name", "text"), "texts")
 
-    common = met.groupBy("name").agg(F.count(F.lit(1)).alias("common"))
-    entries = stored(met.join(common, "name").select("slice", "token", "name", "n", "position", "common"), "entries")
-    discard(met)
-    parted, found, links, tried, salt, settled = entries.withColumn("part", F.col("name")), None, None, None, 0, False
+    parts = where.select("slice", "name", F.col("name").alias("part")).filter("false")
+    found, links, tried, salt, settled = None, None, None, 0, False
     while True:
         walking = settled or salt == STAR_ROUNDS
-        pairs = stored(walk(parted, percent, tried) if walking else star_pairs(parted, percent, salt, tried), "pairs")
+        pairs = stored(walk(entries, parts, percent, tried) if walking else star_pairs(entries, parts, percent, salt, tried), "pairs")
         new = stored(verified(pairs, texts, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
@@ -394,12 +445,12 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
         settled, salt = new.isEmpty(), salt + 1
         if not settled:
             before, found = found, components(links)
-            parted = entries.join(found, F.col("name") == F.col("node"), "left").withColumn("part", F.coalesce("root", "name")).drop("node", "root")
+            parts = where.join(found, F.col("name") == F.col("node")).select("slice", "name", F.col("root").alias("part"))
             if before is not None:
                 discard(before)
     if found is None or not new.isEmpty():
         found = components(links)
-    discard(entries, texts)
+    discard(entries, where, texts)
 
     roots = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("smallest"))
     roots = roots.join(found, F.col("name") == F.col("node"), "left").select("name", "smallest", F.coalesce("root", "name").alias("root"))
