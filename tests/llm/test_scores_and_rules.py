@@ -63,8 +63,53 @@ def test_toxicity_awkward(spark, awkward, nothing):
     kept = toxicity.clean(awkward, one)
     assert kept.schema == awkward.schema and kept.exceptAll(awkward).count() == 0 and kept.count() == 7
     labels = spark.createDataFrame([(4, 1), (4, 1), (5, 0), (None, 1), (6, None), (77, 0)], "doc_id long, label int")
-    texts, y = toxicity.sample(awkward, labels, F.lit(True))
-    assert sorted(zip(texts, y.tolist())) == [("", 0), ("Same text here", 1), ("Same text here", 1), ("other text", 1)]
+    found = toxicity.sample(awkward, labels, F.lit(True)).collect()
+    assert sorted((r.text, r.label) for r in found) == [("", 0), ("Same text here", 1), ("Same text here", 1), ("other text", 1)]
+    assert toxicity.fit(awkward, labels.filter("false"), F.lit(True)).score(np.zeros(1))[0] < 1e-9
+
+
+def test_toxicity_sample_is_bounded_and_the_same_in_any_order(monkeypatch, spark):
+    """Rows and bytes of the sample, with an id that repeats and a text over the bound."""
+    monkeypatch.setattr(toxicity, "TOXIC_SAMPLE", 7)
+    monkeypatch.setattr(toxicity, "CLEAN_SAMPLE", 9)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 400)
+    rows = [(i % 40 if i % 3 else 1, f"text {i} " + "é" * (i % 50)) for i in range(600)] + [(2, "long " * 5000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, label int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [sorted((r.label, r.k, r.text) for r in toxicity.sample(docs.repartition(n), labels, F.lit(True)).collect()) for n in (1, 7)]
+    assert found[0] == found[1]
+    for label, most in ((1, 7), (0, 9)):
+        texts = [t for y, _, t in found[0] if y == label]
+        assert 1 <= len(texts) <= most and (len(texts) == 1 or sum(len(t.encode()) for t in texts) <= 400)
+
+
+def test_toxicity_scores_equal_a_plain_scorer(spark, docs, corpus):
+    """Word by word and window by window, from the model's numbers alone; a very long text too."""
+    from velocart.llm.words import _TABLE, span_hashes
+
+    texts, toxic = labelled_texts(80, 4)
+    model = toxicity.train(texts, toxic, epochs=5)
+
+    def word_value(word):
+        marked = np.frombuffer(b"<" + word + b">", np.uint8)
+        grams = [(0, len(marked))] + [(i, i + n) for n in toxicity.NGRAMS for i in range(len(marked) - n + 1)]
+        begin, end = (np.array(c) for c in zip(*grams))
+        return model.weight[(span_hashes(_TABLE[marked], begin, end) % np.uint64(toxicity.BUCKETS)).astype(int)].mean()
+
+    def plain(text):
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").translate(LOWER).encode())
+        count = max((len(words) + 1) // 2, 1 if words else 0)
+        worst = model.bias if not words else -np.inf
+        for k in range(count):
+            window = words[2 * k :] if k == count - 1 else words[2 * k : 2 * k + 2]
+            distinct = list(dict.fromkeys(window))
+            worst = max(worst, sum(word_value(w) for w in distinct) / len(window) + model.bias)
+        return 1 / (1 + math.exp(-max(-60, min(60, model.slope * worst + model.shift))))
+
+    rows = [(c[0], c[1]) for c in corpus] + [(900 + i, t) for i, t in enumerate(texts[:20])] + [(999, "ab, c-d é " * 60_000)]
+    got = {r.doc_id: r.toxicity for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for d, t in rows:
+        assert abs(got[d] - plain(t if d != 999 else "ab, c-d é " * 2)) < 1e-9, d
 
 
 # ---- quality rules ---------------------------------------------------------

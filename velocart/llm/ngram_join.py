@@ -303,27 +303,25 @@ ENTRY_COLUMNS = ("token", "name", "n", "position")
 
 
 def mixed_entries(own: pa.Table, parts: pa.Table) -> tuple[np.ndarray, ...]:
-    """Token, name, n, position and part of the entries of a slice whose shingle several parts have. ``parts`` (name,
-    part) has the classes that are in a part with others."""
+    """Token, name, n, position, part and common of the entries of a slice whose shingle several parts have. ``parts``
+    has a row (name, common, part) for each class of the slice."""
     token, name, n, position = (own.column(c).to_numpy() for c in ENTRY_COLUMNS)
-    part = name.copy()
-    if len(parts):
-        known, root = parts.column("name").to_numpy(), parts.column("part").to_numpy()
-        order = np.argsort(known)
-        known, root = known[order], root[order]
-        at = np.minimum(np.searchsorted(known, name), len(known) - 1)
-        part = np.where(known[at] == name, root[at], name)
+    if not len(name):
+        return token, name, n, position, name, name
+    known, common, root = (parts.column(c).to_numpy() for c in ("name", "common", "part"))
+    order = np.argsort(known)
+    at = order[np.searchsorted(known[order], name)]
+    part, common = root[at], common[at]
     _, first, code = np.unique(token, return_index=True, return_inverse=True)
     mixed = (np.bincount(code, part != part[first][code]) > 0)[code]
-    return tuple(c[mixed] for c in (token, name, n, position, part))
+    return tuple(c[mixed] for c in (token, name, n, position, part, common))
 
 
-def heads_of(token: np.ndarray, name: np.ndarray, salt: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def heads_of(token: np.ndarray, name: np.ndarray, common: np.ndarray, salt: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each entry, one head of its shingle at a time (the place of the head's entry), and whether it is a new one:
-    the class with most shingles here, and ``HEADS`` chosen by hashes of this round."""
+    the class with most shared shingles, and ``HEADS`` chosen by hashes of this round."""
     _, code = np.unique(token, return_inverse=True)
-    _, own, count = np.unique(name, return_inverse=True, return_counts=True)
-    keys = [count[own].astype(np.uint64)] + [mix(name.view(np.uint64) ^ _U(0x9E3779B97F4A7C15 * (HEADS * salt + k + 1) % 2**64)) for k in range(HEADS)]
+    keys = [common.astype(np.uint64)] + [mix(name.view(np.uint64) ^ _U(0x9E3779B97F4A7C15 * (HEADS * salt + k + 1) % 2**64)) for k in range(HEADS)]
     out: list[tuple[np.ndarray, np.ndarray]] = []
     for key in keys:
         order = np.lexsort((name, key, code))
@@ -350,9 +348,9 @@ def star_pairs(entries: DataFrame, parts: DataFrame, percent: int, salt: int, tr
     likely similar (the bound of the smaller rest; what it misses is left to the walk)."""
 
     def run(own: pa.Table, joined: pa.Table) -> pa.Table:
-        token, name, n, _, part = mixed_entries(own, joined)
+        token, name, n, _, part, common = mixed_entries(own, joined)
         found = [np.zeros((0, 2), np.int64)]
-        for head, fresh in heads_of(token, name, salt):
+        for head, fresh in heads_of(token, name, common, salt):
             at = np.flatnonzero(fresh & (part != part[head]))
             found.append(np.stack([at, head[at]], 1))
         at = np.concatenate(found)
@@ -377,7 +375,7 @@ def walk(entries: DataFrame, parts: DataFrame, percent: int, tried: DataFrame |
     """(a, b), a < b: all candidates across parts that were not tried."""
 
     def run(own: pa.Table, joined: pa.Table) -> pa.Table:
-        pairs = cross_pairs(*mixed_entries(own, joined), percent)
+        pairs = cross_pairs(*mixed_entries(own, joined)[:5], percent)
         return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
     pairs = by_slice(entries, parts, run, "a long, b long").distinct()
@@ -425,14 +423,15 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
 
     dealt = prefixes(source, counts, n_slices, percent).repartition(n_slices, "slice")
     entries = bucketed(shared_entries(dealt), "entries", "slice", n_slices)
-    where = stored(entries.select("slice", "name").distinct(), "where")
+    common = entries.groupBy("name").agg(F.count(F.lit(1)).alias("common"))
+    where = stored(entries.select("slice", "name").distinct().join(common, "name"), "where")
 
     # a text of every class that shares a shingle with another; by a shuffle at every size, as neither side has a bound
     some = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min(F.struct("file", "row")).alias("at"))
     some = some.join(where.select("name").distinct(), "name").select("name", "at.file", "at.row")
     texts = stored(source.select("file", "row", "text").join(some.hint("merge"), ["file", "row"]).select("name", "text"), "texts")
 
-    parts = where.select("slice", "name", F.col("name").alias("part")).filter("false")
+    parts = where.withColumn("part", F.col("name"))
     found, links, tried, salt, settled = None, None, None, 0, False
     while True:
         walking = settled or salt == STAR_ROUNDS
@@ -445,7 +444,7 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
         settled, salt = new.isEmpty(), salt + 1
         if not settled:
             before, found = found, components(links)
-            parts = where.join(found, F.col("name") == F.col("node")).select("slice", "name", F.col("root").alias("part"))
+            parts = where.join(found, F.col("name") == F.col("node"), "left").select("slice", "name", "common", F.coalesce("root", "name").alias("part"))
             if before is not None:
                 discard(before)
     if found is None or not new.isEmpty():

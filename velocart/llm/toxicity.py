@@ -11,8 +11,11 @@ tasks get one number a bucket, and score each different word once a worker.
 
 Defined results: null and empty texts score like a window without words;
 labels other than 0 and 1, or null, are left out, as are labels without a
-document; without both classes every score is 0; repeated rows get equal
-scores; other columns are not read. No text is cut.
+document and null ids of labels; without both classes (an empty table of
+labels, too) every score is 0; an empty table of documents gives no rows; ids
+with equal hashes and repeated ids are ordered by id and text, so the sample is
+the same in every run; repeated rows get equal scores; other columns are not
+read. No text is cut.
 """
 
 from __future__ import annotations
@@ -25,11 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from velocart.llm.words import _TABLE, Known, distinct, grown, per_worker, span_hashes, split_words, text_chunks
 
 #: Labelled rows learned from, at most: of each label those with the smallest hashes of their ids.
 TOXIC_SAMPLE, CLEAN_SAMPLE = 1400, 2800
+#: Bytes of text learned from, at most, of each label.
+SAMPLE_BYTES = 32 << 20
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 2
 NGRAMS = (3, 4, 5, 6)
 #: Words whose n-grams are handled at once in training.
@@ -189,16 +195,42 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(b[0] / spread), float(b[1] - b[0] * middle / spread)
 
 
-def sample(docs: DataFrame, labels: DataFrame, usable: Column) -> tuple[list[str], np.ndarray]:
-    """Whole texts and labels of the bounded sample of ``labels`` (doc_id, label) where ``usable`` holds."""
+def sample(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
+    """(label, text): whole texts of the bounded sample of ``labels`` (doc_id, label) where ``usable`` holds.
+
+    Of each label, rows go by a hash of their id, then id, then text, a total
+    order: so many that ``TOXIC_SAMPLE`` or ``CLEAN_SAMPLE`` rows and
+    ``SAMPLE_BYTES`` bytes aren't exceeded, but one at least. Each task sends
+    no more rows than that, also where an id repeats without end.
+    """
     picked = None
     for label, most in ((1, TOXIC_SAMPLE), (0, CLEAN_SAMPLE)):
-        part = labels.filter((F.col("label") == label) & usable & F.col("doc_id").isNotNull()).distinct()
+        part = labels.filter((F.col("label") == label) & usable & F.col("doc_id").isNotNull()).select("doc_id", "label").distinct()
         part = part.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
-    got = sorted((r["doc_id"], r["label"], r["text"]) for r in rows.limit(4 * (TOXIC_SAMPLE + CLEAN_SAMPLE)).collect())
-    return [t for _, _, t in got], np.array([y for _, y, _ in got], np.int64)
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    rows = rows.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= max(TOXIC_SAMPLE, CLEAN_SAMPLE))
+    rows = rows.filter((F.col("label") == 0) & (F.col("k") <= CLEAN_SAMPLE) | (F.col("label") == 1) & (F.col("k") <= TOXIC_SAMPLE))
+    volume = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("volume", volume).filter((F.col("volume") <= SAMPLE_BYTES) | (F.col("k") == 1)).select("label", "k", "text")
+
+
+def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
+    """The model of the sample, trained by one task; the driver gets its numbers, one a bucket, and no text."""
+    rows = sample(docs, labels, usable).withColumn("one", F.lit(1))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("label", "ascending"), ("k", "ascending")])
+        model = train(table.column("text").to_pylist(), table.column("label").to_numpy().astype(np.int64))
+        numbers = np.concatenate([model.weight, [model.bias, model.slope, model.shift]])
+        return pa.table({"model": pa.array([numbers.astype("<f8").tobytes()], pa.binary())})
+
+    found = rows.groupBy("one").applyInArrow(run, "model binary").collect()
+    if not found:
+        return train([], np.zeros(0, np.int64))
+    numbers = np.frombuffer(bytes(found[0]["model"]), "<f8")
+    return Model(numbers[:-3], *numbers[-3:].tolist())
 
 
 class Scorer:
