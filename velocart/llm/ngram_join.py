@@ -19,7 +19,7 @@ what became of the parts travels to them. In up to ``STAR_ROUNDS``
 rounds, while they find links, every part found so far (a class at first) is
 paired with the class of another part it shares most with, among the class with
 most shared shingles of each shingle and ``HEADS`` that hashes pick anew each
-round; those pairs, tried once each, are verified on the whole sets and join
+round, if they are a candidate there; those pairs, tried once each, are verified on the whole sets and join
 parts. Then the trie is walked for the candidates across parts: subtrees inside
 one part or out of the bounds are pruned, and the pairs left that were not
 tried before are verified too. So a group of k near copies costs about k pairs
@@ -304,11 +304,11 @@ ENTRY_COLUMNS = ("token", "name", "n", "position")
 
 def mixed_entries(own: pa.Table, parts: pa.Table) -> tuple[np.ndarray, ...]:
     """Token, name, n, position, part and common of the entries of a slice whose shingle several parts have. ``parts``
-    has a row (name, common, part) for each class of the slice."""
+    has, packed, name, common and part of each class of the slice."""
     token, name, n, position = (own.column(c).to_numpy() for c in ENTRY_COLUMNS)
     if not len(name):
         return token, name, n, position, name, name
-    known, common, root = (parts.column(c).to_numpy() for c in ("name", "common", "part"))
+    known, common, root = np.frombuffer(b"".join(parts.column("rows").to_pylist()), np.int64).reshape(-1, 3).T
     order = np.argsort(known)
     at = order[np.searchsorted(known[order], name)]
     part, common = root[at], common[at]
@@ -335,35 +335,51 @@ def heads_of(token: np.ndarray, name: np.ndarray, common: np.ndarray, salt: int)
     return out
 
 
+def dealt_parts(classes: DataFrame, n_slices: int) -> DataFrame:
+    """(slice, rows): name, common and part of ``classes`` (name, common, part, slices) to each slice a class is in."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            slices_ = batch.column(3)
+            at = np.repeat(np.arange(batch.num_rows), np.diff(slices_.offsets.to_numpy()))
+            rows = np.stack([batch.column(i).to_numpy() for i in range(3)], 1)[at]
+            found = [(k, rows[some].tobytes()) for k, some in group_slices(slices_.flatten().to_numpy().astype(np.uint64), n_slices)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["slice", "rows"])
+
+    return classes.select("name", "common", "part", "slices").mapInArrow(run, "slice int, rows binary")
+
+
 def by_slice(entries: DataFrame, parts: DataFrame, run, schema: str) -> DataFrame:
     """``run`` on the entries and the parts of each slice; the entries, bucketed by slice, don't move."""
     return entries.groupBy("slice").cogroup(parts.groupBy("slice")).applyInArrow(run, schema)
 
 
-STARS = "name long, head long, n long, n_head long, part long, part_head long, shared long"
+STARS = "name long, head long, part long, part_head long, shared long"
 
 
 def star_pairs(entries: DataFrame, parts: DataFrame, percent: int, salt: int, tried: DataFrame | None) -> DataFrame:
-    """(a, b), a < b, not tried: for each part its class and a head of another part that share most, if they are
-    likely similar (the bound of the smaller rest; what it misses is left to the walk)."""
+    """(a, b), a < b, not tried: for each part its class and a head of another part that share most shingles at which
+    they are a candidate."""
 
     def run(own: pa.Table, joined: pa.Table) -> pa.Table:
-        token, name, n, _, part, common = mixed_entries(own, joined)
+        token, name, n, position, part, common = mixed_entries(own, joined)
         found = [np.zeros((0, 2), np.int64)]
+        partner = largest_partner(n, position, percent)
         for head, fresh in heads_of(token, name, common, salt):
-            at = np.flatnonzero(fresh & (part != part[head]))
+            good = fresh & (part != part[head]) & (n[head] <= partner) & (n <= partner[head])
+            at = np.flatnonzero(good & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head])))
             found.append(np.stack([at, head[at]], 1))
         at = np.concatenate(found)
         pairs = pd.DataFrame({"x": at[:, 0], "y": at[:, 1], "a": name[at[:, 0]], "b": name[at[:, 1]]}).groupby(["a", "b"], sort=False)
         some, shared = pairs.first(), pairs.size()
         x, y = some["x"].to_numpy(np.int64), some["y"].to_numpy(np.int64)
-        values = (name[x], name[y], n[x], n[y], part[x], part[y], shared.to_numpy(np.int64))
+        values = (name[x], name[y], part[x], part[y], shared.to_numpy(np.int64))
         return pa.table({c.split()[0]: pa.array(v, pa.int64()) for c, v in zip(STARS.split(", "), values)})
 
     pairs = by_slice(entries, parts, run, STARS).groupBy("name", "head")
-    pairs = pairs.agg(*[F.max(c).alias(c) for c in ("n", "n_head", "part", "part_head")], F.sum("shared").alias("shared"))
-    rest = F.ceil(F.least("n", "n_head") * percent / 100) - 1
-    pairs = pairs.filter((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("n") + F.col("n_head")))
+    pairs = pairs.agg(F.max("part").alias("part"), F.sum("shared").alias("shared"))
     pairs = pairs.select("part", "shared", F.least("name", "head").alias("a"), F.greatest("name", "head").alias("b"))
     if tried is not None:
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -391,7 +407,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("long").alias("groups"))
     members = pairs.join(size, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).alias("g"), F.lit(1).alias("role"), F.col("b").alias("name"))
     heads = size.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g"), F.lit(0).alias("role"), F.col("a").alias("name"))
-    wanted = members.unionByName(heads).join(texts, "name")
+    wanted = members.unionByName(heads).hint("merge").join(texts, "name")  # the texts are bucketed by name and stay
     wanted = wanted.repartition(slices(pairs.sparkSession), "a", "g").sortWithinPartitions("a", "g", "role")
 
     def run(batches):
@@ -423,15 +439,16 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
 
     dealt = prefixes(source, counts, n_slices, percent).repartition(n_slices, "slice")
     entries = bucketed(shared_entries(dealt), "entries", "slice", n_slices)
-    common = entries.groupBy("name").agg(F.count(F.lit(1)).alias("common"))
-    where = stored(entries.select("slice", "name").distinct().join(common, "name"), "where")
+    where = entries.groupBy("slice", "name").agg(F.count(F.lit(1)).alias("common"))
+    where = stored(where.groupBy("name").agg(F.sum("common").alias("common"), F.collect_list("slice").alias("slices")), "where")
 
     # a text of every class that shares a shingle with another; by a shuffle at every size, as neither side has a bound
     some = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min(F.struct("file", "row")).alias("at"))
-    some = some.join(where.select("name").distinct(), "name").select("name", "at.file", "at.row")
-    texts = stored(source.select("file", "row", "text").join(some.hint("merge"), ["file", "row"]).select("name", "text"), "texts")
+    some = some.join(where.select("name"), "name").select("name", "at.file", "at.row")
+    texts = source.select("file", "row", "text").join(some.hint("merge"), ["file", "row"]).select("name", "text")
+    texts = bucketed(texts.repartition(n_slices, "name"), "texts", "name", n_slices)
 
-    parts = where.withColumn("part", F.col("name"))
+    parts = dealt_parts(where.withColumn("part", F.col("name")), n_slices)
     found, links, tried, salt, settled = None, None, None, 0, False
     while True:
         walking = settled or salt == STAR_ROUNDS
@@ -444,7 +461,8 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
         settled, salt = new.isEmpty(), salt + 1
         if not settled:
             before, found = found, components(links)
-            parts = where.join(found, F.col("name") == F.col("node"), "left").select("slice", "name", "common", F.coalesce("root", "name").alias("part"))
+            parted = where.join(found, F.col("name") == F.col("node"), "left").withColumn("part", F.coalesce("root", "name"))
+            parts = dealt_parts(parted, n_slices)
             if before is not None:
                 discard(before)
     if found is None or not new.isEmpty():
