@@ -360,22 +360,26 @@ STARS = "name long, head long, part long, part_head long, shared long"
 
 
 def star_pairs(entries: DataFrame, parts: DataFrame, percent: int, salt: int, tried: DataFrame | None) -> DataFrame:
-    """(a, b), a < b, not tried: for each part its class and a head of another part that share most shingles at which
-    they are a candidate."""
+    """(a, b), a < b, not tried: for each part the class and the head of another part that share most, among
+    each class's best head of each slice that is a candidate there."""
 
     def run(own: pa.Table, joined: pa.Table) -> pa.Table:
         token, name, n, position, part, common = mixed_entries(own, joined)
         found = [np.zeros((0, 2), np.int64)]
-        partner = largest_partner(n, position, percent)
         for head, fresh in heads_of(token, name, common, salt):
-            good = fresh & (part != part[head]) & (n[head] <= partner) & (n <= partner[head])
-            at = np.flatnonzero(good & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head])))
+            good = fresh & (part != part[head]) & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head]))
+            at = np.flatnonzero(good)
             found.append(np.stack([at, head[at]], 1))
-        at = np.concatenate(found)
-        pairs = pd.DataFrame({"x": at[:, 0], "y": at[:, 1], "a": name[at[:, 0]], "b": name[at[:, 1]]}).groupby(["a", "b"], sort=False)
-        some, shared = pairs.first(), pairs.size()
-        x, y = some["x"].to_numpy(np.int64), some["y"].to_numpy(np.int64)
-        values = (name[x], name[y], part[x], part[y], shared.to_numpy(np.int64))
+        at, partner = np.concatenate(found), largest_partner(n, position, percent)
+        x, y = at[:, 0], at[:, 1]
+        pairs = pd.DataFrame({"x": x, "y": y, "a": name[x], "b": name[y], "may": (n[y] <= partner[x]) & (n[x] <= partner[y])})
+        pairs = pairs.groupby(["a", "b"], sort=False).agg(x=("x", "first"), y=("y", "first"), may=("may", "any"), shared=("x", "size"))
+        pairs = pairs[pairs["may"]].reset_index()
+        # a class's best head here
+        order = np.lexsort((pairs["b"], common[pairs["y"].to_numpy(np.int64)], pairs["shared"], pairs["a"]))
+        pairs = pairs.iloc[order].drop_duplicates("a", keep="last")
+        x, y, shared = (pairs[c].to_numpy(np.int64) for c in ("x", "y", "shared"))
+        values = (name[x], name[y], part[x], part[y], shared)
         return pa.table({c.split()[0]: pa.array(v, pa.int64()) for c, v in zip(STARS.split(", "), values)})
 
     pairs = by_slice(entries, parts, run, STARS).groupBy("name", "head")
