@@ -4,8 +4,10 @@ A page is a sequence of words and tags. Words score positive (fewer points in
 a link), tags negative, both with weights learned from labelled pages; what
 stands in elements that never hold main text (scripts, menus, forms, elements
 named as adverts, comments and so on) scores nothing. One linear scan finds
-the contiguous region with the largest score, widened to whole blocks; its
-words outside of such elements are the text.
+the contiguous region with the largest score. It is widened to whole blocks,
+and to the whole of an ``article`` or ``main`` element that it reaches into: a
+short heading or last line must not pay for its tags there. Its words outside
+of elements that never hold main text are the text.
 
 Defined results: a null or empty page, one without words, or one whose words
 all stand in such elements gives an empty text; repeated rows give equal
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocart.llm.labelled_pages import PAGES
+from velocart.llm.labelled_pages import labelled_pages
 from velocart.llm.words import text_chunks
 
 # Fixed names of HTML: elements without an end tag, elements whose content is
@@ -37,6 +39,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
+#: Elements that hold one main text: the region is never cut inside of one.
+HOLDERS = frozenset(("article", "main"))
 #: Elements that never hold main text, and words in a class, id or role that name such elements.
 ASIDE = frozenset("head nav footer aside form button select dialog menu svg canvas object audio video map".split()) | RAW
 NAMED = re.compile(
@@ -101,6 +105,7 @@ class Token:
     link: bool = False
     aside: bool = False
     main: bool = False  # of labelled pages
+    inside: int = 0  # number of the outermost article or main element around it, 0 without
     words: int = field(default=0)
 
 
@@ -108,12 +113,14 @@ def tokens(page: str) -> list[Token]:
     out: list[Token] = []
     stack: list[tuple[str, bool]] = []  # open elements, and whether they are left out
     opened: Counter[str] = Counter()  # by name
-    left_out = links = block = 0
+    left_out = links = block = holders = inside = 0
     main = False
 
     def pop() -> None:
-        nonlocal left_out, links
+        nonlocal left_out, links, inside
         name, aside = stack.pop()
+        if name in HOLDERS and not any(opened[h] for h in HOLDERS - {name}) and opened[name] == 1:
+            inside = 0
         opened[name] -= 1
         left_out -= aside
         links -= name == "a"
@@ -121,7 +128,7 @@ def tokens(page: str) -> list[Token]:
     for piece in pieces(page):
         if piece[0] == "text":
             text = entities.unescape(piece[1])
-            out.append(Token(text=text, block=block, link=links > 0, aside=left_out > 0, main=main, words=len(text.split())))
+            out.append(Token(text=text, block=block, link=links > 0, aside=left_out > 0, main=main, words=len(text.split()), inside=inside))
             continue
         if piece[0] == "mark":
             main = piece[1] == "[" or (main and piece[1] != "]")
@@ -145,13 +152,16 @@ def tokens(page: str) -> list[Token]:
             inside = opened["article"] or opened["main"] or opened["section"]
             aside = name in ASIDE or (name == "header" and not inside) or (named and name not in ("body", "html", "article", "main"))
             if not attributes.endswith("/") or name == "a":
+                if name in HOLDERS and not inside and not left_out:
+                    holders += 1
+                    inside = holders
                 stack.append((name, aside))
                 opened[name] += 1
                 left_out += aside
                 links += name == "a"
-        out.append(Token(name=name, block=block, aside=left_out > 0 or was_out, main=main))
+        out.append(Token(name=name, block=block, aside=left_out > 0 or was_out, main=main, inside=inside))
         if name == "br":
-            out.append(Token(text=" ", block=block, aside=left_out > 0, main=main))
+            out.append(Token(text=" ", block=block, aside=left_out > 0, main=main, inside=inside))
     return out
 
 
@@ -170,15 +180,17 @@ class Weights:
         return t.words * (self.link if t.link else self.word)
 
 
+#: Labelled pages that the weights are learned from.
+LEARNED_PAGES = 200
 #: Shares of a word's log odds that count: the words of a block are no independent evidence.
 SHARES = (1.0, 0.5, 0.25, 0.125, 0.0625, 0.03125)
 
 
-def learn(pages: list[str] = PAGES) -> Weights:
+def learn(pages: list[str] | None = None) -> Weights:
     """Log odds of standing in the main text: of words and words in links at least a little positive, of tags
     at least a little negative. A tag never seen weighs as all tags do together. Words count with the share of
     their odds that gets fewest words of the labelled pages wrong, the largest of equals."""
-    found = [tokens(page) for page in pages]
+    found = [tokens(page) for page in pages or labelled_pages(LEARNED_PAGES)]
     counts: dict[str, list[float]] = {}
     for t in (t for page in found for t in page if not t.aside):
         pair = counts.setdefault(f"<{t.name}" if t.name else "link" if t.link else "word", [0.5, 0.5])
@@ -199,12 +211,13 @@ def learn(pages: list[str] = PAGES) -> Weights:
 
 
 def chosen(page: list[Token], weights: Weights) -> list[bool]:
-    """Which tokens stand in the blocks of the best region."""
+    """Which tokens stand in the blocks of the best region, or in the article or main element that it reaches into."""
     begin, end = best_region([weights.score(t) for t in page])
     if begin == end:
         return [False] * len(page)
     first, last = page[begin].block, page[end - 1].block
-    return [first <= t.block <= last for t in page]
+    entered = {t.inside for t in page[begin:end] if t.inside and t.words and not t.aside}
+    return [first <= t.block <= last or t.inside in entered for t in page]
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
