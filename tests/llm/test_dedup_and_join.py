@@ -205,3 +205,18 @@ def test_passages_awkward(awkward, nothing, spark):
     long = " ".join(f"a{i}" for i in range(40))
     twice = substring_dedup.dedup(spark.createDataFrame([(1, long), (1, long), (None, "z " + long)], "doc_id long, text string"))
     assert sorted((r.n_words, r.n_removed, r.kept_text) for r in twice.collect()) == [(40, 40, ""), (40, 40, ""), (41, 40, "z")]
+
+
+def test_a_class_looks_in_a_bounded_number_of_slices():
+    """All its slices if they are few, else as many as allowed, others in another round."""
+    import numpy as np
+
+    few, many = ngram_join.OFFERS - 2, 5 * ngram_join.OFFERS
+    owner = np.repeat([0, 1], [few, many])
+    name = np.repeat(np.array([-5, 7]), [few, many])
+    place = np.concatenate([np.arange(few), np.arange(many)]).astype(np.uint64)
+    rounds = [ngram_join.looking(owner, name, place, salt) for salt in (0, 1)]
+    for looks in rounds:
+        assert looks[:few].all() and looks[few:].sum() == ngram_join.OFFERS
+    assert (rounds[0] != rounds[1]).any()
+    assert len(ngram_join.looking(owner[:0], name[:0], place[:0], 0)) == 0

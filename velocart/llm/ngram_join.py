@@ -19,8 +19,10 @@ what became of the parts travels to them. In up to ``STAR_ROUNDS``
 rounds, while they find links, every part found so far (a class at first) is
 paired with the class of another part it shares most with, among the class with
 most shared shingles of each shingle and ``HEADS`` that hashes pick anew each
-round, if they are a candidate there; those pairs, tried once each, are verified on the whole sets and join
-parts. Then the trie is walked for the candidates across parts: subtrees inside
+round, if they are a candidate there. A class looks for partners in at most
+``OFFERS`` of its slices, others each round, so that a round has no more than
+``OFFERS`` rows a class however many slices there are. Those pairs, tried once
+each, are verified on the whole sets and join parts. Then the trie is walked for the candidates across parts: subtrees inside
 one part or out of the bounds are pruned, and the pairs left that were not
 tried before are verified too. So a group of k near copies costs about k pairs
 a round, and no link between different parts is lost.
@@ -50,6 +52,8 @@ COUNTERS, BLOCKS = 1 << 22, 256
 GROUP = 500
 #: Rounds that pair parts before the trie is walked, and classes a shingle offers as partners in a round.
 STAR_ROUNDS, HEADS = 3, 2
+#: Slices in which a class looks for a partner in a round.
+OFFERS = 8
 #: Bytes of text between two flushes of a task's prefixes.
 FLUSH = 24 << 20
 
@@ -303,18 +307,18 @@ ENTRY_COLUMNS = ("token", "name", "n", "position")
 
 
 def mixed_entries(own: pa.Table, parts: pa.Table) -> tuple[np.ndarray, ...]:
-    """Token, name, n, position, part and common of the entries of a slice whose shingle several parts have. ``parts``
-    has, packed, name, common and part of each class of the slice."""
+    """Token, name, n, position, part, common and looks of the entries of a slice whose shingle several parts have.
+    ``parts`` has, packed, name, common, part and looks of each class of the slice."""
     token, name, n, position = (own.column(c).to_numpy() for c in ENTRY_COLUMNS)
     if not len(name):
-        return token, name, n, position, name, name
-    known, common, root = np.frombuffer(b"".join(parts.column("rows").to_pylist()), np.int64).reshape(-1, 3).T
+        return token, name, n, position, name, name, name
+    known, common, root, looks = np.frombuffer(b"".join(parts.column("rows").to_pylist()), np.int64).reshape(-1, 4).T
     order = np.argsort(known)
     at = order[np.searchsorted(known[order], name)]
-    part, common = root[at], common[at]
+    part, common, looks = root[at], common[at], looks[at]
     _, first, code = np.unique(token, return_index=True, return_inverse=True)
     mixed = (np.bincount(code, part != part[first][code]) > 0)[code]
-    return tuple(c[mixed] for c in (token, name, n, position, part, common))
+    return tuple(c[mixed] for c in (token, name, n, position, part, common, looks))
 
 
 def heads_of(token: np.ndarray, name: np.ndarray, common: np.ndarray, salt: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -335,17 +339,29 @@ def heads_of(token: np.ndarray, name: np.ndarray, common: np.ndarray, salt: int)
     return out
 
 
-def dealt_parts(classes: DataFrame, n_slices: int) -> DataFrame:
-    """(slice, rows): name, common and part of ``classes`` (name, common, part, slices) to each slice a class is in."""
+def looking(owner: np.ndarray, name: np.ndarray, slice_: np.ndarray, salt: int) -> np.ndarray:
+    """For each slice of an owner, if it is one of the ``OFFERS`` that hashes pick for it in this round."""
+    order = np.lexsort((mix(mix(name.view(np.uint64) ^ _U(salt)) ^ slice_), owner))
+    _, begin, code = np.unique(owner[order], return_index=True, return_inverse=True)
+    out = np.zeros(len(owner), np.int64)
+    out[order] = np.arange(len(owner)) - begin[code] < OFFERS
+    return out
+
+
+def dealt_parts(classes: DataFrame, n_slices: int, salt: int) -> DataFrame:
+    """(slice, rows): name, common and part of ``classes`` (name, common, part, slices) to each slice a class is in,
+    and whether it looks for a partner there in round ``salt``."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            slices_ = batch.column(3)
-            at = np.repeat(np.arange(batch.num_rows), np.diff(slices_.offsets.to_numpy()))
-            rows = np.stack([batch.column(i).to_numpy() for i in range(3)], 1)[at]
-            found = [(k, rows[some].tobytes()) for k, some in group_slices(slices_.flatten().to_numpy().astype(np.uint64), n_slices)]
+            # a batch may be a slice of a larger one: offsets count from the first value of that
+            sent = batch.column(3).flatten().to_numpy().astype(np.uint64)
+            at = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(3).offsets.to_numpy()))
+            name, common, part = (batch.column(i).to_numpy()[at] for i in range(3))
+            rows = np.stack([name, common, part, looking(at, name, sent, salt)], 1)
+            found = [(k, rows[some].tobytes()) for k, some in group_slices(sent, n_slices)]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["slice", "rows"])
 
     return classes.select("name", "common", "part", "slices").mapInArrow(run, "slice int, rows binary")
@@ -361,13 +377,13 @@ STARS = "name long, head long, part long, part_head long, shared long"
 
 def star_pairs(entries: DataFrame, parts: DataFrame, percent: int, salt: int, tried: DataFrame | None) -> DataFrame:
     """(a, b), a < b, not tried: for each part the class and the head of another part that share most, among
-    each class's best head of each slice that is a candidate there."""
+    each class's best head of each slice that it looks in and that is a candidate there."""
 
     def run(own: pa.Table, joined: pa.Table) -> pa.Table:
-        token, name, n, position, part, common = mixed_entries(own, joined)
+        token, name, n, position, part, common, looks = mixed_entries(own, joined)
         found = [np.zeros((0, 2), np.int64)]
         for head, fresh in heads_of(token, name, common, salt):
-            good = fresh & (part != part[head]) & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head]))
+            good = fresh & (looks > 0) & (part != part[head]) & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head]))
             at = np.flatnonzero(good)
             found.append(np.stack([at, head[at]], 1))
         at, partner = np.concatenate(found), largest_partner(n, position, percent)
@@ -452,7 +468,7 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     texts = source.select("file", "row", "text").join(some.hint("merge"), ["file", "row"]).select("name", "text")
     texts = bucketed(texts.repartition(n_slices, "name"), "texts", "name", n_slices)
 
-    parts = dealt_parts(where.withColumn("part", F.col("name")), n_slices)
+    parts = dealt_parts(where.withColumn("part", F.col("name")), n_slices, 0)
     found, links, tried, salt, settled = None, None, None, 0, False
     while True:
         walking = settled or salt == STAR_ROUNDS
@@ -466,7 +482,7 @@ def join(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
         if not settled:
             before, found = found, components(links)
             parted = where.join(found, F.col("name") == F.col("node"), "left").withColumn("part", F.coalesce("root", "name"))
-            parts = dealt_parts(parted, n_slices)
+            parts = dealt_parts(parted, n_slices, salt)
             if before is not None:
                 discard(before)
     if found is None or not new.isEmpty():
