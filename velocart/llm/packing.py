@@ -1,8 +1,9 @@
 """Packing by cutting-stock column generation.
 
 Documents are cut into full pieces of the sequence length and one rest. Only
-the histogram of piece lengths, in classes of ``GRAIN`` ids rounded up,
-reaches the driver: a linear program over patterns of classes that fill a
+the histogram of piece lengths, in classes, reaches the driver (up to
+``EXACT`` ids every length is a class, longer ones are rounded up by less than
+3 %): a linear program over patterns of classes that fill a
 sequence is solved by the simplex method, a knapsack dynamic program over the
 dual prices supplies each new pattern, and the solution is rounded down; what
 is left, fewer sequences than classes, is packed first-fit decreasing. If that
@@ -12,8 +13,9 @@ is solved anew. On the executors every piece gets its rank among the pieces of
 its class, and the patterns' places are dealt out by rank.
 
 Defined results: a null text is an empty one (its end id only); null and
-repeated ids are packed like any row; an empty table gives no rows; other
-columns are not read. Texts of any length are cut whole.
+repeated ids are packed like any row (pieces are ranked by all their columns,
+so a task that runs again places them alike); an empty table gives no rows;
+other columns are not read. Texts of any length are cut whole.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,7 +32,8 @@ from velocart.llm.store import slices, stored
 from velocart.llm.tokens import pieces_of, worker_encoder
 from velocart.llm.words import text_chunks
 
-GRAIN = 8
+#: Lengths that are classes of their own; beyond, the step between classes doubles with the length, up to 8 ids.
+EXACT, STEPS = 64, 3
 WASTE = 0.01
 CUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, head_crc32 long, tail_crc32 long"
 
@@ -68,24 +71,47 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int, doc_id: str = "
     return rows.mapInArrow(run, CUT)
 
 
+def step_of(length: int) -> int:
+    """Ids between two classes at this length."""
+    return next((1 << k for k in range(STEPS) if length <= EXACT << k), 1 << STEPS)
+
+
+def class_of(length: int, size: int) -> int:
+    """The length a piece counts as."""
+    step = step_of(length)
+    return min(size, -(-length // step) * step)
+
+
+def class_column(length: Column, size: int) -> Column:
+    """``class_of`` as a column."""
+    step = F.lit(1 << STEPS)
+    for k in reversed(range(STEPS)):
+        step = F.when(length <= EXACT << k, 1 << k).otherwise(step)
+    return F.least(F.lit(size), F.ceil(length / step) * step).cast("long")
+
+
 def best_pattern(price: np.ndarray, lengths: np.ndarray, size: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the most valuable multiset of lengths that fits into ``size``."""
-    value, last = np.zeros(size + 1), np.full(size + 1, -1)
-    for room in range(1, size + 1):
-        fits = np.searchsorted(lengths, room, "right")
-        value[room] = value[room - 1]
-        if fits:
-            total = value[room - lengths[:fits]] + price[:fits]
-            k = int(total.argmax())
-            if total[k] > value[room] + 1e-12:
-                value[room], last[room] = total[k], k
-    pattern, room = np.zeros(len(lengths)), size
-    while room > 0:
-        if last[room] < 0:
-            room -= 1
-        else:
-            pattern[last[room]] += 1
-            room -= lengths[last[room]]
+    """Unbounded knapsack: the most valuable multiset of lengths that fits into ``size``.
+
+    A length comes in bundles of 1, 2, 4 .. copies, each taken or not; one that costs no less room than another of
+    its value is never taken.
+    """
+    value, taken = np.zeros(size + 1), []
+    worth = price > np.concatenate([[0.0], np.maximum.accumulate(price)[:-1]]) + 1e-12
+    for k in np.flatnonzero(worth).tolist():
+        copies = 1
+        while (room := copies * int(lengths[k])) <= size:
+            total = value[:-room] + copies * price[k]
+            better = total > value[room:] + 1e-12
+            if better.any():
+                value[room:][better] = total[better]
+                taken.append((k, copies, room, better))
+            copies *= 2
+    pattern, left = np.zeros(len(lengths)), size
+    for k, copies, room, better in reversed(taken):
+        if left >= room and better[left - room]:
+            pattern[k] += copies
+            left -= room
     return float(value[size]), pattern
 
 
@@ -93,8 +119,8 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int, gap: f
     """Fewest sequences, as a linear program: basic patterns (a row each) and how often each is used.
 
     Stops at the optimum, within ``gap`` of a lower bound (the ids divided by
-    the room, or the duals' value divided by the best pattern's), or after 12
-    patterns a length; any basis it stops at packs everything.
+    the room, or the largest of the duals' values divided by the best pattern's),
+    or after 12 patterns a length; any basis it stops at packs everything.
     """
     m = len(lengths)
     area = float(lengths @ demand) / size
@@ -102,13 +128,15 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int, gap: f
     basis = np.diag(copies.astype(float))  # columns are patterns
     inverse = np.diag(1.0 / copies)
     amount = inverse @ demand
+    bound = area
     for _ in range(12 * m + 100):
-        if amount.sum() <= area * (1 + gap):
+        if amount.sum() <= bound * (1 + gap):
             break
         price = inverse.sum(axis=0)  # every pattern costs one sequence
         best, pattern = best_pattern(price, lengths, size)
-        if best <= 1 + 1e-9 or 1 - 1 / best <= gap:
+        if best <= 1 + 1e-9:
             break
+        bound = max(bound, amount.sum() / best)
         enter = inverse @ pattern
         ratio = np.full(m, np.inf)
         ok = enter > 1e-9
@@ -189,8 +217,9 @@ def plan(histogram: dict[int, int], size: int) -> tuple[bool, np.ndarray]:
     def solve(by_length: dict[int, int]) -> tuple[float, np.ndarray]:
         by_class: dict[int, int] = {}
         for length, n in by_length.items():
-            by_class[-(-length // GRAIN)] = by_class.get(-(-length // GRAIN), 0) + n
-        table = places(np.array(sorted(by_class)), np.array([by_class[k] for k in sorted(by_class)]), size // GRAIN)
+            k = class_of(length, size)
+            by_class[k] = by_class.get(k, 0) + n
+        table = places(np.array(sorted(by_class), np.int64), np.array([by_class[k] for k in sorted(by_class)], np.int64), size)
         sequences = _sequences(table, by_class)
         return 1 - sum(k * n for k, n in by_length.items()) / (size * max(1, sequences)), table
 
@@ -230,9 +259,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 1024, doc
         rows = rows.select("doc_id", "doc_tokens", F.inline(parts))
 
     # rank within a class: blocks of pieces, then the blocks' counts in order
-    rows = rows.withColumn("class", F.ceil(F.col("length") / GRAIN))
+    rows = rows.withColumn("class", class_column(F.col("length"), size))
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "start"), F.lit(slices(spark))))
-    inner = Window.partitionBy("block", "class").orderBy("doc_id", "start")
+    inner = Window.partitionBy("block", "class").orderBy("doc_id", "start", "length", "ids_crc32", "doc_tokens")
     counts = blocks.groupBy("block", "class").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("class").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select("block", "class", F.coalesce(before, F.lit(0)).alias("before"))
