@@ -220,3 +220,43 @@ def test_a_class_looks_in_a_bounded_number_of_slices():
         assert looks[:few].all() and looks[few:].sum() == ngram_join.OFFERS
     assert (rounds[0] != rounds[1]).any()
     assert len(ngram_join.looking(owner[:0], name[:0], place[:0], 0)) == 0
+
+
+def test_exact_dedup_goes_on_from_retained_state(spark, tmp_path):
+    """A later arrival meets the state of an earlier run: it is counted, and stays if its id is larger."""
+    schema = "doc_id long, file string, row long, key binary"
+    arrivals, checkpoint = str(tmp_path / "arrivals"), str(tmp_path / "state")
+    batches = [[(1, "f", 0, b"a"), (2, "f", 1, b"a"), (3, "f", 2, b"b")], [(9, "g", 0, b"a"), (0, "g", 1, b"b"), (4, "g", 2, b"c")], []]
+    wanted = [{b"a": (2, 2), b"b": (3, 1)}, {b"a": (9, 3), b"b": (3, 2), b"c": (4, 1)}]
+    for batch, state in zip(batches, wanted + wanted[1:]):  # the last run has nothing new
+        if batch:
+            spark.createDataFrame(batch, schema).write.mode("append").parquet(arrivals)
+        got = exact_dedup.stream_state(spark, arrivals, spark.read.parquet(arrivals).schema, checkpoint)
+        assert {bytes(r.key): (r.keep.doc_id, r.n) for r in got.collect()} == state
+
+
+def test_rows_at_equals_a_join(spark, tmp_path, monkeypatch):
+    """Places at the edges of words and maps, repeated or nowhere; the same rows with and without a broadcast."""
+    from velocart.llm import store
+
+    spark.range(3 * store.SPAN + 5).select(F.col("id").alias("doc_id"), F.lit(1).alias("span")).repartitionByRange(2, "doc_id").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    place = store.located(docs, {"doc_id": F.col("doc_id")}, "edges")
+    ids = [0, 63, 64, 4095, 4096, 6146, 6147, 8191, 12292]
+    places = place.filter(F.col("doc_id").isin(ids)).select("file", "row")
+    odd = spark.createDataFrame([("nowhere", 0), (None, 1), ("nowhere", None)], "file string, row long")
+    for maps in (store.MAPS, 0):
+        monkeypatch.setattr(store, "MAPS", maps)
+        got = store.documents_at(docs, places.unionAll(places).unionAll(odd))
+        assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == ids
+    assert store.documents_at(docs, odd).count() == 0
+
+
+def test_rows_drawn_anew_at_each_read_are_stored_first(spark, tmp_path):
+    from velocart.llm import store
+
+    spark.range(10).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    assert store.on_files(docs.filter("id > 3"), "plain").columns == ["id"]
+    drawn = store.on_files(docs.withColumn("draw", F.rand()), "drawn")
+    assert hasattr(drawn, "_velocart_path") and not hasattr(store.on_files(docs, "plain"), "_velocart_path")

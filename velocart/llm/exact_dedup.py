@@ -20,7 +20,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velocart.llm.store import documents_at, located, new_path, on_files, stored
+from velocart.llm.store import documents_at, located, new_path, on_files, rows_at, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -44,9 +44,13 @@ def _conf(spark: SparkSession, keys: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def stream_state(spark: SparkSession, arrivals: str, schema) -> DataFrame:
-    """Run the stream over the Parquet folder ``arrivals``; one row a key: key, keep (doc_id, file, row), n."""
-    checkpoint = new_path(spark, "dedup-state")
+def stream_state(spark: SparkSession, arrivals: str, schema, checkpoint: str | None = None) -> DataFrame:
+    """Run the stream over the Parquet folder ``arrivals``; one row a key: key, keep (doc_id, file, row), n.
+
+    With the ``checkpoint`` folder of an earlier run the stream goes on from
+    there: only files that came since are read, against the state retained.
+    """
+    checkpoint = checkpoint or new_path(spark, "dedup-state")
     settings = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         # many small stores: no room reserved ahead, only changes uploaded
@@ -87,17 +91,16 @@ def dedup(
     spark = docs.sparkSession
     source = located(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "text": F.col(f"`{text}`").cast("string")}, "dedup-docs")
     sha = F.unhex(F.sha2(lower_ascii(F.col("text")), 256))
+    state_key = state_key or (lambda c: c)
     arrivals = source.select("doc_id", "file", "row", sha.alias("sha"))
-    arrivals = arrivals.withColumn("key", (state_key or (lambda c: c))(F.col("sha")))
+    arrivals = arrivals.withColumn("key", state_key(F.col("sha")))
     path = new_path(spark, "dedup-arrivals")
     arrivals.write.parquet(path)
     state = stream_state(spark, path, arrivals.schema)
     rows = stored(spark.read.schema(arrivals.schema).parquet(path).join(state, "key"), "dedup-rows")
 
     # full bytes on hits: the texts of a key that came more than once, one row a different text
-    wanted = rows.filter("n > 1").select("file", "row", "key")
-    texts = source.select("doc_id", "file", "row", "text").join(wanted, ["file", "row"])
-    texts = texts.withColumn("text", lower_ascii(F.col("text")))
+    texts = rows_at(source, rows.filter("n > 1")).withColumn("key", state_key(sha)).withColumn("text", lower_ascii(F.col("text")))
     variants = texts.groupBy("key", "text").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep2"), F.count(F.lit(1)).alias("n2"))
     clash = stored(variants.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"), "dedup-clash")
     if not clash.isEmpty():  # one digest, different bytes: those keys are grouped by their texts

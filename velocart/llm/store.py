@@ -15,6 +15,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a file that one map of places covers, a bit a row.
+SPAN = 4096
+#: Maps (1.2 KB at most, and a file name) that are broadcast: 134 million rows at least, 40 MB at most.
+MAPS = 32_768
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors share. Only a local session without the setting gets a scratch folder."""
@@ -74,10 +79,12 @@ def bucketed(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
 
 
 def on_files(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` itself if it is a projection or filter of Parquet files, else a copy in the shared folder."""
-    plan = docs._jdf.queryExecution().analyzed().toString()
+    """``docs`` itself if it is a projection or filter of Parquet files that gives the same rows at each read, else a
+    copy in the shared folder."""
+    analyzed = docs._jdf.queryExecution().analyzed()
+    plan = analyzed.toString()
     nodes = {line.lstrip(" :+-").split(" ")[0] for line in plan.splitlines() if line.strip()}
-    if nodes <= {"Project", "Filter", "Relation"} and "parquet" in plan and "_metadata" not in docs.columns:
+    if analyzed.deterministic() and nodes <= {"Project", "Filter", "Relation"} and "parquet" in plan and "_metadata" not in docs.columns:
         return docs
     return stored(docs, name)
 
@@ -94,10 +101,30 @@ def located(docs: DataFrame, columns: dict[str, Column], name: str) -> DataFrame
     return back.select(*[c.alias(k) for k, c in columns.items()], *place)
 
 
+def rows_at(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The ``rows`` (with file and row, each place once) that stand at ``places`` (file, row).
+
+    The places travel, one bit each, and the rows stay where they are read: a
+    map covers ``SPAN`` rows of a file. Up to ``MAPS`` maps are broadcast;
+    beyond that, maps and rows are joined by shuffles, at most ``SPAN`` rows a
+    key. Places may repeat; a null place is nowhere.
+    """
+    places = places.select("file", "row").dropna()
+    words = places.groupBy("file", F.expr("row div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(row % 64 AS int)))").alias("bits"))
+    entry = F.struct((F.col("word") % (SPAN // 64)).alias("word"), "bits")
+    maps = words.groupBy("file", F.expr(f"word div {SPAN // 64}").alias("span")).agg(F.map_from_entries(F.collect_list(entry)).alias("bits"))
+    maps = stored(maps, "places")
+    if maps.limit(MAPS + 1).count() <= MAPS:
+        maps = F.broadcast(maps)
+    bits = f"coalesce(try_element_at(p.bits, r.row div 64 % {SPAN // 64}), 0L)"
+    met = rows.alias("r").join(maps.alias("p"), F.expr(f"r.file = p.file AND r.row div {SPAN} = p.span"))
+    return met.filter(F.expr(f"getbit({bits}, cast(r.row % 64 AS int)) = 1")).select("r.*")
+
+
 def documents_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """The rows of ``docs`` (on files), with all their columns, that stand at ``places`` (file, row)."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return located(docs, {"document": whole}, "documents").join(places.select("file", "row"), ["file", "row"]).select("document.*")
+    return rows_at(located(docs, {"document": whole}, "documents"), places).select("document.*")
 
 
 def slices(spark: SparkSession, factor: int = 1) -> int:
