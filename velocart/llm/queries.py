@@ -145,6 +145,28 @@ def op8_substring_dedup(spark, sf_dir):
     return substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+SQL["op8_substring_dedup"] = """
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS words
+  FROM texts, unnest(range(1, len(w) - 33)) AS u(i)
+  WHERE len(w) >= 35
+),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY words) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM repeated, range(35) AS r(k)),
+left_over AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts) ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM texts LEFT JOIN left_over USING (doc_id)
+"""
+
+
 @register
 def op9_quality_rules(spark, sf_dir):
     """Base counts of all documents and the verdict of the list learned from ``labels``."""
