@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import LOWER
@@ -61,9 +62,20 @@ def test_pipeline_stages(spark, tmp_path):
         before = after
 
 
-def test_pipeline_on_awkward_rows(spark, awkward, nothing):
+def test_pipeline_on_awkward_rows(spark, awkward, nothing, tmp_path):
     from velocart.llm import exact_dedup, ngram_join
 
     assert ngram_join.keep(exact_dedup.keep(awkward)).columns == awkward.columns
+    docs = awkward.withColumn("source", F.col("key")).withColumn("lang", F.lit(None).cast("string"))
+    counts = {"toxicity": [7], "exact_dedup": [3], "ngram_join": [3], "mixing": [0, 1, 2, 3]}
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        ids = {r.doc_id for r in docs.collect()}
+        stage(spark, docs, DATA).write.parquet(str(tmp_path / str(i)))
+        before, docs = docs, spark.read.parquet(str(tmp_path / str(i)))
+        if name == "packing":
+            assert {r.doc_id for r in docs.collect()} == ids
+            break
+        assert docs.columns == before.columns and docs.count() in counts[name], name
+        assert not docs.exceptAll(before).count()
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, DATA).count() == 0, name

@@ -9,8 +9,11 @@ only; the sample is at most ``SAMPLE`` rows of numbers.
 
 Defined results: a null text is an empty one (no words, not kept); an empty
 text has no lines with a word; repeated rows get equal results; without
-labelled rows the list is empty and only the base decides; other columns are
-not read. No text is cut.
+labelled rows the list is empty and only the base decides; an empty table gives
+no rows; a row without an id is judged like any other, but learned from by no
+label; of ids with equal hashes the smaller is learned from first, and conditions
+of equal gain are taken in the order they are tried, so the list is the same in
+every run; other columns are not read. No text is cut.
 """
 
 from __future__ import annotations
