@@ -2,6 +2,13 @@
 
 Every stage works on all rows its predecessor kept; all but the last return
 the columns they were given. The last returns the pieces of the sequences.
+
+Defined results, as the stages' operators state them: a null text counts as
+empty; rows without an id go through all stages and lose to a copy with an id;
+of equal rows one stays after exact deduplication; documents without words are
+linked with nothing; a null source or language counts as the value ``none``; without
+labels of both classes no document is toxic; an empty table gives no rows at
+any stage; further columns, whatever their names, stay up to packing.
 """
 
 from __future__ import annotations
