@@ -1,12 +1,17 @@
 """Audit -> keep first -> stored table, and the bucketed fact layout."""
 
-from conftest import sf_dir
+import os
+import subprocess
+import sys
+
+from conftest import ROOT, rows, sf_dir
 from pyspark.sql import functions as F
 
 from velocart.plans import prepare
 from velocart.plans import reports as R
-from velocart.sources import create_namespace, roles
-from velocart.sources.roles import SourceTables
+from velocart.plans.registry import QUERIES
+from velocart.sources import create_namespace, roles, table_path
+from velocart.sources.roles import TEST_SCHEMAS, SourceTables
 
 
 def test_audit_and_store_first_per_key(spark):
@@ -43,6 +48,44 @@ def test_prepare_shop_stores_and_reads_back(spark):
         prepare.prepare_shop(frames, "prep_shop", "first_products", "import_no")
 
 
+ANOTHER_SESSION = """
+import sys
+from velocart.plans.registry import QUERIES
+from velocart.session import build_session
+
+name, root, out, warehouse, scratch = sys.argv[1:]
+spark = build_session("local[2]", shuffle_partitions=2, extra={"spark.sql.warehouse.dir": warehouse, "spark.local.dir": scratch})
+QUERIES[name](spark, root).write.parquet(out)
+spark.stop()
+"""
+
+
+def from_another_session(spark, tmp_path, name, root):
+    """Result of a query in a process whose catalog knows no table of this session, over this session's warehouse."""
+    out, warehouse = str(tmp_path / "out"), spark.conf.get("spark.sql.warehouse.dir")
+    done = subprocess.run(
+        [sys.executable, "-c", ANOTHER_SESSION, name, root, out, warehouse, str(tmp_path / "scratch")],
+        cwd=tmp_path, env={**os.environ, "PYTHONPATH": ROOT}, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    return spark.read.parquet(out)
+
+
+def write_tables(spark, root, **tables):
+    for name, schema in TEST_SCHEMAS.items():
+        spark.createDataFrame(tables.get(name, []), schema).coalesce(1).write.parquet(table_path(str(root), name))
+    return str(root)
+
+
+def test_sessions_over_one_warehouse_store_products_side_by_side(spark, tmp_path):
+    part = [(1, "n", "A", "ECONOMY", 1, 10.0), (2, "n", None, None, None, None), (3, "n", "C", "ECONOMY", 1, 30.0)]
+    root = write_tables(spark, tmp_path / "tables", part=part)
+    expected = [(1, "A", "ECONOMY", 10.0, 10.0), (2, None, None, None, None), (3, "C", "ECONOMY", 30.0, 30.0)]
+    here = QUERIES["stored_product_new"](spark, root)
+    assert rows(from_another_session(spark, tmp_path, "stored_product_new", root)) == expected
+    assert rows(here) == expected  # the other session left this one's table alone
+
+
 def test_bucketed_facts_join_without_exchange(spark):
     t = SourceTables(spark, sf_dir("0.01"))
     create_namespace(spark, "prep")

@@ -3,7 +3,7 @@ report or operator. Parameters are those recorded in FIXTURES.md."""
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,21 +102,21 @@ def _r1_deduplicated(t):
     return R.brands_by_cost_and_volume(product, roles.order_items_role(t.lineitem), min_cost=990, min_quantity=1100)
 
 
-#: Where the stored products of the registered queries go; a table for each data folder.
+#: Where the stored products of the registered queries go; a table for each run.
 STORED = "velocart_prepared"
 
 
 def _prepared(t):
     """The role frames after the preparation: products with duplicates audited, kept first and stored in the catalog,
-    and read back from there. A later run replaces the table."""
+    and read back from there. Each run stores a table of its own name: a session may not know the tables that others
+    left in the warehouse, and frames over a replaced table could not be read any more."""
     frames = {
         "product": _imported_products(t),
         "customer": roles.customer_industry_role(t.customer),
         "orders": roles.orders_role(t.orders),
         "order_items": roles.order_items_role(t.lineitem),
     }
-    table = f"product_new_{zlib.crc32(t.root.encode()):08x}"
-    return prepare.prepare_shop(frames, STORED, table, "import_no", mode="overwrite")
+    return prepare.prepare_shop(frames, STORED, f"product_new_{uuid.uuid4().hex}", "import_no")
 
 
 @register("stored_product_new")
