@@ -1,5 +1,6 @@
 """Audit -> keep first -> stored table, and the bucketed fact layout."""
 
+import datetime as dt
 import os
 import subprocess
 import sys
@@ -86,6 +87,22 @@ def test_sessions_over_one_warehouse_store_products_side_by_side(spark, tmp_path
     assert rows(here) == expected  # the other session left this one's table alone
 
 
+def test_r7_over_stored_products_whatever_else_stored_them(spark, tmp_path):
+    """40 parts, the dearer the higher the key: the 20 dearest are 21 to 40; by the second imports 15 and 18 would be among them."""
+    day = dt.datetime(1997, 1, 1)
+    part = [(k, "n", "A", "ECONOMY", 1, float(k)) for k in range(1, 41)]
+    customer = [(1, "Ann#1", 1, 0.0, "BUILDING"), (2, "Bo#2", 1, 0.0, "MACHINERY"), (3, "Cy#3", 1, 0.0, "HOUSEHOLD"), (4, "Di#4", 1, 0.0, "MACHINERY")]
+    bought = {1: (39, 40), 2: (20, 21, None), 3: (39, 40), 4: (15, 18)}
+    orders = [(10 * c, c, "F", 1.0, day, "2-HIGH") for c in bought]
+    lineitem = [(10 * c, p, 1, n, 1.0, 1.0, 0.0, 0.0, "N", "O", day) for c, ps in bought.items() for n, p in enumerate(ps)]
+    root = write_tables(spark, tmp_path / "tables", part=part, customer=customer, orders=orders, lineitem=lineitem)
+    first = QUERIES["r7_stored_product"](spark, root)
+    for name in ("stored_product_new", "r1_stored_product"):
+        QUERIES[name](spark, root)
+    assert rows(from_another_session(spark, tmp_path, "r7_stored_product", root)) == [(1, "Ann", "1")]
+    assert rows(first) == [(1, "Ann", "1")]
+
+
 def test_bucketed_facts_join_without_exchange(spark):
     t = SourceTables(spark, sf_dir("0.01"))
     create_namespace(spark, "prep")
